@@ -190,3 +190,17 @@ def with_segments(lay: ScanLayout, starts: Column, out: str) -> ScanLayout:
 def runs_layout(df: DataFrame, keys: list[str], seg: str, sub: str = "_sub") -> ScanLayout:
     """Layout for a table with one row per segment; ``sub`` is the segment's first sub-bucket."""
     return ScanLayout(df, list(keys), [seg], sub)
+
+
+def with_last_non_null(lay: ScanLayout, col: str, out: str) -> ScanLayout:
+    """``out`` = last non-null value of ``col`` at or before each row (forward fill)."""
+    w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
+    keep = F.when(F.col(col).isNotNull(), _order_struct(lay.order))
+    sub_last = lay.hot().groupBy(*lay.part).agg(F.max_by(F.col(col), keep).alias("_l"))
+    carry = (sub_last.withColumn("_cl", F.last("_l", ignorenulls=True).over(
+        lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
+        .select(*lay.part, "_cl"))
+    d = (lay.df.join(F.broadcast(carry), lay.part, "left")
+         .withColumn(out, F.coalesce(F.last(col, ignorenulls=True).over(w), F.col("_cl")))
+         .drop("_cl"))
+    return lay.with_df(d)

@@ -70,7 +70,7 @@ def flatten_effective_date(df: DataFrame, key_col: str, flat_col: str | Sequence
     d = df.filter(F.col(key_col).isNotNull())
     lay = mark_runs(d, key_col, flat_cols, [effective_date, *order_by], "_run", hot_rows)
     runs = _aggregate_runs(lay, key_col, "_run", settings)
-    rl = scan.with_next(scan.runs_layout(runs, [key_col], "_run"), [effective_date])
+    rl = scan.with_next(scan.runs_layout(runs, [key_col], "_run", split=lay.split), [effective_date])
     end = F.when(F.col("_has_next"), F.col("_next_" + effective_date))
     cols = [F.col(key_col)] + [
         F.col(c).alias("StartDate") if c == effective_date else F.col(c)

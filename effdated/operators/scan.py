@@ -75,17 +75,19 @@ class ScanLayout:
     order: list[str]
     sub: str = "_sub"
     extra: dict = field(default_factory=dict)
+    split: bool = True  # False: no hot key, every _sub is 0 and no carry is needed
 
     @property
     def part(self) -> list[str]:
-        return [*self.keys, self.sub]
+        # unsplit: partition by the key alone so later groupBy(key, ...) reuses it
+        return [*self.keys, self.sub] if self.split else list(self.keys)
 
     def window(self) -> Window:
         return Window.partitionBy(*self.part).orderBy(
             *[F.col(c).asc_nulls_last() for c in self.order])
 
     def with_df(self, df: DataFrame) -> "ScanLayout":
-        return ScanLayout(df, self.keys, self.order, self.sub, self.extra)
+        return ScanLayout(df, self.keys, self.order, self.sub, self.extra, self.split)
 
     def hot(self, df: DataFrame | None = None) -> DataFrame:
         d = self.df if df is None else df
@@ -102,6 +104,10 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.filter(F.col("_n") > limit)
            .withColumn("_nsub", F.ceil(F.col("_n") / F.lit(limit)).cast("int")))
+    if hot.isEmpty():
+        # Size check (one pass over the key columns, pre-aggregated map-side): with no
+        # hot key the scan is the plain per-key window plan without carry tables.
+        return ScanLayout(df.withColumn("_sub", F.lit(0)), list(keys), list(order), split=False)
     with_o = df.withColumn("_o", _order_struct(order))
     sample = (with_o.select(*keys, "_o")
               .join(F.broadcast(hot), keys)
@@ -123,6 +129,11 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
 def with_prev(lay: ScanLayout, cols: list[str], prefix: str = "_prev_") -> ScanLayout:
     """Add ``_prev_<c>`` (value on the previous row of the same key) and ``_has_prev``."""
     w = lay.window()
+    if not lay.split:
+        d = lay.df
+        for c in cols:
+            d = d.withColumn(prefix + c, F.lag(c).over(w))
+        return lay.with_df(d.withColumn("_has_prev", F.lag(F.lit(1)).over(w).isNotNull()))
     tail = (lay.hot().groupBy(*lay.part)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), _order_struct(lay.order)).alias("_last")))
     carry = (tail.withColumn("_carry", F.lag("_last").over(lay.sub_window()))
@@ -138,6 +149,11 @@ def with_prev(lay: ScanLayout, cols: list[str], prefix: str = "_prev_") -> ScanL
 def with_next(lay: ScanLayout, cols: list[str], prefix: str = "_next_") -> ScanLayout:
     """Add ``_next_<c>`` (value on the next row of the same key) and ``_has_next``."""
     w = lay.window()
+    if not lay.split:
+        d = lay.df
+        for c in cols:
+            d = d.withColumn(prefix + c, F.lead(c).over(w))
+        return lay.with_df(d.withColumn("_has_next", F.lead(F.lit(1)).over(w).isNotNull()))
     head = (lay.hot().groupBy(*lay.part)
             .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), _order_struct(lay.order)).alias("_first")))
     carry = (head.withColumn("_carry", F.lead("_first").over(lay.sub_window()))
@@ -153,6 +169,8 @@ def with_next(lay: ScanLayout, cols: list[str], prefix: str = "_next_") -> ScanL
 def with_prefix_max_prev(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     """``out`` = max of ``col`` over all earlier rows of the same key (null if none)."""
     w = lay.window().rowsBetween(Window.unboundedPreceding, -1)
+    if not lay.split:
+        return lay.with_df(lay.df.withColumn(out, F.max(col).over(w)))
     sub_max = lay.hot().groupBy(*lay.part).agg(F.max(col).alias("_m"))
     carry = (sub_max.withColumn("_cm", F.max("_m").over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
@@ -166,6 +184,9 @@ def with_prefix_count(lay: ScanLayout, flag: Column | None, out: str) -> ScanLay
     """``out`` = running count (inclusive) of rows (or of rows where ``flag``) in key order."""
     ind = F.lit(1) if flag is None else F.when(flag, 1).otherwise(0)
     d = lay.df.withColumn("_ind", ind)
+    if not lay.split:
+        w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
+        return lay.with_df(d.withColumn(out, F.sum("_ind").over(w)).drop("_ind"))
     sub_n = lay.hot(d).groupBy(*lay.part).agg(F.sum("_ind").alias("_c"))
     carry = (sub_n.withColumn("_cc", F.sum("_c").over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
@@ -187,14 +208,17 @@ def with_segments(lay: ScanLayout, starts: Column, out: str) -> ScanLayout:
     return with_prefix_count(lay, starts, out)
 
 
-def runs_layout(df: DataFrame, keys: list[str], seg: str, sub: str = "_sub") -> ScanLayout:
+def runs_layout(df: DataFrame, keys: list[str], seg: str, sub: str = "_sub",
+                split: bool = True) -> ScanLayout:
     """Layout for a table with one row per segment; ``sub`` is the segment's first sub-bucket."""
-    return ScanLayout(df, list(keys), [seg], sub)
+    return ScanLayout(df, list(keys), [seg], sub, split=split)
 
 
 def with_last_non_null(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     """``out`` = last non-null value of ``col`` at or before each row (forward fill)."""
     w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
+    if not lay.split:
+        return lay.with_df(lay.df.withColumn(out, F.last(col, ignorenulls=True).over(w)))
     keep = F.when(F.col(col).isNotNull(), _order_struct(lay.order))
     sub_last = lay.hot().groupBy(*lay.part).agg(F.max_by(F.col(col), keep).alias("_l"))
     carry = (sub_last.withColumn("_cl", F.last("_l", ignorenulls=True).over(

@@ -108,7 +108,8 @@ def group_multiple_date(df: DataFrame, key_col: str, group_col: str | Sequence[s
 
 
 def _island_layout(df: DataFrame, key: str, start: str, end: str, order: Sequence[str],
-                   gap: Column | None, out: str, hot_rows: int | None) -> scan.ScanLayout:
+                   gap: Column | None, out: str, hot_rows: int | None,
+                   keep_pme: bool = False) -> scan.ScanLayout:
     lay = scan.layout(df, [key], list(order), hot_rows)
     lay = scan.with_prefix_max_prev(lay, end, "_pme")
     reach = F.col("_pme") if gap is None else F.col("_pme") + gap
@@ -118,7 +119,7 @@ def _island_layout(df: DataFrame, key: str, start: str, end: str, order: Sequenc
     lay = scan.with_next(lay, ["_isl_start"])
     multi = ~F.col("_isl_start") | (F.col("_has_next") & ~F.col("_next__isl_start"))
     d = (lay.df.withColumn("_multi", multi)
-         .drop("_pme", "_next__isl_start", "_has_next"))
+         .drop(*([] if keep_pme else ["_pme"]), "_next__isl_start", "_has_next"))
     return lay.with_df(d)
 
 

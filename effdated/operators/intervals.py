@@ -255,7 +255,7 @@ def widen(df: DataFrame, start: str | None = None, end: str | None = None,
     return out
 
 
-def resolve_by_period(attrs: DataFrame, key: str, eff_from: str, eff_to: str,
+def resolve_by_period(attrs: DataFrame, key: str | Sequence[str], eff_from: str, eff_to: str,
                       value_cols: Sequence[str], periods: DataFrame, period_col: str = "fy",
                       period_start: str = "start_of_fy", period_end: str = "end_of_fy") -> DataFrame:
     """T7 + W4: the attribute value that applies to each (key, period).
@@ -277,8 +277,9 @@ def resolve_by_period(attrs: DataFrame, key: str, eff_from: str, eff_to: str,
     rank = F.struct(rule.alias("r"), neg_from.alias("f"), neg_to.alias("t"),
                     *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)])
     vals = F.struct(*[F.col(c) for c in value_cols])
-    best = j.groupBy(key, period_col).agg(F.min_by(vals, rank).alias("_best"))
-    return best.select(key, period_col, *[F.col("_best")[c].alias(c) for c in value_cols])
+    keys = _as_list(key)
+    best = j.groupBy(*keys, period_col).agg(F.min_by(vals, rank).alias("_best"))
+    return best.select(*keys, period_col, *[F.col("_best")[c].alias(c) for c in value_cols])
 
 
 def latest_per_key(df: DataFrame, key: str, order_col: str, value_cols: Sequence[str]) -> DataFrame:

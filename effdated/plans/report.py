@@ -161,57 +161,64 @@ def _items(employees: DataFrame, json_col: str) -> DataFrame:
                      F.col("item.Value").alias("_value"))
 
 
-def _resolve(items: DataFrame, fy_rules: DataFrame, cols: Sequence[str],
-             before: int, after: int) -> DataFrame:
-    d = items.withColumns({
-        "effective_from": F.date_sub("_from", before) if before else F.col("_from"),
-        "effective_to": F.date_add("_to", after) if after else F.col("_to")})
-    return resolve_by_period(d, "employee_code", "effective_from", "effective_to", list(cols), fy_rules)
-
-
 def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> DataFrame:
     """Attributes per (employee, FY): region, contract hours, position, classification,
-    award, employee type and company (company: the latest FY's value per employee)."""
+    award, employee type and company (company: the latest FY's value per employee).
+
+    All attribute kinds are resolved in one pass. Their items are unioned with a
+    ``ref`` tag (each kind widened by its own rule), so there is one broadcast range
+    join against the FY rules and one ``min_by`` aggregation keyed by
+    (employee, ref, FY), then one pivot back to a row per (employee, FY). The rows
+    are those with a classification, as in the source model.
+    """
     attrs = _items(employees, "attributes_over_time")
     kv = F.from_json(F.col("_value"), "Key string, Value string")
-    attrs = attrs.withColumn("_kv", kv).select(
-        "employee_code", "_from", "_to", F.col("_kv.Key").alias("ref"), F.col("_kv.Value").alias("_v"))
-
-    def keyed(key: str, name: str, before: int, mapper=None) -> DataFrame:
-        d = attrs.filter(F.col("ref") == key)
-        d = d.withColumn(name, mapper(F.col("_v")) if mapper else F.col("_v"))
-        return _resolve(d, fy_rules, [name], before, p.widen_days)
-
+    attrs = attrs.withColumn("_kv", kv)
     nat_from, nat_to = p.national_region
-    region = keyed("state", "region", p.region_widen_days,
-                   lambda v: F.when(v == nat_from, F.lit(nat_to)).otherwise(v))
-    hours = keyed("WeeklyContractedHours", "weeklycontractedhours", 0)
-    positions = keyed("POSITION", "positions", 0)
-    company = latest_per_key(keyed("COMPANY", "company", 0), "employee_code", "fy", ["company"]).drop("fy")
+    key_to_ref = {"state": "region", "WeeklyContractedHours": "weeklycontractedhours",
+                  "POSITION": "positions", "COMPANY": "company"}
+    ref = F.col("_kv.Key")
+    v1 = F.when(ref == "state", F.when(F.col("_kv.Value") == nat_from, F.lit(nat_to)).otherwise(F.col("_kv.Value"))) \
+        .otherwise(F.col("_kv.Value"))
+    before = F.when(ref == "state", F.lit(p.region_widen_days)).otherwise(F.lit(0))
+    mapped_ref = None
+    for k, r in key_to_ref.items():
+        mapped_ref = F.when(ref == k, F.lit(r)) if mapped_ref is None else mapped_ref.when(ref == k, F.lit(r))
+    a = attrs.filter(ref.isin(list(key_to_ref))).select(
+        "employee_code", mapped_ref.alias("ref"), "_from", "_to", before.alias("_before"),
+        v1.alias("v1"), F.lit(None).cast("string").alias("v2"))
 
     cls = _items(employees, "classifications")
     ca = F.from_json(F.col("_value"), "Classification string, Award string")
-    cls = cls.withColumn("_ca", ca).select("employee_code", "_from", "_to",
-                                           F.col("_ca.Classification").alias("classification"),
-                                           F.col("_ca.Award").alias("award"))
-    classification = _resolve(cls, fy_rules, ["classification", "award"], 0, p.widen_days)
+    c = cls.withColumn("_ca", ca).select(
+        "employee_code", F.lit("classification").alias("ref"), "_from", "_to", F.lit(0).alias("_before"),
+        F.col("_ca.Classification").alias("v1"), F.col("_ca.Award").alias("v2"))
 
     et = _items(employees, "employment_types")
     code = F.regexp_replace(F.col("_value"), '"', "")
     mapped = None
     for k, v in p.employee_type_codes.items():
         mapped = F.when(code == k, F.lit(v)) if mapped is None else mapped.when(code == k, F.lit(v))
-    et = et.withColumn("employee_type", mapped)
-    employee_type = _resolve(et, fy_rules, ["employee_type"], 0, p.widen_days)
-
+    e = et.select("employee_code", F.lit("employee_type").alias("ref"), "_from", "_to",
+                  F.lit(0).alias("_before"), mapped.alias("v1"), F.lit(None).cast("string").alias("v2"))
+
+    items = (a.unionByName(c).unionByName(e)
+             .withColumn("effective_from", F.date_sub("_from", F.col("_before")))
+             .withColumn("effective_to", F.date_add("_to", p.widen_days)))
+    resolved = resolve_by_period(items, ["employee_code", "ref"], "effective_from", "effective_to",
+                                 ["v1", "v2"], fy_rules)
+    refs = ["region", "weeklycontractedhours", "positions", "company", "classification", "employee_type"]
+    wide = (resolved.groupBy("employee_code", "fy").pivot("ref", refs)
+            .agg(F.first(F.struct("v1", "v2"))))
+    company = latest_per_key(resolved.filter(F.col("ref") == "company"), "employee_code", "fy", ["v1"]) \
+        .select("employee_code", F.col("v1").alias("company"))
+    info = wide.filter(F.col("classification").isNotNull()).select(
+        "employee_code", "fy",
+        F.col("region.v1").alias("region"), F.col("weeklycontractedhours.v1").alias("weeklycontractedhours"),
+        F.col("positions.v1").alias("positions"), F.col("classification.v1").alias("classification"),
+        F.col("classification.v2").alias("award"), F.col("employee_type.v1").alias("employee_type"))
     clients = employees.select("employee_code", "client_id")
-    info = (classification
-            .join(hours, ["employee_code", "fy"], "left")
-            .join(positions, ["employee_code", "fy"], "left")
-            .join(region, ["employee_code", "fy"], "left")
-            .join(employee_type, ["employee_code", "fy"], "left")
-            .join(company, ["employee_code"], "left")
-            .join(clients, ["employee_code"], "left"))
+    info = info.join(company, ["employee_code"], "left").join(clients, ["employee_code"], "left")
     if p.company_fallback is not None:
         info = info.withColumn("company", F.coalesce(F.col("company"), F.lit(p.company_fallback)))
     return info

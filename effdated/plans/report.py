@@ -40,6 +40,22 @@ from effdated.operators.joins import explode_json_array
 
 MEASURES = ["actual_hours", "calculated_hours", "calculated", "gross_Variance", "payslip"]
 
+# Amounts are aggregated as exact longs of 10^-4 units: sums of DECIMAL(12,2) widen past
+# 18 digits and leave Spark's compact-long decimal path (BigDecimal buffers), while long
+# sums stay in generated code. Inputs must carry at most 4 decimal places.
+UNIT_SCALE = 4
+_UNIT = 10 ** UNIT_SCALE
+
+
+def units(c: Column | str) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    return (col * F.lit(_UNIT)).cast("long")
+
+
+def from_units(c: Column | str) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    return col / F.lit(float(_UNIT))
+
 
 @dataclass
 class ReportParams:
@@ -64,7 +80,7 @@ def _z(c: Column) -> Column:
 def _line_summary(lines: DataFrame, p: ReportParams) -> DataFrame:
     in_b = F.col("pay_code").isin(list(p.ote_bucket))
     not_b = ~F.col("pay_code").isin(list(p.ote_bucket))
-    v = F.col("variance")
+    v = units("variance")
     return (lines.withColumn("fyear", financial_year("end").cast("string"))
             .groupBy("employee_code", "fyear").agg(
                 _z(ag.positive_part_sum(v, in_b)).alias("OTE_excess"),
@@ -73,13 +89,13 @@ def _line_summary(lines: DataFrame, p: ReportParams) -> DataFrame:
                 _z(ag.positive_part_sum(v, not_b)).alias("non_OTE_excess"),
                 _z(ag.negative_part_sum(v, not_b)).alias("non_OTE_shortfall"),
                 _z(F.sum(F.when(not_b, v))).alias("non_OTE_variance"),
-                _z(F.sum(F.when(in_b, F.col("actual")))).alias("OTE_actual"),
-                _z(F.sum(F.when(in_b, F.col("calculated")))).alias("OTE_calculated")))
+                _z(F.sum(F.when(in_b, units("actual")))).alias("OTE_actual"),
+                _z(F.sum(F.when(in_b, units("calculated")))).alias("OTE_calculated")))
 
 
 def _pil_summary(pil: DataFrame, p: ReportParams) -> DataFrame:
     tc = F.col("pay_code").isin(list(p.pil_ote_codes))
-    v = F.col("variance")
+    v = units("variance")
     return (pil.withColumn("fyear", financial_year("date").cast("string"))
             .groupBy("employee_code", "fyear").agg(
                 F.sum(v).alias("add_re_pil"),
@@ -88,19 +104,19 @@ def _pil_summary(pil: DataFrame, p: ReportParams) -> DataFrame:
                 _z(F.sum(F.when(tc, v))).alias("add_ote"),
                 _z(ag.positive_part_sum(v, tc)).alias("add_ote_excess"),
                 _z(ag.negative_part_sum(v, tc)).alias("add_ote_shortfall"),
-                F.sum("actual").alias("add_re_pil_actual"),
-                F.sum("calculated").alias("add_re_pil_calculated")))
+                F.sum(units("actual")).alias("add_re_pil_actual"),
+                F.sum(units("calculated")).alias("add_re_pil_calculated")))
 
 
 def _km_summary(km: DataFrame) -> DataFrame:
-    v = F.col("variance")
+    v = units("variance")
     return (km.withColumn("fyear", financial_year("date").cast("string"))
             .groupBy("employee_code", "fyear").agg(
                 F.sum(v).alias("add_re_km"),
                 ag.positive_part_sum(v).alias("add_re_km_excess"),
                 ag.negative_part_sum(v).alias("add_re_km_shortfall"),
-                F.sum("actual").alias("add_re_km_actual"),
-                F.sum("calculated").alias("add_re_km_calculated")))
+                F.sum(units("actual")).alias("add_re_km_actual"),
+                F.sum(units("calculated")).alias("add_re_km_calculated")))
 
 
 def group_by_fyear(lines: DataFrame, pil: DataFrame, km: DataFrame, p: ReportParams) -> DataFrame:
@@ -228,9 +244,9 @@ def pay_code_detail(lines: DataFrame, p: ReportParams) -> DataFrame:
     """Crosstab (employee, FY) x pay code of five sums, expanded to ``<code>_<measure>``
     columns (the JSON-cell crosstab of the source, as one pivot aggregation)."""
     base = lines.withColumn("fy", financial_year("end").cast("string"))
-    measures = {"actual_hours": F.sum("actual_hours"), "calculated_hours": F.sum("calculated_hours"),
-                "calculated": F.sum("calculated"), "gross_Variance": F.sum("variance"),
-                "payslip": F.sum("actual")}
+    measures = {"actual_hours": F.sum(units("actual_hours")), "calculated_hours": F.sum(units("calculated_hours")),
+                "calculated": F.sum(units("calculated")), "gross_Variance": F.sum(units("variance")),
+                "payslip": F.sum(units("actual"))}
     ct = ag.crosstab(base, ["employee_code", "fy"], "pay_code", p.pay_codes, measures)
     return ag.expand_cells(ct, ["employee_code", "fy"], p.pay_codes, MEASURES)
 
@@ -246,17 +262,16 @@ def remediation_report(lines: DataFrame, pil: DataFrame, km: DataFrame, employee
              .join(F.broadcast(region_rates), ["region", "fy"], "left")
              .withColumn("sr", F.lit(p.super_rate)).withColumn("scg", F.lit(p.scg_rate)))
     d = {n: F.col(n).cast("double") for n in [
-        "remediation_payment", "ote_variance", "rm_interests", "sr", "scg", "sm_date",
-        "tax_rate", "penalty_rate", "interest_rate"]}
+        "rm_interests", "sr", "scg", "sm_date", "tax_rate", "penalty_rate", "interest_rate"]}
+    d["remediation_payment"] = from_units("remediation_payment")
+    d["ote_variance"] = from_units("ote_variance")
     rp, ov = d["remediation_payment"], d["ote_variance"]
     tax_base = rp + ov * d["sr"] + ov * d["sr"] * d["scg"] * d["sm_date"] / 365
-    money = ["ote_excess", "ote_shortfall", "gross_ote_variance", "ote_variance", "non_ote_excess",
-             "non_ote_shortfall", "gross_non_ote_variance", "non_ote_variance", "gross_variance", "variance"]
     tail = ["ote_wage_shortfall", "ote_pil_shortfall", "ote_wage", "ote_pil", "non_ote_wage_excess",
             "non_ote_km_excess", "non_ote_pil_excess", "non_ote_wage_shortfall", "non_ote_km_shortfall",
             "non_ote_pil_shortfall", "non_ote_wage", "non_ote_km", "non_ote_pil", "ote_actual",
             "ote_calculated", "km_actual", "km_calculated", "pil_actual", "pil_calculated"]
-    dbl = lambda n: F.col(n).cast("double")
+    dbl = from_units
     cols: list = [
         ("employee_code", "Employee Code"), ("client_id", "Client ID"), ("fy", "Financial Year"),
         ("region", "State"), ("company", "Entity"), ("award", "Award"),
@@ -281,11 +296,10 @@ def remediation_report(lines: DataFrame, pil: DataFrame, km: DataFrame, employee
         (dbl("variance"), "Variance"),
         *[(dbl(n), n) for n in tail],
     ]
-    del money
     report = report_projection(final, cols)
     report = report.filter(F.col("`Client ID`").isNotNull() & F.col("State").isNotNull())
     detail = pay_code_detail(lines, p)
     detail = detail.select(F.col("employee_code").alias("Employee Code"), F.col("fy").alias("Financial Year"),
-                           *[F.col(f"`{c}`").cast("double").alias(c) for c in detail.columns
+                           *[from_units(F.col(f"`{c}`")).alias(c) for c in detail.columns
                              if c not in ("employee_code", "fy")])
     return report.join(detail, ["Employee Code", "Financial Year"], "left")

@@ -75,10 +75,9 @@ def align_datatype(obj: DataFrame | Mapping[str, str], output_dtypes: str = "sql
         pairs = [(f.name, f.dataType) for f in obj.schema.fields]
         if output_dtypes == "spark":
             return {n: t.simpleString() for n, t in pairs}
-        inverse = {type(v): k for k, v in SQL_TO_SPARK.items()}
-        inverse[T.IntegerType] = "int"
-        inverse[T.TimestampType] = "timestamp"
-        inverse[T.DecimalType] = "numeric"
+        inverse = {T.StringType: "text", T.LongType: "int", T.IntegerType: "int", T.DoubleType: "numeric",
+                   T.DecimalType: "numeric", T.BooleanType: "boolean", T.TimestampNTZType: "timestamp",
+                   T.TimestampType: "timestamp", T.DayTimeIntervalType: "interval", T.DateType: "date"}
         out = {}
         for n, t in pairs:
             if type(t) not in inverse:

@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 HOT_ROWS_CONF = "effdated.scan.hotKeyRows"
 DEFAULT_HOT_ROWS = 4_000_000
 SAMPLES_PER_SPLIT = 8
+MAX_SPLITS = 20_000  # per hot key: bounds the sampled split array (<= 160k order values);
+                     # beyond it buckets grow past hotKeyRows but results stay exact
 SAMPLE_SEED = 7177
 
 
@@ -103,7 +105,7 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
     limit = _hot_rows(df, hot_rows)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.filter(F.col("_n") > limit)
-           .withColumn("_nsub", F.ceil(F.col("_n") / F.lit(limit)).cast("int")))
+           .withColumn("_nsub", F.least(F.ceil(F.col("_n") / F.lit(limit)), F.lit(MAX_SPLITS)).cast("int")))
     if hot.isEmpty():
         # Size check (one pass over the key columns, pre-aggregated map-side): with no
         # hot key the scan is the plain per-key window plan without carry tables.

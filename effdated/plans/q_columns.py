@@ -564,3 +564,64 @@ def q_attributes_over_time(spark, sf):
                                             F.col("c_nationkey").cast("string").alias("nation"))
     out = cl.attributes_over_time(c, ["c_custkey"], ["segment", "nation"])
     return out.select("c_custkey", F.lit("Key").alias("dummy_check"), "Key", "Value", "Attribute")
+
+
+# ---------------------------------------------------------------- A1 (simple_pandas_grouper)
+@register("grouper_settings", """
+WITH o AS (SELECT o_custkey, nullif(o_orderstatus, 'P') AS status, o_orderpriority, o_totalprice, o_orderdate, o_orderkey,
+                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos FROM orders),
+u AS (SELECT o_custkey, o_orderpriority, min(pos) AS pos FROM o GROUP BY ALL)
+SELECT o.o_custkey,
+       arg_max(status, pos) FILTER (WHERE status IS NOT NULL) AS last_status,
+       arg_min(o_orderpriority, pos) AS first_priority,
+       CAST(min(o_totalprice) AS DOUBLE) AS min_price, CAST(max(o_totalprice) AS DOUBLE) AS max_price,
+       CAST(count(o_orderkey) AS BIGINT) AS n_orders,
+       (SELECT string_agg(o_orderpriority, '|' ORDER BY pos) FROM u WHERE u.o_custkey = o.o_custkey) AS priorities
+FROM o GROUP BY o.o_custkey
+""")
+def q_grouper_settings(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_custkey", F.expr("nullif(o_orderstatus, 'P')").alias("last_status"),
+        F.col("o_orderpriority").alias("first_priority"), F.col("o_orderpriority").alias("priorities"),
+        F.col("o_totalprice").alias("min_price"), F.col("o_totalprice").alias("max_price"),
+        F.col("o_orderkey").alias("n_orders"), "o_orderdate", "o_orderkey")
+    g = ag.grouper(o, ["o_custkey"], {"last_status": "last", "first_priority": "first", "min_price": "min",
+                                      "max_price": "max", "n_orders": "count", "priorities": "unique"},
+                   order_by=["o_orderdate", "o_orderkey"])
+    return g.select("o_custkey", "last_status", "first_priority", "min_price", "max_price",
+                    F.col("n_orders").cast("bigint").alias("n_orders"),
+                    F.array_join("priorities", "|").alias("priorities"))
+
+
+# ---------------------------------------------------------------- J10 / J11
+@register("inscope_lookup", """
+WITH m AS (SELECT DISTINCT lower(trim(' ' || o_orderpriority || ' ')) AS k, upper(substr(o_orderpriority, 3)) AS mapped
+           FROM orders WHERE o_orderpriority <> '3-MEDIUM')
+SELECT o_orderkey, m.mapped AS pay_code FROM orders LEFT JOIN m ON lower(trim(o_orderpriority)) = m.k
+""")
+def q_inscope_lookup(spark, sf):
+    o = table(spark, sf, "orders")
+    mapping = (o.filter(F.col("o_orderpriority") != "3-MEDIUM")
+               .select(F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" ")).alias("client_value"),
+                       F.upper(F.substring("o_orderpriority", 3, 100)).alias("mapped")).distinct())
+    out = jn.lookup(o.select("o_orderkey", "o_orderpriority"), "o_orderpriority", mapping, "client_value",
+                    "mapped", out="pay_code")
+    return out.select("o_orderkey", "pay_code")
+
+
+# ---------------------------------------------------------------- P13 / F11
+@register("parse_fixed_format", """
+SELECT o_orderkey, strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed FROM orders
+""")
+def q_parse_fixed_format(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("txt"))
+    return o.select("o_orderkey", dt.parse_with_format("txt", "%Y-%m-%d %H:%M:%S").alias("parsed"))
+
+
+@register("drop_rows", """
+SELECT o_orderkey FROM orders WHERE 'orders:row:' || CAST(o_orderkey + 2 AS VARCHAR) NOT IN ('orders:row:2', 'orders:row:41170')
+""")
+def q_drop_rows(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.lit("orders:row:"), (F.col("o_orderkey") + 2).cast("string")).alias("Source"))
+    return fl.drop_rows(o, "Source", ["orders:row:2", "orders:row:41170"]).select("o_orderkey")

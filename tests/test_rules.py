@@ -61,3 +61,25 @@ def test_stage_runner_switch_and_targets(spark):
     ])
     assert [r.key for r in out["big"].collect()] == ["b"]
     assert out["src"].count() == 2
+
+
+def test_varying_header_dob_sources_schema_types(spark, tmpdir_path):
+    import os
+    from effdated.functions import types as ty
+    from effdated.sources.csv import find_varying_header, read_csv_with_lineage
+    p = os.path.join(tmpdir_path, "vh", "report.csv")
+    os.makedirs(os.path.dirname(p))
+    with open(p, "w") as f:
+        f.write("Payroll export,,\nPrinted 2021,,\nStaff Member,Joined,Birth\nE1,01/02/2020,01/01/1990\nE2,05/03/2020,01/01/2015\n")
+    raw = read_csv_with_lineage(spark, os.path.dirname(p), names=["c1", "c2", "c3"], header=-1)
+    body = find_varying_header(raw, ["Staff Member", "Joined"])
+    assert sorted(r.c1 for r in body.collect()) == ["E1", "E2"]
+    dob = body.withColumn("dob", F.to_date("c3", "dd/MM/yyyy"))
+    assert [r.c1 for r in dq.implausible_dob(dob, "dob", ["c1"], "2021-06-30").collect()] == ["E2"]
+    files = lineage.source_files(body.select("Source"))
+    assert [r.source_file for r in files.collect()] == ["report"]
+    changes = dq.schema_changes(body, body.drop("c3").withColumn("c2", F.lit(1)))
+    assert {c["column"]: c["change"] for c in changes} == {"c3": "removed", "c2": "dtype"}
+    assert ty.align_datatype({"a": "int64", "b": "datetime64[ns]", "c": "object"}) == \
+        {"a": "INT", "b": "timestamp", "c": "text"}
+    assert ty.align_datatype(spark.createDataFrame([(1, "x")], "a long, b string")) == {"a": "int", "b": "text"}

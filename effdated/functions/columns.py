@@ -165,9 +165,9 @@ def fill_end_with_termination(df: DataFrame, key: str, start: str, end: str, ter
     from effdated.operators import scan
     lay = scan.layout(df, [key], [start, *order_by])
     lay = scan.with_next(lay, [start])
-    fill = F.coalesce(F.col(termination).cast("timestamp_ntz"),
+    fill = F.coalesce(F.col(f"`{termination}`").cast("timestamp_ntz"),
                       F.lit(sentinel).cast("timestamp_ntz") if sentinel else F.lit(None))
-    new_end = F.when(~F.col("_has_next") & F.col(end).isNull(), fill).otherwise(F.col(end))
+    new_end = F.when(~F.col("_has_next") & F.col(f"`{end}`").isNull(), fill).otherwise(F.col(f"`{end}`"))
     return lay.df.withColumn(end, new_end).drop("_has_next", "_next_" + start, "_sub")
 
 

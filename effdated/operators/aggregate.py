@@ -12,12 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from effdated.operators.scan import _order_struct
+from effdated.operators.scan import _order_struct, qc, qcs
 
 
 def _ordered_values(c: str, order: Column | None) -> Column:
     o = order if order is not None else F.monotonically_increasing_id()
-    return F.transform(F.array_sort(F.collect_list(F.struct(o.alias("o"), F.col(c).alias("v")))),
+    return F.transform(F.array_sort(F.collect_list(F.struct(o.alias("o"), qc(c).alias("v")))),
                        lambda x: x["v"])
 
 
@@ -28,7 +28,7 @@ def agg_expr(c: str, how: str, order: Column | None = None) -> Column:
     ``unique`` is the distinct values in order of appearance, nulls included;
     ``list`` is every value in order.
     """
-    col = F.col(c)
+    col = qc(c)
     if how == "min":
         return F.min(col)
     if how == "max":
@@ -60,7 +60,7 @@ def grouper(df: DataFrame, keys: Sequence[str], group_settings: Mapping[str, str
     """``simple_pandas_grouper``: ``groupBy(keys).agg({col: how})`` keeping column names."""
     order = _order_struct(list(order_by)) if order_by else None
     aggs = [agg_expr(c, how, order).alias(c) for c, how in group_settings.items() if c not in keys]
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*qcs(keys)).agg(*aggs)
 
 
 def filtered_sum(value: Column | str, cond: Column, zero_if_empty: bool = True) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from effdated.operators import scan
 from effdated.operators.aggregate import agg_expr
-from effdated.operators.scan import _order_struct
+from effdated.operators.scan import _order_struct, qc, qcs
 
 
 def _as_list(x) -> list[str]:
@@ -30,7 +30,7 @@ def _as_list(x) -> list[str]:
 
 def _value_changed(cols: Sequence[str], prefix: str = "_prev_") -> Column:
     """True when any column differs from the previous row; null on either side counts as a change."""
-    terms = [~F.coalesce(F.col(c) == F.col(prefix + c), F.lit(False)) for c in cols]
+    terms = [~F.coalesce(qc(c) == qc(prefix + c), F.lit(False)) for c in cols]
     return reduce(lambda a, b: a | b, terms)
 
 
@@ -43,7 +43,7 @@ def mark_runs(df: DataFrame, key_col: str, value_cols: Sequence[str], order: Seq
     """W1 + W2: change flag versus the previous row of the key, running run id."""
     lay = scan.layout(df, [key_col], list(order), hot_rows)
     lay = scan.with_prev(lay, list(value_cols))
-    starts = ~F.col("_has_prev") | F.col(key_col).isNull() | _value_changed(value_cols)
+    starts = ~F.col("_has_prev") | qc(key_col).isNull() | _value_changed(value_cols)
     lay = scan.with_segments(lay, starts, out)
     return lay.with_df(_drop_prev(lay.df, value_cols, "_prev_"))
 
@@ -52,7 +52,7 @@ def _aggregate_runs(lay: scan.ScanLayout, key_col: str, run: str,
                     settings: Mapping[str, str]) -> DataFrame:
     order = _order_struct(lay.order)
     aggs = [agg_expr(c, how, order).alias(c) for c, how in settings.items() if c != key_col]
-    return lay.df.groupBy(key_col, run).agg(*aggs, F.min(lay.sub).alias(lay.sub))
+    return lay.df.groupBy(qc(key_col), qc(run)).agg(*aggs, F.min(lay.sub).alias(lay.sub))
 
 
 def flatten_effective_date(df: DataFrame, key_col: str, flat_col: str | Sequence[str],
@@ -67,13 +67,13 @@ def flatten_effective_date(df: DataFrame, key_col: str, flat_col: str | Sequence
     flat_cols = _as_list(flat_col)
     settings = dict(agg_settings or {c: "first" for c in flat_cols})
     settings.setdefault(effective_date, "min")
-    d = df.filter(F.col(key_col).isNotNull())
+    d = df.filter(qc(key_col).isNotNull())
     lay = mark_runs(d, key_col, flat_cols, [effective_date, *order_by], "_run", hot_rows)
     runs = _aggregate_runs(lay, key_col, "_run", settings)
     rl = scan.with_next(scan.runs_layout(runs, [key_col], "_run", split=lay.split), [effective_date])
-    end = F.when(F.col("_has_next"), F.col("_next_" + effective_date))
-    cols = [F.col(key_col)] + [
-        F.col(c).alias("StartDate") if c == effective_date else F.col(c)
+    end = F.when(F.col("_has_next"), qc("_next_" + effective_date))
+    cols = [qc(key_col)] + [
+        qc(c).alias("StartDate") if c == effective_date else qc(c)
         for c in settings if c != key_col]
     return rl.df.select(*cols, end.alias("EndDate"))
 
@@ -104,7 +104,7 @@ def group_multiple_date(df: DataFrame, key_col: str, group_col: str | Sequence[s
     settings[period_end] = "max"
     lay = mark_runs(df, key_col, groups, [period_start, *order_by], "_run", hot_rows)
     runs = _aggregate_runs(lay, key_col, "_run", settings)
-    return runs.select(key_col, *[c for c in settings if c != key_col])
+    return runs.select(qc(key_col), *[qc(c) for c in settings if c != key_col])
 
 
 def _island_layout(df: DataFrame, key: str, start: str, end: str, order: Sequence[str],

@@ -47,12 +47,22 @@ def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
     return int(v) if v else DEFAULT_HOT_ROWS
 
 
+def qc(name: str) -> Column:
+    """Column by literal name: backquoted, so names with dots or spaces (raw headers such
+    as ``Current Class.1``) are not read as struct access."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def qcs(names) -> list[Column]:
+    return [qc(n) for n in names]
+
+
 def _order_struct(order: list[str]) -> Column:
     # (c IS NULL, c) pairs make struct comparison order nulls last.
     parts = []
     for i, c in enumerate(order):
-        parts.append(F.col(c).isNull().alias(f"n{i}"))
-        parts.append(F.col(c).alias(f"v{i}"))
+        parts.append(qc(c).isNull().alias(f"n{i}"))
+        parts.append(qc(c).alias(f"v{i}"))
     return F.struct(*parts)
 
 
@@ -85,8 +95,8 @@ class ScanLayout:
         return [*self.keys, self.sub] if self.split else list(self.keys)
 
     def window(self) -> Window:
-        return Window.partitionBy(*self.part).orderBy(
-            *[F.col(c).asc_nulls_last() for c in self.order])
+        return Window.partitionBy(*qcs(self.part)).orderBy(
+            *[qc(c).asc_nulls_last() for c in self.order])
 
     def with_df(self, df: DataFrame) -> "ScanLayout":
         return ScanLayout(df, self.keys, self.order, self.sub, self.extra, self.split)
@@ -96,14 +106,14 @@ class ScanLayout:
         return d.filter(F.col(self.sub) > 0)
 
     def sub_window(self) -> Window:
-        return Window.partitionBy(*self.keys).orderBy(self.sub)
+        return Window.partitionBy(*qcs(self.keys)).orderBy(self.sub)
 
 
 def layout(df: DataFrame, keys: list[str], order: list[str],
            hot_rows: int | None = None) -> ScanLayout:
     """Assign ``_sub`` sub-buckets so that no (key, _sub) group exceeds ~hot_rows."""
     limit = _hot_rows(df, hot_rows)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(*qcs(keys)).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.filter(F.col("_n") > limit)
            .withColumn("_nsub", F.least(F.ceil(F.col("_n") / F.lit(limit)), F.lit(MAX_SPLITS)).cast("int")))
     if hot.isEmpty():
@@ -111,14 +121,14 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
         # hot key the scan is the plain per-key window plan without carry tables.
         return ScanLayout(df.withColumn("_sub", F.lit(0)), list(keys), list(order), split=False)
     with_o = df.withColumn("_o", _order_struct(order))
-    sample = (with_o.select(*keys, "_o")
+    sample = (with_o.select(*qcs(keys), "_o")
               .join(F.broadcast(hot), keys)
               .filter(F.rand(SAMPLE_SEED) <
                       F.least(F.lit(1.0), F.lit(SAMPLES_PER_SPLIT) * F.col("_nsub") / F.col("_n"))))
-    splits = (sample.groupBy(*keys)
+    splits = (sample.groupBy(*qcs(keys))
               .agg(F.array_sort(F.collect_list("_o")).alias("_s"), F.first("_nsub").alias("_nsub"))
               .filter(F.size("_s") > 0)
-              .select(*keys, F.expr(
+              .select(*qcs(keys), F.expr(
                   "array_distinct(transform(sequence(1, greatest(_nsub - 1, 1)), "
                   "i -> _s[cast(floor(i * size(_s) / _nsub) as int)]))").alias("_splits")))
     out = (with_o.join(F.broadcast(splits), keys, "left")
@@ -134,16 +144,16 @@ def with_prev(lay: ScanLayout, cols: list[str], prefix: str = "_prev_") -> ScanL
     if not lay.split:
         d = lay.df
         for c in cols:
-            d = d.withColumn(prefix + c, F.lag(c).over(w))
+            d = d.withColumn(prefix + c, F.lag(qc(c)).over(w))
         return lay.with_df(d.withColumn("_has_prev", F.lag(F.lit(1)).over(w).isNotNull()))
-    tail = (lay.hot().groupBy(*lay.part)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), _order_struct(lay.order)).alias("_last")))
+    tail = (lay.hot().groupBy(*qcs(lay.part))
+            .agg(F.max_by(F.struct(*qcs(cols)), _order_struct(lay.order)).alias("_last")))
     carry = (tail.withColumn("_carry", F.lag("_last").over(lay.sub_window()))
-             .select(*lay.part, "_carry"))
+             .select(*qcs(lay.part), "_carry"))
     d = lay.df.join(F.broadcast(carry), lay.part, "left")
     first = F.lag(F.lit(1)).over(w).isNull()
     for c in cols:
-        d = d.withColumn(prefix + c, F.when(first, F.col("_carry")[c]).otherwise(F.lag(c).over(w)))
+        d = d.withColumn(prefix + c, F.when(first, F.col("_carry")[c]).otherwise(F.lag(qc(c)).over(w)))
     d = d.withColumn("_has_prev", ~first | F.col("_carry").isNotNull()).drop("_carry")
     return lay.with_df(d)
 
@@ -154,16 +164,16 @@ def with_next(lay: ScanLayout, cols: list[str], prefix: str = "_next_") -> ScanL
     if not lay.split:
         d = lay.df
         for c in cols:
-            d = d.withColumn(prefix + c, F.lead(c).over(w))
+            d = d.withColumn(prefix + c, F.lead(qc(c)).over(w))
         return lay.with_df(d.withColumn("_has_next", F.lead(F.lit(1)).over(w).isNotNull()))
-    head = (lay.hot().groupBy(*lay.part)
-            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), _order_struct(lay.order)).alias("_first")))
+    head = (lay.hot().groupBy(*qcs(lay.part))
+            .agg(F.min_by(F.struct(*qcs(cols)), _order_struct(lay.order)).alias("_first")))
     carry = (head.withColumn("_carry", F.lead("_first").over(lay.sub_window()))
-             .select(*lay.part, "_carry"))
+             .select(*qcs(lay.part), "_carry"))
     d = lay.df.join(F.broadcast(carry), lay.part, "left")
     last = F.lead(F.lit(1)).over(w).isNull()
     for c in cols:
-        d = d.withColumn(prefix + c, F.when(last, F.col("_carry")[c]).otherwise(F.lead(c).over(w)))
+        d = d.withColumn(prefix + c, F.when(last, F.col("_carry")[c]).otherwise(F.lead(qc(c)).over(w)))
     d = d.withColumn("_has_next", ~last | F.col("_carry").isNotNull()).drop("_carry")
     return lay.with_df(d)
 
@@ -172,13 +182,13 @@ def with_prefix_max_prev(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     """``out`` = max of ``col`` over all earlier rows of the same key (null if none)."""
     w = lay.window().rowsBetween(Window.unboundedPreceding, -1)
     if not lay.split:
-        return lay.with_df(lay.df.withColumn(out, F.max(col).over(w)))
-    sub_max = lay.hot().groupBy(*lay.part).agg(F.max(col).alias("_m"))
+        return lay.with_df(lay.df.withColumn(out, F.max(qc(col)).over(w)))
+    sub_max = lay.hot().groupBy(*qcs(lay.part)).agg(F.max(qc(col)).alias("_m"))
     carry = (sub_max.withColumn("_cm", F.max("_m").over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
-        .select(*lay.part, "_cm"))
+        .select(*qcs(lay.part), "_cm"))
     d = (lay.df.join(F.broadcast(carry), lay.part, "left")
-         .withColumn(out, F.greatest(F.max(col).over(w), F.col("_cm"))).drop("_cm"))
+         .withColumn(out, F.greatest(F.max(qc(col)).over(w), F.col("_cm"))).drop("_cm"))
     return lay.with_df(d)
 
 
@@ -189,10 +199,10 @@ def with_prefix_count(lay: ScanLayout, flag: Column | None, out: str) -> ScanLay
     if not lay.split:
         w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
         return lay.with_df(d.withColumn(out, F.sum("_ind").over(w)).drop("_ind"))
-    sub_n = lay.hot(d).groupBy(*lay.part).agg(F.sum("_ind").alias("_c"))
+    sub_n = lay.hot(d).groupBy(*qcs(lay.part)).agg(F.sum("_ind").alias("_c"))
     carry = (sub_n.withColumn("_cc", F.sum("_c").over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
-        .select(*lay.part, "_cc"))
+        .select(*qcs(lay.part), "_cc"))
     w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
     d = (d.join(F.broadcast(carry), lay.part, "left")
          .withColumn(out, F.sum("_ind").over(w) + F.coalesce(F.col("_cc"), F.lit(0)))
@@ -220,13 +230,13 @@ def with_last_non_null(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     """``out`` = last non-null value of ``col`` at or before each row (forward fill)."""
     w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
     if not lay.split:
-        return lay.with_df(lay.df.withColumn(out, F.last(col, ignorenulls=True).over(w)))
-    keep = F.when(F.col(col).isNotNull(), _order_struct(lay.order))
-    sub_last = lay.hot().groupBy(*lay.part).agg(F.max_by(F.col(col), keep).alias("_l"))
+        return lay.with_df(lay.df.withColumn(out, F.last(qc(col), ignorenulls=True).over(w)))
+    keep = F.when(qc(col).isNotNull(), _order_struct(lay.order))
+    sub_last = lay.hot().groupBy(*qcs(lay.part)).agg(F.max_by(qc(col), keep).alias("_l"))
     carry = (sub_last.withColumn("_cl", F.last("_l", ignorenulls=True).over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
-        .select(*lay.part, "_cl"))
+        .select(*qcs(lay.part), "_cl"))
     d = (lay.df.join(F.broadcast(carry), lay.part, "left")
-         .withColumn(out, F.coalesce(F.last(col, ignorenulls=True).over(w), F.col("_cl")))
+         .withColumn(out, F.coalesce(F.last(qc(col), ignorenulls=True).over(w), F.col("_cl")))
          .drop("_cl"))
     return lay.with_df(d)

@@ -89,3 +89,33 @@ def q_split_datasets(spark, sf):
     o = table(spark, sf, "orders")
     parts = split_datasets(o, {"high": "o_orderpriority IN ('1-URGENT', '2-HIGH')", "open": "o_orderstatus = 'O'"})
     return union_batches([d.select("o_orderkey", F.lit(n).alias("sub_dataset")) for n, d in parts.items()])
+
+
+@register("build_employee_classification", """
+WITH b AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d,
+                  o_orderpriority AS c1, o_orderstatus AS c2,
+                  CASE WHEN o_custkey % 10 = 0 THEN TIMESTAMP '2002-06-30' END AS term,
+                  CAST(o_orderkey + 2 AS VARCHAR) AS rn, o_orderkey FROM orders),
+f AS (SELECT *, CASE WHEN lag(o_orderkey) OVER w IS NULL
+                       OR c1 IS NULL OR lag(c1) OVER w IS NULL OR c1 <> lag(c1) OVER w
+                       OR c2 IS NULL OR lag(c2) OVER w IS NULL OR c2 <> lag(c2) OVER w
+                       OR term IS NULL OR lag(term) OVER w IS NULL OR term <> lag(term) OVER w THEN 1 ELSE 0 END AS chg
+      FROM b WINDOW w AS (PARTITION BY EmployeeCode ORDER BY d, o_orderkey)),
+r AS (SELECT *, sum(chg) OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run,
+             row_number() OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey) AS pos FROM f),
+firsts AS (SELECT EmployeeCode, run, rn, min(pos) AS pos FROM r GROUP BY ALL),
+g AS (SELECT EmployeeCode, run, first(c1 ORDER BY pos) AS Classification, first(term ORDER BY pos) AS term,
+             min(d) AS StartDate FROM r GROUP BY ALL),
+src AS (SELECT EmployeeCode, run, '{''masterSMN:row:'': [' || string_agg('''' || rn || '''', ', ' ORDER BY pos) || ']}' AS Source
+        FROM firsts GROUP BY ALL),
+e AS (SELECT g.*, lead(StartDate) OVER (PARTITION BY EmployeeCode ORDER BY run) AS nxt FROM g)
+SELECT e.EmployeeCode, StartDate,
+       CASE WHEN nxt IS NULL THEN coalesce(term, TIMESTAMP '2262-04-11 23:47:16.854775') ELSE nxt END AS EndDate,
+       Classification, src.Source, 'masterSMN.xlsx' AS source_file, term AS "Termination Date"
+FROM e JOIN src USING (EmployeeCode, run)
+""")
+def q_build_employee_classification(spark, sf):
+    from effdated.plans.datasets import bronze_master_smn, employee_classification
+    bronze = bronze_master_smn(table(spark, sf, "orders"))
+    return employee_classification(bronze, order_by=["o_orderkey"])

@@ -183,10 +183,11 @@ def pick_longest(df: DataFrame, key: str, start: str, end: str, id_col: str,
 
 
 def unify_overlapping(df: DataFrame, key: str, start: str, end: str, code_col: str | None = None,
-                      order_by: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+                      order_by: Sequence[str] = (), hot_rows: int | None = None,
+                      group_records: bool = False) -> DataFrame:
     """T5: every row of an overlap island gets the island's min start, max end and the
     first ``code_col`` value (in start order)."""
-    isl = add_overlapping_identifier(df, key, start, end, False, order_by, "_island", "_ov", hot_rows)
+    isl = add_overlapping_identifier(df, key, start, end, group_records, order_by, "_island", "_ov", hot_rows)
     order = _order_struct([start, end, *order_by])
     aggs = [F.min(start).alias("_ustart"), F.max(end).alias("_uend")]
     if code_col:

@@ -60,3 +60,57 @@ def bronze_master_smn(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("masterSMN:row:"), (F.col("o_orderkey") + 2).cast("string")).alias("Source"),
         F.lit("masterSMN.xlsx").alias("source_file"),
         F.col("o_orderkey"))
+
+
+def payslips(staged: DataFrame, master_smn: DataFrame, payrun_index: DataFrame | None = None,
+             dedupe_order: list[str] | None = None) -> DataFrame:
+    """Payslip build. Stage 1: P8 empty code columns, P17 ``PayslipCode`` over
+    (EmployeeCode, PeriodEnd), P18 ``PayslipLineCode`` from the lineage label, P16 closed
+    period end + 1 day. Stage 2: F3 keep employees present in masterSMN; J5 join each
+    line to the classification periods its start or end falls in (one inner bucketed
+    interval join; a line spanning two periods appears twice); P10 value mappers on
+    ``Is Base Hours?`` (1 -> True, 0 -> False; False -> Hours 0); W6 overlap islands over
+    distinct pay periods (``group_records``); T5 unify each island's period and code
+    (min start, max end, code of the earliest period);
+    J11 optional pay-run lookup; F5 keep the first row per ``PayslipLineCode``; L2 lineage
+    text."""
+    from effdated.operators import filters as fl
+    from effdated.operators import joins as jn
+    d = cl.create_columns(staged, {"PayslipCode": {"value": "None", "dtype": "string"},
+                                   "PayslipLineCode": {"value": "None", "dtype": "string"}})
+    d = cl.payslip_code(d, "PayslipCode", ["EmployeeCode", "PeriodEnd"])
+    d = cl.payslip_line_code(d, "PayslipLineCode", "Source")
+    d = dt.add_n_days(d, "PeriodEnd", 1)
+    smn = master_smn.select("EmployeeCode", "StartDate", "EndDate", "Classification")
+    d = fl.keep_keys_in(d, smn, "EmployeeCode")
+    d = jn.interval_join(d, smn, "EmployeeCode", "PeriodStart", "PeriodEnd", "StartDate", "EndDate", "either_end")
+    d = cl.value_mapper(d, {"1": "True", "0": "False"}, "Is Base Hours?")
+    d = cl.value_mapper(d, {"False": "0"}, "Is Base Hours?", "Hours")
+    d = iv.add_overlapping_identifier(d, "EmployeeCode", "PeriodStart", "PeriodEnd", group_records=True)
+    first_code = F.min_by("PayslipCode", F.struct("PeriodStart", "PeriodEnd", "PayslipCode"))
+    spans = (d.groupBy("EmployeeCode", "overlapping_index")
+             .agg(F.min("PeriodStart").alias("_s"), F.max("PeriodEnd").alias("_e"), first_code.alias("_c")))
+    d = (d.join(spans, ["EmployeeCode", "overlapping_index"])
+         .withColumns({"PeriodStart": F.col("_s"), "PeriodEnd": F.col("_e"), "PayslipCode": F.col("_c")})
+         .drop("_s", "_e", "_c"))
+    if payrun_index is not None:
+        d = jn.lookup(d, "PeriodEnd", payrun_index, payrun_index.columns[0], payrun_index.columns[1],
+                      out="PayCycle", normalise=False)
+    d = fl.dedupe_keep_first(d, ["PayslipLineCode"],
+                             dedupe_order or ["StartDate", "Classification", "Hours", "Amount", "PayCode"])
+    return ln.list_source_to_dict(d.withColumn("Source", F.array("Source")), "Source")
+
+
+def staged_payslips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Staged payslip lines derived from order lines (used by the driver queries)."""
+    j = lineitem.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
+                      lineitem["l_orderkey"] == orders["o_orderkey"])
+    return j.select(
+        F.col("o_custkey").cast("string").alias("EmployeeCode"),
+        F.col("o_orderdate").alias("PeriodStart"),
+        (F.col("o_orderdate") + F.make_dt_interval(F.lit(13))).alias("PeriodEnd"),
+        F.concat("l_returnflag", "l_linestatus").alias("PayCode"),
+        F.col("l_quantity").cast("string").alias("Hours"),
+        F.col("l_extendedprice").alias("Amount"),
+        F.when(F.col("l_returnflag") == "N", F.lit("1")).otherwise(F.lit("0")).alias("Is Base Hours?"),
+        F.concat(F.lit("payslips:row:"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("Source"))

@@ -119,3 +119,65 @@ def q_build_employee_classification(spark, sf):
     from effdated.plans.datasets import bronze_master_smn, employee_classification
     bronze = bronze_master_smn(table(spark, sf, "orders"))
     return employee_classification(bronze, order_by=["o_orderkey"])
+
+
+_SMN_SQL = """
+b AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d,
+             o_orderpriority AS c1, o_orderstatus AS c2,
+             CASE WHEN o_custkey % 10 = 0 THEN TIMESTAMP '2002-06-30' END AS term, o_orderkey FROM orders),
+f AS (SELECT *, CASE WHEN lag(o_orderkey) OVER w IS NULL
+                       OR c1 IS NULL OR lag(c1) OVER w IS NULL OR c1 <> lag(c1) OVER w
+                       OR c2 IS NULL OR lag(c2) OVER w IS NULL OR c2 <> lag(c2) OVER w
+                       OR term IS NULL OR lag(term) OVER w IS NULL OR term <> lag(term) OVER w THEN 1 ELSE 0 END AS chg
+      FROM b WINDOW w AS (PARTITION BY EmployeeCode ORDER BY d, o_orderkey)),
+r AS (SELECT *, sum(chg) OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run,
+             row_number() OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey) AS pos FROM f),
+g AS (SELECT EmployeeCode, run, first(c1 ORDER BY pos) AS Classification, first(term ORDER BY pos) AS term,
+             min(d) AS StartDate FROM r GROUP BY ALL),
+e AS (SELECT g.*, lead(StartDate) OVER (PARTITION BY EmployeeCode ORDER BY run) AS nxt FROM g),
+smn AS (SELECT EmployeeCode, StartDate, Classification,
+               CASE WHEN nxt IS NULL THEN coalesce(term, TIMESTAMP '2262-04-11 23:47:16.854775') ELSE nxt END AS EndDate
+        FROM e)"""
+
+
+@register("build_payslips", f"""
+WITH {_SMN_SQL},
+ps AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, o_orderdate AS PeriodStart, o_orderdate + INTERVAL 13 DAY AS pe0,
+              l_returnflag || l_linestatus AS PayCode, CAST(l_quantity AS VARCHAR) AS Hours0, l_extendedprice AS Amount,
+              CASE WHEN l_returnflag = 'N' THEN '1' ELSE '0' END AS base,
+              'payslips:row:' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS src
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+p1 AS (SELECT *, sha256(EmployeeCode || '#' || strftime(pe0, '%Y-%m-%d %H:%M:%S')) AS PayslipCode0,
+              sha256(src) AS PayslipLineCode, pe0 + INTERVAL 1 DAY AS PeriodEnd0
+       FROM ps WHERE EmployeeCode IN (SELECT EmployeeCode FROM smn)),
+j AS (SELECT p1.*, smn.StartDate, smn.EndDate, smn.Classification FROM p1 JOIN smn ON p1.EmployeeCode = smn.EmployeeCode
+      AND (p1.PeriodStart BETWEEN smn.StartDate AND smn.EndDate OR p1.PeriodEnd0 BETWEEN smn.StartDate AND smn.EndDate)),
+v AS (SELECT *, CASE base WHEN '1' THEN 'True' WHEN '0' THEN 'False' ELSE base END AS isbase FROM j),
+v2 AS (SELECT *, CASE WHEN isbase = 'False' THEN '0' ELSE Hours0 END AS Hours FROM v),
+per AS (SELECT DISTINCT EmployeeCode, PeriodStart AS s, PeriodEnd0 AS e FROM v2),
+m AS (SELECT *, max(e) OVER (PARTITION BY EmployeeCode ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pme FROM per),
+st AS (SELECT *, CASE WHEN pme IS NULL OR s >= pme THEN 1 ELSE 0 END AS fl FROM m),
+isl AS (SELECT *, sum(fl) OVER (PARTITION BY EmployeeCode ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS overlapping_index FROM st),
+ic AS (SELECT *, count(*) OVER (PARTITION BY EmployeeCode, overlapping_index) > 1 AS is_overlapping FROM isl),
+u AS (SELECT v2.*, ic.overlapping_index, ic.is_overlapping FROM v2 JOIN ic
+      ON v2.EmployeeCode = ic.EmployeeCode AND v2.PeriodStart = ic.s AND v2.PeriodEnd0 = ic.e),
+spans AS (SELECT EmployeeCode, overlapping_index, min(PeriodStart) AS us, max(PeriodEnd0) AS ue,
+                 arg_min(PayslipCode0, (PeriodStart, PeriodEnd0, PayslipCode0)) AS uc FROM u GROUP BY ALL),
+uu AS (SELECT u.*, spans.us, spans.ue, spans.uc FROM u JOIN spans USING (EmployeeCode, overlapping_index)),
+d AS (SELECT *, row_number() OVER (PARTITION BY PayslipLineCode
+                 ORDER BY StartDate, Classification, Hours, Amount, PayCode) AS rk FROM uu)
+SELECT EmployeeCode, us AS PeriodStart, ue AS PeriodEnd, PayCode, Hours, Amount, isbase AS "Is Base Hours?",
+       '{{''payslips:row:'': [''' || substr(src, 14) || ''']}}' AS Source,
+       uc AS PayslipCode, PayslipLineCode, StartDate, EndDate, Classification,
+       CAST(overlapping_index AS BIGINT) AS overlapping_index, is_overlapping
+FROM d WHERE rk = 1
+""")
+def q_build_payslips(spark, sf):
+    from effdated.plans.datasets import bronze_master_smn, employee_classification, payslips, staged_payslips
+    smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    staged = staged_payslips(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
+    out = payslips(staged, smn)
+    return out.select("EmployeeCode", "PeriodStart", "PeriodEnd", "PayCode", "Hours", "Amount", "Is Base Hours?",
+                      "Source", "PayslipCode", "PayslipLineCode", "StartDate", "EndDate", "Classification",
+                      F.col("overlapping_index").cast("bigint").alias("overlapping_index"), "is_overlapping")

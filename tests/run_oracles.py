@@ -17,6 +17,8 @@ if __name__ == "__main__":
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("SESSION_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     if os.environ.get("HOT_ROWS"):
         spark.conf.set("effdated.scan.hotKeyRows", os.environ["HOT_ROWS"])
     con = duck(sf)

@@ -32,6 +32,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from effdated.session import ensure_checkpoint_dir
+
 HOT_ROWS_CONF = "effdated.scan.hotKeyRows"
 DEFAULT_HOT_ROWS = 4_000_000
 SAMPLES_PER_SPLIT = 8
@@ -135,6 +137,12 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
            .withColumn("_sub", F.when(F.col("_splits").isNull(), F.lit(0))
                        .otherwise(F.expr(_UPPER_BOUND) + 1))
            .drop("_splits", "_o"))
+    # Every carry table re-reads this frame; stacked scans would otherwise copy the
+    # upstream plan into each branch (exponential plan size). A reliable checkpoint in
+    # the session's checkpoint dir (shared on a cluster) makes it a leaf and also cuts
+    # the lineage that a lost executor would replay. This runs only when a hot key exists.
+    ensure_checkpoint_dir(df.sparkSession)
+    out = out.checkpoint(eager=True)
     return ScanLayout(out, list(keys), list(order))
 
 

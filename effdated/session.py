@@ -35,6 +35,8 @@ def get_session(master: str | None = None, app_name: str = "effdated",
         b = SparkSession.builder.appName(app_name)
         if master:
             b = b.master(master)
+            if master.startswith("local") and "spark__driver__memory" not in conf:
+                b = b.config("spark.driver.memory", "8g")  # local mode: the driver is the executor
         for k, v in _DEFAULTS.items():
             b = b.config(k, v)
         if shuffle_partitions:

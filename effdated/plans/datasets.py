@@ -43,7 +43,10 @@ def employee_classification(bronze: DataFrame, order_by: list[str] | None = None
     settings = {c: "first" for c in SMN_FLAT}
     settings.update({"Source": "unique", "source_file": "first"})
     runs = iv.flatten(d, SMN_KEY, SMN_DATE, "end_date", SMN_FLAT, settings, order_by or [])
-    runs = cl.fill_end_with_termination(runs, SMN_KEY, SMN_DATE, "end_date", "Termination Date")
+    # flatten leaves end_date null exactly on each key's last run, so P15 reduces to a
+    # row-local coalesce here (the general P15 operator needs an ordered scan)
+    runs = runs.withColumn("end_date", F.coalesce(
+        F.col("end_date"), F.col("`Termination Date`").cast("timestamp_ntz"), F.lit(dt.MAX_DATE).cast("timestamp_ntz")))
     runs = ln.list_source_to_dict(runs, "Source")
     return cl.staging_projection(runs, SMN_SETTINGS)
 

@@ -70,7 +70,8 @@ def flatten_effective_date(df: DataFrame, key_col: str, flat_col: str | Sequence
     d = df.filter(qc(key_col).isNotNull())
     lay = mark_runs(d, key_col, flat_cols, [effective_date, *order_by], "_run", hot_rows)
     runs = _aggregate_runs(lay, key_col, "_run", settings)
-    rl = scan.with_next(scan.runs_layout(runs, [key_col], "_run", split=lay.split), [effective_date])
+    rl = scan.with_next(scan.runs_layout(runs, [key_col], "_run", split=lay.split, small=lay.small),
+                        [effective_date])
     end = F.when(F.col("_has_next"), qc("_next_" + effective_date))
     cols = [qc(key_col)] + [
         qc(c).alias("StartDate") if c == effective_date else qc(c)

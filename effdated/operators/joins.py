@@ -64,6 +64,12 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
     skewed buckets.
     """
     fk = f_key or key
+    # pandas merge suffixes ["", "_x"]: period columns that collide with fact columns
+    clash = [c for c in periods.columns if c in facts.columns and c != key]
+    if clash:
+        periods = periods.withColumnsRenamed({c: f"{c}_x" for c in clash})
+        p_start = f"{p_start}_x" if p_start in clash else p_start
+        p_end = f"{p_end}_x" if p_end in clash else p_end
     fb_start = (_month_index(F.col(f_start)) / bucket_months).cast("int")
     fb_end = (_month_index(F.col(f_end)) / bucket_months).cast("int")
     # last fact bucket: clamps open-ended periods (scalar aggregate, one row)

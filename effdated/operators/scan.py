@@ -40,6 +40,7 @@ SAMPLES_PER_SPLIT = 8
 MAX_SPLITS = 20_000  # per hot key: bounds the sampled split array (<= 160k order values);
                      # beyond it buckets grow past hotKeyRows but results stay exact
 SAMPLE_SEED = 7177
+MAX_BROADCAST_ROWS = 1_000_000  # carry / split tables above this many sub-buckets are not broadcast
 
 
 def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
@@ -90,6 +91,12 @@ class ScanLayout:
     sub: str = "_sub"
     extra: dict = field(default_factory=dict)
     split: bool = True  # False: no hot key, every _sub is 0 and no carry is needed
+    small: bool = True  # carry tables (one row per hot sub-bucket) are below MAX_BROADCAST_ROWS
+
+    def bcast(self, df: DataFrame) -> DataFrame:
+        """Broadcast a carry table only when its checked size allows; else a plain join
+        (AQE picks sort-merge and splits skew)."""
+        return F.broadcast(df) if self.small else df
 
     @property
     def part(self) -> list[str]:
@@ -101,7 +108,7 @@ class ScanLayout:
             *[qc(c).asc_nulls_last() for c in self.order])
 
     def with_df(self, df: DataFrame) -> "ScanLayout":
-        return ScanLayout(df, self.keys, self.order, self.sub, self.extra, self.split)
+        return ScanLayout(df, self.keys, self.order, self.sub, self.extra, self.split, self.small)
 
     def hot(self, df: DataFrame | None = None) -> DataFrame:
         d = self.df if df is None else df
@@ -118,13 +125,17 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
     counts = df.groupBy(*qcs(keys)).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.filter(F.col("_n") > limit)
            .withColumn("_nsub", F.least(F.ceil(F.col("_n") / F.lit(limit)), F.lit(MAX_SPLITS)).cast("int")))
-    if hot.isEmpty():
-        # Size check (one pass over the key columns, pre-aggregated map-side): with no
-        # hot key the scan is the plain per-key window plan without carry tables.
+    # Size check (one pass over the key columns, pre-aggregated map-side): with no hot
+    # key the scan is the plain per-key window plan without carry tables. Otherwise the
+    # number of sub-buckets bounds every table this layout broadcasts.
+    n_sub = hot.agg(F.sum("_nsub").alias("n")).first()["n"]
+    if not n_sub:
         return ScanLayout(df.withColumn("_sub", F.lit(0)), list(keys), list(order), split=False)
+    small = n_sub <= MAX_BROADCAST_ROWS
+    bc = F.broadcast if small else (lambda x: x)
     with_o = df.withColumn("_o", _order_struct(order))
     sample = (with_o.select(*qcs(keys), "_o")
-              .join(F.broadcast(hot), keys)
+              .join(bc(hot), keys)
               .filter(F.rand(SAMPLE_SEED) <
                       F.least(F.lit(1.0), F.lit(SAMPLES_PER_SPLIT) * F.col("_nsub") / F.col("_n"))))
     splits = (sample.groupBy(*qcs(keys))
@@ -133,7 +144,7 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
               .select(*qcs(keys), F.expr(
                   "array_distinct(transform(sequence(1, greatest(_nsub - 1, 1)), "
                   "i -> _s[cast(floor(i * size(_s) / _nsub) as int)]))").alias("_splits")))
-    out = (with_o.join(F.broadcast(splits), keys, "left")
+    out = (with_o.join(bc(splits), keys, "left")
            .withColumn("_sub", F.when(F.col("_splits").isNull(), F.lit(0))
                        .otherwise(F.expr(_UPPER_BOUND) + 1))
            .drop("_splits", "_o"))
@@ -143,7 +154,7 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
     # the lineage that a lost executor would replay. This runs only when a hot key exists.
     ensure_checkpoint_dir(df.sparkSession)
     out = out.checkpoint(eager=True)
-    return ScanLayout(out, list(keys), list(order))
+    return ScanLayout(out, list(keys), list(order), small=small)
 
 
 def with_prev(lay: ScanLayout, cols: list[str], prefix: str = "_prev_") -> ScanLayout:
@@ -158,7 +169,7 @@ def with_prev(lay: ScanLayout, cols: list[str], prefix: str = "_prev_") -> ScanL
             .agg(F.max_by(F.struct(*qcs(cols)), _order_struct(lay.order)).alias("_last")))
     carry = (tail.withColumn("_carry", F.lag("_last").over(lay.sub_window()))
              .select(*qcs(lay.part), "_carry"))
-    d = lay.df.join(F.broadcast(carry), lay.part, "left")
+    d = lay.df.join(lay.bcast(carry), lay.part, "left")
     first = F.lag(F.lit(1)).over(w).isNull()
     for c in cols:
         d = d.withColumn(prefix + c, F.when(first, F.col("_carry")[c]).otherwise(F.lag(qc(c)).over(w)))
@@ -178,7 +189,7 @@ def with_next(lay: ScanLayout, cols: list[str], prefix: str = "_next_") -> ScanL
             .agg(F.min_by(F.struct(*qcs(cols)), _order_struct(lay.order)).alias("_first")))
     carry = (head.withColumn("_carry", F.lead("_first").over(lay.sub_window()))
              .select(*qcs(lay.part), "_carry"))
-    d = lay.df.join(F.broadcast(carry), lay.part, "left")
+    d = lay.df.join(lay.bcast(carry), lay.part, "left")
     last = F.lead(F.lit(1)).over(w).isNull()
     for c in cols:
         d = d.withColumn(prefix + c, F.when(last, F.col("_carry")[c]).otherwise(F.lead(qc(c)).over(w)))
@@ -195,7 +206,7 @@ def with_prefix_max_prev(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     carry = (sub_max.withColumn("_cm", F.max("_m").over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
         .select(*qcs(lay.part), "_cm"))
-    d = (lay.df.join(F.broadcast(carry), lay.part, "left")
+    d = (lay.df.join(lay.bcast(carry), lay.part, "left")
          .withColumn(out, F.greatest(F.max(qc(col)).over(w), F.col("_cm"))).drop("_cm"))
     return lay.with_df(d)
 
@@ -212,7 +223,7 @@ def with_prefix_count(lay: ScanLayout, flag: Column | None, out: str) -> ScanLay
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
         .select(*qcs(lay.part), "_cc"))
     w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
-    d = (d.join(F.broadcast(carry), lay.part, "left")
+    d = (d.join(lay.bcast(carry), lay.part, "left")
          .withColumn(out, F.sum("_ind").over(w) + F.coalesce(F.col("_cc"), F.lit(0)))
          .drop("_ind", "_cc"))
     return lay.with_df(d)
@@ -229,9 +240,9 @@ def with_segments(lay: ScanLayout, starts: Column, out: str) -> ScanLayout:
 
 
 def runs_layout(df: DataFrame, keys: list[str], seg: str, sub: str = "_sub",
-                split: bool = True) -> ScanLayout:
+                split: bool = True, small: bool = True) -> ScanLayout:
     """Layout for a table with one row per segment; ``sub`` is the segment's first sub-bucket."""
-    return ScanLayout(df, list(keys), [seg], sub, split=split)
+    return ScanLayout(df, list(keys), [seg], sub, split=split, small=small)
 
 
 def with_last_non_null(lay: ScanLayout, col: str, out: str) -> ScanLayout:
@@ -244,7 +255,7 @@ def with_last_non_null(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     carry = (sub_last.withColumn("_cl", F.last("_l", ignorenulls=True).over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
         .select(*qcs(lay.part), "_cl"))
-    d = (lay.df.join(F.broadcast(carry), lay.part, "left")
+    d = (lay.df.join(lay.bcast(carry), lay.part, "left")
          .withColumn(out, F.coalesce(F.last(qc(col), ignorenulls=True).over(w), F.col("_cl")))
          .drop("_cl"))
     return lay.with_df(d)

@@ -104,3 +104,16 @@ def test_hot_split_matches_plain_on_skewed_key(spark):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(plain.collect(), key=key) == sorted(split.collect(), key=key)
     assert plain.count() > 100
+
+
+def test_hot_split_without_broadcast(spark, monkeypatch):
+    """Past the broadcast bound the carry tables are plain joins; results are unchanged."""
+    from effdated.operators import scan
+    monkeypatch.setattr(scan, "MAX_BROADCAST_ROWS", 1)
+    rows = [("hot", d(1) + dtm.timedelta(hours=i), d(1) + dtm.timedelta(hours=i + (3 if i % 5 else 30)), i)
+            for i in range(200)] + [("cold", d(2), d(3), 999)]
+    df = spark.createDataFrame(rows, "k string, s timestamp_ntz, e timestamp_ntz, id int")
+    plain = iv.add_overlapping_identifier(df, "k", "s", "e", order_by=["id"]).collect()
+    split = iv.add_overlapping_identifier(df, "k", "s", "e", order_by=["id"], hot_rows=9).collect()
+    key = lambda r: r.id
+    assert sorted(plain, key=key) == sorted(split, key=key)

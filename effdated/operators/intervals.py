@@ -108,10 +108,10 @@ def group_multiple_date(df: DataFrame, key_col: str, group_col: str | Sequence[s
     return runs.select(qc(key_col), *[qc(c) for c in settings if c != key_col])
 
 
-def _island_layout(df: DataFrame, key: str, start: str, end: str, order: Sequence[str],
+def _island_layout(df: DataFrame, key: str | Sequence[str], start: str, end: str, order: Sequence[str],
                    gap: Column | None, out: str, hot_rows: int | None,
                    keep_pme: bool = False) -> scan.ScanLayout:
-    lay = scan.layout(df, [key], list(order), hot_rows)
+    lay = scan.layout(df, _as_list(key), list(order), hot_rows)
     lay = scan.with_prefix_max_prev(lay, end, "_pme")
     reach = F.col("_pme") if gap is None else F.col("_pme") + gap
     starts = ~F.coalesce(F.col(start) < reach, F.lit(False))
@@ -124,7 +124,7 @@ def _island_layout(df: DataFrame, key: str, start: str, end: str, order: Sequenc
     return lay.with_df(d)
 
 
-def add_overlapping_identifier(df: DataFrame, key: str, start: str, end: str,
+def add_overlapping_identifier(df: DataFrame, key: str | Sequence[str], start: str, end: str,
                                group_records: bool = False, order_by: Sequence[str] = (),
                                index_col: str = "overlapping_index",
                                flag_col: str = "is_overlapping",
@@ -140,13 +140,15 @@ def add_overlapping_identifier(df: DataFrame, key: str, start: str, end: str,
     if not group_records:
         lay = _island_layout(df, key, start, end, [start, end, *order_by], None, index_col, hot_rows)
         return (lay.df.withColumnRenamed("_multi", flag_col).drop("_isl_start", "_sub"))
-    periods = df.groupBy(key, start, end).agg(F.count(F.lit(1)).alias("_rows"))
-    lay = _island_layout(periods, key, start, end, [start, end], None, index_col, hot_rows)
-    flags = lay.df.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"),
-                          index_col, F.col("_multi").alias(flag_col))
-    cond = (F.col(key).eqNullSafe(F.col("_k")) & F.col(start).eqNullSafe(F.col("_s"))
-            & F.col(end).eqNullSafe(F.col("_e")))
-    return df.join(flags, cond, "left").drop("_k", "_s", "_e")
+    keys = _as_list(key)
+    periods = df.groupBy(*qcs(keys), qc(start), qc(end)).agg(F.count(F.lit(1)).alias("_rows"))
+    lay = _island_layout(periods, keys, start, end, [start, end], None, index_col, hot_rows)
+    flags = lay.df.select(*[qc(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                          qc(start).alias("_s"), qc(end).alias("_e"), index_col, F.col("_multi").alias(flag_col))
+    cond = qc(start).eqNullSafe(F.col("_s")) & qc(end).eqNullSafe(F.col("_e"))
+    for i, k in enumerate(keys):
+        cond = cond & qc(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(flags, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_s", "_e")
 
 
 def chain_with_gap(df: DataFrame, key: str, start: str, end: str, gap: Column,

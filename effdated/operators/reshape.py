@@ -16,7 +16,7 @@ def unpivot(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str],
 
 def melt_keyword(df: DataFrame, id_vars: Sequence[str], keywords: Mapping[str, str],
                  var_name: str = "variable", extra_columns: Sequence[str] = (),
-                 aggregate_rows: bool = False) -> DataFrame:
+                 aggregate_rows: bool = False, dropna: bool = False) -> DataFrame:
     """R2 (+A9 with ``aggregate_rows``): melt columns picked by keyword.
 
     ``keywords`` maps an output value column to the keyword marking its source columns,
@@ -24,8 +24,8 @@ def melt_keyword(df: DataFrame, id_vars: Sequence[str], keywords: Mapping[str, s
     ``"X (Hrs)"`` become one row with ``var_name = "X"``, ``Amount`` and ``Hours``.
     The melts line up on the name with the keyword removed. A name missing for one
     keyword gives null there. It is one ``explode`` of an array of structs, with no
-    join between the melts. ``aggregate_rows`` sums the value columns per
-    (ids, variable).
+    join between the melts. Empty cells are kept, as pandas ``melt`` keeps them, unless
+    ``dropna``. ``aggregate_rows`` sums the value columns per (ids, variable).
     """
     bases: list[str] = []
     for c in df.columns:
@@ -51,7 +51,8 @@ def melt_keyword(df: DataFrame, id_vars: Sequence[str], keywords: Mapping[str, s
     out = df.select(*[F.col(f"`{c}`") for c in keep], F.explode(items).alias("_m"))
     out = out.select(*keep, F.col(f"_m.{var_name}").alias(var_name),
                      *[F.col(f"_m.`{n}`").alias(n) for n in keywords])
-    out = out.filter(" OR ".join(f"`{n}` IS NOT NULL" for n in keywords))
+    if dropna:
+        out = out.filter(" OR ".join(f"`{n}` IS NOT NULL" for n in keywords))
     if aggregate_rows:
         out = out.groupBy(*keep, var_name).agg(
             *[F.sum(F.col(f"`{n}`").cast("decimal(18,2)")).alias(n) for n in keywords])

@@ -117,3 +117,46 @@ def staged_payslips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("l_extendedprice").alias("Amount"),
         F.when(F.col("l_returnflag") == "N", F.lit("1")).otherwise(F.lit("0")).alias("Is Base Hours?"),
         F.concat(F.lit("payslips:row:"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("Source"))
+
+
+def employee_cohorts(classification: DataFrame, award_mapping_cols: list[str], cutover: str,
+                     before_tag: str, after_tag: str, cohort_keyword: str = " Cohort mapping",
+                     additional: DataFrame | None = None) -> DataFrame:
+    """EmployeeCohortsOverTime (from masterSMN). Stage 1: F2 keep rows with an award
+    mapping; T4 cut periods at the cut-over; R2 melt the ``... Cohort mapping`` columns
+    into (EA, Cohort); F6 / F10 keep the EA that applies on each side of the cut-over.
+    Stage 2: T12 append additional cohort periods; W6 overlap islands per
+    (employee, cohort) over distinct periods; T6 remove overlaps between cohorts and
+    merge adjacent equal ones. Output: EmployeeCode, Cohort, StartDate, EndDate."""
+    from effdated.operators import filters as fl
+    from effdated.operators import reshape as rs
+    from effdated.operators import shifts as sh
+    has_award = None
+    for c in award_mapping_cols:
+        cond = F.col(f"`{c}`").isNotNull()
+        has_award = cond if has_award is None else has_award | cond
+    d = classification.filter(has_award)
+    cut = F.lit(cutover).cast("timestamp_ntz")
+    d = iv.cut_at_points(d, "StartDate", "EndDate", [cut])
+    d = rs.melt_keyword(d, ["EmployeeCode", "StartDate", "EndDate"], {"Cohort": cohort_keyword}, var_name="EA")
+    keep = (((F.col("EndDate") <= cut) & fl.text_contains("EA", before_tag))
+            | ((F.col("StartDate") >= cut) & fl.text_contains("EA", after_tag)))
+    d = d.filter(keep)
+    if additional is not None:
+        d = sh.append_intervals(d, additional)
+    d = iv.add_overlapping_identifier(d, ["EmployeeCode", "Cohort"], "StartDate", "EndDate", group_records=True)
+    return iv.remove_overlaps_and_flatten(d, "EmployeeCode", "StartDate", "EndDate", ["Cohort"],
+                                          order_by=["EA", "Cohort"])
+
+
+def cohort_mappings(classification: DataFrame) -> DataFrame:
+    """Award / cohort mapping columns derived from the classification (driver queries)."""
+    c = F.col("Classification")
+    return classification.select(
+        "EmployeeCode", "StartDate", "EndDate",
+        F.when(c != "5-LOW", F.lit("Award 2014")).alias("Region 2014 EA award mapping"),
+        F.when(c != "1-URGENT", F.lit("Award 2017")).alias("Region 2017 EA award mapping"),
+        F.when(c.isin("1-URGENT", "2-HIGH"), F.lit("Cohort A")).when(c == "3-MEDIUM", F.lit("Cohort B"))
+        .alias("Region 2014 EA Cohort mapping"),
+        F.when(c == "3-MEDIUM", F.lit("Cohort B")).when(c.isin("4-NOT SPECIFIED", "5-LOW"), F.lit("Cohort C"))
+        .alias("Region 2017 EA Cohort mapping"))

@@ -137,7 +137,7 @@ FROM lineitem GROUP BY l_suppkey, l_returnflag
 """)
 def q_melt_keyword(spark, sf):
     wide = _supplier_wide(spark, sf)  # columns like "A_(Amt)", "A_(Qty)"
-    out = rs.melt_keyword(wide, ["l_suppkey"], {"Amount": "_(Amt)", "Quantity": "_(Qty)"}, "pay_code")
+    out = rs.melt_keyword(wide, ["l_suppkey"], {"Amount": "_(Amt)", "Quantity": "_(Qty)"}, "pay_code", dropna=True)
     return out.select("l_suppkey", "pay_code", F.col("Amount").cast("double").alias("Amount"),
                       F.col("Quantity").cast("double").alias("Quantity"))
 
@@ -157,7 +157,7 @@ def q_melt_aggregate(spark, sf):
     nat = table(spark, sf, "customer").select("c_nationkey").distinct()
     wide = wide.join(sup, "l_suppkey").join(nat, "c_nationkey", "left_semi")
     out = rs.melt_keyword(wide, ["c_nationkey"], {"Amount": "_(Amt)", "Quantity": "_(Qty)"}, "pay_code",
-                          aggregate_rows=True)
+                          aggregate_rows=True, dropna=True)
     return out.select("c_nationkey", "pay_code", F.col("Amount").cast("double").alias("Amount"),
                       F.col("Quantity").cast("double").alias("Quantity"))
 

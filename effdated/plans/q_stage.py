@@ -181,3 +181,37 @@ def q_build_payslips(spark, sf):
     return out.select("EmployeeCode", "PeriodStart", "PeriodEnd", "PayCode", "Hours", "Amount", "Is Base Hours?",
                       "Source", "PayslipCode", "PayslipLineCode", "StartDate", "EndDate", "Classification",
                       F.col("overlapping_index").cast("bigint").alias("overlapping_index"), "is_overlapping")
+
+
+@register("build_employee_cohorts", f"""
+WITH {_SMN_SQL},
+m AS (SELECT EmployeeCode, StartDate, EndDate,
+             CASE WHEN Classification IN ('1-URGENT', '2-HIGH') THEN 'Cohort A' WHEN Classification = '3-MEDIUM' THEN 'Cohort B' END AS c14,
+             CASE WHEN Classification = '3-MEDIUM' THEN 'Cohort B' WHEN Classification IN ('4-NOT SPECIFIED', '5-LOW') THEN 'Cohort C' END AS c17
+      FROM smn),
+cut AS (SELECT EmployeeCode, StartDate, TIMESTAMP '1998-12-01' AS EndDate, c14, c17 FROM m
+          WHERE StartDate < TIMESTAMP '1998-12-01' AND EndDate > TIMESTAMP '1998-12-01'
+        UNION ALL SELECT EmployeeCode, TIMESTAMP '1998-12-01', EndDate, c14, c17 FROM m
+          WHERE StartDate < TIMESTAMP '1998-12-01' AND EndDate > TIMESTAMP '1998-12-01'
+        UNION ALL SELECT * FROM m WHERE NOT (StartDate < TIMESTAMP '1998-12-01' AND EndDate > TIMESTAMP '1998-12-01')),
+mel AS (SELECT EmployeeCode, StartDate, EndDate, 'Region 2014 EA' AS EA, c14 AS Cohort FROM cut
+        UNION ALL SELECT EmployeeCode, StartDate, EndDate, 'Region 2017 EA', c17 FROM cut),
+k AS (SELECT * FROM mel WHERE (EndDate <= TIMESTAMP '1998-12-01' AND contains(EA, '2014'))
+                           OR (StartDate >= TIMESTAMP '1998-12-01' AND contains(EA, '2017'))),
+n AS (SELECT *, lead(StartDate) OVER (PARTITION BY EmployeeCode ORDER BY StartDate, EndDate, EA, Cohort NULLS LAST) AS nxt FROM k),
+c2 AS (SELECT EmployeeCode, EA, Cohort, StartDate,
+              CASE WHEN nxt IS NOT NULL THEN least(EndDate, nxt) ELSE EndDate END AS EndDate FROM n),
+kk AS (SELECT * FROM c2 WHERE EndDate > StartDate),
+ff AS (SELECT *, CASE WHEN lag(StartDate) OVER w IS NULL OR Cohort IS NULL OR lag(Cohort) OVER w IS NULL
+                       OR Cohort <> lag(Cohort) OVER w OR StartDate > lag(EndDate) OVER w THEN 1 ELSE 0 END AS st
+      FROM kk WINDOW w AS (PARTITION BY EmployeeCode ORDER BY StartDate, EndDate, EA, Cohort NULLS LAST)),
+rr AS (SELECT *, sum(st) OVER (PARTITION BY EmployeeCode ORDER BY StartDate, EndDate, EA, Cohort NULLS LAST
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM ff)
+SELECT EmployeeCode, max(Cohort) AS Cohort, min(StartDate) AS StartDate, max(EndDate) AS EndDate FROM rr GROUP BY EmployeeCode, run
+""")
+def q_build_employee_cohorts(spark, sf):
+    from effdated.plans.datasets import bronze_master_smn, cohort_mappings, employee_classification, employee_cohorts
+    smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    out = employee_cohorts(cohort_mappings(smn), ["Region 2014 EA award mapping", "Region 2017 EA award mapping"],
+                           "1998-12-01", "2014", "2017")
+    return out.select("EmployeeCode", "Cohort", "StartDate", "EndDate")

@@ -32,23 +32,84 @@ SMN_SETTINGS = [
 ]
 
 
+def effective_dated_master(bronze: DataFrame, key: str, date: str, flat_cols: list[str],
+                           settings: list[dict], termination: str = "Termination Date",
+                           order_by: list[str] | None = None) -> DataFrame:
+    """The shared shape of the master-data builds: P12 day-first dates, T3 flatten per
+    key on ``flat_cols`` (``end_date`` = next run's start), P15 open last run ->
+    termination date or sentinel, L2 lineage text, P9 staging projection."""
+    d = dt.change_date_format(bronze, date, dayfirst=True)
+    if termination in bronze.columns:
+        d = dt.change_date_format(d, termination, dayfirst=True)
+    agg = {c: "first" for c in flat_cols}
+    agg.update({"Source": "unique", "source_file": "first"})
+    agg.update({s["raw"]: "first" for s in settings if s["raw"] in bronze.columns and s["raw"] not in agg
+                and s["raw"] not in (key, date)})
+    runs = iv.flatten(d, key, date, "end_date", flat_cols, agg, order_by or [])
+    # flatten leaves end_date null exactly on each key's last run, so P15 reduces to a
+    # row-local coalesce here (the general P15 operator needs an ordered scan)
+    fill = [F.col(f"`{termination}`").cast("timestamp_ntz")] if termination in bronze.columns else []
+    runs = runs.withColumn("end_date", F.coalesce(F.col("end_date"), *fill, F.lit(dt.MAX_DATE).cast("timestamp_ntz")))
+    runs = ln.list_source_to_dict(runs, "Source")
+    return cl.staging_projection(runs, settings)
+
+
 def employee_classification(bronze: DataFrame, order_by: list[str] | None = None,
                             hot_rows: int | None = None) -> DataFrame:
     """EmployeeClassification (masterSMN): T3 flatten on (class, class.1, termination)
     per staff member in effective-date order, P12 day-first parse, P15 null end ->
     termination date (last run only, else the open-end sentinel), L2 lineage text,
     P9 staging projection."""
-    d = dt.change_date_format(bronze, SMN_DATE, dayfirst=True)
-    d = dt.change_date_format(d, "Termination Date", dayfirst=True)
-    settings = {c: "first" for c in SMN_FLAT}
-    settings.update({"Source": "unique", "source_file": "first"})
-    runs = iv.flatten(d, SMN_KEY, SMN_DATE, "end_date", SMN_FLAT, settings, order_by or [])
-    # flatten leaves end_date null exactly on each key's last run, so P15 reduces to a
-    # row-local coalesce here (the general P15 operator needs an ordered scan)
-    runs = runs.withColumn("end_date", F.coalesce(
-        F.col("end_date"), F.col("`Termination Date`").cast("timestamp_ntz"), F.lit(dt.MAX_DATE).cast("timestamp_ntz")))
-    runs = ln.list_source_to_dict(runs, "Source")
-    return cl.staging_projection(runs, SMN_SETTINGS)
+    return effective_dated_master(bronze, SMN_KEY, SMN_DATE, SMN_FLAT, SMN_SETTINGS, order_by=order_by)
+
+
+# masterPOS headers, staging names and the in-scope employment types.
+POS_SETTINGS = [
+    {"staging": "EmployeeCode", "raw": "Staff Member", "type": "string"},
+    {"staging": "StartDate", "raw": "Position Start", "type": "datetime"},
+    {"staging": "EndDate", "raw": "end_date", "type": "datetime"},
+    {"staging": "EmploymentType", "raw": "Employment Status", "type": "string"},
+    {"staging": "Source", "raw": "Source", "type": "string"},
+    {"staging": "source_file", "raw": "source_file", "type": "string"},
+]
+EMPLOYMENT_TYPES = ["FullTime", "PartTime", "Casual"]
+
+
+def employment_type(bronze: DataFrame, status_mapping: dict[str, str],
+                    order_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """EmployeeEmploymentType (masterPOS): the master build on (Employment Status,
+    Termination Date), then J10 map client statuses to in-scope types. Returns
+    (staging, Q10 in-scope violations)."""
+    from effdated.operators import quality as dq
+    staged = effective_dated_master(bronze, "Staff Member", "Position Start",
+                                    ["Employment Status", "Termination Date"], POS_SETTINGS, order_by=order_by)
+    staged = cl.value_mapper(staged, status_mapping, "EmploymentType")
+    return staged, dq.not_in_scope(staged, "EmploymentType", EMPLOYMENT_TYPES)
+
+
+# masterEMP headers and staging names.
+EMP_SETTINGS = [
+    {"staging": "EmployeeCode", "raw": "Staff Member", "type": "string"},
+    {"staging": "StartDate", "raw": "Joined", "type": "datetime"},
+    {"staging": "EndDate", "raw": "Termination Date", "type": "datetime"},
+    {"staging": "DateOfBirth", "raw": "Birth Date", "type": "datetime"},
+    {"staging": "Source", "raw": "Source", "type": "string"},
+    {"staging": "source_file", "raw": "source_file", "type": "string"},
+]
+
+
+def employee_base(bronze: DataFrame, master_smn: DataFrame) -> DataFrame:
+    """EmployeeBase (masterEMP): P12 day-first dates, P14 null termination -> open-end
+    sentinel, P9 staging projection, F3 keep employees present in masterSMN, L2 lineage
+    text."""
+    from effdated.operators import filters as fl
+    d = bronze
+    for c in ("Joined", "Termination Date", "Birth Date"):
+        d = dt.change_date_format(d, c, dayfirst=True)
+    d = dt.fill_null_with_max_date(d, "Termination Date")
+    d = cl.staging_projection(d, EMP_SETTINGS)
+    d = fl.keep_keys_in(d, master_smn.select("EmployeeCode").distinct(), "EmployeeCode")
+    return ln.list_source_to_dict(d.withColumn("Source", F.array("Source")), "Source")
 
 
 def bronze_master_smn(orders: DataFrame) -> DataFrame:
@@ -160,3 +221,28 @@ def cohort_mappings(classification: DataFrame) -> DataFrame:
         .alias("Region 2014 EA Cohort mapping"),
         F.when(c == "3-MEDIUM", F.lit("Cohort B")).when(c.isin("4-NOT SPECIFIED", "5-LOW"), F.lit("Cohort C"))
         .alias("Region 2017 EA Cohort mapping"))
+
+
+def bronze_master_pos(orders: DataFrame) -> DataFrame:
+    """Bronze masterPOS-shaped rows derived from a status table (driver queries)."""
+    st = F.col("o_orderstatus")
+    return orders.select(
+        F.col("o_custkey").cast("string").alias("Staff Member"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("Position Start"),
+        F.when(st == "F", "Full Time").when(st == "O", "Part Time").otherwise("Casual Staff").alias("Employment Status"),
+        F.when(F.col("o_custkey") % 7 == 0, F.lit("31/12/2001")).alias("Termination Date"),
+        F.concat(F.lit("masterPOS:row:"), (F.col("o_orderkey") + 2).cast("string")).alias("Source"),
+        F.lit("masterPOS.xlsx").alias("source_file"), "o_orderkey")
+
+
+def bronze_master_emp(customer: DataFrame) -> DataFrame:
+    """Bronze masterEMP-shaped rows derived from a customer table (driver queries)."""
+    return customer.select(
+        F.col("c_custkey").cast("string").alias("Staff Member"),
+        F.date_format(F.make_date(F.lit(1995), (F.col("c_nationkey") % 12 + 1).cast("int"), F.lit(1)),
+                      "dd/MM/yyyy").alias("Joined"),
+        F.when(F.col("c_custkey") % 10 == 0, F.lit("30/06/2002")).alias("Termination Date"),
+        F.date_format(F.make_date((1950 + F.col("c_nationkey")).cast("int"), F.lit(3), F.lit(15)),
+                      "dd/MM/yyyy").alias("Birth Date"),
+        F.concat(F.lit("masterEMP:row:"), (F.col("c_custkey") + 1).cast("string")).alias("Source"),
+        F.lit("masterEMP.xlsx").alias("source_file"))

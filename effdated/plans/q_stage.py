@@ -215,3 +215,62 @@ def q_build_employee_cohorts(spark, sf):
     out = employee_cohorts(cohort_mappings(smn), ["Region 2014 EA award mapping", "Region 2017 EA award mapping"],
                            "1998-12-01", "2014", "2017")
     return out.select("EmployeeCode", "Cohort", "StartDate", "EndDate")
+
+
+STATUS_MAPPING = {"Full Time": "FullTime", "Part Time": "PartTime"}
+
+
+@register("build_employment_type", """
+WITH b AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d,
+                  CASE o_orderstatus WHEN 'F' THEN 'Full Time' WHEN 'O' THEN 'Part Time' ELSE 'Casual Staff' END AS es,
+                  CASE WHEN o_custkey % 7 = 0 THEN TIMESTAMP '2001-12-31' END AS term,
+                  CAST(o_orderkey + 2 AS VARCHAR) AS rn, o_orderkey FROM orders),
+f AS (SELECT *, CASE WHEN lag(o_orderkey) OVER w IS NULL
+                       OR es <> lag(es) OVER w
+                       OR term IS NULL OR lag(term) OVER w IS NULL OR term <> lag(term) OVER w THEN 1 ELSE 0 END AS chg
+      FROM b WINDOW w AS (PARTITION BY EmployeeCode ORDER BY d, o_orderkey)),
+r AS (SELECT *, sum(chg) OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run,
+             row_number() OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey) AS pos FROM f),
+firsts AS (SELECT EmployeeCode, run, rn, min(pos) AS pos FROM r GROUP BY ALL),
+g AS (SELECT EmployeeCode, run, first(es ORDER BY pos) AS es, first(term ORDER BY pos) AS term, min(d) AS StartDate
+      FROM r GROUP BY ALL),
+src AS (SELECT EmployeeCode, run, '{''masterPOS:row:'': [' || string_agg('''' || rn || '''', ', ' ORDER BY pos) || ']}' AS Source
+        FROM firsts GROUP BY ALL),
+e AS (SELECT g.*, lead(StartDate) OVER (PARTITION BY EmployeeCode ORDER BY run) AS nxt FROM g)
+SELECT e.EmployeeCode, StartDate,
+       CASE WHEN nxt IS NULL THEN coalesce(term, TIMESTAMP '2262-04-11 23:47:16.854775') ELSE nxt END AS EndDate,
+       CASE es WHEN 'Full Time' THEN 'FullTime' WHEN 'Part Time' THEN 'PartTime' ELSE es END AS EmploymentType,
+       src.Source, 'masterPOS.xlsx' AS source_file
+FROM e JOIN src USING (EmployeeCode, run)
+""")
+def q_build_employment_type(spark, sf):
+    from effdated.plans.datasets import bronze_master_pos, employment_type
+    staged, _violations = employment_type(bronze_master_pos(table(spark, sf, "orders")), STATUS_MAPPING,
+                                          order_by=["o_orderkey"])
+    return staged
+
+
+@register("build_employment_type_inscope", """
+SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS EmployeeCode, 'Casual Staff' AS EmploymentType FROM orders
+WHERE o_orderstatus NOT IN ('F', 'O')
+""")
+def q_build_employment_type_inscope(spark, sf):
+    from effdated.plans.datasets import bronze_master_pos, employment_type
+    _staged, bad = employment_type(bronze_master_pos(table(spark, sf, "orders")), STATUS_MAPPING,
+                                   order_by=["o_orderkey"])
+    return bad.select("EmployeeCode", "EmploymentType").distinct()
+
+
+@register("build_employee_base", """
+SELECT CAST(c_custkey AS VARCHAR) AS EmployeeCode,
+       CAST(make_date(1995, CAST(c_nationkey % 12 + 1 AS INTEGER), 1) AS TIMESTAMP) AS StartDate,
+       coalesce(CASE WHEN c_custkey % 10 = 0 THEN TIMESTAMP '2002-06-30' END, TIMESTAMP '2262-04-11 23:47:16.854775') AS EndDate,
+       CAST(make_date(CAST(1950 + c_nationkey AS INTEGER), 3, 15) AS TIMESTAMP) AS DateOfBirth,
+       '{''masterEMP:row:'': [''' || CAST(c_custkey + 1 AS VARCHAR) || ''']}' AS Source, 'masterEMP.xlsx' AS source_file
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+""")
+def q_build_employee_base(spark, sf):
+    from effdated.plans.datasets import bronze_master_emp, bronze_master_smn, employee_base, employee_classification
+    smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    return employee_base(bronze_master_emp(table(spark, sf, "customer")), smn)

@@ -177,6 +177,8 @@ def staged_payslips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("string").alias("Hours"),
         F.col("l_extendedprice").alias("Amount"),
         F.when(F.col("l_returnflag") == "N", F.lit("1")).otherwise(F.lit("0")).alias("Is Base Hours?"),
+        F.concat(F.lit("Code "), F.col("l_returnflag"), F.col("l_linestatus")).alias("ClientPayCodeDescription"),
+        F.col("l_linestatus").alias("PayCategory"),
         F.concat(F.lit("payslips:row:"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("Source"))
 
 
@@ -246,3 +248,57 @@ def bronze_master_emp(customer: DataFrame) -> DataFrame:
                       "dd/MM/yyyy").alias("Birth Date"),
         F.concat(F.lit("masterEMP:row:"), (F.col("c_custkey") + 1).cast("string")).alias("Source"),
         F.lit("masterEMP.xlsx").alias("source_file"))
+
+
+# Default flag columns of the pay-code build and the set-off strategy name.
+PAYCODE_FLAGS = ["IsPartOfOrdinaryTimeEarnings", "IsPartOfTotalSalary", "IsSubjectToPayrollTax",
+                 "IsBonusOrCommission", "IsPartOfLslBase"]
+SETOFF_STRATEGY = "Financial Year Cross Pay Category"
+
+
+def pay_codes(staged: DataFrame, master_smn: DataFrame, order_by: list[str]) -> DataFrame:
+    """PayCodes: F3 keep employees present in masterSMN; J6 keep lines whose pay period
+    lies inside a classification period (bucketed containment join); A1 one row per
+    client pay-code description with the last non-null PayCode / PayCategory /
+    Is Base Hours? (in ``order_by``); P8 default flag columns; P10 1/0 -> True/False."""
+    from effdated.operators import aggregate as ag
+    from effdated.operators import filters as fl
+    from effdated.operators import joins as jn
+    smn = master_smn.select("EmployeeCode", "StartDate", "EndDate")
+    d = dt.add_n_days(staged, "PeriodEnd", 1)
+    d = fl.keep_keys_in(d, smn, "EmployeeCode")
+    d = jn.interval_join(d, smn, "EmployeeCode", "PeriodStart", "PeriodEnd", "StartDate", "EndDate", "contained")
+    g = ag.grouper(d, ["ClientPayCodeDescription"],
+                   {"PayCode": "last", "PayCategory": "last", "Is Base Hours?": "last"}, order_by=order_by)
+    g = cl.create_columns(g, {f: {"value": "False", "dtype": "string"} for f in PAYCODE_FLAGS})
+    return cl.value_mapper(g, {"1": "True", "0": "False"}, "Is Base Hours?")
+
+
+def attributes_over_time_build(timesheets: DataFrame, award: str, sep: str = ",") -> DataFrame:
+    """EmployeeAttributesOverTime (from timesheets): F2 keep one award; P25 the
+    ``Location Attribute`` as an attribute payload per (employee, clock-in, clock-out);
+    T15 split multi-valued attributes into one row (and payload) per value."""
+    from effdated.operators import shifts as sh
+    d = timesheets.filter(F.col("Award") == award)
+    d = cl.attributes_over_time(d, ["EmployeeCode", "ClockedIn", "ClockedOut"], ["Location Attribute"])
+    d = sh.split_attribute(d, "Value", sep)
+    return d.withColumn("Attribute", F.to_json(F.struct(F.col("Key"), F.col("Value"))))
+
+
+def setoff_strategy(employee_base_df: DataFrame, master_smn: DataFrame,
+                    strategy: str = SETOFF_STRATEGY) -> DataFrame:
+    """EmployeeSetoffStrategy: F3 employees present in masterSMN; P8 strategy name."""
+    from effdated.operators import filters as fl
+    d = fl.keep_keys_in(employee_base_df, master_smn.select("EmployeeCode").distinct(), "EmployeeCode")
+    d = cl.create_columns(d, {"StrategyName": {"value": strategy, "dtype": "string"}})
+    return d.select("EmployeeCode", "StartDate", "EndDate", "StrategyName")
+
+
+def timesheets_from_events(events: DataFrame) -> DataFrame:
+    """Timesheet-shaped rows derived from an event stream (driver queries)."""
+    secs = F.round(F.col("value") * 60).cast("int")
+    return events.select(
+        F.col("user_id").cast("string").alias("EmployeeCode"), F.col("ts").alias("ClockedIn"),
+        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)).alias("ClockedOut"),
+        F.when(F.col("value") > 100, F.lit("EA 2014")).otherwise(F.lit("EA 2017")).alias("Award"),
+        F.concat(F.col("event_type"), F.lit(", k"), F.get_json_object("props", "$.k")).alias("Location Attribute"))

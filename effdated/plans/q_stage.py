@@ -274,3 +274,55 @@ def q_build_employee_base(spark, sf):
     from effdated.plans.datasets import bronze_master_emp, bronze_master_smn, employee_base, employee_classification
     smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
     return employee_base(bronze_master_emp(table(spark, sf, "customer")), smn)
+
+
+@register("build_pay_codes", f"""
+WITH {_SMN_SQL},
+ps AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, o_orderdate AS PeriodStart,
+              o_orderdate + INTERVAL 14 DAY AS PeriodEnd, l_returnflag || l_linestatus AS PayCode,
+              l_linestatus AS PayCategory, CASE WHEN l_returnflag = 'N' THEN '1' ELSE '0' END AS base,
+              'Code ' || l_returnflag || l_linestatus AS ClientPayCodeDescription
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+j AS (SELECT ps.* FROM ps JOIN smn ON ps.EmployeeCode = smn.EmployeeCode
+      AND ps.PeriodStart >= smn.StartDate AND ps.PeriodEnd <= smn.EndDate)
+SELECT ClientPayCodeDescription, max(PayCode) AS PayCode, max(PayCategory) AS PayCategory,
+       CASE max(base) WHEN '1' THEN 'True' WHEN '0' THEN 'False' END AS "Is Base Hours?",
+       'False' AS IsPartOfOrdinaryTimeEarnings, 'False' AS IsPartOfTotalSalary, 'False' AS IsSubjectToPayrollTax,
+       'False' AS IsBonusOrCommission, 'False' AS IsPartOfLslBase
+FROM j GROUP BY ClientPayCodeDescription
+""")
+def q_build_pay_codes(spark, sf):
+    from effdated.plans.datasets import bronze_master_smn, employee_classification, pay_codes, staged_payslips
+    smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    staged = staged_payslips(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
+    return pay_codes(staged, smn, ["PeriodStart", "Source"])
+
+
+@register("build_attributes_over_time", """
+WITH t AS (SELECT CAST(user_id AS VARCHAR) AS EmployeeCode, ts AS ClockedIn,
+                  ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS ClockedOut,
+                  event_type || ', k' || json_extract_string(props, '$.k') AS attr FROM events WHERE value > 100),
+s AS (SELECT EmployeeCode, ClockedIn, ClockedOut, trim(unnest(string_split(attr, ','))) AS v,
+             generate_subscripts(string_split(attr, ','), 1) AS pos FROM t)
+SELECT EmployeeCode, ClockedIn, ClockedOut, 'Location Attribute' AS "Key", v AS "Value",
+       CAST(pos AS BIGINT) AS attribute_position,
+       '{"Key":"Location Attribute","Value":"' || v || '"}' AS Attribute
+FROM s WHERE v <> ''
+""")
+def q_build_attributes_over_time(spark, sf):
+    from effdated.plans.datasets import attributes_over_time_build, timesheets_from_events
+    return attributes_over_time_build(timesheets_from_events(table(spark, sf, "events")), "EA 2014")
+
+
+@register("build_setoff_strategy", """
+SELECT CAST(c_custkey AS VARCHAR) AS EmployeeCode,
+       CAST(make_date(1995, CAST(c_nationkey % 12 + 1 AS INTEGER), 1) AS TIMESTAMP) AS StartDate,
+       coalesce(CASE WHEN c_custkey % 10 = 0 THEN TIMESTAMP '2002-06-30' END, TIMESTAMP '2262-04-11 23:47:16.854775') AS EndDate,
+       'Financial Year Cross Pay Category' AS StrategyName
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+""")
+def q_build_setoff_strategy(spark, sf):
+    from effdated.plans.datasets import (bronze_master_emp, bronze_master_smn, employee_base,
+                                         employee_classification, setoff_strategy)
+    smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    return setoff_strategy(employee_base(bronze_master_emp(table(spark, sf, "customer")), smn), smn)

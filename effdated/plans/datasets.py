@@ -302,3 +302,31 @@ def timesheets_from_events(events: DataFrame) -> DataFrame:
         (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)).alias("ClockedOut"),
         F.when(F.col("value") > 100, F.lit("EA 2014")).otherwise(F.lit("EA 2017")).alias("Award"),
         F.concat(F.col("event_type"), F.lit(", k"), F.get_json_object("props", "$.k")).alias("Location Attribute"))
+
+
+# masterSMN hourly-rate headers and staging names.
+RATE_SETTINGS = [
+    {"staging": "EmployeeCode", "raw": "Staff Member", "type": "string"},
+    {"staging": "StartDate", "raw": "Effective Date", "type": "datetime"},
+    {"staging": "EndDate", "raw": "end_date", "type": "datetime"},
+    {"staging": "BaseRate", "raw": "Hourly", "type": "numeric"},
+    {"staging": "Source", "raw": "Source", "type": "string"},
+    {"staging": "source_file", "raw": "source_file", "type": "string"},
+]
+
+
+def rates_over_time(bronze: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """EmployeeRatesOverTime (masterSMN hourly rate): the master build on ``Hourly``."""
+    return effective_dated_master(bronze, "Staff Member", "Effective Date", ["Hourly", "Termination Date"],
+                                  RATE_SETTINGS, order_by=order_by)
+
+
+def bronze_hourly_rates(orders: DataFrame) -> DataFrame:
+    """Bronze hourly-rate rows derived from a status table (driver queries)."""
+    return orders.select(
+        F.col("o_custkey").cast("string").alias("Staff Member"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("Effective Date"),
+        F.format_string("%.2f", (F.floor(F.col("o_totalprice") / 100000) * 5 + 20).cast("double")).alias("Hourly"),
+        F.when(F.col("o_custkey") % 10 != 0, F.lit("31/12/2002")).alias("Termination Date"),
+        F.concat(F.lit("rates:row:"), (F.col("o_orderkey") + 2).cast("string")).alias("Source"),
+        F.lit("rates.xlsx").alias("source_file"), "o_orderkey")

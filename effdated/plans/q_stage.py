@@ -326,3 +326,30 @@ def q_build_setoff_strategy(spark, sf):
                                          employee_classification, setoff_strategy)
     smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
     return setoff_strategy(employee_base(bronze_master_emp(table(spark, sf, "customer")), smn), smn)
+
+
+@register("build_rates_over_time", """
+WITH b AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d,
+                  CAST(floor(o_totalprice / 100000) * 5 + 20 AS DOUBLE) AS rate,
+                  CASE WHEN o_custkey % 10 <> 0 THEN TIMESTAMP '2002-12-31' END AS term,
+                  CAST(o_orderkey + 2 AS VARCHAR) AS rn, o_orderkey FROM orders),
+f AS (SELECT *, CASE WHEN lag(o_orderkey) OVER w IS NULL OR rate <> lag(rate) OVER w
+                       OR term IS NULL OR lag(term) OVER w IS NULL OR term <> lag(term) OVER w THEN 1 ELSE 0 END AS chg
+      FROM b WINDOW w AS (PARTITION BY EmployeeCode ORDER BY d, o_orderkey)),
+r AS (SELECT *, sum(chg) OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run,
+             row_number() OVER (PARTITION BY EmployeeCode ORDER BY d, o_orderkey) AS pos FROM f),
+firsts AS (SELECT EmployeeCode, run, rn, min(pos) AS pos FROM r GROUP BY ALL),
+g AS (SELECT EmployeeCode, run, first(rate ORDER BY pos) AS BaseRate, first(term ORDER BY pos) AS term,
+             min(d) AS StartDate FROM r GROUP BY ALL),
+src AS (SELECT EmployeeCode, run, '{''rates:row:'': [' || string_agg('''' || rn || '''', ', ' ORDER BY pos) || ']}' AS Source
+        FROM firsts GROUP BY ALL),
+e AS (SELECT g.*, lead(StartDate) OVER (PARTITION BY EmployeeCode ORDER BY run) AS nxt FROM g)
+SELECT e.EmployeeCode, StartDate,
+       CASE WHEN nxt IS NULL THEN coalesce(term, TIMESTAMP '2262-04-11 23:47:16.854775') ELSE nxt END AS EndDate, BaseRate,
+       src.Source, 'rates.xlsx' AS source_file
+FROM e JOIN src USING (EmployeeCode, run)
+""")
+def q_build_rates_over_time(spark, sf):
+    from effdated.plans.datasets import bronze_hourly_rates, rates_over_time
+    return rates_over_time(bronze_hourly_rates(table(spark, sf, "orders")), order_by=["o_orderkey"])

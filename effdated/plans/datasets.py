@@ -330,3 +330,49 @@ def bronze_hourly_rates(orders: DataFrame) -> DataFrame:
         F.when(F.col("o_custkey") % 10 != 0, F.lit("31/12/2002")).alias("Termination Date"),
         F.concat(F.lit("rates:row:"), (F.col("o_orderkey") + 2).cast("string")).alias("Source"),
         F.lit("rates.xlsx").alias("source_file"), "o_orderkey")
+
+
+# Leave-record markers and the personal-leave pay code of the leave build.
+LEAVE_MARKERS = ["yes", "Yes", "YES"]
+PERSONAL_LEAVE = "Personal leave with evidence"
+PAYCODE_COL = "Paycode (under 14/17 EA)"
+
+
+def leave(timesheets: DataFrame, master_smn: DataFrame, cohort: DataFrame, easter_saturdays: DataFrame,
+          fy_start: int, fy_end: int, personal_leave_first_n: int) -> DataFrame:
+    """Leave (from timesheets). F1 leave records; F3 + J5 lines whose clock-in or clock-out
+    falls in a classification period; W6 + W7 keep the longest of overlapping records;
+    P22 financial year of the clock-out; W8 the first ``personal_leave_first_n`` records
+    per (employee, FY) become personal leave; P8 LeaveType; P23 leave end = clock-in +
+    hours taken; L2 lineage text; T11 Easter Saturdays for cohort members active that day."""
+    from effdated.operators import filters as fl
+    from effdated.operators import joins as jn
+    from effdated.operators import shifts as sh
+    d = fl.row_filter(timesheets, [{"col": "Leave Record", "include": {"logic": "and", "value": LEAVE_MARKERS}}])
+    smn = master_smn.select("EmployeeCode", "StartDate", "EndDate")
+    d = fl.keep_keys_in(d, smn, "EmployeeCode")
+    d = jn.interval_join(d, smn, "EmployeeCode", "ClockedIn", "ClockedOut", "StartDate", "EndDate", "either_end")
+    d = d.withColumn("_rid", F.concat_ws("|", "Source", F.col("StartDate").cast("string")))
+    d = iv.pick_longest(d, "EmployeeCode", "ClockedIn", "ClockedOut", "_rid").filter("is_longest").drop("is_longest")
+    d = dt.matching_financial_year(d, "ClockedOut", fy_start, fy_end, out="financial year")
+    d = sh.rank_and_convert(d, ["EmployeeCode", "financial year"], ["ClockedIn", "_rid"], PAYCODE_COL,
+                            PERSONAL_LEAVE, personal_leave_first_n)
+    d = cl.create_columns(d, {"LeaveType": {"column": PAYCODE_COL, "dtype": "string"}})
+    d = cl.leave_end_from_hours(d, "ClockedIn", "ClockedOut", "Net Length")
+    d = ln.list_source_to_dict(d.withColumn("Source", F.array("Source")), "Source").drop("_rid")
+    added = sh.add_synthetic_days(cohort, "EmployeeCode", "StartDate", "EndDate", easter_saturdays,
+                                  lineage="Manually Added Easter Saturday")
+    added = added.select("EmployeeCode", F.col("day").cast("timestamp_ntz").alias("ClockedIn"), "Source")
+    return sh.append_intervals(d, added)
+
+
+def timesheet_leave_rows(events: DataFrame) -> DataFrame:
+    """Timesheet rows with leave markers derived from an event stream (driver queries)."""
+    t = timesheets_from_events(events)
+    return t.join(events.select(F.col("user_id").cast("string").alias("EmployeeCode"), F.col("ts").alias("ClockedIn"),
+                                "event_id", "event_type", "value"), ["EmployeeCode", "ClockedIn"]) \
+        .select("EmployeeCode", "ClockedIn", "ClockedOut",
+                F.when(F.col("event_type").isin("view", "signup"), F.lit("Yes")).otherwise(F.lit("no")).alias("Leave Record"),
+                F.lit("Annual leave").alias(PAYCODE_COL),
+                (F.col("value") / 60).cast("string").alias("Net Length"),
+                F.concat(F.lit("timesheets:row:"), (F.col("event_id") + 2).cast("string")).alias("Source"))

@@ -353,3 +353,48 @@ FROM e JOIN src USING (EmployeeCode, run)
 def q_build_rates_over_time(spark, sf):
     from effdated.plans.datasets import bronze_hourly_rates, rates_over_time
     return rates_over_time(bronze_hourly_rates(table(spark, sf, "orders")), order_by=["o_orderkey"])
+
+
+@register("build_leave", f"""
+WITH {_SMN_SQL},
+t AS (SELECT CAST(user_id AS VARCHAR) AS EmployeeCode, ts AS ClockedIn,
+             ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS ClockedOut,
+             CAST(value / 60 AS VARCHAR) AS net, 'timesheets:row:' || CAST(event_id + 2 AS VARCHAR) AS Source
+      FROM events WHERE event_type IN ('view', 'signup')),
+j AS (SELECT t.*, smn.StartDate, smn.EndDate,
+             t.Source || '|' || strftime(smn.StartDate, '%Y-%m-%d %H:%M:%S') AS rid
+      FROM t JOIN smn ON t.EmployeeCode = smn.EmployeeCode
+       AND (t.ClockedIn BETWEEN smn.StartDate AND smn.EndDate OR t.ClockedOut BETWEEN smn.StartDate AND smn.EndDate)),
+m AS (SELECT *, max(ClockedOut) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut, rid
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pme FROM j),
+s AS (SELECT *, CASE WHEN pme IS NULL OR ClockedIn >= pme THEN 1 ELSE 0 END AS st FROM m),
+i AS (SELECT *, sum(st) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut, rid
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM s),
+l AS (SELECT *, row_number() OVER (PARTITION BY EmployeeCode, isl ORDER BY ClockedOut - ClockedIn DESC, ClockedIn, rid) AS lg
+      FROM i),
+k AS (SELECT *, CASE WHEN CAST(year(ClockedOut) + CASE WHEN month(ClockedOut) >= 7 THEN 1 ELSE 0 END AS INTEGER)
+                          BETWEEN 2016 AND 2025
+                     THEN CAST(year(ClockedOut) + CASE WHEN month(ClockedOut) >= 7 THEN 1 ELSE 0 END AS INTEGER) END AS fy
+      FROM l WHERE lg = 1),
+rk AS (SELECT *, row_number() OVER (PARTITION BY EmployeeCode, fy ORDER BY ClockedIn, rid) AS leave_rank FROM k),
+lv AS (SELECT EmployeeCode, ClockedIn, ClockedIn + to_hours(CAST(trunc(CAST(net AS DOUBLE)) AS BIGINT)) AS ClockedOut,
+              fy AS "financial year", CAST(leave_rank AS BIGINT) AS leave_rank,
+              CASE WHEN leave_rank <= 2 THEN 'Personal leave with evidence' ELSE 'Annual leave' END AS pc,
+              '{{''timesheets:row:'': [''' || substr(Source, 16) || ''']}}' AS Source, StartDate, EndDate
+       FROM rk),
+easter AS (SELECT DISTINCT EmployeeCode, CAST(DATE '2024-03-30' AS TIMESTAMP) AS ClockedIn,
+                  'Manually Added Easter Saturday' AS Source
+           FROM smn WHERE DATE '2024-03-30' BETWEEN CAST(StartDate AS DATE) AND CAST(EndDate AS DATE))
+SELECT EmployeeCode, ClockedIn, ClockedOut, "financial year", leave_rank, pc AS "{'Paycode (under 14/17 EA)'}",
+       pc AS LeaveType, Source, StartDate, EndDate FROM lv
+UNION ALL SELECT EmployeeCode, ClockedIn, NULL, NULL, NULL, NULL, NULL, Source, NULL, NULL FROM easter
+""")
+def q_build_leave(spark, sf):
+    from effdated.plans.datasets import (PAYCODE_COL, bronze_master_smn, employee_classification, leave,
+                                         timesheet_leave_rows)
+    smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    ts = timesheet_leave_rows(table(spark, sf, "events"))
+    easter = spark.createDataFrame([("2024-03-30",)], "day string")
+    out = leave(ts, smn, smn, easter, 2016, 2025, 2)
+    return out.select("EmployeeCode", "ClockedIn", "ClockedOut", "financial year", "leave_rank", PAYCODE_COL,
+                      "LeaveType", "Source", "StartDate", "EndDate")

@@ -57,9 +57,9 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
 
     With an equi key alone, a key holding many facts and many periods would pair all
     of them in one task. So both sides are bucketed by month: each period emits one
-    row per bucket it covers (open ends are clamped to the last fact bucket), each
-    fact emits the bucket of its start (and, in ``either_end`` mode, of its end when
-    only the end matches). Each (fact, period) pair comes out of exactly one bucket,
+    row per bucket it covers (clamped to the span of fact start dates), each fact
+    emits the bucket of its start (and, in ``either_end`` mode, of its end when only
+    the end matches). Each (fact, period) pair comes out of exactly one bucket,
     so nothing needs deduplicating. The join key is (key, bucket) and AQE can split
     skewed buckets.
     """
@@ -70,33 +70,44 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
         periods = periods.withColumnsRenamed({c: f"{c}_x" for c in clash})
         p_start = f"{p_start}_x" if p_start in clash else p_start
         p_end = f"{p_end}_x" if p_end in clash else p_end
-    fb_start = (_month_index(F.col(f_start)) / bucket_months).cast("int")
-    fb_end = (_month_index(F.col(f_end)) / bucket_months).cast("int")
-    # last fact bucket: clamps open-ended periods (scalar aggregate, one row)
-    last_b = facts.agg(F.max(F.greatest(fb_start, fb_end)).alias("_maxb"),
-                       F.min(fb_start).alias("_minb"))
-    p = (periods.crossJoin(F.broadcast(last_b))
-         .withColumn("_pb0", F.greatest((_month_index(F.col(p_start)) / bucket_months).cast("int"), F.col("_minb")))
-         .withColumn("_pb1", F.least(F.coalesce((_month_index(F.col(p_end)) / bucket_months).cast("int"),
-                                                F.col("_maxb")), F.col("_maxb")))
+
+    def bucket(c: str) -> Column:
+        return (_month_index(F.col(c)) / bucket_months).cast("int")
+
+    # Buckets are clamped to [first fact-start bucket, last fact-start bucket + 1]; the
+    # top one is an overflow bucket. Clamping is monotone, so a pair that satisfies the
+    # exact predicate still shares a bucket, while open-ended periods and sentinel end
+    # dates (e.g. year 2262) explode only over the span of the facts' start dates.
+    span = facts.agg(F.min(bucket(f_start)).alias("_minb"), (F.max(bucket(f_start)) + 1).alias("_maxb"))
+
+    def clamp(b: Column) -> Column:
+        return F.least(F.greatest(b, F.col("_minb")), F.col("_maxb"))
+
+    p = (periods.crossJoin(F.broadcast(span))
+         .withColumn("_pb0", clamp(F.coalesce(bucket(p_start), F.col("_minb"))))
+         .withColumn("_pb1", clamp(F.coalesce(bucket(p_end), F.col("_maxb"))))
          .filter(F.col("_pb0") <= F.col("_pb1"))
          .withColumn("_pb", F.explode(F.sequence(F.col("_pb0"), F.col("_pb1"))))
          .drop("_pb0", "_pb1", "_maxb", "_minb"))
+    f = facts.crossJoin(F.broadcast(span))
+    fb_start, fb_end = clamp(bucket(f_start)), clamp(bucket(f_end))
     if mode == "contained":
-        f = facts.withColumn("_b", fb_start)
+        f = f.withColumn("_b", fb_start)
         cond = (F.col(f_start) >= F.col(p_start)) & (F.col(f_end) <= F.col(p_end))
     elif mode == "either_end":
-        f = facts.withColumn("_b", F.explode(F.array_distinct(F.array(fb_start, fb_end))))
+        f = f.withColumn("_fbs", fb_start).withColumn("_fbe", fb_end) \
+            .withColumn("_b", F.explode(F.array_distinct(F.array(F.col("_fbs"), F.col("_fbe")))))
         s_in = F.col(f_start).between(F.col(p_start), F.col(p_end))
         e_in = F.col(f_end).between(F.col(p_start), F.col(p_end))
-        cond = ((s_in & (F.col("_b") == fb_start))
-                | (e_in & ~F.coalesce(s_in, F.lit(False)) & (F.col("_b") == fb_end)))
+        cond = ((s_in & (F.col("_b") == F.col("_fbs")))
+                | (e_in & ~F.coalesce(s_in, F.lit(False)) & (F.col("_b") == F.col("_fbe"))))
     else:
         raise ValueError(f"unknown interval join mode {mode!r}")
+    f = f.drop("_minb", "_maxb")
     if fk == key:
         p = p.withColumnRenamed(key, "_pk")
     j = f.join(p, (f[fk] == p["_pk" if fk == key else key]) & (F.col("_b") == F.col("_pb")) & cond, "inner")
-    out = j.drop("_b", "_pb")
+    out = j.drop("_b", "_pb", "_fbs", "_fbe")
     return out.drop("_pk") if fk == key else out
 
 

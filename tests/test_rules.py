@@ -83,3 +83,34 @@ def test_varying_header_dob_sources_schema_types(spark, tmpdir_path):
     assert ty.align_datatype({"a": "int64", "b": "datetime64[ns]", "c": "object"}) == \
         {"a": "INT", "b": "timestamp", "c": "text"}
     assert ty.align_datatype(spark.createDataFrame([(1, "x")], "a long, b string")) == {"a": "int", "b": "text"}
+
+
+def test_interval_join_matches_brute_force_with_sentinels(spark):
+    import datetime as dtm
+    from effdated.operators.joins import interval_join
+    big = dtm.datetime(2262, 4, 11)
+    facts = spark.createDataFrame([
+        (1, "a", dtm.datetime(2020, 1, 5), dtm.datetime(2020, 1, 20)),
+        (2, "a", dtm.datetime(2020, 3, 1), big),                       # open-ended fact
+        (3, "a", dtm.datetime(2019, 12, 30), dtm.datetime(2020, 2, 2)),
+        (4, "b", dtm.datetime(2020, 6, 1), dtm.datetime(2020, 6, 2)),
+        (5, "a", dtm.datetime(2021, 1, 1), dtm.datetime(2021, 1, 1))],
+        "fid int, k string, fs timestamp_ntz, fe timestamp_ntz")
+    periods = spark.createDataFrame([
+        (10, "a", dtm.datetime(2019, 1, 1), dtm.datetime(2020, 1, 10)),
+        (11, "a", dtm.datetime(2020, 1, 10), big),                      # open-ended period
+        (12, "a", dtm.datetime(2030, 1, 1), big),                       # starts after every fact
+        (13, "b", dtm.datetime(2020, 1, 1), dtm.datetime(2020, 12, 31))],
+        "pid int, k string, ps timestamp_ntz, pe timestamp_ntz")
+    for mode in ("either_end", "contained"):
+        got = sorted((r.fid, r.pid) for r in
+                     interval_join(facts, periods, "k", "fs", "fe", "ps", "pe", mode).collect())
+        f, p = facts.alias("f"), periods.alias("p")
+        if mode == "either_end":
+            cond = ((F.col("f.fs").between(F.col("p.ps"), F.col("p.pe")))
+                    | (F.col("f.fe").between(F.col("p.ps"), F.col("p.pe"))))
+        else:
+            cond = (F.col("f.fs") >= F.col("p.ps")) & (F.col("f.fe") <= F.col("p.pe"))
+        want = sorted((r.fid, r.pid) for r in
+                      f.join(p, (F.col("f.k") == F.col("p.k")) & cond).select("f.fid", "p.pid").collect())
+        assert got == want, mode

@@ -376,3 +376,46 @@ def timesheet_leave_rows(events: DataFrame) -> DataFrame:
                 F.lit("Annual leave").alias(PAYCODE_COL),
                 (F.col("value") / 60).cast("string").alias("Net Length"),
                 F.concat(F.lit("timesheets:row:"), (F.col("event_id") + 2).cast("string")).alias("Source"))
+
+
+def timesheets(ts: DataFrame, master_smn: DataFrame, holidays: DataFrame, shift_gap_hours: float = 4.0) -> DataFrame:
+    """Timesheet build. F1 drop leave records; F3 + J5 shifts whose clock-in or clock-out
+    falls in a classification period; W7 keep the longest of overlapping shifts; P24
+    unpaid break placed mid-shift (``Breaks Length`` hours); T9 chain shifts with gaps
+    under ``shift_gap_hours``; A1 one row per (employee, shift chain); P21 week parts;
+    W10 at most one broken shift flagged per employee-week; T10 public holidays of the
+    shift's region (weekend holidays add a Monday); L2 lineage text."""
+    from effdated.operators import aggregate as ag
+    from effdated.operators import filters as fl
+    from effdated.operators import joins as jn
+    from effdated.operators import shifts as sh
+    d = fl.row_filter(ts, [{"col": "Leave Record", "exclude": {"logic": "and", "value": LEAVE_MARKERS}}])
+    smn = master_smn.select("EmployeeCode", "StartDate", "EndDate", "Classification")
+    d = fl.keep_keys_in(d, smn, "EmployeeCode")
+    d = jn.interval_join(d, smn, "EmployeeCode", "ClockedIn", "ClockedOut", "StartDate", "EndDate", "either_end")
+    d = d.withColumn("_rid", F.concat_ws("|", "Source", F.col("StartDate").cast("string")))
+    d = iv.pick_longest(d, "EmployeeCode", "ClockedIn", "ClockedOut", "_rid").filter("is_longest").drop("is_longest")
+    d = cl.unpaid_break(d, "_brk", "ClockedIn", "ClockedOut", "Breaks Length", "hours")
+    d = d.withColumn("break_seconds", F.timestamp_diff("SECOND", F.col("_brk.start"), F.col("_brk.end"))).drop("_brk")
+    d = sh.broken_shifts(d, "EmployeeCode", "ClockedIn", "ClockedOut", shift_gap_hours, order_by=["_rid"])
+    g = ag.grouper(d, ["EmployeeCode", "shift_index"], {
+        "ClockedIn": "min", "ClockedOut": "max", "Classification": "first", "Region": "first",
+        "Source": "unique", "unpaid_break_seconds": "sum", "break_seconds": "sum", "_rid": "count"},
+        order_by=["ClockedIn", "ClockedOut", "_rid"])
+    g = (g.withColumnRenamed("_rid", "pieces").withColumn("is_Broken_Shift", F.col("pieces") > 1)
+         .withColumn("_sid", F.concat_ws("|", "EmployeeCode", F.col("shift_index").cast("string"))))
+    g = dt.week_parts(g, "ClockedIn")
+    g = sh.one_flag_per_week(g, "EmployeeCode", "ClockedIn", "is_Broken_Shift", "_sid").drop("_sid")
+    g = sh.add_public_holidays(g, "ClockedIn", "Region", sh.holiday_calendar(holidays))
+    return ln.list_source_to_dict(g, "Source")
+
+
+def timesheet_rows(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Timesheet rows (with leave markers, break length and region) derived from an
+    event stream (driver queries)."""
+    t = timesheet_leave_rows(events)
+    geo = (customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+           .select(F.col("c_custkey").cast("string").alias("EmployeeCode"), F.col("n_name").alias("Region")))
+    brk = events.select(F.concat(F.lit("timesheets:row:"), (F.col("event_id") + 2).cast("string")).alias("Source"),
+                        (F.col("value") / 100).alias("Breaks Length"))
+    return t.join(geo, "EmployeeCode", "left").join(brk, "Source")

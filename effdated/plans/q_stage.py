@@ -398,3 +398,75 @@ def q_build_leave(spark, sf):
     out = leave(ts, smn, smn, easter, 2016, 2025, 2)
     return out.select("EmployeeCode", "ClockedIn", "ClockedOut", "financial year", "leave_rank", PAYCODE_COL,
                       "LeaveType", "Source", "StartDate", "EndDate")
+
+
+@register("build_timesheets", f"""
+WITH {_SMN_SQL},
+t AS (SELECT CAST(ev.user_id AS VARCHAR) AS EmployeeCode, ev.ts AS ClockedIn,
+             ev.ts + to_seconds(CAST(round(ev.value * 60) AS BIGINT)) AS ClockedOut, ev.value / 100 AS brk_h,
+             n.n_name AS Region, 'timesheets:row:' || CAST(ev.event_id + 2 AS VARCHAR) AS Source
+      FROM events ev LEFT JOIN customer c ON ev.user_id = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+      WHERE ev.event_type NOT IN ('view', 'signup')),
+j AS (SELECT t.*, smn.StartDate, smn.Classification, t.Source || '|' || strftime(smn.StartDate, '%Y-%m-%d %H:%M:%S') AS rid
+      FROM t JOIN smn ON t.EmployeeCode = smn.EmployeeCode
+       AND (t.ClockedIn BETWEEN smn.StartDate AND smn.EndDate OR t.ClockedOut BETWEEN smn.StartDate AND smn.EndDate)),
+tm AS (SELECT *, max(ClockedOut) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut, rid
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pme FROM j),
+ts1 AS (SELECT *, CASE WHEN pme IS NULL OR ClockedIn >= pme THEN 1 ELSE 0 END AS st FROM tm),
+ti AS (SELECT *, sum(st) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut, rid
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM ts1),
+tl AS (SELECT *, row_number() OVER (PARTITION BY EmployeeCode, isl ORDER BY ClockedOut - ClockedIn DESC, ClockedIn, rid) AS lg
+      FROM ti),
+tk AS (SELECT EmployeeCode, ClockedIn, ClockedOut, brk_h, Region, Source, Classification, rid,
+             brk_h * 3600 AS secs, date_diff('second', ClockedIn, ClockedOut) AS shift_secs FROM tl WHERE lg = 1),
+bk AS (SELECT *, CASE WHEN secs > 0 THEN CAST(trunc(secs) AS BIGINT) END AS break_seconds FROM tk),
+cm AS (SELECT *, max(ClockedOut) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut, rid
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cpme FROM bk),
+cs AS (SELECT *, CASE WHEN cpme IS NULL OR ClockedIn >= cpme + INTERVAL 4 HOUR THEN 1 ELSE 0 END AS cst FROM cm),
+ci AS (SELECT *, sum(cst) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut, rid
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS shift_index,
+              row_number() OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut, rid) AS pos,
+              CAST(CASE WHEN cst = 0 AND ClockedIn > cpme THEN (epoch_us(ClockedIn) - epoch_us(cpme)) // 1000000 ELSE 0 END AS BIGINT)
+                AS unpaid FROM cs),
+firsts AS (SELECT EmployeeCode, shift_index, Source, min(pos) AS pos FROM ci GROUP BY ALL),
+src AS (SELECT EmployeeCode, shift_index,
+               '{{''timesheets:row:'': [' || string_agg('''' || substr(Source, 16) || '''', ', ' ORDER BY pos) || ']}}' AS Source
+        FROM firsts GROUP BY ALL),
+tg AS (SELECT EmployeeCode, shift_index, min(ClockedIn) AS ClockedIn, max(ClockedOut) AS ClockedOut,
+             first(Classification ORDER BY pos) AS Classification, first(Region ORDER BY pos) AS Region,
+             CAST(sum(unpaid) AS BIGINT) AS unpaid_break_seconds, CAST(sum(break_seconds) AS BIGINT) AS break_seconds,
+             CAST(count(*) AS BIGINT) AS pieces
+      FROM ci GROUP BY ALL),
+gw AS (SELECT tg.*, pieces > 1 AS brk, EmployeeCode || '|' || CAST(shift_index AS VARCHAR) AS sid,
+              CAST(weekofyear(ClockedIn) AS INTEGER) AS week_number, CAST(isodow(ClockedIn) - 1 AS INTEGER) AS week_day,
+              CAST(isoyear(ClockedIn) AS VARCHAR) || '-W' || lpad(CAST(weekofyear(ClockedIn) AS VARCHAR), 2, '0') AS week_info
+       FROM tg),
+w10 AS (SELECT *, row_number() OVER (PARTITION BY EmployeeCode, isoyear(ClockedIn) * 100 + weekofyear(ClockedIn), brk
+                                     ORDER BY ClockedIn, sid) AS rk FROM gw),
+hol AS (SELECT * FROM (VALUES ('ALL', 'New Year', DATE '2024-01-01'), ('NATION_1', 'Founding Day', DATE '2024-01-06'),
+                            ('NATION_2', 'Harvest Day', DATE '2024-01-14'), ('NATION_3', 'Regional Day', DATE '2024-01-26'))
+      hv(region, holiday_name, holiday_date)),
+cal AS (SELECT region, holiday_name, holiday_date, false AS is_additional_holiday FROM hol
+        UNION ALL SELECT region, holiday_name, holiday_date + CASE WHEN dayofweek(holiday_date) = 6 THEN 2 ELSE 1 END, true
+        FROM hol WHERE dayofweek(holiday_date) IN (0, 6))
+SELECT w10.EmployeeCode, shift_index, ClockedIn, ClockedOut, Classification, w10.Region, unpaid_break_seconds, break_seconds,
+       pieces, brk AND rk = 1 AS is_Broken_Shift, week_number, week_day, week_info,
+       cal.region AS holiday_regions, holiday_name, CAST(holiday_date AS TIMESTAMP) AS holiday_date, is_additional_holiday,
+       src.Source
+FROM w10 JOIN src USING (EmployeeCode, shift_index)
+LEFT JOIN cal ON CAST(w10.ClockedIn AS DATE) = cal.holiday_date AND (cal.region = w10.Region OR cal.region = 'ALL')
+""")
+def q_build_timesheets(spark, sf):
+    from effdated.plans.datasets import bronze_master_smn, employee_classification, timesheet_rows, timesheets
+    from effdated.plans.q_shifts import HOLIDAYS
+    smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    ts = timesheet_rows(table(spark, sf, "events"), table(spark, sf, "customer"), table(spark, sf, "nation"))
+    hol = spark.createDataFrame(HOLIDAYS, "region string, holiday_name string, holiday_date string") \
+        .withColumn("holiday_date", F.col("holiday_date").cast("date"))
+    out = timesheets(ts, smn, hol)
+    return out.select("EmployeeCode", F.col("shift_index").cast("bigint").alias("shift_index"), "ClockedIn", "ClockedOut",
+                      "Classification", "Region", F.col("unpaid_break_seconds").cast("bigint").alias("unpaid_break_seconds"),
+                      F.col("break_seconds").cast("bigint").alias("break_seconds"),
+                      F.col("pieces").cast("bigint").alias("pieces"), "is_Broken_Shift", "week_number", "week_day",
+                      "week_info", "holiday_regions", "holiday_name",
+                      F.col("holiday_date").cast("timestamp_ntz").alias("holiday_date"), "is_additional_holiday", "Source")

@@ -367,15 +367,17 @@ def leave(timesheets: DataFrame, master_smn: DataFrame, cohort: DataFrame, easte
 
 
 def timesheet_leave_rows(events: DataFrame) -> DataFrame:
-    """Timesheet rows with leave markers derived from an event stream (driver queries)."""
-    t = timesheets_from_events(events)
-    return t.join(events.select(F.col("user_id").cast("string").alias("EmployeeCode"), F.col("ts").alias("ClockedIn"),
-                                "event_id", "event_type", "value"), ["EmployeeCode", "ClockedIn"]) \
-        .select("EmployeeCode", "ClockedIn", "ClockedOut",
-                F.when(F.col("event_type").isin("view", "signup"), F.lit("Yes")).otherwise(F.lit("no")).alias("Leave Record"),
-                F.lit("Annual leave").alias(PAYCODE_COL),
-                (F.col("value") / 60).cast("string").alias("Net Length"),
-                F.concat(F.lit("timesheets:row:"), (F.col("event_id") + 2).cast("string")).alias("Source"))
+    """Timesheet rows with leave markers derived from an event stream (driver queries);
+    one projection of the events, no self-join."""
+    secs = F.round(F.col("value") * 60).cast("int")
+    return events.select(
+        F.col("user_id").cast("string").alias("EmployeeCode"), F.col("ts").alias("ClockedIn"),
+        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)).alias("ClockedOut"),
+        F.when(F.col("event_type").isin("view", "signup"), F.lit("Yes")).otherwise(F.lit("no")).alias("Leave Record"),
+        F.lit("Annual leave").alias(PAYCODE_COL),
+        (F.col("value") / 60).cast("string").alias("Net Length"),
+        (F.col("value") / 100).alias("Breaks Length"),
+        F.concat(F.lit("timesheets:row:"), (F.col("event_id") + 2).cast("string")).alias("Source"))
 
 
 def timesheets(ts: DataFrame, master_smn: DataFrame, holidays: DataFrame, shift_gap_hours: float = 4.0) -> DataFrame:
@@ -413,9 +415,6 @@ def timesheets(ts: DataFrame, master_smn: DataFrame, holidays: DataFrame, shift_
 def timesheet_rows(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Timesheet rows (with leave markers, break length and region) derived from an
     event stream (driver queries)."""
-    t = timesheet_leave_rows(events)
     geo = (customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
            .select(F.col("c_custkey").cast("string").alias("EmployeeCode"), F.col("n_name").alias("Region")))
-    brk = events.select(F.concat(F.lit("timesheets:row:"), (F.col("event_id") + 2).cast("string")).alias("Source"),
-                        (F.col("value") / 100).alias("Breaks Length"))
-    return t.join(geo, "EmployeeCode", "left").join(brk, "Source")
+    return timesheet_leave_rows(events).join(geo, "EmployeeCode", "left")

@@ -81,6 +81,24 @@ _UPPER_BOUND = (
 )
 
 
+CACHE_CONF = "effdated.scan.cacheInput"
+
+
+def _share_with_check(df: DataFrame) -> DataFrame:
+    """The size check is a job over ``df``. When ``df`` is itself a computed plan (it
+    contains a shuffle: joins, windows, aggregates), persist it so that the check
+    materialises it once and the scan reads it back, rather than every stacked scan
+    recomputing the whole upstream pipeline. Plain file scans are not cached. Blocks of
+    a lost executor are recomputed from lineage. Off with ``effdated.scan.cacheInput=false``."""
+    if df.sparkSession.conf.get(CACHE_CONF, "true").lower() == "false" or df.is_cached:
+        return df
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not any(op in plan for op in ("Join ", "Window ", "Aggregate ", "Repartition")):
+        return df
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @dataclass
 class ScanLayout:
     """A DataFrame plus the (keys, sub-bucket, order) it is scanned by."""
@@ -122,6 +140,7 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
            hot_rows: int | None = None) -> ScanLayout:
     """Assign ``_sub`` sub-buckets so that no (key, _sub) group exceeds ~hot_rows."""
     limit = _hot_rows(df, hot_rows)
+    df = _share_with_check(df)
     counts = df.groupBy(*qcs(keys)).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.filter(F.col("_n") > limit)
            .withColumn("_nsub", F.least(F.ceil(F.col("_n") / F.lit(limit)), F.lit(MAX_SPLITS)).cast("int")))

@@ -116,3 +116,29 @@ def test_streaming_ingest(spark, tmpdir_path):
     q.awaitTermination(120)
     rows = sorted((r.a, r.b, r.Source) for r in spark.table(t).collect())
     assert rows == [("1", "x", "s1:row:2"), ("2", None, "s1:row:3")]
+
+
+def test_catalog_sinks_and_audits(spark, tmpdir_path):
+    import datetime as dtm
+    df = spark.createDataFrame([("E1", dtm.datetime(2021, 3, 4, 5, 6, 7), "f1.csv"), ("E2", None, "f1.csv")],
+                               "EmployeeCode string, StartDate timestamp_ntz, source_file string")
+    catalog.save_dict_to_folder({"Pay Slips": df, "master": df}, os.path.join(tmpdir_path, "out"))
+    assert spark.read.parquet(os.path.join(tmpdir_path, "out", "Pay_Slips")).count() == 2
+    catalog.write_exception_report(df, csv_path=os.path.join(tmpdir_path, "exceptions"))
+    assert spark.read.option("header", "true").csv(os.path.join(tmpdir_path, "exceptions")).count() == 2
+    out = catalog.load_output(df, {"EmployeeCode": "EmployeeCode", "StartDate": "StartDate", "Missing": "Missing"},
+                              iso_columns=["StartDate"])
+    assert out.columns == ["EmployeeCode", "StartDate", "Missing"]
+    assert sorted((r.StartDate or "") for r in out.collect()) == ["", "2021-03-04T05:06:07"]
+    assert catalog.load_output(df, ["EmployeeCode"], switch=False) is None
+    audit = catalog.reading_audit(df, "payslips", options={"dtype": "object"}).collect()[0]
+    assert (audit.dataset, audit.filename, audit.rows, audit.columns) == ("payslips", "f1.csv", 2, 2)
+    b = catalog.build_audit(spark, "payslips", "batch1", ["t1", "t2"], ["row_filter", "flatten"])
+    catalog.append_audit(b, "audit_build_tbl")
+    assert spark.table("audit_build_tbl").count() >= 2
+    catalog.ensure_schema(spark, "stage_test_db")
+    assert catalog.schema_exists(spark, "stage_test_db")
+    catalog.ensure_table(spark, "stage_test_db.pay_tbl", {"a": "string", "b": "int"})
+    assert catalog.table_exists(spark, "stage_test_db.pay_tbl")
+    assert catalog.dataset_tables(spark, "stage_test_db", ["pay"]) == ["pay_tbl"]
+    assert set(catalog.inspect_table(spark, "stage_test_db.pay_tbl")) == {"a", "b"}

@@ -16,9 +16,10 @@ Inputs are in the staging shapes the report reads:
   ``region_rates`` (region, fy, tax_rate, penalty_rate, interest_rate), and scalars
   ``super_rate``, ``scg_rate``.
 
-Plan shape: all line-level work is one aggregation per (employee, FY) with
-filtered sums (partial aggregation map-side), plus one pivot aggregation for the
-pay-code detail. Everything after that works on one row per (employee, FY). The
+Plan shape: the line-level data is read once. One aggregation per (employee, FY,
+pay code) (partial aggregation map-side) feeds one aggregation per (employee, FY)
+that computes the filtered summary sums and the pay-code crosstab together, as
+conditional sums. Everything after that works on one row per (employee, FY). The
 rule and rate tables have a fixed size (FYs x regions) and are broadcast. Each
 attribute resolution is one broadcast range join against the FY rules plus a
 ``min_by`` pick, instead of three unions and a window.
@@ -77,20 +78,49 @@ def _z(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
-def _line_summary(lines: DataFrame, p: ReportParams) -> DataFrame:
-    in_b = F.col("pay_code").isin(list(p.ote_bucket))
-    not_b = ~F.col("pay_code").isin(list(p.ote_bucket))
+def line_facts(lines: DataFrame) -> DataFrame:
+    """The single pass over line-level data: sums per (employee, FY, pay code), including
+    the positive / negative parts. Both the FY summary and the pay-code crosstab derive
+    from this much smaller table, so the line data is scanned and shuffled once (the
+    plan reuses this aggregation's exchange)."""
     v = units("variance")
     return (lines.withColumn("fyear", financial_year("end").cast("string"))
-            .groupBy("employee_code", "fyear").agg(
-                _z(ag.positive_part_sum(v, in_b)).alias("OTE_excess"),
-                _z(ag.negative_part_sum(v, in_b)).alias("OTE_shortfall"),
-                _z(F.sum(F.when(in_b, v))).alias("OTE_variance"),
-                _z(ag.positive_part_sum(v, not_b)).alias("non_OTE_excess"),
-                _z(ag.negative_part_sum(v, not_b)).alias("non_OTE_shortfall"),
-                _z(F.sum(F.when(not_b, v))).alias("non_OTE_variance"),
-                _z(F.sum(F.when(in_b, units("actual")))).alias("OTE_actual"),
-                _z(F.sum(F.when(in_b, units("calculated")))).alias("OTE_calculated")))
+            .groupBy("employee_code", "fyear", "pay_code").agg(
+                F.sum(v).alias("v"), F.sum(F.greatest(v, F.lit(0))).alias("v_pos"),
+                F.sum(F.least(v, F.lit(0))).alias("v_neg"),
+                F.sum(units("actual")).alias("actual"), F.sum(units("calculated")).alias("calculated"),
+                F.sum(units("actual_hours")).alias("actual_hours"),
+                F.sum(units("calculated_hours")).alias("calculated_hours")))
+
+
+def _line_summary(facts: DataFrame, p: ReportParams) -> DataFrame:
+    in_b = F.col("pay_code").isin(list(p.ote_bucket))
+    not_b = ~F.col("pay_code").isin(list(p.ote_bucket))
+    return facts.groupBy("employee_code", "fyear").agg(
+        _z(F.sum(F.when(in_b, F.col("v_pos")))).alias("OTE_excess"),
+        _z(F.sum(F.when(in_b, F.col("v_neg")))).alias("OTE_shortfall"),
+        _z(F.sum(F.when(in_b, F.col("v")))).alias("OTE_variance"),
+        _z(F.sum(F.when(not_b, F.col("v_pos")))).alias("non_OTE_excess"),
+        _z(F.sum(F.when(not_b, F.col("v_neg")))).alias("non_OTE_shortfall"),
+        _z(F.sum(F.when(not_b, F.col("v")))).alias("non_OTE_variance"),
+        _z(F.sum(F.when(in_b, F.col("actual")))).alias("OTE_actual"),
+        _z(F.sum(F.when(in_b, F.col("calculated")))).alias("OTE_calculated"),
+        *_detail_aggs(p))
+
+
+_MEASURE_COL = {"actual_hours": "actual_hours", "calculated_hours": "calculated_hours",
+                "calculated": "calculated", "gross_Variance": "v", "payslip": "actual"}
+
+
+def _detail_names(p: ReportParams) -> list[str]:
+    return [f"{c}_{m}" for c in p.pay_codes for m in MEASURES]
+
+
+def _detail_aggs(p: ReportParams) -> list[Column]:
+    """The pay-code crosstab as conditional sums in the same aggregation as the summary
+    (this is what ``pivot`` compiles to), so the line facts are read once."""
+    return [F.sum(F.when(F.col("pay_code") == F.lit(c), F.col(_MEASURE_COL[m]))).alias(f"{c}_{m}")
+            for c in p.pay_codes for m in MEASURES]
 
 
 def _pil_summary(pil: DataFrame, p: ReportParams) -> DataFrame:
@@ -119,10 +149,11 @@ def _km_summary(km: DataFrame) -> DataFrame:
                 F.sum(units("calculated")).alias("add_re_km_calculated")))
 
 
-def group_by_fyear(lines: DataFrame, pil: DataFrame, km: DataFrame, p: ReportParams) -> DataFrame:
+def group_by_fyear(lines: DataFrame, pil: DataFrame, km: DataFrame, p: ReportParams,
+                   facts: DataFrame | None = None) -> DataFrame:
     """``base_group_fyear``: line, PIL and KM summaries, full outer joined per (employee, FY),
     with the variance formulas."""
-    j = (_line_summary(lines, p)
+    j = (_line_summary(facts if facts is not None else line_facts(lines), p)
          .join(_pil_summary(pil, p), ["employee_code", "fyear"], "full")
          .join(_km_summary(km), ["employee_code", "fyear"], "full"))
     if p.dropped_fy is not None:
@@ -163,7 +194,8 @@ def group_by_fyear(lines: DataFrame, pil: DataFrame, km: DataFrame, p: ReportPar
         c["add_re_pil"].alias("non_ote_pil"),
         c["OTE_actual"].alias("ote_actual"), c["OTE_calculated"].alias("ote_calculated"),
         c["add_re_km_actual"].alias("km_actual"), c["add_re_km_calculated"].alias("km_calculated"),
-        c["add_re_pil_actual"].alias("pil_actual"), c["add_re_pil_calculated"].alias("pil_calculated"))
+        c["add_re_pil_actual"].alias("pil_actual"), c["add_re_pil_calculated"].alias("pil_calculated"),
+        *[F.col(f"`{n}`") for n in _detail_names(p)])
 
 
 _ITEM = "StartDate:string,EndDate:string,Value:string"
@@ -240,14 +272,15 @@ def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> Dat
     return info
 
 
-def pay_code_detail(lines: DataFrame, p: ReportParams) -> DataFrame:
+def pay_code_detail(lines: DataFrame, p: ReportParams, facts: DataFrame | None = None) -> DataFrame:
     """Crosstab (employee, FY) x pay code of five sums, expanded to ``<code>_<measure>``
-    columns (the JSON-cell crosstab of the source, as one pivot aggregation)."""
-    base = lines.withColumn("fy", financial_year("end").cast("string"))
-    measures = {"actual_hours": F.sum(units("actual_hours")), "calculated_hours": F.sum(units("calculated_hours")),
-                "calculated": F.sum(units("calculated")), "gross_Variance": F.sum(units("variance")),
-                "payslip": F.sum(units("actual"))}
-    ct = ag.crosstab(base, ["employee_code", "fy"], "pay_code", p.pay_codes, measures)
+    columns (the JSON-cell crosstab of the source, as one pivot aggregation over the
+    per-pay-code facts)."""
+    f = (facts if facts is not None else line_facts(lines)).withColumnRenamed("fyear", "fy")
+    measures = {"actual_hours": F.sum("actual_hours"), "calculated_hours": F.sum("calculated_hours"),
+                "calculated": F.sum("calculated"), "gross_Variance": F.sum("v"),
+                "payslip": F.sum("actual")}
+    ct = ag.crosstab(f, ["employee_code", "fy"], "pay_code", p.pay_codes, measures)
     return ag.expand_cells(ct, ["employee_code", "fy"], p.pay_codes, MEASURES)
 
 
@@ -295,11 +328,7 @@ def remediation_report(lines: DataFrame, pil: DataFrame, km: DataFrame, employee
         (dbl("non_ote_variance"), "Non OTE Variance"), (dbl("gross_variance"), "Gross Variance"),
         (dbl("variance"), "Variance"),
         *[(dbl(n), n) for n in tail],
+        *[(from_units(F.col(f"`{n}`")), n) for n in _detail_names(p)],
     ]
     report = report_projection(final, cols)
-    report = report.filter(F.col("`Client ID`").isNotNull() & F.col("State").isNotNull())
-    detail = pay_code_detail(lines, p)
-    detail = detail.select(F.col("employee_code").alias("Employee Code"), F.col("fy").alias("Financial Year"),
-                           *[from_units(F.col(f"`{c}`")).alias(c) for c in detail.columns
-                             if c not in ("employee_code", "fy")])
-    return report.join(detail, ["Employee Code", "Financial Year"], "left")
+    return report.filter(F.col("`Client ID`").isNotNull() & F.col("State").isNotNull())

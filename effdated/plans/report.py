@@ -84,6 +84,9 @@ def line_facts(lines: DataFrame) -> DataFrame:
     from this much smaller table, so the line data is scanned and shuffled once (the
     plan reuses this aggregation's exchange)."""
     v = units("variance")
+    # hours are optional inputs: absent columns give null sums in the crosstab
+    lines = lines.withColumns({c: F.lit(None).cast("decimal(12,2)") for c in ("actual_hours", "calculated_hours")
+                               if c not in lines.columns})
     return (lines.withColumn("fyear", financial_year("end").cast("string"))
             .groupBy("employee_code", "fyear", "pay_code").agg(
                 F.sum(v).alias("v"), F.sum(F.greatest(v, F.lit(0))).alias("v_pos"),

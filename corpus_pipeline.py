@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from effdated.llm import exact_dedup, quality_rules
+from effdated.llm import exact_dedup, quality_rules, simhash
 from effdated.llm.common import read, shared_table
 
 
@@ -24,9 +24,15 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return exact_dedup.drop_exact_copies(docs)
 
 
+def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: of each group of near copies the row with the smallest doc_id stays."""
+    return simhash.drop_near_copies(docs)
+
+
 STAGES = [
     ("quality_rules", keep_quality),
     ("exact_dedup", keep_one_copy),
+    ("simhash", keep_one_near_copy),
 ]
 
 #: Components and packing have no SQL form; tests compare with brute force instead.

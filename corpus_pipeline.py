@@ -8,10 +8,10 @@ packed pieces). Between stages the rows are written to the shared folder and rea
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from effdated.llm import exact_dedup, quality_rules, simhash
+from effdated.llm import exact_dedup, mixing, packing, quality_rules, simhash
 from effdated.llm.common import read, shared_table
+from effdated.llm.registry import tokenizer_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +29,30 @@ def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.drop_near_copies(docs)
 
 
+#: Share of the mixture's tokens that may come from toxic texts.
+TOXIC_SHARE = 0.02
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: thin out toxic texts to their target share. No text is repeated
+    (rates are at most 1) and the budget lets the clean domain saturate, so clean
+    documents stay."""
+    labels = mixing.label_domains(read(spark, sf_dir, "labels"))
+    targets = {"clean": 1 - TOXIC_SHARE, "toxic": TOXIC_SHARE}
+    return mixing.take_mixture(docs, labels, targets, max_rate=1.0, budget=None)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one row per packed piece."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality_rules", keep_quality),
     ("exact_dedup", keep_one_copy),
     ("simhash", keep_one_near_copy),
+    ("mixing", mix_domains),
+    ("packing", pack),
 ]
 
 #: Components and packing have no SQL form; tests compare with brute force instead.

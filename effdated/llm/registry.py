@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules, simhash
+from . import exact_dedup, mixing, packing, quality_rules, simhash
 from .common import read
 
+#: Wanted shares of the token budget per domain.
+TARGETS = {"clean": 0.9, "low": 0.05, "toxic": 0.05}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer's file; it must be the same on driver and executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(f):
         QUERIES[name] = f
@@ -101,3 +111,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op10_mixing")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.label_domains(read(spark, sf_dir, "labels"))
+    return mixing.mixing_report(read(spark, sf_dir, "documents"), labels, TARGETS)

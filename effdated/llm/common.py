@@ -57,3 +57,20 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size_col: str, n_r
     at_hot = rows.join(hot, key)
     cold = rows.join(F.broadcast(groups.filter(is_hot).select(key)), key, "left_anti")
     return at_hot.unionByName(cold.join(groups.filter(~is_hot), key))
+
+
+def hash_table(entries: DataFrame, buckets: int) -> DataFrame:
+    """One row: ``table``, the rows ``(t long, w)`` of ``entries`` as ``buckets`` short lists by ``t``.
+
+    For tables of a fixed greatest size: as a scalar subquery every row can look values
+    up without a join, see :func:`hash_get`.
+    """
+    lists = entries.groupBy(F.pmod("t", F.lit(buckets)).cast("int").alias("b")).agg(F.sort_array(F.collect_list(F.struct("t", "w"))).alias("l"))
+    every = entries.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(lists, "b", "left")
+    return every.agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "l"))), lambda x: x["l"]).alias("table"))
+
+
+def hash_get(table: Column, key: Column, buckets: int) -> Column:
+    """The ``w`` of ``key`` in a ``hash_table``, or null. ``key`` should be a cheap expression."""
+    found = F.filter(F.get(table, F.pmod(key, F.lit(buckets)).cast("int")), lambda e: e["t"] == key)
+    return F.get(found, F.lit(0))["w"]

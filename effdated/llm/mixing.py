@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, shared_table
+from .common import hash_get, hash_table, let, shared_table
 
 BUCKETS = 1 << 12
 MAX_TERMS = 4096
@@ -49,10 +49,6 @@ def _terms(words: Column) -> Column:
                                      F.transform(words, lambda w: F.xxhash64(F.right(w, F.lit(2)), F.lit(2)))))
 
 
-def _bucket(term: Column) -> Column:
-    return F.pmod(term, F.lit(BUCKETS)).cast("int")
-
-
 def learn_weights(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row: ``prior`` (log, per domain, for a text without any of the terms) and ``weights``, an array of ``BUCKETS`` lists of
     ``(t, w)``, a term and its weight per domain; null for no term.
@@ -84,9 +80,7 @@ def learn_weights(docs: DataFrame, labels: DataFrame, domains: list[str], id_col
              .filter(strong).select("t", weight.alias("w"), F.array(*[F.log(1.0 - x) for x in share]).alias("_without"), F.greatest(*odd).alias("_odd"))
              .orderBy(F.desc("_odd"), "t").limit(MAX_TERMS))
     known = shared_table(known, "mixing-terms")
-    lists = known.groupBy(_bucket(F.col("t")).alias("b")).agg(F.sort_array(F.collect_list(F.struct("t", "w"))).alias("l"))
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(F.broadcast(lists), "b", "left")
-    dense = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "l"))), lambda x: x["l"]).alias("weights"))
+    dense = hash_table(known, BUCKETS).withColumnRenamed("table", "weights")
     absent = known.agg(*[F.coalesce(F.sum(F.get("_without", F.lit(i))), F.lit(0.0)).alias(f"_a{i}") for i in range(k)])
     prior = total.crossJoin(F.broadcast(absent)).select(  # one row each
         F.array(*[F.log((x + 1.0) / (all_t + float(k))) + F.col(f"_a{i}") for i, x in enumerate(t)]).alias("prior"))
@@ -99,14 +93,12 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str], text_col:
     weights, prior = model.select("weights").scalar(), model.select("prior").scalar()
     zero = F.struct(*[F.lit(0.0).alias(f"s{i}") for i in range(k)])
 
-    def add(a: Column, e: Column) -> Column:
-        return F.struct(*[(a[f"s{i}"] + F.get(e["w"], F.lit(i))).alias(f"s{i}") for i in range(k)])
+    def add(a: Column, w: Column) -> Column:
+        return F.struct(*[(a[f"s{i}"] + F.get(w, F.lit(i))).alias(f"s{i}") for i in range(k)])
 
-    at = lambda h: F.get(F.col("_weights"), _bucket(h))
-    near = F.filter(_terms(F.col("_words")), lambda h: at(h).isNotNull())
-    entries = F.flatten(F.transform(near, lambda h: F.filter(at(h), lambda e: e["t"] == h)))
+    found = F.filter(F.transform(_terms(F.col("_words")), lambda h: hash_get(F.col("_weights"), h, BUCKETS)), lambda w: w.isNotNull())
     out = docs.withColumn("_words", _words(F.col(f"`{text_col}`"))).withColumn("_weights", weights).withColumn("_prior", prior)
-    out = out.withColumn("_s", F.aggregate(entries, zero, add))
+    out = out.withColumn("_s", F.aggregate(found, zero, add))
     score = [F.get(F.col("_prior"), F.lit(i)) + F.col("_s")[f"s{i}"] for i in range(k)]
     top = F.greatest(*score, F.lit(-1e300))
     p = let(F.array(*[F.exp(s - top) for s in score]),

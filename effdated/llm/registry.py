@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality_rules, simhash
+from . import exact_dedup, lang_id, mixing, packing, quality_rules, secret_scan, simhash, url_filter
 from .common import read
 
 #: Wanted shares of the token budget per domain.
 TARGETS = {"clean": 0.9, "low": 0.05, "toxic": 0.05}
+#: URL rules: kind, then host suffix and path prefix (fixed values).
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +124,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = mixing.label_domains(read(spark, sf_dir, "labels"))
     return mixing.mixing_report(read(spark, sf_dir, "documents"), labels, TARGETS)
+
+
+@query("op4_lang_id")
+def op4_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(read(spark, sf_dir, "documents"))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digest(secret_scan.find_secrets(read(spark, sf_dir, "documents")))
+
+
+@query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(read(spark, sf_dir, "pages"), URL_RULES)

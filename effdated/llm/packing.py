@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from .common import shared_table
 CAPACITY = 2048
 END_ID = 1
 #: Words whose ids a task remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 #: Pieces of one length that one task numbers, about.
 BLOCK_ROWS = 50_000
 #: The split of which the word cache is an exact shortcut (the tokenizer file's own pattern).
@@ -41,6 +42,11 @@ _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _LETTERS, _NUMBERS, _BLANKS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
 _LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+")
 
+#: Byte-level BPE writes each byte as one character: printable ones stand for themselves,
+#: the others for 256, 257, ... in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 
 class Encoder:
     """Ids of texts as little-endian uint32 bytes, equal to the tokenizer's own.
@@ -66,23 +72,19 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w[0].isalpha()]
-        if plain:  # one call: letters-only words stay apart at blanks
-            e = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4").tobytes()
-            at = (np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(plain) + 1)) * 4).tolist()
-            self.known.update((w, ids[at[i]:at[i + 1]]) for i, w in enumerate(plain))
+    def _learn(self, words: set[str]) -> None:
+        """Ids of single words straight from the tokenizer's model, without offsets and the like."""
+        tokenize, known = self.tokenizer.model.tokenize, self.known
         for w in words:
-            if not w[0].isalpha():
-                self.known[w] = self._whole(w)
+            ids = [t.id for t in tokenize(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_BYTE_LEVEL))]
+            known[w] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [_LATIN_WORDS.findall(t.lower()) if self.by_word and (t.isascii() or max(t) <= "\xff") else None for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         new = set().union(*(w for w in words if w)) - self.known.keys()
-        self._learn(list(new))
+        self._learn(new)
         return [self._whole(t) if w is None else b"".join(map(self.known.__getitem__, w)) for t, w in zip(texts, words)]
 
 
@@ -95,8 +97,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 out: list[list] = [[], [], [], [], []]
                 for i, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()])):
                     view = memoryview(ids + end)

@@ -48,6 +48,29 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class _Words(dict):
+    """Ids of single words as bytes, straight from the tokenizer's model (no offsets and the like)."""
+
+    def __init__(self, tokenize):
+        self.tokenize = tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        if not (word.isascii() and word.isprintable()):
+            ids = [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(_BYTE_LEVEL))]
+        else:
+            ids = [t.id for t in self.tokenize(word)]
+        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
 class Encoder:
     """Ids of texts as little-endian uint32 bytes, equal to the tokenizer's own.
 
@@ -67,26 +90,15 @@ class Encoder:
         names = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.by_word = names == ["NFC", "Replace", "Lowercase"] and splits[:1] == [
             {"type": "Split", "pattern": {"Regex": _WORD_SPLIT}, "behavior": "Removed", "invert": True}]
-        self.known: dict[str, bytes] = {}
+        self.words = _Words(self.tokenizer.model.tokenize)
 
-    def _whole(self, text: str) -> bytes:
+    def encode(self, text: str) -> bytes:
+        if self.by_word and _is_latin(text):
+            if len(self.words) > CACHE_WORDS:
+                self.words.clear()
+            return b"".join(map(self.words.__getitem__, _LATIN_WORDS.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of single words straight from the tokenizer's model, without offsets and the like."""
-        tokenize, known = self.tokenizer.model.tokenize, self.known
-        for w in words:
-            ids = [t.id for t in tokenize(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_BYTE_LEVEL))]
-            known[w] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [_LATIN_WORDS.findall(t.lower()) if self.by_word and (t.isascii() or max(t) <= "\xff") else None for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = set().union(*(w for w in words if w)) - self.known.keys()
-        self._learn(new)
-        return [self._whole(t) if w is None else b"".join(map(self.known.__getitem__, w)) for t, w in zip(texts, words)]
-
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
            end_id: int = END_ID) -> DataFrame:
@@ -97,17 +109,15 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out: list[list] = [[], [], [], [], []]
-                for i, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()])):
-                    view = memoryview(ids + end)
-                    n = len(view) // 4
-                    for start in range(0, n, capacity):
-                        piece = view[4 * start : 4 * (start + capacity)]
-                        for column, x in zip(out, (i, start, len(piece) // 4, zlib.crc32(piece), n)):
-                            column.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["_id", "start", "length", "ids_crc32", "doc_tokens"])
+            out: list[list] = [[], [], [], [], []]
+            for i, text in zip(batch.column(0), batch.column(1)):
+                view = memoryview(encoder.encode(text.as_py() or "") + end)
+                n = len(view) // 4
+                for start in range(0, n, capacity):
+                    piece = view[4 * start : 4 * (start + capacity)]
+                    for column, x in zip(out, (i.as_py(), start, len(piece) // 4, zlib.crc32(piece), n)):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return rows.mapInArrow(run, "_id long, start long, length long, ids_crc32 long, doc_tokens long")
 

@@ -152,21 +152,22 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], max_rate: float, bud
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        max_rate: float = 4.0, budget: float | None = 1.0) -> DataFrame:
+        max_rate: float = 4.0, budget: float | None = 1.0, with_text: bool = True) -> DataFrame:
     """``docs`` plus ``_tokens``, ``_p`` (posteriors), ``_rate`` and ``_copies``."""
     domains = list(targets)
     model = learn_weights(docs, labels, domains, id_col, text_col)
-    scored = shared_table(posteriors(docs, model, domains, text_col), "mixing-scored")
-    rate = _replay(F.col("_p"), fit_rates(scored, targets, max_rate, budget), max_rate)
     u = F.pmod(F.xxhash64(F.lit(7), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(1 << 32)) / float(1 << 32)
-    return scored.withColumn("_rate", F.round(rate, 6)).withColumn("_copies", F.floor(F.col("_rate") + u))
+    scored = posteriors(docs, model, domains, text_col).withColumn("_u", u)
+    scored = shared_table(scored if with_text else scored.drop(text_col), "mixing-scored")
+    rate = _replay(F.col("_p"), fit_rates(scored, targets, max_rate, budget), max_rate)
+    return scored.withColumn("_rate", F.round(rate, 6)).withColumn("_copies", F.floor(F.col("_rate") + F.col("_u"))).drop("_u")
 
 
 def mixing_report(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
                   max_rate: float = 4.0, budget: float | None = 1.0) -> DataFrame:
     """``id_col, n_tokens``, a posterior per domain, ``rate`` and ``copies`` per row of ``docs``."""
     named = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    out = mix(named, labels, targets, id_col, text_col, max_rate, budget)
+    out = mix(named, labels, targets, id_col, text_col, max_rate, budget, with_text=False)
     return out.select(id_col, F.col("_tokens").alias("n_tokens"), *[(F.get("_p", F.lit(i)) / GRID).alias(f"p_{d}") for i, d in enumerate(targets)],
                       F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
 

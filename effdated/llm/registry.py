@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, lang_id, mixing, packing, quality_rules, secret_scan, simhash, url_filter
+from . import exact_dedup, html_extract, lang_id, line_dedup, mixing, packing, quality_rules, secret_scan, simhash, url_filter
 from .common import read
 
 #: Wanted shares of the token budget per domain.
@@ -139,3 +140,16 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_url_filter")
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op3_html_extract")
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(read(spark, sf_dir, "pages"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.array_join(F.col("dropped_lines").cast("array<string>"), ",")
+    return out.select("doc_id", F.col("n_lines").cast("long"), F.size("dropped_lines").cast("long").alias("n_dropped"), gone.alias("dropped"),
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))

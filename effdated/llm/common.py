@@ -35,6 +35,17 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, **named: str) -> DataFrame:
+    """All columns of ``docs`` in one struct ``_row``, beside the named ones under names of our
+    own, so that no column of the input can clash with one that an operator adds."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    return docs.select(row, *[F.col(f"`{c}`").alias(n) for n, c in named.items()])
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("_row.*")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` once and use it many times inside ``body`` (evaluated per row)."""
     return F.element_at(F.transform(F.array(value), body), 1)

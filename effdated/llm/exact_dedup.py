@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, lower_ascii, shared_table
+from .common import join_groups, lower_ascii, packed, shared_table, unpacked
 
 MAX_FILTER_BITS = 1 << 28
 MIN_FILTER_BITS = 1 << 15
@@ -95,8 +95,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``max_by`` keeps one row, with partial aggregation, so a hot text is reduced in
     every task before it shuffles.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = docs.select(row.alias("_row"), F.col(f"`{id_col}`").alias("_id"), text_sha256(F.col(f"`{text_col}`")).alias("_sha"))
+    keyed = packed(docs, _id=id_col, _text=text_col).select("_row", "_id", text_sha256(F.col("_text")).alias("_sha"))
     hashed = shared_table(keyed.select("_id", "_sha"), "exact-hashed")
     bits = _filter_bits(hashed.count())
     flagged = flag_repeated(keyed, shared_table(repeated_cells(hashed, bits), "exact-cells"), bits)
@@ -104,4 +103,4 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # null ids order below every other id
     order = F.struct(F.col("_id").isNotNull(), F.col("_id"))
     kept = flagged.filter("_maybe").groupBy("_sha").agg(F.max_by("_row", order).alias("_row")).select("_row")
-    return unique.unionByName(kept).select("_row.*")
+    return unpacked(unique.unionByName(kept))

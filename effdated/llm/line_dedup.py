@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, shared_table
+from .common import join_groups, packed, shared_table
 
 MIN_WORDS = 8
 MAX_FILTER_BITS, MIN_FILTER_BITS, BITMAP_BITS = 1 << 28, 1 << 15, 1 << 15
@@ -158,14 +158,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the lines that go taken out of the text, plus ``n_lines`` and ``dropped_lines``
-    (0-based numbers); these two names replace columns of the same name."""
+    (0-based numbers); these two replace columns of the same name."""
     gone = shared_table(dropped_lines(docs, id_col, text_col, min_words), "lines-gone")
-    keep = [c for c in docs.columns if c not in ("n_lines", "dropped_lines")]
-    ident, text = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], ident.isNull().alias("_null"), F.coalesce(ident, F.lit(0)).alias("_id"), F.xxhash64(text).alias("_th"))
-    out = rows.join(gone, ["_null", "_id", "_th"], "left").withColumn("_lines", F.split(text, "\n"))
-    out = out.withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
-    # line numbers to a map, so that a text of very many lines is not searched line by line
-    left = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")), lambda i: F.get(F.col("_lines"), i)), "\n")
-    shorter = F.when(F.size("_gone") > 0, left).otherwise(F.col(f"`{text_col}`"))
-    return out.select(*[shorter.alias(c) if c == text_col else F.col(f"`{c}`") for c in keep], F.size("_lines").alias("n_lines"), F.col("_gone").alias("dropped_lines"))
+    ident = F.col("_id").cast("long")
+    rows = packed(docs, _id=id_col, _text=text_col).select(
+        "_row", ident.isNull().alias("_null"), F.coalesce(ident, F.lit(0)).alias("_id"), F.xxhash64(F.coalesce("_text", F.lit(""))).alias("_th"))
+    out = rows.join(gone, ["_null", "_id", "_th"], "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
+    text = F.col("_row")[text_col]
+    out = out.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n"))
+    # the numbers that stay come from one set difference, so long texts are not searched line by line
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    left = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
+    shorter = F.when(F.size("_gone") > 0, left).otherwise(text)
+    own = [shorter.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "dropped_lines")]
+    return out.select(*own, F.size("_lines").alias("n_lines"), F.col("_gone").alias("dropped_lines"))

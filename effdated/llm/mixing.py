@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_get, hash_table, let, shared_table
+from .common import hash_get, hash_table, let, packed, shared_table, unpacked
 
 BUCKETS = 1 << 12
 MAX_TERMS = 4096
@@ -175,10 +175,11 @@ def mixing_report(docs: DataFrame, labels: DataFrame, targets: dict[str, float],
 def take_mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
                  max_rate: float = 4.0, budget: float | None = 1.0) -> DataFrame:
     """The rows of ``docs``, each as often as its number of copies says."""
-    out = mix(docs, labels, targets, id_col, text_col, max_rate, budget).filter("_copies > 0")
+    named = labels.select(F.col(f"`{id_col}`").alias("id"), "domain")
+    out = mix(packed(docs, id=id_col, text=text_col), named, targets, "id", "text", max_rate, budget, with_text=False).filter("_copies > 0")
     if max_rate > 1:
         out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(out)
 
 
 def label_domains(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

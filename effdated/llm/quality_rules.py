@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, UPPER, let, shared_table
+from .common import SPACES, UPPER, let, packed, shared_table, unpacked
 
 #: Symbols counted by the base figures (fixed values).
 SYMBOLS = "#*$%&|<>"
@@ -176,6 +176,8 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   max_false_rejection: float = 0.01, error: float = 0.05) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns. The figures are
     written beside the rows, so no text is measured twice and none is shuffled."""
-    figures = shared_table(text_figures(docs, text_col), "quality-figures")
-    cutoffs = shared_table(learn_cutoffs(figures, labels, id_col, stratum_col, max_false_rejection, error), "quality-cutoffs")
-    return judge(figures, cutoffs, stratum_col).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = packed(docs, id=id_col, stratum=stratum_col, text=text_col)
+    figures = shared_table(text_figures(rows).drop("text"), "quality-figures")
+    named = labels.select(F.col(f"`{id_col}`").alias("id"), "quality")
+    cutoffs = shared_table(learn_cutoffs(figures, named, "id", "stratum", max_false_rejection, error), "quality-cutoffs")
+    return unpacked(judge(figures, cutoffs, "stratum").filter("_kept"))

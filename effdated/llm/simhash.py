@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, join_groups, shared_table
+from .common import HOT_SHARE, join_groups, packed, shared_table, unpacked
 from .graph import connected_components
 
 SHINGLE = 4
@@ -149,9 +149,8 @@ def _forest(group: tuple, max_bits: int, segments: int, pieces: int) -> list[tup
     return links
 
 
-def _compare(max_bits: int, segments: int, pieces: int, masks: list[int]):
+def _compare(max_bits: int, segments: int, pieces: int):
     """Rows sorted by (slot, key, lo, hi) to links; groups may span Arrow batches."""
-    mask = np.array(masks, dtype=np.uint64)
     names = ["slot", "key", "lo", "hi", "half", "fp", "rep"]
 
     def links_of(cols: dict[str, np.ndarray], edge: np.ndarray) -> list[np.ndarray]:
@@ -165,10 +164,6 @@ def _compare(max_bits: int, segments: int, pieces: int, masks: list[int]):
             i = np.flatnonzero((run_of[:-shift] == run_of[shift:]) & small[run_of[:-shift]])
             if len(i):
                 i = i[_linked(fp[i], fp[i + shift], slot[i], max_bits, segments, pieces)]
-                # a pair that an earlier mask also joins has been given out there
-                diff = fp[i] ^ fp[i + shift]
-                earliest = np.argmax((diff[:, None] & mask[None, :]) == 0, axis=1)
-                i = i[earliest == slot[i]]
                 found.append(np.stack([rep[i], rep[i + shift]], axis=1))
         for g in np.flatnonzero(~small):
             at = slice(starts[g], starts[g] + sizes[g])
@@ -228,7 +223,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS
                          (F.col("mine") > F.col("other")).alias("half"), "fp", "rep")
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = dealt.repartition(parts, "slot", "key", "lo", "hi").sortWithinPartitions("slot", "key", "lo", "hi")
-    return sorted_rows.mapInArrow(_compare(max_bits, segments, pieces, masks), "u long, v long")
+    return sorted_rows.mapInArrow(_compare(max_bits, segments, pieces), "u long, v long")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -254,8 +249,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Of rows that share that id one stays; rows without an id stay (they cannot be named).
     The ids to drop are joined against; texts shuffle once at most.
     """
-    found = shared_table(simhash_components(docs.select(id_col, text_col), id_col, text_col, **parameters), "simhash-found")
-    lost = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_lost"), F.lit(0).cast("long").alias("_part")).distinct()
-    mine = F.col(f"`{id_col}`")
-    part = F.when(mine.isNull(), F.xxhash64(F.col(f"`{text_col}`"))).otherwise(F.lit(0).cast("long"))  # null ids don't meet in one task
-    return docs.join(lost, (mine == F.col("_lost")) & (part == F.col("_part")), "left_anti")
+    found = shared_table(simhash_components(docs, id_col, text_col, **parameters), "simhash-found")
+    lost = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id"), F.lit(0).cast("long").alias("_part")).distinct()
+    part = F.when(F.col("_id").isNull(), F.xxhash64("_text")).otherwise(F.lit(0).cast("long"))  # null ids don't meet in one task
+    rows = packed(docs, _id=id_col, _text=text_col).withColumn("_part", part).drop("_text")
+    return unpacked(rows.join(lost, ["_id", "_part"], "left_anti"))

@@ -14,6 +14,10 @@ from effdated.session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whole texts that go to a Python task at once.
+TEXT_ROWS = 500
+
 #: A group counts as hot when it holds more than 1 / HOT_SHARE of all rows, so there
 #: are fewer than HOT_SHARE hot groups at any input size and they can be broadcast.
 HOT_SHARE = 1000
@@ -23,15 +27,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_table(df: DataFrame, label: str) -> DataFrame:
+def shared_table(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the cluster's shared checkpoint folder and read it back.
 
     Cuts the lineage without tying rows to an executor: a lost executor re-reads
-    the files instead of recomputing (or losing) what came before.
+    the files instead of recomputing (or losing) what came before. ``batch_rows``: for
+    this write, the most rows that go to a Python task at once (whole texts are large).
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    was = spark.conf.get(_BATCH)
+    try:
+        if batch_rows:
+            spark.conf.set(_BATCH, str(min(batch_rows, int(was))))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, was)
     return spark.read.schema(df.schema).parquet(path)
 
 

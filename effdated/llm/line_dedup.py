@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, packed, shared_table
+from .common import TEXT_ROWS, join_groups, packed, shared_table
 
 MIN_WORDS = 8
 MAX_FILTER_BITS, MIN_FILTER_BITS, BITMAP_BITS = 1 << 28, 1 << 15, 1 << 15
@@ -115,7 +115,7 @@ def _variants(texts: DataFrame) -> DataFrame:
 
 def _partners(texts: DataFrame) -> DataFrame:
     """``h1, h2`` and the hashes ``p1, p2`` of the earliest line one word edit away, if earlier."""
-    rows = shared_table(_variants(texts).join(texts.select(*_HASH, "place"), _HASH), "lines-variants")
+    rows = shared_table(_variants(texts).join(texts.select(*_HASH, "place"), _HASH), "lines-variants", 5 * TEXT_ROWS)
     rows = rows.withColumn("me", F.struct("place", *_HASH)).withColumn("group", F.struct("key", "pos"))
     least = lambda role: F.min(F.when(F.col("role") == role, F.col("me")))
     groups = rows.groupBy("group").agg(least(0).alias("_whole"), least(1).alias("_cut"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")

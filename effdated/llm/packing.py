@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shared_table
+from .common import TEXT_ROWS, shared_table
 
 CAPACITY = 2048
 END_ID = 1
 #: Words whose ids a task remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 120_000
 #: Pieces of one length that one task numbers, about.
 BLOCK_ROWS = 50_000
 #: The split of which the word cache is an exact shortcut (the tokenizer file's own pattern).
@@ -213,4 +213,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                    capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     cut = pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id).withColumn("_row", F.monotonically_increasing_id())
-    return place(shared_table(cut, "packing-pieces"), capacity).withColumnRenamed("_id", id_col)
+    return place(shared_table(cut, "packing-pieces", TEXT_ROWS), capacity).withColumnRenamed("_id", id_col)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_table
+from .common import TEXT_ROWS, shared_table
 
 KINDS = ("assign", "access", "hex")
 #: Base patterns with the least length of the value that counts (fixed values).
@@ -197,7 +197,7 @@ def _samples(scanned: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, spans`` per row: ``array<struct<start, kind, stop, value>>`` by start and kind."""
-    scanned = shared_table(scan(docs, id_col, text_col), "secrets-scanned")
+    scanned = shared_table(scan(docs, id_col, text_col), "secrets-scanned", TEXT_ROWS)
     model = learn_formats(*_samples(scanned))
     order = [*KINDS, *(f"like_{k}" for k in KINDS)]
     sent = docs.sparkSession.sparkContext.broadcast(model)  # automata of at most a few thousand strings

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, join_groups, packed, shared_table, unpacked
+from .common import HOT_SHARE, TEXT_ROWS, join_groups, packed, shared_table, unpacked
 from .graph import connected_components
 
 SHINGLE = 4
@@ -229,7 +229,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        max_bits: int = MAX_BITS, segments: int = SEGMENTS, pieces: int = PIECES, block: int = BLOCK) -> DataFrame:
     """``id_col, fingerprint, component_id`` per row of ``docs``."""
-    fps = shared_table(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
+    fps = shared_table(fingerprints(docs, id_col, text_col, shingle), "simhash-fps", TEXT_ROWS)
     n = fps.count()
     groups = fps.groupBy("_fp").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_n"))
     # a class without any id still links others: its fingerprint stands in, below every id

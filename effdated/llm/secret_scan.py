@@ -42,7 +42,7 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % MIN_CANDIDAT
 MAX_LEARNT_CHARS = 256
 MAX_LABELLED, MAX_BACKGROUND, MIN_LABELLED = 400, 800, 8
 MERGE_LEVEL = 0.05
-BACKGROUND_SHARE, LABEL_SHARE, MIN_RATIO = 0.001, 0.05, 0.5
+BACKGROUND_SHARE, LABEL_SHARE, MIN_RATIO = 0.01, 0.05, 0.7
 _STOP = "$"
 
 
@@ -149,7 +149,7 @@ def learn_formats(labelled: dict[str, list[str]], background: list[str]) -> dict
         automaton = Automaton([classes(v) for v in values])
         own = sorted(automaton.score(classes(v)) for v in values)
         usual = sorted(automaton.score(classes(v)) - noise.score(classes(v)) for v in background)
-        ratio = usual[min(len(usual) - 1, math.floor(len(usual) * (1 - BACKGROUND_SHARE)))] if usual else 0.0
+        ratio = usual[math.floor((len(usual) - 1) * (1 - BACKGROUND_SHARE))] if usual else 0.0
         formats[kind] = (automaton, own[math.floor(len(own) * LABEL_SHARE)], max(MIN_RATIO, ratio))
     return {"noise": noise, "formats": formats}
 

@@ -58,7 +58,7 @@ def apply_rules(host: Column, path: Column, rules: list[tuple[str, str]]) -> tup
 
 def _characters(url: Column) -> Column:
     text = F.translate(F.coalesce(url, F.lit("")), UPPER + START + STOP, LOWER)
-    return F.concat(F.array(*[F.lit(START)] * ORDER), F.split(text, ""), F.array(F.lit(STOP)))
+    return F.concat(F.array(*[F.lit(START)] * ORDER), F.array_remove(F.split(text, ""), ""), F.array(F.lit(STOP)))
 
 
 def _run(chars: Column, at: Column, k: int) -> Column:

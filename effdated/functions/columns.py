@@ -135,11 +135,17 @@ def leave_end_from_hours(df: DataFrame, leave_start: str, leave_end: str,
     return df.withColumn(leave_end, F.col(leave_start) + F.make_dt_interval(F.lit(0), hrs))
 
 
+# Seconds per unit of a break length.
+BREAK_UNITS = {"hour": 3600.0, "hours": 3600.0, "minute": 60.0, "minutes": 60.0}
+
+
 def unpaid_break(df: DataFrame, target_col: str, pay_start: str, pay_end: str,
                  break_length: str, break_length_format: str = "hours") -> DataFrame:
     """Unpaid break placed in the middle of the shift, as struct {start, end}; null
-    when the break length is not positive. ``break_length_format``: hours or minutes."""
-    secs = F.col(break_length).cast("double") * F.lit(3600.0 if break_length_format == "hours" else 60.0)
+    when the break length is not positive. ``break_length_format``: hour(s) or minute(s)."""
+    if break_length_format not in BREAK_UNITS:
+        raise ValueError(f"unknown break length format {break_length_format!r}; one of {sorted(BREAK_UNITS)}")
+    secs = F.col(break_length).cast("double") * F.lit(BREAK_UNITS[break_length_format])
     shift_secs = F.timestamp_diff("SECOND", F.col(pay_start), F.col(pay_end))
     lead_secs = ((shift_secs - secs) / 2).cast("long")
     b_start = F.col(pay_start) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), lead_secs)

@@ -16,7 +16,8 @@ from effdated.operators.scan import _order_struct, qc, qcs
 
 
 def _ordered_values(c: str, order: Column | None) -> Column:
-    o = order if order is not None else F.monotonically_increasing_id()
+    """Values of the group in ``order``; without one, in the values' own order, nulls last."""
+    o = order if order is not None else F.struct(qc(c).isNull().alias("n"), qc(c).alias("v"))
     return F.transform(F.array_sort(F.collect_list(F.struct(o.alias("o"), qc(c).alias("v")))),
                        lambda x: x["v"])
 
@@ -26,7 +27,8 @@ def agg_expr(c: str, how: str, order: Column | None = None) -> Column:
 
     ``first`` / ``last`` are the first / last **non-null** value in ``order``;
     ``unique`` is the distinct values in order of appearance, nulls included;
-    ``list`` is every value in order.
+    ``list`` is every value in order. Without an order these two follow the values' own
+    order, so the result does not depend on how rows were dealt out.
     """
     col = qc(c)
     if how == "min":

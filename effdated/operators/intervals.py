@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from effdated.operators import scan
@@ -171,18 +171,21 @@ def pick_longest(df: DataFrame, key: str, start: str, end: str, id_col: str,
     smaller ``id_col``). Non-overlapping rows are their own island and are kept.
 
     The survivor is chosen with ``min_by`` (partial aggregation, so a large island
-    is pre-reduced map-side) and joined back on the unique ``id_col``.
+    is pre-reduced map-side) and joined back on (key, island); ``id_col`` need only be unique
+    among records of equal period in an island.
     """
     isl = add_overlapping_identifier(df, key, start, end, False, [*order_by, id_col],
                                      "_island", "_ov", hot_rows)
     dur = _duration(start, end)
     rank = F.struct(dur.isNull().alias("a"), (-dur).alias("b"), F.col(start).isNull().alias("c"),
                     F.col(start).alias("d"), F.col(id_col).alias("e"))
-    survivors = (isl.groupBy(key, "_island").agg(F.min_by(F.col(id_col), rank).alias("_win"))
-                 .select(F.col("_win").alias(id_col), F.lit(True).alias("_w")))
-    return (isl.join(survivors, id_col, "left")
-            .withColumn(flag_col, F.coalesce(F.col("_w"), F.lit(False)))
-            .drop("_w", "_island", "_ov"))
+    won = (isl.groupBy(qc(key).alias("_wkey"), F.col("_island").alias("_wisland"))
+           .agg(F.min_by(F.struct(F.col(start), F.col(end), F.col(id_col).alias("id")), rank).alias("_win")))
+    same = qc(key).eqNullSafe(F.col("_wkey")) & (F.col("_island") == F.col("_wisland"))
+    picked = (F.col(id_col).eqNullSafe(F.col("_win.id")) & F.col(start).eqNullSafe(F.col("_win")[start])
+              & F.col(end).eqNullSafe(F.col("_win")[end]))
+    return (isl.join(won, same, "left").withColumn(flag_col, F.coalesce(picked, F.lit(False)))
+            .drop("_win", "_wkey", "_wisland", "_island", "_ov"))
 
 
 def unify_overlapping(df: DataFrame, key: str, start: str, end: str, code_col: str | None = None,
@@ -195,40 +198,66 @@ def unify_overlapping(df: DataFrame, key: str, start: str, end: str, code_col: s
     aggs = [F.min(start).alias("_ustart"), F.max(end).alias("_uend")]
     if code_col:
         aggs.append(agg_expr(code_col, "first", order).alias("_ucode"))
-    spans = isl.groupBy(key, "_island").agg(*aggs)
-    out = (isl.join(spans, [key, "_island"], "left")
+    spans = isl.groupBy(qc(key).alias("_ukey"), F.col("_island").alias("_uisland")).agg(*aggs)
+    out = (isl.join(spans, qc(key).eqNullSafe(F.col("_ukey")) & (F.col("_island") == F.col("_uisland")), "left")
            .withColumn(start, F.col("_ustart")).withColumn(end, F.col("_uend")))
     if code_col:
         out = out.withColumn(code_col, F.col("_ucode"))
-    return out.drop("_ustart", "_uend", "_ucode", "_island", "_ov")
+    return out.drop("_ustart", "_uend", "_ucode", "_ukey", "_uisland", "_island", "_ov")
+
+
+_OPEN_END = "9999-12-31 00:00:00"  # stands for a null end while periods are compared
+
+
+def _winning_pieces(isl: DataFrame, key: str, start: str, value_cols: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Boundary sweep inside overlap islands: the island is cut at every start and end of its
+    records, and each piece takes the values of the last record (in ``order``) covering it.
+    Records and pieces of one island meet in an equi join on (key, island); islands are
+    as long as periods overlap in a chain, so ordinary keys stay far below a task's size."""
+    at = [qc(key).alias("_k"), F.col("_island")]
+    points = isl.select(*at, F.explode(F.array(F.col(start), F.col("_end"))).alias("_from")).distinct()
+    w = Window.partitionBy("_k", "_island").orderBy("_from")
+    pieces = points.withColumn("_to", F.lead("_from").over(w)).filter(F.col("_to").isNotNull())
+    records = isl.select(*at, F.col(start).alias("_s"), F.col("_end").alias("_e"),
+                         F.struct(*qcs(value_cols)).alias("_v"), _order_struct(list(order)).alias("_o"))
+    r, p = records.alias("r"), pieces.alias("p")
+    cond = (F.col("r._k").eqNullSafe(F.col("p._k")) & (F.col("r._island") == F.col("p._island"))
+            & (F.col("r._s") <= F.col("p._from")) & (F.col("r._e") > F.col("p._from")))
+    won = (p.join(r, cond).groupBy(F.col("p._k").alias("_k"), F.col("p._from").alias("_from"), F.col("p._to").alias("_to"))
+           .agg(F.max_by(F.col("r._v"), F.col("r._o")).alias("_v")))
+    return won.select(F.col("_k").alias(key), *[F.col("_v")[c].alias(c) for c in value_cols],
+                      F.col("_from").alias(start), F.col("_to").alias("_end"))
 
 
 def remove_overlaps_and_flatten(df: DataFrame, key: str, start: str, end: str,
                                 value_cols: Sequence[str], order_by: Sequence[str] = (),
                                 hot_rows: int | None = None) -> DataFrame:
-    """Per key, non-overlapping periods.
+    """Per key, non-overlapping periods that cover exactly what the records cover.
 
-    Chosen rule: in start order a later record overrides an earlier one, so each
-    record ends at ``least(end, next start)``. Records left empty are dropped. Then
-    consecutive records with equal values and no gap between them are merged
-    (min start, max end).
+    Where records overlap, the one that comes last in (start, end, ``order_by``) order
+    wins; an earlier record goes on after a shorter later one ends. Then consecutive
+    pieces with equal values and no gap between them are merged. A null end is open and
+    stays null; empty periods are dropped; records without a start are kept as they are.
     """
-    order = [start, end, *order_by]
-    lay = scan.layout(df, [key], order, hot_rows)
-    lay = scan.with_next(lay, [start])
-    cut_end = F.when(F.col("_has_next") & F.col("_next_" + start).isNotNull(),
-                     F.least(F.col(end), F.col("_next_" + start))).otherwise(F.col(end))
-    d = (lay.df.withColumn(end, cut_end)
-         .filter(F.col(end).isNull() | F.col(start).isNull() | (F.col(end) > F.col(start)))
-         .drop("_next_" + start, "_has_next"))
-    lay = scan.with_prev(lay.with_df(d), [*value_cols, end])
+    kind = df.schema[start].dataType
+    far = F.lit(_OPEN_END).cast("timestamp_ntz").cast(kind)
+    order = [start, "_end", *order_by]
+    d = df.filter(F.col(start).isNotNull()).withColumn("_end", F.coalesce(F.col(end).cast(kind), far))
+    d = d.filter(F.col("_end") > F.col(start))
+    isl = add_overlapping_identifier(d, key, start, "_end", False, order_by, "_island", "_multi", hot_rows)
+    cols = [qc(key), *qcs(value_cols), F.col(start), F.col("_end")]
+    alone = isl.filter(~F.col("_multi")).select(*cols)
+    pieces = alone.unionByName(_winning_pieces(isl.filter("_multi"), key, start, value_cols, order))
+    lay = scan.layout(pieces, [key], [start], hot_rows)
+    lay = scan.with_prev(lay, [*value_cols, "_end"])
     starts = (~F.col("_has_prev") | _value_changed(value_cols)
-              | ~F.coalesce(F.col(start) <= F.col("_prev_" + end), F.lit(False)))
+              | ~F.coalesce(F.col(start) <= F.col("_prev__end"), F.lit(False)))
     lay = scan.with_segments(lay, starts, "_run")
-    return (lay.df.groupBy(key, "_run")
-            .agg(*[F.first(c).alias(c) for c in value_cols],
-                 F.min(start).alias(start), F.max(end).alias(end))
-            .drop("_run"))
+    out = (lay.df.groupBy(qc(key), "_run")
+           .agg(*[F.first(qc(c)).alias(c) for c in value_cols], F.min(start).alias(start), F.max("_end").alias("_end"))
+           .select(qc(key), *qcs(value_cols), F.col(start), F.when(F.col("_end") < far, F.col("_end")).alias(end)))
+    undated = df.filter(F.col(start).isNull()).select(qc(key), *qcs(value_cols), F.col(start), F.col(end).cast(kind).alias(end))
+    return out.unionByName(undated)
 
 
 def cut_at_points(df: DataFrame, start: str, end: str, cutover: Sequence) -> DataFrame:

@@ -28,8 +28,26 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFr
 
 
 def attach_constants(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row table of scalars (``(select ...)`` subqueries) to every row."""
-    return df.crossJoin(F.broadcast(one_row.limit(1)))
+    """Attach a one-row table of scalars (``(select ...)`` subqueries) to every row. No row
+    gives nulls, more than one raises, as a scalar subquery does."""
+    n = F.count(F.lit(1))
+    checked = one_row.agg(
+        F.when(n > 1, F.raise_error(F.lit("a scalar table has more than one row"))).alias("_many"),
+        *[F.first(F.col(f"`{c}`")).alias(c) for c in one_row.columns])
+    return df.crossJoin(F.broadcast(checked.filter(F.col("_many").isNull()).drop("_many")))
+
+
+def one_per_key(table: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """Distinct rows of a lookup table; a key with two different rows raises instead of an
+    arbitrary one being used."""
+    rest = [c for c in table.columns if c not in keys]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    low, high = F.min(row), F.max(row)
+    # struct comparison is null-safe, so rows that agree in their nulls are equal
+    clash = F.when(~low.eqNullSafe(high), F.raise_error(F.concat(
+        F.lit(f"conflicting {what} rows for key "), F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])))))
+    got = table.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(low.alias("_row"), clash.alias("_clash"))
+    return got.filter(F.col("_clash").isNull()).select(*[F.col(f"`{k}`") for k in keys], *[F.col("_row")[c].alias(c) for c in rest])
 
 
 def point_in_interval(facts: DataFrame, point: str, rules: DataFrame, start: str, end: str,
@@ -114,9 +132,10 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
 def lookup(df: DataFrame, col: str, mapping: DataFrame, from_col: str, to_col: str,
            out: str | None = None, normalise: bool = True) -> DataFrame:
     """Map ``col`` values through a lookup table (left join, unmatched -> null).
-    With ``normalise`` both sides are compared trimmed and lower-cased."""
+    With ``normalise`` both sides are compared trimmed and lower-cased. A value with two
+    different targets raises."""
     norm = (lambda c: F.lower(F.trim(c))) if normalise else (lambda c: c)
-    m = mapping.select(norm(F.col(from_col)).alias("_lk"), F.col(to_col).alias(out or to_col)).dropDuplicates(["_lk"])
+    m = one_per_key(mapping.select(norm(F.col(from_col)).alias("_lk"), F.col(to_col).alias(out or to_col)), ["_lk"], "lookup")
     return df.join(m, norm(df[col]) == m["_lk"], "left").drop("_lk")
 
 

@@ -55,7 +55,7 @@ def melt_keyword(df: DataFrame, id_vars: Sequence[str], keywords: Mapping[str, s
         out = out.filter(" OR ".join(f"`{n}` IS NOT NULL" for n in keywords))
     if aggregate_rows:
         out = out.groupBy(*keep, var_name).agg(
-            *[F.sum(F.col(f"`{n}`").cast("decimal(18,2)")).alias(n) for n in keywords])
+            *[F.sum(F.col(f"`{n}`")).alias(n) for n in keywords])  # in the column's own type
     return out
 
 

@@ -53,15 +53,17 @@ def summarize_broken_shifts(df: DataFrame, key: str, start: str, end: str,
 
 def one_flag_per_week(df: DataFrame, key: str, date: str, flag_col: str, id_col: str) -> DataFrame:
     """Keep ``flag_col`` only on the earliest flagged record of each (key, ISO week).
-    The earliest is found with ``min_by`` (partial aggregation) and joined back on the
-    unique ``id_col``."""
+    The earliest is a ``min`` (partial aggregation), joined back on (key, week); ``id_col``
+    breaks ties of one day."""
     wk = F.expr(f"extract(YEAROFWEEK FROM `{date}`)") * 100 + F.weekofyear(F.col(date))
-    first = (df.filter(F.col(flag_col)).groupBy(key, wk.alias("_wk"))
-             .agg(F.min_by(F.col(id_col), F.struct(F.col(date), F.col(id_col))).alias("_keep"))
-             .select(F.col("_keep").alias(id_col), F.lit(True).alias("_first")))
-    return (df.join(first, id_col, "left")
-            .withColumn(flag_col, F.coalesce(F.col(flag_col) & F.col("_first").isNotNull(), F.lit(False)))
-            .drop("_first"))
+    first = (df.filter(F.col(flag_col)).groupBy(F.col(key).alias("_fkey"), wk.alias("_fwk"))
+             .agg(F.min(F.struct(F.col(date).alias("d"), F.col(id_col).alias("id"))).alias("_first")))
+    d = df.withColumn("_wk", wk)
+    same = d[key].eqNullSafe(F.col("_fkey")) & F.col("_wk").eqNullSafe(F.col("_fwk"))
+    keep = F.col(date).eqNullSafe(F.col("_first.d")) & F.col(id_col).eqNullSafe(F.col("_first.id"))
+    return (d.join(first, same, "left")
+            .withColumn(flag_col, F.coalesce(F.col(flag_col) & F.col("_first").isNotNull() & keep, F.lit(False)))
+            .drop("_first", "_fkey", "_fwk", "_wk"))
 
 
 def rank_and_convert(df: DataFrame, group_keys: Sequence[str], sort_keys: Sequence[str],
@@ -106,13 +108,22 @@ def add_public_holidays(df: DataFrame, date_col: str, region_col: str, calendar:
                         all_regions: str = "ALL") -> DataFrame:
     """Attach ``holiday_regions``, ``holiday_name``, ``holiday_date`` and
     ``is_additional_holiday`` to rows falling on a holiday of their region (or a
-    holiday of every region). The calendar is regions x days, so AQE broadcasts it;
-    rows are not shuffled."""
-    cal = calendar.select(F.col("region").alias("holiday_regions"), "holiday_name",
-                          F.col("holiday_date").cast("date").alias("holiday_date"), "is_additional_holiday")
-    cond = ((F.to_date(F.col(date_col)) == F.col("holiday_date"))
-            & ((F.col("holiday_regions") == F.col(region_col)) | (F.col("holiday_regions") == all_regions)))
-    return df.join(cal, cond, "left")
+    holiday of every region). One row per input row: all holidays of a day are gathered
+    into one calendar row, and those of the row's region are listed, comma-joined and in
+    order, in ``holiday_regions`` and ``holiday_name``; the day is additional only if all of
+    them are. The calendar has one row per day, so AQE broadcasts it; rows are not shuffled."""
+    one = F.struct(F.col("region"), F.col("holiday_name"), F.col("is_additional_holiday"))
+    days = (calendar.groupBy(F.col("holiday_date").cast("date").alias("_day"))
+            .agg(F.array_sort(F.collect_set(one)).alias("_all")))
+    mine = F.filter("_all", lambda h: (h["region"] == F.col(region_col)) | (h["region"] == all_regions))
+    d = df.join(days, F.to_date(F.col(date_col)) == F.col("_day"), "left").withColumn("_mine", mine)
+    hit = F.size("_mine") > 0
+    text = lambda f: F.array_join(F.array_distinct(F.transform("_mine", lambda h: h[f])), ",")
+    return (d.withColumn("holiday_regions", F.when(hit, text("region")))
+            .withColumn("holiday_name", F.when(hit, text("holiday_name")))
+            .withColumn("holiday_date", F.when(hit, F.col("_day")))
+            .withColumn("is_additional_holiday", F.when(hit, F.forall("_mine", lambda h: h["is_additional_holiday"])))
+            .drop("_day", "_all", "_mine"))
 
 
 def add_synthetic_days(cohort: DataFrame, key: str, start: str, end: str, days: DataFrame,
@@ -134,8 +145,10 @@ def append_intervals(df: DataFrame, extra: DataFrame) -> DataFrame:
 
 def override_values(df: DataFrame, overrides: DataFrame, keys: Sequence[str],
                     cols: Sequence[str]) -> DataFrame:
-    """Values from ``overrides`` (one row per key) replace ``cols``; others unchanged."""
-    o = overrides.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols]).dropDuplicates(list(keys))
+    """Values from ``overrides`` replace ``cols``; others unchanged. Repeated rows of a key
+    are fine if they agree; keys with different values raise."""
+    from effdated.operators.joins import one_per_key
+    o = one_per_key(overrides.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols]), list(keys), "override")
     out = df.join(o, list(keys), "left")
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(f"_new_{c}"), F.col(c))).drop(f"_new_{c}")
@@ -144,12 +157,13 @@ def override_values(df: DataFrame, overrides: DataFrame, keys: Sequence[str],
 
 def split_attribute(df: DataFrame, col: str, sep: str = ",", out: str | None = None,
                     pos_col: str = "attribute_position") -> DataFrame:
-    """A multi-valued attribute cell becomes one row per trimmed, non-empty value."""
-    parts = F.posexplode(F.split(F.col(col), sep))
+    """A multi-valued attribute cell becomes one row per trimmed, non-empty value. A row
+    whose cell is null or holds no value stays once, with a null attribute and position."""
+    values = F.filter(F.transform(F.split(F.col(col), sep), lambda x, i: F.struct(F.trim(x).alias("v"), (i + 1).alias("p"))),
+                      lambda x: x["v"] != "")
     o = out or col
-    return (df.select("*", parts.alias("_p", "_v"))
-            .withColumn(o, F.trim("_v")).withColumn(pos_col, (F.col("_p") + 1).cast("bigint"))
-            .filter(F.col(o) != "").drop("_p", "_v"))
+    return (df.select("*", F.explode_outer(values).alias("_x"))
+            .withColumn(o, F.col("_x.v")).withColumn(pos_col, F.col("_x.p").cast("bigint")).drop("_x"))
 
 
 def qualify_by_period(df: DataFrame, row_id: str, key: str, date: str, periods: DataFrame,

@@ -49,14 +49,16 @@ def get_session(master: str | None = None, app_name: str = "effdated",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset
-    (local runs and tests). On a cluster this must be a shared folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset and the
+    master is local (tests). On a cluster the folder must be shared, so unset raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="effdated-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

@@ -1,7 +1,7 @@
 """Catalog, sinks and audit.
 
 Tables live in the session catalog as parquet data-source tables. Bronze loads are
-idempotent: the table is partitioned by ``source_file`` and written with dynamic
+idempotent: the table is partitioned by the source file's path id and written with dynamic
 partition overwrite, so re-ingesting a file replaces only its own rows. That
 replaces the reference's input-hash task cache. External databases are read through
 the JDBC source (``read_query``); no server is started by this library.
@@ -62,12 +62,15 @@ def add_missing_columns(spark: SparkSession, table: str, df: DataFrame) -> list[
     return [n for n, _ in missing]
 
 
-def write_bronze(spark: SparkSession, df: DataFrame, table: str, partition_col: str = "source_file") -> None:
-    """Append all-text rows by name; re-running a file replaces its partition only.
+def write_bronze(spark: SparkSession, df: DataFrame, table: str, partition_col: str | None = None) -> None:
+    """Append all-text rows by name; re-running a file replaces its partition only. The
+    partition is the file's path id where the rows have one: files of equal name in
+    different folders do not replace each other.
 
     New columns are added first (S21); columns the table has but ``df`` lacks are
     written as null.
     """
+    partition_col = partition_col or ("source_id" if "source_id" in df.columns else "source_file")
     if not spark.catalog.tableExists(table):
         (df.write.format("parquet").partitionBy(partition_col).mode("overwrite").saveAsTable(table))
         return
@@ -124,7 +127,7 @@ def reading_audit(df: DataFrame, dataset: str, filename_col: str = "source_file"
                   options: Mapping | None = None) -> DataFrame:
     """One audit row per ingested file: (dataset, filename, read options, rows,
     columns, loaded_at), from one aggregation of the bronze rows."""
-    ncols = len([c for c in df.columns if c not in (filename_col, "Source", "record_no")])
+    ncols = len([c for c in df.columns if c not in (filename_col, "Source", "record_no", "source_id")])
     return (df.groupBy(F.col(filename_col).alias("filename"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
             .select(F.lit(dataset).alias("dataset"), "filename",
@@ -173,10 +176,13 @@ def load_output(df: DataFrame, final_columns: Sequence[str] | Mapping[str, str],
     allowed); ``iso`` columns rendered as ISO-8601 text. ``switch=False`` skips."""
     if not switch:
         return None
-    cols = final_columns.items() if isinstance(final_columns, Mapping) else [(c, c) for c in final_columns]
+    cols = list(final_columns.items() if isinstance(final_columns, Mapping) else [(c, c) for c in final_columns])
+    missing = [src for src, _ in cols if src not in df.columns]
+    if missing:
+        raise ValueError(f"load columns {missing} are not in the dataset")
     out = []
     for src, name in cols:
-        c = F.col(f"`{src}`") if src in df.columns else F.lit(None).cast("string")
+        c = F.col(f"`{src}`")
         if name in iso_columns or src in iso_columns:
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
         out.append(c.alias(name))

@@ -1,21 +1,21 @@
 """CSV / TXT ingest into all-text bronze rows with row lineage.
 
-Record numbers per file are computed without a per-file window, which would put
-each file on one task:
-
-1. the scan reads all-string columns plus an ``_overflow`` column (PERMISSIVE), and
-   rows that overflow the header are dropped, as pandas drops bad lines before
-   indexing;
-2. each kept row gets ``monotonically_increasing_id()`` right after the scan, together
-   with its split ``(_metadata.file_path, _metadata.file_block_start)``. Inside a
-   split the ids are consecutive;
-3. a small table with one row per split (count, first id) gets per-file running
-   offsets; a join on (file, split) turns the id into the record number.
-
-Both passes read the same splits, so the ids agree. ``multiLine`` files cannot be
-split (one block per file) and use the same formula. Blank lines are skipped and not
-numbered, as pandas does. The label is ``<stem>:row:<record number>``, which equals
-pandas' ``index + 2 + skiprows + header``.
+Every file is read with its own header, after its own preamble:
+
+1. files are scanned as text lines. ``monotonically_increasing_id()`` numbers the lines of
+   a scan split consecutively, and a table with one row per split ``(file, block)`` turns
+   that into physical line numbers without a window over a whole file;
+2. the first ``skiprows`` physical lines of a file go (blank ones count), then blank lines; of
+   what is left, line number ``header`` names the file's columns;
+3. files are grouped by their header line (few distinct ones, whatever the number of
+   files), and each layout parses its lines; layouts are united by column name;
+4. lines with more fields than the header are dropped, as pandas drops bad lines, and the
+   rest are numbered: a window per (file, split), plus the counts of earlier splits.
+
+The label is ``<stem>:row:<record number>``, which equals pandas' ``index + 2 + skiprows +
+header``. Files with quoted line feeds (``multiline``) cannot be split or read as lines: they
+go through the CSV parser, one header for all files, and their preamble is counted in
+parsed records.
 """
 
 from __future__ import annotations
@@ -35,33 +35,52 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 OVERFLOW = "_overflow"
 
 
-def _first_file(spark: SparkSession, paths: Sequence[str]) -> str:
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-             .select("path").orderBy("path").limit(1).collect())
-    if not files:
-        raise ValueError(f"no file under {list(paths)}")
-    return files[0]["path"]
-
-
-def read_header(spark: SparkSession, paths: Sequence[str], sep: str = ",", skiprows: int = 0,
-                header: int = 0, encoding: str = "utf-8") -> list[str]:
-    """Column names from the header line of the first file (a few lines are read)."""
-    first = _first_file(spark, paths)
-    lines = [r["value"] for r in spark.read.option("encoding", encoding).text(first)
-             .limit(skiprows + header + 50).collect()]
-    lines = [ln for ln in lines if ln.strip() != ""]
-    row = next(_csv.reader(io.StringIO(lines[skiprows + header]), delimiter=sep))
+def _names(line: str, sep: str) -> list[str]:
+    """Column names of a header line: blank ones numbered, repeated ones told apart as pandas does."""
+    row = next(_csv.reader(io.StringIO(line), delimiter=sep))
     names, seen = [], {}
     for i, n in enumerate(row):
         n = n.strip() or f"Unnamed: {i}"
         k = seen.get(n, 0)
         seen[n] = k + 1
-        names.append(n if k == 0 else f"{n}.{k}")  # pandas-style de-duplication
+        names.append(n if k == 0 else f"{n}.{k}")
     return names
 
 
-def _numbered(raw: DataFrame) -> DataFrame:
-    """Add ``_record`` (1-based record number within its file) to a fresh scan."""
+def _text_lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
+    """``value, _file, _blk, _mid, _record``: physical lines, numbered from 1 per file."""
+    raw = spark.read.option("recursiveFileLookup", "true").text(list(paths))
+    if encoding.lower().replace("-", "") != "utf8":
+        raw = raw.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+    return _numbered(raw, keep=True)
+
+
+def _headers(lines: DataFrame, skiprows: int, header: int) -> DataFrame:
+    """``_file, _at, _line`` per file: place and text of its header line. One row per file,
+    by partial aggregation."""
+    rest = lines.filter((F.col("_record") > skiprows) & (F.trim("value") != ""))
+    found = rest.groupBy("_file").agg(F.min(F.struct(F.col("_record").alias("at"), F.col("value").alias("line"))).alias("_h"))
+    for _ in range(header):
+        after = rest.join(found.select(F.col("_file").alias("_f"), F.col("_h.at").alias("_seen")), F.col("_file") == F.col("_f"))
+        found = (after.filter(F.col("_record") > F.col("_seen")).groupBy("_file")
+                 .agg(F.min(F.struct(F.col("_record").alias("at"), F.col("value").alias("line"))).alias("_h")))
+    return found.select("_file", F.col("_h.at").alias("_at"), F.col("_h.line").alias("_line"))
+
+
+def read_header(spark: SparkSession, paths: Sequence[str], sep: str = ",", skiprows: int = 0,
+                header: int = 0, encoding: str = "utf-8") -> list[str]:
+    """Column names when all files share one header line; raises when they differ."""
+    lines = [r["_line"] for r in _headers(_text_lines(spark, paths, encoding), skiprows, header).select("_line").distinct().collect()]
+    if not lines:
+        raise ValueError(f"no header line under {list(paths)}")
+    if len(lines) > 1:
+        raise ValueError(f"files have {len(lines)} different headers")
+    return _names(lines[0], sep)
+
+
+def _numbered(raw: DataFrame, keep: bool = False) -> DataFrame:
+    """Add ``_record`` (1-based record number within its file) to a fresh scan; ``keep``: and leave
+    the split ``_blk`` and the order ``_mid`` in it."""
     ided = raw.select("*", F.col("_metadata.file_path").alias("_file"),
                       F.col("_metadata.file_block_start").alias("_blk"),
                       F.monotonically_increasing_id().alias("_mid"))
@@ -70,7 +89,18 @@ def _numbered(raw: DataFrame) -> DataFrame:
     offsets = blocks.select("_file", "_blk", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     return (ided.join(offsets, ["_file", "_blk"])
             .withColumn("_record", (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long"))
-            .drop("_blk", "_mid", "_m0", "_off"))
+            .drop(*([] if keep else ["_blk", "_mid"]), "_m0", "_off"))
+
+
+def _renumbered(rows: DataFrame, first: int) -> DataFrame:
+    """``_record`` counted anew over the rows left, from ``first``: within a split by a window (a
+    split has a bounded size), over splits by their counts."""
+    counts = rows.groupBy("_file", "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_file", "_blk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    nth = F.row_number().over(Window.partitionBy("_file", "_blk").orderBy("_mid"))
+    return (rows.withColumn("_nth", nth).join(offsets, ["_file", "_blk"])
+            .withColumn("_record", (F.col("_off") + F.col("_nth") - 1 + first).cast("long")).drop("_off", "_nth"))
 
 
 def read_csv_with_lineage(spark: SparkSession, paths: str | Sequence[str], sep: str = ",",
@@ -78,38 +108,68 @@ def read_csv_with_lineage(spark: SparkSession, paths: str | Sequence[str], sep:
                           encoding: str = "utf-8", na_tokens: Sequence[str] = NA_TOKENS,
                           names: Sequence[str] | None = None, keep_broken: bool = False,
                           source_col: str = "Source") -> DataFrame:
-    """All-text bronze rows + ``Source`` lineage + ``source_file``.
+    """All-text bronze rows + ``Source`` lineage, ``source_file``, ``source_path``,
+    ``source_id`` (a short hash of the path, unlike the file name unique) and ``record_no``.
 
-    Too-long rows are dropped (``keep_broken=True`` keeps them with ``_overflow`` set and
-    no record number), short rows are null-padded, NA tokens become null.
+    Columns are those of the files' headers (``names`` overrides them, by position); a
+    column that a file lacks is null. Too-long rows are dropped (``keep_broken=True`` keeps
+    them with ``_overflow`` set and no record number), short rows are null-padded, NA tokens
+    become null.
     """
     ps = [paths] if isinstance(paths, str) else list(paths)
-    cols = list(names) if names else read_header(spark, ps, sep, skiprows, header, encoding)
-    internal = [f"_c{i}" for i in range(len(cols))]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in internal]
-                          + [T.StructField(OVERFLOW, T.StringType())])
-    raw = (spark.read.schema(schema).option("header", "false").option("sep", sep)
-           .option("mode", "PERMISSIVE").option("multiLine", str(multiline).lower())
-           .option("encoding", encoding).option("recursiveFileLookup", "true").csv(ps))
-    good = _numbered(raw.filter(F.col(OVERFLOW).isNull()))
-    good = good.filter(F.col("_record") > skiprows + header + 1)
-    stem = F.regexp_replace(F.element_at(F.split("_file", "/"), -1), r"\.[^.]+$", "")
-    na = list(na_tokens)
-    out = good.select(
-        *[F.when(F.col(i).isin(na) | F.col(i).isNull(), F.lit(None).cast("string")).otherwise(F.col(i)).alias(c)
-          for i, c in zip(internal, cols)],
+    if multiline:
+        return _read_multiline(spark, ps, sep, skiprows, header, encoding, na_tokens, names, keep_broken, source_col)
+    lines = _text_lines(spark, ps, encoding)
+    heads = _headers(lines, skiprows, header)
+    layouts = sorted(r["_line"] for r in heads.select("_line").distinct().collect())  # one per distinct header
+    if not layouts:
+        raise ValueError(f"no header line under {ps}")
+    data = lines.join(heads, "_file").filter((F.col("_record") > F.col("_at")) & (F.trim("value") != ""))
+    parts = []
+    for line in layouts:
+        cols = list(names) if names else _names(line, sep)
+        schema = ", ".join([f"_c{i} string" for i in range(len(cols))] + [f"{OVERFLOW} string"])
+        parsed = F.from_csv("value", F.lit(schema), {"sep": sep, "mode": "PERMISSIVE"})
+        rows = data.filter(F.col("_line") == line).withColumn("_p", parsed)
+        good = _renumbered(rows.filter(F.col(f"_p.{OVERFLOW}").isNull()), skiprows + header + 2)
+        parts.append(_bronze(good, [F.col(f"_p._c{i}") for i in range(len(cols))], cols, na_tokens, source_col, keep_broken, F.lit(None).cast("string")))
+        if keep_broken:
+            bad = rows.filter(F.col(f"_p.{OVERFLOW}").isNotNull()).withColumn("_record", F.lit(None).cast("long"))
+            parts.append(_bronze(bad, [F.col(f"_p._c{i}") for i in range(len(cols))], cols, (), source_col, True, F.col(f"_p.{OVERFLOW}")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    last = [source_col, "source_file", "source_path", "source_id", "record_no", *([OVERFLOW] if keep_broken else [])]
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c not in last], *last)
+
+
+def _bronze(rows: DataFrame, values: Sequence, cols: Sequence[str], na_tokens: Sequence[str], source_col: str,
+            with_overflow: bool, overflow) -> DataFrame:
+    """Parsed values plus the lineage columns of ``_file`` and ``_record``."""
+    na, name = list(na_tokens), F.element_at(F.split("_file", "/"), -1)
+    stem = F.regexp_replace(name, r"\.[^.]+$", "")
+    text = [F.when(v.isNull() | (v.isin(na) if na else F.lit(False)), F.lit(None).cast("string")).otherwise(v) for v in values]
+    return rows.select(
+        *[v.alias(c) for v, c in zip(text, cols)],
         F.concat(stem, F.lit(":row:"), F.col("_record").cast("string")).alias(source_col),
-        F.element_at(F.split("_file", "/"), -1).alias("source_file"),
-        F.col("_file").alias("source_path"),
-        F.col("_record").alias("record_no"))
+        name.alias("source_file"), F.col("_file").alias("source_path"),
+        F.substring(F.sha2(F.col("_file"), 256), 1, 16).alias("source_id"),
+        F.col("_record").alias("record_no"), *([overflow.alias(OVERFLOW)] if with_overflow else []))
+
+
+def _read_multiline(spark: SparkSession, ps: list[str], sep: str, skiprows: int, header: int, encoding: str, na_tokens: Sequence[str],
+                    names: Sequence[str] | None, keep_broken: bool, source_col: str) -> DataFrame:
+    """Records that hold line feeds, through the CSV parser: one header for all files."""
+    cols = list(names) if names else read_header(spark, ps, sep, skiprows, header, encoding)
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(cols))] + [T.StructField(OVERFLOW, T.StringType())])
+    raw = (spark.read.schema(schema).option("header", "false").option("sep", sep).option("mode", "PERMISSIVE")
+           .option("multiLine", "true").option("encoding", encoding).option("recursiveFileLookup", "true").csv(ps))
+    values = [F.col(f"_c{i}") for i in range(len(cols))]
+    good = _numbered(raw.filter(F.col(OVERFLOW).isNull())).filter(F.col("_record") > skiprows + header + 1)
+    out = _bronze(good, values, cols, na_tokens, source_col, keep_broken, F.lit(None).cast("string"))
     if keep_broken:
-        bad = raw.filter(F.col(OVERFLOW).isNotNull()).select(
-            *[F.col(i).alias(c) for i, c in zip(internal, cols)],
-            F.lit(None).cast("string").alias(source_col),
-            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"),
-            F.col("_metadata.file_path").alias("source_path"),
-            F.lit(None).cast("long").alias("record_no"), F.col(OVERFLOW))
-        out = out.withColumn(OVERFLOW, F.lit(None).cast("string")).unionByName(bad)
+        bad = raw.filter(F.col(OVERFLOW).isNotNull()).select("*", F.col("_metadata.file_path").alias("_file"), F.lit(None).cast("long").alias("_record"))
+        out = out.unionByName(_bronze(bad, values, cols, (), source_col, True, F.col(OVERFLOW)))
     return out
 
 
@@ -118,7 +178,7 @@ def find_varying_header(df: DataFrame, id_values: Sequence[str], file_col: str =
     """Per file, the first record holding every marker value is the header row;
     it and the rows above it are dropped. The header row numbers are one row per file
     (a small aggregate joined back)."""
-    data_cols = [c for c in df.columns if c not in (file_col, record_col, "Source", "source_path", OVERFLOW)]
+    data_cols = [c for c in df.columns if c not in (file_col, record_col, "Source", "source_file", "source_path", "source_id", OVERFLOW)]
     vals = F.array(*[F.col(f"`{c}`") for c in data_cols])
     has_all = None
     for v in id_values:

@@ -67,7 +67,8 @@ def _bronze_batch_from_columns(b: DataFrame, names: Sequence[str], skip: int) ->
           .otherwise(F.col(i)).alias(c) for i, c in zip(internal, names)],
         F.concat(stem, F.lit(":row:"), F.col("_record").cast("string")).alias("Source"),
         F.col("_record").alias("record_no"),
-        F.element_at(F.split("_file", "/"), -1).alias("source_file"))
+        F.element_at(F.split("_file", "/"), -1).alias("source_file"),
+        F.substring(F.sha2(F.col("_file"), 256), 1, 16).alias("source_id"))
 
 
 __all__ = ["start_csv_ingest"]

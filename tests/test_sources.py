@@ -1,6 +1,8 @@
 """CSV policy, split-safe record numbers, workbook scan, catalog sinks, streaming ingest."""
 
 import os
+
+import pytest
 import zipfile
 
 from pyspark.sql import functions as F
@@ -38,7 +40,7 @@ def test_record_numbers_across_splits(spark, tmpdir_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
         df = read_csv_with_lineage(spark, d)
-        assert df.rdd.getNumPartitions() > 3
+        assert spark.read.text(d).rdd.getNumPartitions() > 3  # the scan has many splits
         bad = df.filter(F.col("record_no") != F.split("id", "-")[1].cast("long") + 2).count()
         assert bad == 0 and df.count() == 15000
     finally:
@@ -126,9 +128,10 @@ def test_catalog_sinks_and_audits(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(tmpdir_path, "out", "Pay_Slips")).count() == 2
     catalog.write_exception_report(df, csv_path=os.path.join(tmpdir_path, "exceptions"))
     assert spark.read.option("header", "true").csv(os.path.join(tmpdir_path, "exceptions")).count() == 2
-    out = catalog.load_output(df, {"EmployeeCode": "EmployeeCode", "StartDate": "StartDate", "Missing": "Missing"},
-                              iso_columns=["StartDate"])
-    assert out.columns == ["EmployeeCode", "StartDate", "Missing"]
+    with pytest.raises(ValueError, match="Missing"):
+        catalog.load_output(df, ["EmployeeCode", "Missing"])
+    out = catalog.load_output(df, {"EmployeeCode": "Code", "StartDate": "StartDate"}, iso_columns=["StartDate"])
+    assert out.columns == ["Code", "StartDate"]
     assert sorted((r.StartDate or "") for r in out.collect()) == ["", "2021-03-04T05:06:07"]
     assert catalog.load_output(df, ["EmployeeCode"], switch=False) is None
     audit = catalog.reading_audit(df, "payslips", options={"dtype": "object"}).collect()[0]
@@ -142,3 +145,41 @@ def test_catalog_sinks_and_audits(spark, tmpdir_path):
     assert catalog.table_exists(spark, "stage_test_db.pay_tbl")
     assert catalog.dataset_tables(spark, "stage_test_db", ["pay"]) == ["pay_tbl"]
     assert set(catalog.inspect_table(spark, "stage_test_db.pay_tbl")) == {"a", "b"}
+
+
+def test_preamble_counts_physical_lines(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "preamble")
+    os.makedirs(d)
+    # a blank, a wide and a short line before the header; a blank line after it
+    _write(os.path.join(d, "p.csv"), "\nTitle,with,many,commas\nshort\ncode,amt\n\nA,1\nB,2,extra\nC,3\n")
+    rows = sorted((r.code, r.amt, r.record_no) for r in read_csv_with_lineage(spark, d, skiprows=3).collect())
+    assert rows == [("A", "1", 5), ("C", "3", 6)]
+    e = os.path.join(tmpdir_path, "blank")
+    os.makedirs(e)
+    _write(os.path.join(e, "b.csv"), "\n" * 60 + "code,amt\nA,1\n")
+    assert [(r.code, r.amt) for r in read_csv_with_lineage(spark, e).collect()] == [("A", "1")]
+    h = os.path.join(tmpdir_path, "second")
+    os.makedirs(h)
+    _write(os.path.join(h, "h.csv"), "x,y\ncode,amt\nA,1\n")
+    assert [(r.code, r.amt, r.record_no) for r in read_csv_with_lineage(spark, h, header=1).collect()] == [("A", "1", 3)]
+
+
+def test_each_file_has_its_own_header(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "mixed")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.csv"), "Emp,Amt\nA,1\n")
+    _write(os.path.join(d, "b.csv"), "Amt,Emp,More\n2,B,x\n3,C\n")
+    rows = sorted((r.Emp, r.Amt, r.More, r.Source) for r in read_csv_with_lineage(spark, d).collect())
+    assert rows == [("A", "1", None, "a:row:2"), ("B", "2", "x", "b:row:2"), ("C", "3", None, "b:row:3")]
+
+
+def test_same_file_name_in_two_folders(spark, tmpdir_path):
+    t = "bronze_same_name"
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    for folder in "ab":
+        d = os.path.join(tmpdir_path, folder)
+        os.makedirs(d)
+        _write(os.path.join(d, "data.csv"), f"k\n{folder}1\n{folder}2\n")
+        for _ in range(2):  # the second load replaces the first
+            catalog.write_bronze(spark, read_csv_with_lineage(spark, d), t)
+    assert sorted(r.k for r in spark.table(t).collect()) == ["a1", "a2", "b1", "b2"]

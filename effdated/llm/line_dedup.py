@@ -8,7 +8,7 @@ of a chain the earliest line stays. Lines without a word stay.
 1. Lines become 128-bit hashes; each distinct line has one first place.
 2. Partition filter: within one word edit, the first or the last half of the shorter line is
    untouched. Only lines that share such a half with another distinct line go on; a
-   Bloom filter of their hashes picks their texts out of a second scan.
+   Bloom filter of their places picks their texts out of a second scan.
 3. Deletion neighbourhood: those lines emit the hash of every variant with one word deleted.
    Equal variants at the same place are a replacement; a variant equal to a whole line is
    an insertion or deletion. Per variant only the earliest line matters, so groups are
@@ -32,62 +32,86 @@ from pyspark.sql import functions as F
 from .common import TEXT_ROWS, join_groups, packed, shared_table
 
 MIN_WORDS = 8
-MAX_FILTER_BITS, MIN_FILTER_BITS, BITMAP_BITS = 1 << 28, 1 << 15, 1 << 15
 _WORD_BREAK = "[\\x20\\x09-\\x0D]+"
+MAX_FILTER_BITS, MIN_FILTER_BITS, BITMAP_BITS = 1 << 28, 1 << 15, 1 << 15
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _HASH = ["h1", "h2"]
+_PLACE = ["_null", "_id", "_th", "_no"]
+
 
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text, ident = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.col(f"`{id_col}`").cast("long")
+    return docs.select(ident.isNull().alias("_null"), F.coalesce(ident, F.lit(0)).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_null, _id, _th, _no, h1, h2, nw, line`` per line with a word; ``line`` with single blanks."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    ident = F.col(f"`{id_col}`").cast("long")
-    each = docs.select(ident.isNull().alias("_null"), F.coalesce(ident, F.lit(0)).alias("_id"), F.xxhash64(text).alias("_th"), F.posexplode(F.split(text, "\n")).alias("_no", "_l"))
-    words = each.select("_null", "_id", "_th", "_no", F.array_remove(F.split("_l", _WORD_BREAK), "").alias("w")).filter("size(w) > 0")
-    words = words.withColumn("line", F.array_join("w", " "))
-    return words.select("_null", "_id", "_th", "_no", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), F.size("w").alias("nw"), "w", "line")
 
+def _halves(words: list[bytes]) -> list[int]:
+    """Hashes of the halves of a line. Of two lines within one word edit, with lengths n or n and
+    n + 1, one has as many untouched words at its start or end as both emit here."""
+    n, keys = len(words), []
+    for t in {(n - 1) // 2, n // 2}:
+        for side, part in ((b"<", words[:t]), (b">", words[n - t:])):
+            keys.append(xxhash.xxh64_intdigest(side + b" ".join(part)) - (1 << 63))
+    return keys
 
-def _halves(w: Column, nw: Column) -> Column:
-    """Hashes of the halves that a line shares with its neighbours, as the longer and as the shorter line."""
-    def two(shorter: Column) -> list[Column]:
-        half = F.floor(shorter / 2).cast("int")
-        return [F.xxhash64(F.lit("first"), shorter, F.array_join(F.slice(w, F.lit(1), half), " ")),
-                F.xxhash64(F.lit("last"), shorter, F.array_join(F.slice(w, nw - half + 1, half), " "))]
 
-    return F.array(*two(nw), *two(nw - 1))
+def _hashed(documents: DataFrame, min_words: int) -> DataFrame:
+    """``_null, _id, _th, _no, h1, h2, halves`` per line with a word; no halves for short lines."""
+    names = [*_PLACE, *_HASH, "halves"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, no, h1, h2, halves = [], [], [], [], []
+            for i, text in enumerate(batch.column(3)):
+                for k, line in enumerate(text.as_py().encode("utf-8", "replace").split(b"\n")):
+                    words = line.split()  # ASCII white space
+                    if words:
+                        h = xxhash.xxh3_128_intdigest(b" ".join(words))
+                        of.append(i), no.append(k)
+                        h1.append((h >> 64) - (1 << 63)), h2.append((h & ((1 << 64) - 1)) - (1 << 63))
+                        halves.append(_halves(words) if len(words) >= min_words else [])
+            rows = pa.array(of, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(j).take(rows) for j in range(3)), pa.array(no, pa.int32()), pa.array(h1, pa.int64()),
+                                              pa.array(h2, pa.int64()), pa.array(halves, pa.list_(pa.int64()))], names=names)
+
+    return documents.mapInArrow(run, "_null boolean, _id long, _th long, _no int, h1 long, h2 long, halves array<long>")
 
 
 def _place() -> Column:
-    return F.struct("_null", "_id", "_th", "_no")
+    return F.struct(*_PLACE)
 
 
 def _candidates(first: DataFrame) -> DataFrame:
     """Distinct lines (``h1, h2, place``) that share a half with another distinct line."""
-    keyed = shared_table(first.filter(F.size("halves") > 0).select(*_HASH, F.explode("halves").alias("half")), "lines-halves")
-    shared = shared_table(keyed.groupBy("half").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "lines-shared")
-    near = join_groups(keyed, shared, "half", "_n", keyed.count()).select(*_HASH).distinct()
-    return shared_table(near.join(first.select(*_HASH, "place"), _HASH), "lines-near")
-
-
-def _pick(lines: DataFrame, near: DataFrame) -> DataFrame:
-    """Texts of the candidate lines, found by a Bloom filter of their hashes (one probe a line)."""
-    n = near.count()
-    bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, 1 << (16 * max(n, 1) - 1).bit_length()))
-    cell = F.pmod("h1", F.lit(bits))
-    cells = near.select(F.floor(cell / BITMAP_BITS).alias("_bucket"), (cell % BITMAP_BITS).alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
-    probed = lines.withColumn("_cell", cell).withColumn("_bucket", F.floor(F.col("_cell") / BITMAP_BITS)).join(F.broadcast(shared_table(cells, "lines-cells")), "_bucket")
+    keyed = first.filter(F.size("halves") > 0).select(*_HASH, "place", F.explode("halves").alias("half"))
+    shared = keyed.groupBy("half").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    shared = shared_table(shared, "lines-shared")
+    near = join_groups(keyed, shared, "half", "_n", first.count()).select(*_HASH, "place")
+    return shared_table(near.dropDuplicates(_HASH), "lines-near")
+
+
+def _pick(documents: DataFrame, near: DataFrame) -> DataFrame:
+    """``rank, h1, h2, line`` of the candidate lines. Their texts are found by a Bloom filter of
+    their places (one probe a line); ``rank`` is a number that follows the places' order."""
+    bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, 1 << (16 * max(near.count(), 1) - 1).bit_length()))
+    cell = F.pmod(F.xxhash64(*[F.col(c) for c in _PLACE]), F.lit(bits))
+    cells = near.select("place.*").select(F.floor(cell / BITMAP_BITS).alias("_bucket"), (cell % BITMAP_BITS).alias("_bit"))
+    cells = shared_table(cells.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "lines-cells")
+    lines = documents.select("_null", "_id", "_th", F.posexplode(F.split("_text", "\n")).alias("_no", "line"))
+    probed = lines.withColumn("_cell", cell).withColumn("_bucket", F.floor(F.col("_cell") / BITMAP_BITS)).join(F.broadcast(cells), "_bucket")
     bit = F.col("_cell") % BITMAP_BITS
     byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    maybe = probed.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*_HASH, _place().alias("place"), "line")
-    return shared_table(maybe.join(near, [*_HASH, "place"]).dropDuplicates(_HASH), "lines-texts")
+    maybe = probed.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).select(_place().alias("place"), "line")
+    found = maybe.join(near, "place").dropDuplicates(_HASH)
+    words = F.array_join(F.array_remove(F.split("line", _WORD_BREAK), ""), " ")
+    ranked = found.orderBy("place").withColumn("rank", F.monotonically_increasing_id())
+    return shared_table(ranked.select("rank", *_HASH, words.alias("line")), "lines-texts")
 
 
 def _variants(texts: DataFrame) -> DataFrame:
-    """``key, pos, role`` per line and deleted word. pos: the place, or -1 for the variant as a
-    whole line (role 1), which meets lines that are that variant (role 0)."""
-    rows = texts.select("line", *_HASH)
+    """``key, role, rank`` per line and deleted word. Role 2: the variant at its place, equal for
+    replacements of one word. Role 1: the variant as a whole line, which meets the lines that
+    are that variant (role 0)."""
 
     def one(line: str) -> tuple[np.ndarray, int]:
         h = np.array([xxhash.xxh64_intdigest(w) for w in line.encode("utf-8", "replace").split(b" ")], dtype=np.uint64)
@@ -99,31 +123,30 @@ def _variants(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                for line, h1, h2 in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                keys, roles, ranks = [], [], []
+                for line, rank in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     without, whole = one(line)
-                    n = len(without)
+                    places = (np.arange(1, len(without) + 1, dtype=np.uint64) * _INVERSE) ^ (without * _BASE)
                     # a run of equal words gives equal variants: one of them is enough as a whole line
-                    whole_lines = np.unique(without)
-                    key = np.concatenate([without, whole_lines, np.array([whole], np.uint64)]).view(np.int64)
-                    pos = np.concatenate([np.arange(n), np.full(len(whole_lines) + 1, -1)])
-                    role = np.concatenate([np.ones(len(key) - 1, np.int64), np.zeros(1, np.int64)])
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(pos), pa.array(role), pa.array(np.full(len(key), h1)), pa.array(np.full(len(key), h2))],
-                                                     names=["key", "pos", "role", *_HASH])
+                    key = np.concatenate([places, np.unique(without), np.array([whole], np.uint64)])
+                    role = np.ones(len(key), np.int8)
+                    role[: len(places)], role[-1] = 2, 0
+                    keys.append(key), roles.append(role), ranks.append(np.full(len(key), rank))
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(roles)), pa.array(np.concatenate(ranks))],
+                                                     names=["key", "role", "rank"])
 
-    return rows.mapInArrow(run, "key long, pos long, role long, h1 long, h2 long")
+    return texts.select("line", "rank").mapInArrow(run, "key long, role byte, rank long")
 
 
 def _partners(texts: DataFrame) -> DataFrame:
-    """``h1, h2`` and the hashes ``p1, p2`` of the earliest line one word edit away, if earlier."""
-    rows = shared_table(_variants(texts).join(texts.select(*_HASH, "place"), _HASH), "lines-variants", 5 * TEXT_ROWS)
-    rows = rows.withColumn("me", F.struct("place", *_HASH)).withColumn("group", F.struct("key", "pos"))
-    least = lambda role: F.min(F.when(F.col("role") == role, F.col("me")))
-    groups = rows.groupBy("group").agg(least(0).alias("_whole"), least(1).alias("_cut"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    met = join_groups(rows, shared_table(groups, "lines-groups"), "group", "_n", rows.count())
-    # at a place all are replacements of each other; a whole line meets its longer lines
-    other = F.when(F.col("pos") >= 0, F.col("_cut")).when(F.col("role") == 1, F.col("_whole")).otherwise(F.col("_cut"))
-    met = met.withColumn("other", other).filter(F.col("other.place") < F.col("place"))
-    return met.groupBy(*_HASH).agg(F.min("other").alias("other")).select(*_HASH, F.col("other.h1").alias("p1"), F.col("other.h2").alias("p2"))
+    """``rank`` and ``other``, the rank of the earliest line one word edit away, if earlier."""
+    rows = shared_table(_variants(texts), "lines-variants", 5 * TEXT_ROWS)
+    least = lambda role: F.min(F.when(F.col("role") == role, F.col("rank")))
+    groups = rows.groupBy("key").agg(least(0).alias("_whole"), least(1).alias("_cut"), least(2).alias("_swap"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    met = join_groups(rows, shared_table(groups, "lines-groups"), "key", "_n", rows.count())
+    other = F.when(F.col("role") == 2, F.col("_swap")).when(F.col("role") == 1, F.col("_whole")).otherwise(F.col("_cut"))
+    return met.withColumn("other", other).filter("other < rank").groupBy("rank").agg(F.min("other").alias("other"))
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -137,16 +160,14 @@ def _within_one_edit(a: Column, b: Column) -> Column:
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``_null, _id, _th, _gone``: numbers of the lines that go, per document that loses any."""
-    lines = _lines(docs, id_col, text_col)
-    halves = F.when(F.col("nw") >= min_words, _halves(F.col("w"), F.col("nw"))).otherwise(F.array().cast("array<long>"))
-    table = shared_table(lines.select(_place().alias("place"), *_HASH, halves.alias("halves")), "lines-hashed")
+    documents = _documents(docs, id_col, text_col)
+    table = shared_table(_hashed(documents, min_words), "lines-hashed", TEXT_ROWS).withColumn("place", _place()).drop(*_PLACE)
     n = table.count()
     first = shared_table(table.groupBy(*_HASH).agg(F.min("place").alias("place"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("_n")), "lines-first")
-    near = _candidates(first)
-    texts = _pick(lines.filter(F.col("nw") >= min_words), near)
-    pairs = _partners(texts)
-    words = texts.select(*_HASH, F.split("line", " ").alias("w"))
-    both = pairs.join(words, _HASH).join(words.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("w").alias("pw")), ["p1", "p2"])
+    texts = _pick(documents, _candidates(first))
+    words = texts.select("rank", F.split("line", " ").alias("w"))
+    both = _partners(texts).join(texts.select("rank", *_HASH, F.split("line", " ").alias("w")), "rank")
+    both = both.join(words.select(F.col("rank").alias("other"), F.col("w").alias("pw")), "other")
     late = shared_table(both.filter(_within_one_edit(F.col("w"), F.col("pw"))).select(*_HASH, F.lit(True).alias("_late")), "lines-late")
     # distinct lines of which something goes: they stand in several places, or have an earlier partner
     fate = first.select(*_HASH, F.col("place").alias("_first"), "_n").join(late, _HASH, "left").filter("_n > 1 OR _late")

@@ -9,7 +9,7 @@ the intent, not that bug).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from effdated.functions import columns as cl
@@ -166,7 +166,10 @@ def payslips(staged: DataFrame, master_smn: DataFrame, payrun_index: DataFrame |
 
 
 def staged_payslips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Staged payslip lines derived from order lines (used by the driver queries)."""
+    """Staged payslip lines derived from order lines (used by the driver queries). A few lines
+    share order and line number, so the lineage number has their ordinal behind these."""
+    every = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[c for c in lineitem.columns if c not in ("l_orderkey", "l_linenumber")])
+    lineitem = lineitem.withColumn("_nth", F.row_number().over(every))
     j = lineitem.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
                       lineitem["l_orderkey"] == orders["o_orderkey"])
     return j.select(
@@ -179,7 +182,7 @@ def staged_payslips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.when(F.col("l_returnflag") == "N", F.lit("1")).otherwise(F.lit("0")).alias("Is Base Hours?"),
         F.concat(F.lit("Code "), F.col("l_returnflag"), F.col("l_linestatus")).alias("ClientPayCodeDescription"),
         F.col("l_linestatus").alias("PayCategory"),
-        F.concat(F.lit("payslips:row:"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("Source"))
+        F.concat(F.lit("payslips:row:"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000 + F.col("_nth")).cast("string")).alias("Source"))
 
 
 def employee_cohorts(classification: DataFrame, award_mapping_cols: list[str], cutover: str,
@@ -188,9 +191,8 @@ def employee_cohorts(classification: DataFrame, award_mapping_cols: list[str], c
     """EmployeeCohortsOverTime (from masterSMN). Stage 1: F2 keep rows with an award
     mapping; T4 cut periods at the cut-over; R2 melt the ``... Cohort mapping`` columns
     into (EA, Cohort); F6 / F10 keep the EA that applies on each side of the cut-over.
-    Stage 2: T12 append additional cohort periods; W6 overlap islands per
-    (employee, cohort) over distinct periods; T6 remove overlaps between cohorts and
-    merge adjacent equal ones. Output: EmployeeCode, Cohort, StartDate, EndDate."""
+    Stage 2: T12 append additional cohort periods; T6 remove overlaps between cohorts (its
+    sweep numbers the overlap islands, W6) and merge adjacent equal ones. Output: EmployeeCode, Cohort, StartDate, EndDate."""
     from effdated.operators import filters as fl
     from effdated.operators import reshape as rs
     from effdated.operators import shifts as sh
@@ -207,7 +209,6 @@ def employee_cohorts(classification: DataFrame, award_mapping_cols: list[str], c
     d = d.filter(keep)
     if additional is not None:
         d = sh.append_intervals(d, additional)
-    d = iv.add_overlapping_identifier(d, ["EmployeeCode", "Cohort"], "StartDate", "EndDate", group_records=True)
     return iv.remove_overlaps_and_flatten(d, "EmployeeCode", "StartDate", "EndDate", ["Cohort"],
                                           order_by=["EA", "Cohort"])
 

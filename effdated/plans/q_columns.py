@@ -40,18 +40,17 @@ def q_financial_year(spark, sf):
 
 # ---------------------------------------------------------------- T7 / T8 / W4
 _ATTR_SQL = """
-attrs AS (SELECT o_custkey, o_orderpriority,
-                 CAST(o_orderdate AS DATE) - INTERVAL 30 DAY AS effective_from,
-                 CAST(o_orderdate AS DATE) + INTERVAL 200 DAY AS effective_to FROM orders),
-fy AS (SELECT CAST(y AS VARCHAR) AS fy, make_date(CAST(y AS INTEGER) - 1, 7, 1) AS start_of_fy,
-              make_date(CAST(y AS INTEGER), 7, 1) - INTERVAL 1 DAY AS end_of_fy
-       FROM range(1995, 2003) t(y)),
-u AS (SELECT fy.fy, a.*, 1 AS rule FROM fy JOIN attrs a ON a.effective_to BETWEEN fy.start_of_fy AND fy.end_of_fy
-      UNION SELECT fy.fy, a.*, 2 FROM fy JOIN attrs a ON a.effective_from BETWEEN fy.start_of_fy AND fy.end_of_fy
-      UNION SELECT fy.fy, a.*, 3 FROM fy JOIN attrs a ON fy.end_of_fy BETWEEN a.effective_from AND a.effective_to),
-k AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, fy
-                 ORDER BY rule, effective_from DESC, effective_to DESC, o_orderpriority) AS rk FROM u),
-resolved AS (SELECT o_custkey, fy, o_orderpriority FROM k WHERE rk = 1)"""
+years AS (SELECT y, make_date(y - 1, 7, 1) AS first_day, make_date(y, 6, 30) AS last_day
+          FROM (SELECT CAST(unnest(range(1995, 2003)) AS INTEGER) AS y)),
+dated AS (SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) - 30 AS valid_from,
+                 CAST(o_orderdate AS DATE) + 200 AS valid_to FROM orders),
+graded AS (SELECT o_custkey, o_orderpriority, y, valid_from, valid_to,
+                  CASE WHEN valid_to >= first_day AND valid_to <= last_day THEN 1
+                       WHEN valid_from >= first_day AND valid_from <= last_day THEN 2 ELSE 3 END AS grade
+           FROM dated, years WHERE valid_from <= last_day AND valid_to >= first_day),
+resolved AS (SELECT o_custkey, CAST(y AS VARCHAR) AS fy,
+                    first(o_orderpriority ORDER BY grade, valid_from DESC, valid_to DESC, o_orderpriority) AS o_orderpriority
+             FROM graded GROUP BY o_custkey, y)"""
 
 
 def _resolved(spark, sf):
@@ -73,9 +72,8 @@ def q_fy_rule_resolution(spark, sf):
 
 
 @register("latest_fy_attribute", f"""
-WITH {_ATTR_SQL},
-l AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY fy DESC) AS kk FROM resolved)
-SELECT o_custkey, fy, o_orderpriority FROM l WHERE kk = 1
+WITH {_ATTR_SQL}
+SELECT o_custkey, max(fy) AS fy, last(o_orderpriority ORDER BY fy) AS o_orderpriority FROM resolved GROUP BY o_custkey
 """)
 def q_latest_fy_attribute(spark, sf):
     return iv.latest_per_key(_resolved(spark, sf), "o_custkey", "fy", ["o_orderpriority"])

@@ -185,20 +185,25 @@ def q_unify_overlaps(spark, sf):
     return out.select("event_id", "user_id", "ts", "end_ts", "event_type")
 
 
+def sweep_sql(records: str, key: str, start: str, end: str, value: str, order: str) -> str:
+    """Oracle of T6 from endpoints: the winner of every elementary period, then islands of
+    equal neighbours (``records``: a CTE name; gives ``swept(key, value, s, e)``)."""
+    return f"""
+ends AS (SELECT {key} AS k, {start} AS t FROM {records} WHERE {end} > {start}
+         UNION SELECT {key}, {end} FROM {records} WHERE {end} > {start}),
+elem AS (SELECT k, t AS a, (SELECT min(u.t) FROM ends u WHERE u.k = ends.k AND u.t > ends.t) AS z FROM ends),
+cover AS (SELECT k, a, z, last(r.{value} ORDER BY {order}) AS v
+          FROM elem JOIN {records} r ON r.{key} = k AND r.{start} <= a AND r.{end} >= z AND r.{end} > r.{start}
+          WHERE z IS NOT NULL GROUP BY k, a, z),
+joined AS (SELECT *, v IS NOT NULL AND EXISTS (SELECT 1 FROM cover p WHERE p.k = c.k AND p.z = c.a AND p.v = c.v) AS goes_on FROM cover c),
+swept AS (SELECT k, any_value(v) AS v, min(a) AS s, max(z) AS e
+          FROM (SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY a) AS run FROM joined)
+          GROUP BY k, run)"""
+
+
 @register("remove_overlaps", f"""
-WITH e AS ({_EVENTS_SQL}),
-n AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, end_ts, event_id) AS nxt FROM e),
-c AS (SELECT user_id, event_id, event_type, ts,
-             CASE WHEN nxt IS NOT NULL THEN least(end_ts, nxt) ELSE end_ts END AS end_ts FROM n),
-k AS (SELECT * FROM c WHERE end_ts > ts),
-f AS (SELECT *, CASE WHEN lag(event_id) OVER w IS NULL OR event_type IS NULL
-                       OR lag(event_type) OVER w IS NULL OR event_type <> lag(event_type) OVER w
-                       OR ts > lag(end_ts) OVER w THEN 1 ELSE 0 END AS st
-      FROM k WINDOW w AS (PARTITION BY user_id ORDER BY ts, end_ts, event_id)),
-r AS (SELECT *, sum(st) OVER (PARTITION BY user_id ORDER BY ts, end_ts, event_id
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM f)
-SELECT user_id, max(event_type) AS event_type, min(ts) AS ts, max(end_ts) AS end_ts
-FROM r GROUP BY user_id, run
+WITH recs AS ({_EVENTS_SQL}),{sweep_sql("recs", "user_id", "ts", "end_ts", "event_type", "ts, end_ts, event_id")}
+SELECT k AS user_id, v AS event_type, s AS ts, e AS end_ts FROM swept
 """)
 def q_remove_overlaps(spark, sf):
     e = events_periods(spark, sf)

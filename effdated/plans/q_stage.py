@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from effdated.plans.q_intervals import sweep_sql
 from effdated.plans.driver_queries import register, table
 from effdated.plans.stage import run_stage, split_datasets, union_batches, union_distinct
 
@@ -121,6 +122,7 @@ def q_build_employee_classification(spark, sf):
     return employee_classification(bronze, order_by=["o_orderkey"])
 
 
+_LINE_ORDER = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 _SMN_SQL = """
 b AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d,
              o_orderpriority AS c1, o_orderstatus AS c2,
@@ -146,8 +148,9 @@ WITH {_SMN_SQL},
 ps AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, o_orderdate AS PeriodStart, o_orderdate + INTERVAL 13 DAY AS pe0,
               l_returnflag || l_linestatus AS PayCode, CAST(l_quantity AS VARCHAR) AS Hours0, l_extendedprice AS Amount,
               CASE WHEN l_returnflag = 'N' THEN '1' ELSE '0' END AS base,
-              'payslips:row:' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS src
-       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+              'payslips:row:' || CAST((l_orderkey * 10 + l_linenumber) * 1000 + nth AS VARCHAR) AS src
+       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}) AS nth FROM lineitem)
+       JOIN orders ON l_orderkey = o_orderkey),
 p1 AS (SELECT *, sha256(EmployeeCode || '#' || strftime(pe0, '%Y-%m-%d %H:%M:%S')) AS PayslipCode0,
               sha256(src) AS PayslipLineCode, pe0 + INTERVAL 1 DAY AS PeriodEnd0
        FROM ps WHERE EmployeeCode IN (SELECT EmployeeCode FROM smn)),
@@ -198,25 +201,29 @@ mel AS (SELECT EmployeeCode, StartDate, EndDate, 'Region 2014 EA' AS EA, c14 AS
         UNION ALL SELECT EmployeeCode, StartDate, EndDate, 'Region 2017 EA', c17 FROM cut),
 k AS (SELECT * FROM mel WHERE (EndDate <= TIMESTAMP '1998-12-01' AND contains(EA, '2014'))
                            OR (StartDate >= TIMESTAMP '1998-12-01' AND contains(EA, '2017'))),
-n AS (SELECT *, lead(StartDate) OVER (PARTITION BY EmployeeCode ORDER BY StartDate, EndDate, EA, Cohort NULLS LAST) AS nxt FROM k),
-c2 AS (SELECT EmployeeCode, EA, Cohort, StartDate,
-              CASE WHEN nxt IS NOT NULL THEN least(EndDate, nxt) ELSE EndDate END AS EndDate FROM n),
-kk AS (SELECT * FROM c2 WHERE EndDate > StartDate),
-ff AS (SELECT *, CASE WHEN lag(StartDate) OVER w IS NULL OR Cohort IS NULL OR lag(Cohort) OVER w IS NULL
-                       OR Cohort <> lag(Cohort) OVER w OR StartDate > lag(EndDate) OVER w THEN 1 ELSE 0 END AS st
-      FROM kk WINDOW w AS (PARTITION BY EmployeeCode ORDER BY StartDate, EndDate, EA, Cohort NULLS LAST)),
-rr AS (SELECT *, sum(st) OVER (PARTITION BY EmployeeCode ORDER BY StartDate, EndDate, EA, Cohort NULLS LAST
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM ff)
-SELECT EmployeeCode, max(Cohort) AS Cohort, min(StartDate) AS StartDate, max(EndDate) AS EndDate FROM rr GROUP BY EmployeeCode, run
+more AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, min(o_orderdate) + INTERVAL 90 DAY AS StartDate,
+                min(o_orderdate) + INTERVAL 120 DAY AS EndDate, 'Added' AS EA, 'Cohort D' AS Cohort
+         FROM orders WHERE o_custkey % 3 = 0 GROUP BY o_custkey),
+recs AS (SELECT EmployeeCode, StartDate, EndDate, EA, Cohort FROM k UNION ALL SELECT * FROM more),{sweep_sql(
+    "recs", "EmployeeCode", "StartDate", "EndDate", "Cohort", "StartDate, EndDate, EA, Cohort NULLS LAST")}
+SELECT k AS EmployeeCode, v AS Cohort, s AS StartDate, e AS EndDate FROM swept
 """)
 def q_build_employee_cohorts(spark, sf):
     from effdated.plans.datasets import bronze_master_smn, cohort_mappings, employee_classification, employee_cohorts
     smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
     out = employee_cohorts(cohort_mappings(smn), ["Region 2014 EA award mapping", "Region 2017 EA award mapping"],
-                           "1998-12-01", "2014", "2017")
+                           "1998-12-01", "2014", "2017", additional=_added_cohorts(table(spark, sf, "orders")))
     return out.select("EmployeeCode", "Cohort", "StartDate", "EndDate")
 
 
+def _added_cohorts(orders):
+    """Cohort periods from another list (T12): a month inside an ordinary period."""
+    first = orders.filter(F.col("o_custkey") % 3 == 0).groupBy("o_custkey").agg(F.min("o_orderdate").alias("d"))
+    return first.select(F.col("o_custkey").cast("string").alias("EmployeeCode"),
+                        (F.col("d") + F.make_dt_interval(F.lit(90))).alias("StartDate"),
+                        (F.col("d") + F.make_dt_interval(F.lit(120))).alias("EndDate"), F.lit("Added").alias("EA"), F.lit("Cohort D").alias("Cohort"))
+
+
 STATUS_MAPPING = {"Full Time": "FullTime", "Part Time": "PartTime"}
 
 

@@ -28,34 +28,50 @@ attribute resolution is one broadcast range join against the FY rules plus a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from effdated.functions.columns import report_projection
 from effdated.functions.dates import financial_year
 from effdated.operators import aggregate as ag
 from effdated.operators.intervals import latest_per_key, resolve_by_period
-from effdated.operators.joins import explode_json_array
 
 MEASURES = ["actual_hours", "calculated_hours", "calculated", "gross_Variance", "payslip"]
 
-# Amounts are aggregated as exact longs of 10^-4 units: sums of DECIMAL(12,2) widen past
+# Amounts are aggregated as exact longs of 10^-scale units: sums of DECIMAL(12,2) widen past
 # 18 digits and leave Spark's compact-long decimal path (BigDecimal buffers), while long
-# sums stay in generated code. Inputs must carry at most 4 decimal places.
-UNIT_SCALE = 4
-_UNIT = 10 ** UNIT_SCALE
-
-
-def units(c: Column | str) -> Column:
+# sums stay in generated code. The scale is that of the widest amount column, so nothing is
+# cut off; amounts must be integers or decimals of at most MAX_SCALE places.
+MIN_SCALE, MAX_SCALE = 2, 8
+AMOUNTS = ("variance", "actual", "calculated", "actual_hours", "calculated_hours")
+
+
+def unit_scale(*frames: DataFrame) -> int:
+    """Decimal places that hold every amount column of the frames exactly."""
+    scale = MIN_SCALE
+    for frame in frames:
+        for f in frame.schema.fields:
+            if f.name not in AMOUNTS:
+                continue
+            if isinstance(f.dataType, T.DecimalType) and f.dataType.scale <= MAX_SCALE:
+                scale = max(scale, f.dataType.scale)
+            elif not isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+                raise ValueError(f"amount column {f.name!r} is {f.dataType.simpleString()}; "
+                                 f"cast it to a decimal of at most {MAX_SCALE} places")
+    return scale
+
+
+def units(c: Column | str, scale: int) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return (col * F.lit(_UNIT)).cast("long")
+    return (col * F.lit(10 ** scale)).cast("long")  # exact: the column has at most ``scale`` places
 
 
-def from_units(c: Column | str) -> Column:
+def from_units(c: Column | str, scale: int) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return col / F.lit(float(_UNIT))
+    return col / F.lit(float(10 ** scale))
 
 
 @dataclass
@@ -72,18 +88,20 @@ class ReportParams:
     company_fallback: str | None = None
     super_rate: float = 0.1
     scg_rate: float = 0.1
+    client_id: str | None = None               # only this client's rows enter the report
+    scale: int = 4                             # set from the inputs' schemas, see unit_scale
 
 
 def _z(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
-def line_facts(lines: DataFrame) -> DataFrame:
+def line_facts(lines: DataFrame, p: ReportParams) -> DataFrame:
     """The single pass over line-level data: sums per (employee, FY, pay code), including
     the positive / negative parts. Both the FY summary and the pay-code crosstab derive
     from this much smaller table, so the line data is scanned and shuffled once (the
     plan reuses this aggregation's exchange)."""
-    v = units("variance")
+    v = units("variance", p.scale)
     # hours are optional inputs: absent columns give null sums in the crosstab
     lines = lines.withColumns({c: F.lit(None).cast("decimal(12,2)") for c in ("actual_hours", "calculated_hours")
                                if c not in lines.columns})
@@ -91,23 +109,23 @@ def line_facts(lines: DataFrame) -> DataFrame:
             .groupBy("employee_code", "fyear", "pay_code").agg(
                 F.sum(v).alias("v"), F.sum(F.greatest(v, F.lit(0))).alias("v_pos"),
                 F.sum(F.least(v, F.lit(0))).alias("v_neg"),
-                F.sum(units("actual")).alias("actual"), F.sum(units("calculated")).alias("calculated"),
-                F.sum(units("actual_hours")).alias("actual_hours"),
-                F.sum(units("calculated_hours")).alias("calculated_hours")))
+                F.sum(units("actual", p.scale)).alias("actual"), F.sum(units("calculated", p.scale)).alias("calculated"),
+                F.sum(units("actual_hours", p.scale)).alias("actual_hours"),
+                F.sum(units("calculated_hours", p.scale)).alias("calculated_hours")))
 
 
 def _line_summary(facts: DataFrame, p: ReportParams) -> DataFrame:
     in_b = F.col("pay_code").isin(list(p.ote_bucket))
     not_b = ~F.col("pay_code").isin(list(p.ote_bucket))
     return facts.groupBy("employee_code", "fyear").agg(
-        _z(F.sum(F.when(in_b, F.col("v_pos")))).alias("OTE_excess"),
-        _z(F.sum(F.when(in_b, F.col("v_neg")))).alias("OTE_shortfall"),
-        _z(F.sum(F.when(in_b, F.col("v")))).alias("OTE_variance"),
-        _z(F.sum(F.when(not_b, F.col("v_pos")))).alias("non_OTE_excess"),
-        _z(F.sum(F.when(not_b, F.col("v_neg")))).alias("non_OTE_shortfall"),
-        _z(F.sum(F.when(not_b, F.col("v")))).alias("non_OTE_variance"),
-        _z(F.sum(F.when(in_b, F.col("actual")))).alias("OTE_actual"),
-        _z(F.sum(F.when(in_b, F.col("calculated")))).alias("OTE_calculated"),
+        _z(F.sum(F.when(in_b, F.col("v_pos")))).alias("wage_pos"),
+        _z(F.sum(F.when(in_b, F.col("v_neg")))).alias("wage_neg"),
+        _z(F.sum(F.when(in_b, F.col("v")))).alias("wage_net"),
+        _z(F.sum(F.when(not_b, F.col("v_pos")))).alias("other_pos"),
+        _z(F.sum(F.when(not_b, F.col("v_neg")))).alias("other_neg"),
+        _z(F.sum(F.when(not_b, F.col("v")))).alias("other_net"),
+        _z(F.sum(F.when(in_b, F.col("actual")))).alias("wage_paid"),
+        _z(F.sum(F.when(in_b, F.col("calculated")))).alias("wage_due"),
         *_detail_aggs(p))
 
 
@@ -128,56 +146,56 @@ def _detail_aggs(p: ReportParams) -> list[Column]:
 
 def _pil_summary(pil: DataFrame, p: ReportParams) -> DataFrame:
     tc = F.col("pay_code").isin(list(p.pil_ote_codes))
-    v = units("variance")
+    v = units("variance", p.scale)
     return (pil.withColumn("fyear", financial_year("date").cast("string"))
             .groupBy("employee_code", "fyear").agg(
-                F.sum(v).alias("add_re_pil"),
-                ag.positive_part_sum(v).alias("add_re_pil_excess"),
-                ag.negative_part_sum(v).alias("add_re_pil_shortfall"),
-                _z(F.sum(F.when(tc, v))).alias("add_ote"),
-                _z(ag.positive_part_sum(v, tc)).alias("add_ote_excess"),
-                _z(ag.negative_part_sum(v, tc)).alias("add_ote_shortfall"),
-                F.sum(units("actual")).alias("add_re_pil_actual"),
-                F.sum(units("calculated")).alias("add_re_pil_calculated")))
-
-
-def _km_summary(km: DataFrame) -> DataFrame:
-    v = units("variance")
+                F.sum(v).alias("pil_net"),
+                ag.positive_part_sum(v).alias("pil_pos"),
+                ag.negative_part_sum(v).alias("pil_neg"),
+                _z(F.sum(F.when(tc, v))).alias("pil_ote_net"),
+                _z(ag.positive_part_sum(v, tc)).alias("pil_ote_pos"),
+                _z(ag.negative_part_sum(v, tc)).alias("pil_ote_neg"),
+                F.sum(units("actual", p.scale)).alias("pil_paid"),
+                F.sum(units("calculated", p.scale)).alias("pil_due")))
+
+
+def _km_summary(km: DataFrame, p: ReportParams) -> DataFrame:
+    v = units("variance", p.scale)
     return (km.withColumn("fyear", financial_year("date").cast("string"))
             .groupBy("employee_code", "fyear").agg(
-                F.sum(v).alias("add_re_km"),
-                ag.positive_part_sum(v).alias("add_re_km_excess"),
-                ag.negative_part_sum(v).alias("add_re_km_shortfall"),
-                F.sum(units("actual")).alias("add_re_km_actual"),
-                F.sum(units("calculated")).alias("add_re_km_calculated")))
+                F.sum(v).alias("km_net"),
+                ag.positive_part_sum(v).alias("km_pos"),
+                ag.negative_part_sum(v).alias("km_neg"),
+                F.sum(units("actual", p.scale)).alias("km_paid"),
+                F.sum(units("calculated", p.scale)).alias("km_due")))
 
 
 def group_by_fyear(lines: DataFrame, pil: DataFrame, km: DataFrame, p: ReportParams,
                    facts: DataFrame | None = None) -> DataFrame:
     """``base_group_fyear``: line, PIL and KM summaries, full outer joined per (employee, FY),
     with the variance formulas."""
-    j = (_line_summary(facts if facts is not None else line_facts(lines), p)
+    j = (_line_summary(facts if facts is not None else line_facts(lines, p), p)
          .join(_pil_summary(pil, p), ["employee_code", "fyear"], "full")
-         .join(_km_summary(km), ["employee_code", "fyear"], "full"))
+         .join(_km_summary(km, p), ["employee_code", "fyear"], "full"))
     if p.dropped_fy is not None:
         j = j.filter(F.col("fyear") != p.dropped_fy)
     c = {n: _z(F.col(n)) for n in [
-        "OTE_excess", "OTE_shortfall", "OTE_variance", "non_OTE_excess", "non_OTE_shortfall",
-        "non_OTE_variance", "OTE_actual", "OTE_calculated", "add_ote", "add_ote_excess",
-        "add_ote_shortfall", "add_re_pil", "add_re_pil_excess", "add_re_pil_shortfall",
-        "add_re_pil_actual", "add_re_pil_calculated", "add_re_km", "add_re_km_excess",
-        "add_re_km_shortfall", "add_re_km_actual", "add_re_km_calculated"]}
-    gross_ote = c["OTE_variance"] + c["add_ote"]
-    gross_non_ote = c["non_OTE_variance"] + c["add_re_km"] + c["add_re_pil"]
-    gross = c["OTE_variance"] + c["add_ote"] + c["non_OTE_variance"] + c["add_re_km"] + c["add_re_pil"]
+        "wage_pos", "wage_neg", "wage_net", "other_pos", "other_neg",
+        "other_net", "wage_paid", "wage_due", "pil_ote_net", "pil_ote_pos",
+        "pil_ote_neg", "pil_net", "pil_pos", "pil_neg",
+        "pil_paid", "pil_due", "km_net", "km_pos",
+        "km_neg", "km_paid", "km_due"]}
+    gross_ote = c["wage_net"] + c["pil_ote_net"]
+    gross_non_ote = c["other_net"] + c["km_net"] + c["pil_net"]
+    gross = c["wage_net"] + c["pil_ote_net"] + c["other_net"] + c["km_net"] + c["pil_net"]
     sign = F.least(gross, gross_ote)
     return j.select(
         "employee_code", F.col("fyear").alias("fy"),
-        (c["OTE_excess"] + c["add_ote_excess"]).alias("ote_excess"),
-        (c["OTE_shortfall"] + c["add_ote_shortfall"]).alias("ote_shortfall"),
+        (c["wage_pos"] + c["pil_ote_pos"]).alias("ote_excess"),
+        (c["wage_neg"] + c["pil_ote_neg"]).alias("ote_shortfall"),
         gross_ote.alias("gross_ote_variance"),
-        (c["non_OTE_excess"] + c["add_re_km_excess"] + c["add_re_pil_excess"]).alias("non_ote_excess"),
-        (c["non_OTE_shortfall"] + c["add_re_km_shortfall"] + c["add_re_pil_shortfall"]).alias("non_ote_shortfall"),
+        (c["other_pos"] + c["km_pos"] + c["pil_pos"]).alias("non_ote_excess"),
+        (c["other_neg"] + c["km_neg"] + c["pil_neg"]).alias("non_ote_shortfall"),
         gross_non_ote.alias("gross_non_ote_variance"),
         F.least(gross_ote, F.lit(0)).alias("ote_variance"),
         F.least(gross_non_ote, F.lit(0)).alias("non_ote_variance"),
@@ -185,31 +203,37 @@ def group_by_fyear(lines: DataFrame, pil: DataFrame, km: DataFrame, p: ReportPar
         F.least(gross, F.lit(0)).alias("variance"),
         F.least(F.least(gross, F.lit(0)), F.least(gross_ote, F.lit(0))).alias("remediation_payment"),
         F.when(sign > 0, "EXCESS").when(sign < 0, "SHORTFALL").otherwise("No Variance").alias("status"),
-        c["OTE_excess"].alias("ote_wage_excess"), c["add_ote_excess"].alias("ote_pil_excess"),
-        c["OTE_shortfall"].alias("ote_wage_shortfall"), c["add_ote_shortfall"].alias("ote_pil_shortfall"),
-        c["OTE_variance"].alias("ote_wage"), c["add_ote"].alias("ote_pil"),
-        c["non_OTE_excess"].alias("non_ote_wage_excess"), c["add_re_km_excess"].alias("non_ote_km_excess"),
-        c["add_re_pil_excess"].alias("non_ote_pil_excess"),
-        c["non_OTE_shortfall"].alias("non_ote_wage_shortfall"),
-        c["add_re_km_shortfall"].alias("non_ote_km_shortfall"),
-        c["add_re_pil_shortfall"].alias("non_ote_pil_shortfall"),
-        c["non_OTE_variance"].alias("non_ote_wage"), c["add_re_km"].alias("non_ote_km"),
-        c["add_re_pil"].alias("non_ote_pil"),
-        c["OTE_actual"].alias("ote_actual"), c["OTE_calculated"].alias("ote_calculated"),
-        c["add_re_km_actual"].alias("km_actual"), c["add_re_km_calculated"].alias("km_calculated"),
-        c["add_re_pil_actual"].alias("pil_actual"), c["add_re_pil_calculated"].alias("pil_calculated"),
+        c["wage_pos"].alias("ote_wage_excess"), c["pil_ote_pos"].alias("ote_pil_excess"),
+        c["wage_neg"].alias("ote_wage_shortfall"), c["pil_ote_neg"].alias("ote_pil_shortfall"),
+        c["wage_net"].alias("ote_wage"), c["pil_ote_net"].alias("ote_pil"),
+        c["other_pos"].alias("non_ote_wage_excess"), c["km_pos"].alias("non_ote_km_excess"),
+        c["pil_pos"].alias("non_ote_pil_excess"),
+        c["other_neg"].alias("non_ote_wage_shortfall"),
+        c["km_neg"].alias("non_ote_km_shortfall"),
+        c["pil_neg"].alias("non_ote_pil_shortfall"),
+        c["other_net"].alias("non_ote_wage"), c["km_net"].alias("non_ote_km"),
+        c["pil_net"].alias("non_ote_pil"),
+        c["wage_paid"].alias("ote_actual"), c["wage_due"].alias("ote_calculated"),
+        c["km_paid"].alias("km_actual"), c["km_due"].alias("km_calculated"),
+        c["pil_paid"].alias("pil_actual"), c["pil_due"].alias("pil_calculated"),
         *[F.col(f"`{n}`") for n in _detail_names(p)])
 
 
 _ITEM = "StartDate:string,EndDate:string,Value:string"
 
 
-def _items(employees: DataFrame, json_col: str) -> DataFrame:
-    ex = explode_json_array(employees.select("employee_code", json_col), json_col, _ITEM)
-    return ex.select("employee_code",
-                     F.col("item.StartDate").cast("date").alias("_from"),
-                     F.col("item.EndDate").cast("date").alias("_to"),
-                     F.col("item.Value").alias("_value"))
+def _items(employees: DataFrame) -> DataFrame:
+    """All attribute items of an employee, tagged by the column they come from: the three JSON
+    arrays become one array, exploded once, so the employee rows are read once."""
+    def tagged(column: str, kind: str) -> Column:
+        parsed = F.from_json(F.col(column), f"array<struct<{_ITEM}>>")
+        return F.coalesce(F.transform(parsed, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("x"))),
+                          F.array().cast(f"array<struct<kind:string,x:struct<{_ITEM}>>>"))
+
+    every = F.concat(tagged("attributes_over_time", "attribute"), tagged("classifications", "classification"), tagged("employment_types", "employment"))
+    ex = employees.select("employee_code", F.explode(every).alias("i"))
+    return ex.select("employee_code", F.col("i.kind").alias("_kind"), F.col("i.x.StartDate").cast("date").alias("_from"),
+                     F.col("i.x.EndDate").cast("date").alias("_to"), F.col("i.x.Value").alias("_value"))
 
 
 def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> DataFrame:
@@ -222,38 +246,24 @@ def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> Dat
     (employee, ref, FY), then one pivot back to a row per (employee, FY). The rows
     are those with a classification, as in the source model.
     """
-    attrs = _items(employees, "attributes_over_time")
-    kv = F.from_json(F.col("_value"), "Key string, Value string")
-    attrs = attrs.withColumn("_kv", kv)
+    kv, ca = F.from_json("_value", "Key string, Value string"), F.from_json("_value", "Classification string, Award string")
+    is_a, is_c, is_e = (F.col("_kind") == k for k in ("attribute", "classification", "employment"))
+    key, value = F.col("_kv.Key"), F.col("_kv.Value")
     nat_from, nat_to = p.national_region
-    key_to_ref = {"state": "region", "WeeklyContractedHours": "weeklycontractedhours",
-                  "POSITION": "positions", "COMPANY": "company"}
-    ref = F.col("_kv.Key")
-    v1 = F.when(ref == "state", F.when(F.col("_kv.Value") == nat_from, F.lit(nat_to)).otherwise(F.col("_kv.Value"))) \
-        .otherwise(F.col("_kv.Value"))
-    before = F.when(ref == "state", F.lit(p.region_widen_days)).otherwise(F.lit(0))
-    mapped_ref = None
-    for k, r in key_to_ref.items():
-        mapped_ref = F.when(ref == k, F.lit(r)) if mapped_ref is None else mapped_ref.when(ref == k, F.lit(r))
-    a = attrs.filter(ref.isin(list(key_to_ref))).select(
-        "employee_code", mapped_ref.alias("ref"), "_from", "_to", before.alias("_before"),
-        v1.alias("v1"), F.lit(None).cast("string").alias("v2"))
-
-    cls = _items(employees, "classifications")
-    ca = F.from_json(F.col("_value"), "Classification string, Award string")
-    c = cls.withColumn("_ca", ca).select(
-        "employee_code", F.lit("classification").alias("ref"), "_from", "_to", F.lit(0).alias("_before"),
-        F.col("_ca.Classification").alias("v1"), F.col("_ca.Award").alias("v2"))
-
-    et = _items(employees, "employment_types")
-    code = F.regexp_replace(F.col("_value"), '"', "")
-    mapped = None
+    refs_of = {"state": "region", "WeeklyContractedHours": "weeklycontractedhours", "POSITION": "positions", "COMPANY": "company"}
+    ref = F.when(is_c, "classification").when(is_e, "employee_type")
+    for k, r in refs_of.items():
+        ref = ref.when(is_a & (key == k), r)
+    code, employee_type = F.regexp_replace("_value", '"', ""), F.lit(None).cast("string")
     for k, v in p.employee_type_codes.items():
-        mapped = F.when(code == k, F.lit(v)) if mapped is None else mapped.when(code == k, F.lit(v))
-    e = et.select("employee_code", F.lit("employee_type").alias("ref"), "_from", "_to",
-                  F.lit(0).alias("_before"), mapped.alias("v1"), F.lit(None).cast("string").alias("v2"))
-
-    items = (a.unionByName(c).unionByName(e)
+        employee_type = F.when(code == k, v).otherwise(employee_type)
+    is_state = is_a & (key == "state")
+    v1 = (F.when(is_c, F.col("_ca.Classification")).when(is_e, employee_type)
+          .when(is_state & (value == nat_from), F.lit(nat_to)).otherwise(value))
+    items = (_items(employees).withColumn("_kv", F.when(is_a, kv)).withColumn("_ca", F.when(is_c, ca))
+             .select("employee_code", ref.alias("ref"), "_from", "_to", F.when(is_state, p.region_widen_days).otherwise(0).alias("_before"),
+                     v1.alias("v1"), F.col("_ca.Award").alias("v2"))
+             .filter(F.col("ref").isNotNull())
              .withColumn("effective_from", F.date_sub("_from", F.col("_before")))
              .withColumn("effective_to", F.date_add("_to", p.widen_days)))
     resolved = resolve_by_period(items, ["employee_code", "ref"], "effective_from", "effective_to",
@@ -279,7 +289,7 @@ def pay_code_detail(lines: DataFrame, p: ReportParams, facts: DataFrame | None =
     """Crosstab (employee, FY) x pay code of five sums, expanded to ``<code>_<measure>``
     columns (the JSON-cell crosstab of the source, as one pivot aggregation over the
     per-pay-code facts)."""
-    f = (facts if facts is not None else line_facts(lines)).withColumnRenamed("fyear", "fy")
+    f = (facts if facts is not None else line_facts(lines, p)).withColumnRenamed("fyear", "fy")
     measures = {"actual_hours": F.sum("actual_hours"), "calculated_hours": F.sum("calculated_hours"),
                 "calculated": F.sum("calculated"), "gross_Variance": F.sum("v"),
                 "payslip": F.sum("actual")}
@@ -287,10 +297,22 @@ def pay_code_detail(lines: DataFrame, p: ReportParams, facts: DataFrame | None =
     return ag.expand_cells(ct, ["employee_code", "fy"], p.pay_codes, MEASURES)
 
 
+def for_client(frames: Sequence[DataFrame], client_id: str | None) -> list[DataFrame]:
+    """F8: only one client's rows of each input; a frame without ``client_id`` raises."""
+    if client_id is None:
+        return list(frames)
+    missing = [f.columns for f in frames if "client_id" not in f.columns]
+    if missing:
+        raise ValueError(f"no client_id column among {missing[0]}")
+    return [f.filter(F.col("client_id") == client_id) for f in frames]
+
+
 def remediation_report(lines: DataFrame, pil: DataFrame, km: DataFrame, employees: DataFrame,
                        fy_rules: DataFrame, fy_rates: DataFrame, region_rates: DataFrame,
                        p: ReportParams) -> DataFrame:
     """The report: one row per (employee, FY) with client and region."""
+    lines, pil, km = for_client([lines, pil, km], p.client_id)
+    p = replace(p, scale=unit_scale(lines, pil, km))
     summary = group_by_fyear(lines, pil, km, p)
     info = base_info(employees, fy_rules, p)
     final = (summary.join(info, ["employee_code", "fy"], "left")
@@ -299,15 +321,15 @@ def remediation_report(lines: DataFrame, pil: DataFrame, km: DataFrame, employee
              .withColumn("sr", F.lit(p.super_rate)).withColumn("scg", F.lit(p.scg_rate)))
     d = {n: F.col(n).cast("double") for n in [
         "rm_interests", "sr", "scg", "sm_date", "tax_rate", "penalty_rate", "interest_rate"]}
-    d["remediation_payment"] = from_units("remediation_payment")
-    d["ote_variance"] = from_units("ote_variance")
+    d["remediation_payment"] = from_units("remediation_payment", p.scale)
+    d["ote_variance"] = from_units("ote_variance", p.scale)
     rp, ov = d["remediation_payment"], d["ote_variance"]
     tax_base = rp + ov * d["sr"] + ov * d["sr"] * d["scg"] * d["sm_date"] / 365
     tail = ["ote_wage_shortfall", "ote_pil_shortfall", "ote_wage", "ote_pil", "non_ote_wage_excess",
             "non_ote_km_excess", "non_ote_pil_excess", "non_ote_wage_shortfall", "non_ote_km_shortfall",
             "non_ote_pil_shortfall", "non_ote_wage", "non_ote_km", "non_ote_pil", "ote_actual",
             "ote_calculated", "km_actual", "km_calculated", "pil_actual", "pil_calculated"]
-    dbl = from_units
+    dbl = lambda c: from_units(c, p.scale)
     cols: list = [
         ("employee_code", "Employee Code"), ("client_id", "Client ID"), ("fy", "Financial Year"),
         ("region", "State"), ("company", "Entity"), ("award", "Award"),
@@ -331,7 +353,7 @@ def remediation_report(lines: DataFrame, pil: DataFrame, km: DataFrame, employee
         (dbl("non_ote_variance"), "Non OTE Variance"), (dbl("gross_variance"), "Gross Variance"),
         (dbl("variance"), "Variance"),
         *[(dbl(n), n) for n in tail],
-        *[(from_units(F.col(f"`{n}`")), n) for n in _detail_names(p)],
+        *[(dbl(F.col(f"`{n}`")), n) for n in _detail_names(p)],
     ]
     report = report_projection(final, cols)
     return report.filter(F.col("`Client ID`").isNotNull() & F.col("State").isNotNull())

@@ -114,3 +114,83 @@ def test_interval_join_matches_brute_force_with_sentinels(spark):
         want = sorted((r.fid, r.pid) for r in
                       f.join(p, (F.col("f.k") == F.col("p.k")) & cond).select("f.fid", "p.pid").collect())
         assert got == want, mode
+
+
+def test_report_shows_additional_payments(spark):
+    """The PIL branch reaches the report: in both the ordinary-time and the PIL figures."""
+    from pyspark.sql import functions as F
+
+    from effdated.plans.q_report import build_report
+    r = build_report(spark, "/root/testdata/sf0.001").agg(*[F.sum(c).alias(c) for c in ("pil_actual", "ote_pil", "non_ote_pil")]).first()
+    assert r.pil_actual > 0 and r.ote_pil != 0 and r.non_ote_pil != 0
+
+
+def test_report_rejects_amounts_it_would_cut(spark):
+    import pytest
+
+    from effdated.plans.report import unit_scale
+    frame = lambda kind: spark.createDataFrame([], f"variance {kind}, actual decimal(12,2)")
+    assert unit_scale(frame("decimal(12,5)")) == 5 and unit_scale(frame("int")) == 2
+    for kind in ("double", "decimal(20,9)", "string"):
+        with pytest.raises(ValueError, match="variance"):
+            unit_scale(frame(kind))
+
+
+def test_overlaps_keep_their_coverage(spark):
+    import datetime as dt
+
+    from effdated.operators import intervals as iv
+    d = lambda n: dt.datetime(2020, 1, n)
+    rows = [("k", d(1), d(20), "x"), ("k", d(5), d(8), "y"), (None, d(1), d(4), "a"), (None, d(2), d(3), "b"), ("n", d(1), None, "p"), ("n", d(6), d(9), "q"),
+            ("s", d(3), d(9), "u"), ("s", d(3), d(5), "v"), ("u", None, d(2), "w"), ("t", d(2), d(2), "z")]
+    df = spark.createDataFrame(rows, "k string, s timestamp_ntz, e timestamp_ntz, v string")
+    for hot in (None, 1):
+        got = {(r.k, r.v, r.s and r.s.day, r.e and r.e.day) for r in iv.remove_overlaps_and_flatten(df, "k", "s", "e", ["v"], ["v"], hot_rows=hot).collect()}
+        assert got == {("k", "x", 1, 5), ("k", "y", 5, 8), ("k", "x", 8, 20), (None, "a", 1, 2), (None, "b", 2, 3), (None, "a", 3, 4),
+                       ("n", "p", 1, 6), ("n", "q", 6, 9), ("n", "p", 9, None), ("s", "u", 3, 9), ("u", "w", None, 2)}, hot
+
+
+def test_null_keys_repeated_ids_and_duplicates(spark):
+    import datetime as dt
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from effdated.functions import columns as cl
+    from effdated.operators import aggregate as ag, intervals as iv, joins as jn, reshape as rs, shifts as sh
+    d = lambda n, h=0: dt.datetime(2020, 1, n, h)
+    df = spark.createDataFrame([(None, d(1), d(5), "a", 1), (None, d(2), d(3), "b", 1), ("k", d(1), d(2), "c", 1)], "k string, s timestamp_ntz, e timestamp_ntz, c string, id int")
+    got = sorted((r.k or "", r.s.day, r.e.day, r.c) for r in iv.unify_overlapping(df, "k", "s", "e", "c").collect())
+    assert got == [("", 1, 5, "a"), ("", 1, 5, "a"), ("k", 1, 2, "c")]  # T5 with a null key
+    longest = iv.pick_longest(df, "k", "s", "e", "id").collect()
+    assert sorted((r.k or "", r.c, r.is_longest) for r in longest) == [("", "a", True), ("", "b", False), ("k", "c", True)]  # W7, one id in all rows
+    flags = spark.createDataFrame([("k", d(6), True, 1), ("k", d(7), True, 1), (None, d(7), True, 1)], "k string, t timestamp_ntz, f boolean, id int")
+    assert sorted((r.k or "", r.t.day, r.f) for r in sh.one_flag_per_week(flags, "k", "t", "f", "id").collect()) == [("", 7, True), ("k", 6, True), ("k", 7, False)]
+    cal = spark.createDataFrame([("ALL", "New", dt.date(2020, 1, 1), False), ("A", "Local", dt.date(2020, 1, 1), False)], "region string, holiday_name string, holiday_date date, is_additional_holiday boolean")
+    shifts = spark.createDataFrame([("A", d(1, 9)), ("B", d(1, 9)), ("A", d(2, 9))], "r string, t timestamp_ntz")
+    days = sorted((r.r, r.t.day, r.holiday_regions) for r in sh.add_public_holidays(shifts, "t", "r", cal).collect())
+    assert days == [("A", 1, "A,ALL"), ("A", 2, None), ("B", 1, "ALL")]  # T10: one row per shift
+    cells = spark.createDataFrame([(1, "a, b"), (2, None), (3, " , ")], "i int, v string")
+    assert sorted((r.i, r.v or "") for r in sh.split_attribute(cells, "v").collect()) == [(1, "a"), (1, "b"), (2, ""), (3, "")]
+    three = spark.createDataFrame([(1,), (2,), (3,)], "x int")
+    with pytest.raises(Exception, match="more than one row"):
+        jn.attach_constants(cells, three).collect()
+    assert [r.x for r in jn.attach_constants(cells, three.filter("x = 2")).collect()] == [2, 2, 2]
+    assert [r.x for r in jn.attach_constants(cells, three.filter("x = 9")).collect()] == [None] * 3
+    lookup = spark.createDataFrame([("a", "1"), ("A ", "1"), ("b", "2")], "k string, v string")
+    assert sorted(r.v or "" for r in jn.lookup(cells.withColumnRenamed("v", "c"), "c", lookup, "k", "v").collect()) == ["", "", ""]
+    with pytest.raises(Exception, match="conflicting lookup"):
+        jn.lookup(cells.withColumnRenamed("v", "c"), "c", lookup.union(spark.createDataFrame([("a", "9")], "k string, v string")), "k", "v").collect()
+    with pytest.raises(Exception, match="conflicting override"):
+        sh.override_values(df, spark.createDataFrame([("k", "x"), ("k", "y")], "k string, c string"), ["k"], ["c"]).collect()
+    both = ag.grouper(df, ["id"], {"c": "unique", "k": "list"}).first()  # A1 without an order
+    assert list(both.c) == ["a", "b", "c"] and list(both.k) == ["k", None, None]
+    assert ag.grouper(df, ["id"], {"c": "list"}, ["s", "c"]).first().c == ["a", "c", "b"]
+    wide = spark.createDataFrame([(1, "2.125"), (1, "1.0005")], "i int, `X (Amt)` string").withColumn("X (Amt)", F.col("`X (Amt)`").cast("decimal(12,4)"))
+    assert str(rs.melt_keyword(wide, ["i"], {"Amt": " (Amt)"}, aggregate_rows=True).first().Amt) == "3.1255"
+    shift = spark.createDataFrame([(d(1, 8), d(1, 16), 0.5)], "s timestamp_ntz, e timestamp_ntz, b double")
+    for unit, minutes in (("hour", 30), ("hours", 30), ("minutes", 0)):
+        got = cl.unpaid_break(shift, "u", "s", "e", "b", unit).first().u
+        assert (got.end - got.start).total_seconds() == (minutes or 0.5) * 60
+    with pytest.raises(ValueError, match="fortnight"):
+        cl.unpaid_break(shift, "u", "s", "e", "b", "fortnight")

@@ -3,8 +3,11 @@
 Runs, overlap islands, shift chains and ranks are prefix scans over the rows of
 one key in time order. ``Window.partitionBy(key)`` computes them, but places every
 row of a key in one task: if one employee code holds a third of all rows, one task
-sorts a third of the data. A :class:`ScanLayout` therefore splits *hot* keys
-(more than ``effdated.scan.hotKeyRows`` rows) into ordered sub-buckets:
+sorts a third of the data. A :class:`ScanLayout` therefore can split *hot* keys into ordered
+sub-buckets. That needs a size check, i.e. a job, so it is asked for: by the setting
+``effdated.scan.hotKeyRows`` (rows a task should hold, e.g. 4,000,000) or the argument
+``hot_rows``. Without either a scan is the plain window plan and building it runs no job.
+With it, keys of more rows are split (null keys too):
 
 1. ``groupBy(key).count()`` (map-side partial aggregation) finds hot keys. There are
    at most ``rows / hotKeyRows`` of them, which bounds the broadcast.
@@ -28,6 +31,7 @@ Ordering is ascending with nulls last (the order pandas ``sort_values`` uses).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,19 +39,16 @@ from pyspark.sql import functions as F
 from effdated.session import ensure_checkpoint_dir
 
 HOT_ROWS_CONF = "effdated.scan.hotKeyRows"
-DEFAULT_HOT_ROWS = 4_000_000
 SAMPLES_PER_SPLIT = 8
-MAX_SPLITS = 20_000  # per hot key: bounds the sampled split array (<= 160k order values);
-                     # beyond it buckets grow past hotKeyRows but results stay exact
 SAMPLE_SEED = 7177
 MAX_BROADCAST_ROWS = 1_000_000  # carry / split tables above this many sub-buckets are not broadcast
 
 
-def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
+def _hot_rows(df: DataFrame, hot_rows: int | None) -> int | None:
     if hot_rows is not None:
         return int(hot_rows)
     v = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
-    return int(v) if v else DEFAULT_HOT_ROWS
+    return int(v) if v else None
 
 
 def qc(name: str) -> Column:
@@ -81,22 +82,22 @@ _UPPER_BOUND = (
 )
 
 
-CACHE_CONF = "effdated.scan.cacheInput"
-
-
-def _share_with_check(df: DataFrame) -> DataFrame:
-    """The size check is a job over ``df``. When ``df`` is itself a computed plan (it
-    contains a shuffle: joins, windows, aggregates), persist it so that the check
-    materialises it once and the scan reads it back, rather than every stacked scan
-    recomputing the whole upstream pipeline. Plain file scans are not cached. Blocks of
-    a lost executor are recomputed from lineage. Off with ``effdated.scan.cacheInput=false``."""
-    if df.sparkSession.conf.get(CACHE_CONF, "true").lower() == "false" or df.is_cached:
-        return df
+def _settled(df: DataFrame) -> DataFrame:
+    """The size check reads ``df`` before the scan does. If ``df`` is a computed plan (joins,
+    windows, aggregates), it is checkpointed first, so that neither the check nor the scan
+    repeats what came before; a plain file scan is read twice. Nothing stays cached."""
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     if not any(op in plan for op in ("Join ", "Window ", "Aggregate ", "Repartition")):
         return df
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi join in which null keys are equal, keeping the left key columns."""
+    other = right.withColumnsRenamed({k: f"_r{i}" for i, k in enumerate(keys)})
+    cond = reduce(lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(other[f"_r{i}"]) for i, k in enumerate(keys)])
+    return left.join(other, cond, how).drop(*[f"_r{i}" for i in range(len(keys))])
 
 
 @dataclass
@@ -140,10 +141,13 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
            hot_rows: int | None = None) -> ScanLayout:
     """Assign ``_sub`` sub-buckets so that no (key, _sub) group exceeds ~hot_rows."""
     limit = _hot_rows(df, hot_rows)
-    df = _share_with_check(df)
+    if limit is None:
+        # No check asked for: a plain per-key window plan, and no job while it is built.
+        return ScanLayout(df.withColumn("_sub", F.lit(0)), list(keys), list(order), split=False)
+    df = _settled(df)
     counts = df.groupBy(*qcs(keys)).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.filter(F.col("_n") > limit)
-           .withColumn("_nsub", F.least(F.ceil(F.col("_n") / F.lit(limit)), F.lit(MAX_SPLITS)).cast("int")))
+           .withColumn("_nsub", F.ceil(F.col("_n") / F.lit(limit)).cast("int")))
     # Size check (one pass over the key columns, pre-aggregated map-side): with no hot
     # key the scan is the plain per-key window plan without carry tables. Otherwise the
     # number of sub-buckets bounds every table this layout broadcasts.
@@ -153,8 +157,7 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
     small = n_sub <= MAX_BROADCAST_ROWS
     bc = F.broadcast if small else (lambda x: x)
     with_o = df.withColumn("_o", _order_struct(order))
-    sample = (with_o.select(*qcs(keys), "_o")
-              .join(bc(hot), keys)
+    sample = (_join_on(with_o.select(*qcs(keys), "_o"), bc(hot), keys)
               .filter(F.rand(SAMPLE_SEED) <
                       F.least(F.lit(1.0), F.lit(SAMPLES_PER_SPLIT) * F.col("_nsub") / F.col("_n"))))
     splits = (sample.groupBy(*qcs(keys))
@@ -163,7 +166,7 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
               .select(*qcs(keys), F.expr(
                   "array_distinct(transform(sequence(1, greatest(_nsub - 1, 1)), "
                   "i -> _s[cast(floor(i * size(_s) / _nsub) as int)]))").alias("_splits")))
-    out = (with_o.join(bc(splits), keys, "left")
+    out = (_join_on(with_o, bc(splits), keys, "left")
            .withColumn("_sub", F.when(F.col("_splits").isNull(), F.lit(0))
                        .otherwise(F.expr(_UPPER_BOUND) + 1))
            .drop("_splits", "_o"))
@@ -188,7 +191,7 @@ def with_prev(lay: ScanLayout, cols: list[str], prefix: str = "_prev_") -> ScanL
             .agg(F.max_by(F.struct(*qcs(cols)), _order_struct(lay.order)).alias("_last")))
     carry = (tail.withColumn("_carry", F.lag("_last").over(lay.sub_window()))
              .select(*qcs(lay.part), "_carry"))
-    d = lay.df.join(lay.bcast(carry), lay.part, "left")
+    d = _join_on(lay.df, lay.bcast(carry), lay.part, "left")
     first = F.lag(F.lit(1)).over(w).isNull()
     for c in cols:
         d = d.withColumn(prefix + c, F.when(first, F.col("_carry")[c]).otherwise(F.lag(qc(c)).over(w)))
@@ -208,7 +211,7 @@ def with_next(lay: ScanLayout, cols: list[str], prefix: str = "_next_") -> ScanL
             .agg(F.min_by(F.struct(*qcs(cols)), _order_struct(lay.order)).alias("_first")))
     carry = (head.withColumn("_carry", F.lead("_first").over(lay.sub_window()))
              .select(*qcs(lay.part), "_carry"))
-    d = lay.df.join(lay.bcast(carry), lay.part, "left")
+    d = _join_on(lay.df, lay.bcast(carry), lay.part, "left")
     last = F.lead(F.lit(1)).over(w).isNull()
     for c in cols:
         d = d.withColumn(prefix + c, F.when(last, F.col("_carry")[c]).otherwise(F.lead(qc(c)).over(w)))
@@ -225,7 +228,7 @@ def with_prefix_max_prev(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     carry = (sub_max.withColumn("_cm", F.max("_m").over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
         .select(*qcs(lay.part), "_cm"))
-    d = (lay.df.join(lay.bcast(carry), lay.part, "left")
+    d = (_join_on(lay.df, lay.bcast(carry), lay.part, "left")
          .withColumn(out, F.greatest(F.max(qc(col)).over(w), F.col("_cm"))).drop("_cm"))
     return lay.with_df(d)
 
@@ -242,7 +245,7 @@ def with_prefix_count(lay: ScanLayout, flag: Column | None, out: str) -> ScanLay
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
         .select(*qcs(lay.part), "_cc"))
     w = lay.window().rowsBetween(Window.unboundedPreceding, 0)
-    d = (d.join(lay.bcast(carry), lay.part, "left")
+    d = (_join_on(d, lay.bcast(carry), lay.part, "left")
          .withColumn(out, F.sum("_ind").over(w) + F.coalesce(F.col("_cc"), F.lit(0)))
          .drop("_ind", "_cc"))
     return lay.with_df(d)
@@ -274,7 +277,7 @@ def with_last_non_null(lay: ScanLayout, col: str, out: str) -> ScanLayout:
     carry = (sub_last.withColumn("_cl", F.last("_l", ignorenulls=True).over(
         lay.sub_window().rowsBetween(Window.unboundedPreceding, -1)))
         .select(*qcs(lay.part), "_cl"))
-    d = (lay.df.join(lay.bcast(carry), lay.part, "left")
+    d = (_join_on(lay.df, lay.bcast(carry), lay.part, "left")
          .withColumn(out, F.coalesce(F.last(qc(col), ignorenulls=True).over(w), F.col("_cl")))
          .drop("_cl"))
     return lay.with_df(d)

@@ -127,11 +127,11 @@ def q_dq_inscope(spark, sf):
 
 @register("dq_inscope_mapping", """
 SELECT o_orderkey, o_orderpriority, 'in_scope' AS test FROM orders
-WHERE lower(trim(o_orderpriority)) NOT IN (SELECT DISTINCT lower(trim(o_orderpriority)) FROM orders WHERE o_orderstatus = 'F')
+WHERE lower(trim(o_orderpriority)) NOT IN (SELECT DISTINCT lower(trim(o_orderpriority)) FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW')
 """)
 def q_dq_inscope_mapping(spark, sf):
     o = table(spark, sf, "orders")
-    mapping = o.filter(F.col("o_orderstatus") == "F").select("o_orderpriority")
+    mapping = o.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") != "5-LOW")).select("o_orderpriority")
     return dq.not_in_scope(o.select("o_orderkey", "o_orderpriority"), "o_orderpriority", mapping)
 
 
@@ -224,13 +224,13 @@ def q_dq_cross_period(spark, sf):
 @register("dq_source_coverage", """
 SELECT DISTINCT source AS file, 'source_coverage' AS test FROM documents d
 WHERE source NOT IN (SELECT DISTINCT d2.source FROM documents d2 JOIN labels l ON l.doc_id = d2.doc_id
-                     WHERE l.quality = 1 AND l.toxic = 0)
+                     WHERE l.quality = 1 AND l.toxic = 0 AND d2.source NOT LIKE '%7')
 """)
 def q_dq_source_coverage(spark, sf):
     d = table(spark, sf, "documents")
     lab = table(spark, sf, "labels").filter((F.col("quality") == 1) & (F.col("toxic") == 0))
     expected = d.select(F.col("source").alias("file")).distinct()
-    out = d.join(lab, "doc_id", "left_semi").select(
+    out = d.filter(~F.col("source").endswith("7")).join(lab, "doc_id", "left_semi").select(
         F.concat(F.col("source"), F.lit(":row:"), F.col("doc_id").cast("string")).alias("Source"))
     return dq.source_coverage(expected, out, "file", "Source")
 

@@ -194,3 +194,35 @@ def test_null_keys_repeated_ids_and_duplicates(spark):
         assert (got.end - got.start).total_seconds() == (minutes or 0.5) * 60
     with pytest.raises(ValueError, match="fortnight"):
         cl.unpaid_break(shift, "u", "s", "e", "b", "fortnight")
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Plans are lazy; only the source queries write the files that they then read."""
+    from effdated.plans.driver_queries import all_queries
+    sc = spark.sparkContext
+    busy = {}
+    for name, query in all_queries()[0].items():
+        sc.setJobGroup(f"build-{name}", name)
+        query(spark, "/root/testdata/sf0.001")
+        track = sc.statusTracker()
+        stages = [track.getStageInfo(x) for j in track.getJobIdsForGroup(f"build-{name}") for x in track.getJobInfo(j).stageIds]
+        jobs = [x.name for x in stages if x and not x.name.startswith("parquet at")]  # the table's schema
+        if jobs:
+            busy[name] = jobs
+    sc.setJobGroup("", "")
+    assert set(busy) <= WRITES_FILES, busy
+
+
+WRITES_FILES = {"ingest_csv_lineage", "list_and_assign_files", "csv_preamble", "csv_mixed_headers", "bronze_same_basename"}
+
+
+def test_hot_null_key_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from effdated.operators import scan
+    df = spark.range(1000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("t"), (F.col("id") % 7).alias("v"))
+    lay = scan.layout(df, ["k"], ["t"], hot_rows=10)
+    assert lay.df.groupBy("_sub").count().agg(F.max("count")).first()[0] < 100
+    got = scan.with_prefix_count(scan.with_prev(lay, ["v"]), None, "n").df.orderBy("t").collect()
+    assert [r.n for r in got] == list(range(1, 1001))
+    assert [r._prev_v for r in got] == [None] + [i % 7 for i in range(999)]

@@ -60,6 +60,10 @@ def point_in_interval(facts: DataFrame, point: str, rules: DataFrame, start: str
     return facts.join(F.broadcast(rules), F.col(point).between(F.col(start), F.col(end)), how)
 
 
+#: Buckets that a period may fill one by one; longer ones share the bucket ``LONG``.
+LONG_BUCKETS, LONG = 24, -1
+
+
 def _month_index(c: Column) -> Column:
     return (F.year(c) * 12 + F.month(c) - 1).cast("int")
 
@@ -74,12 +78,14 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
     ``mode='contained'``: the fact lies inside the period (J6).
 
     With an equi key alone, a key holding many facts and many periods would pair all
-    of them in one task. So both sides are bucketed by month: each period emits one
-    row per bucket it covers (clamped to the span of fact start dates), each fact
-    emits the bucket of its start (and, in ``either_end`` mode, of its end when only
-    the end matches). Each (fact, period) pair comes out of exactly one bucket,
-    so nothing needs deduplicating. The join key is (key, bucket) and AQE can split
-    skewed buckets.
+    of them in one task. So both sides are bucketed by month: a period of at most
+    ``LONG_BUCKETS`` buckets emits one row per bucket it covers, a longer (or open) one a single
+    row in the bucket for long periods; each fact emits the bucket of its start (in
+    ``either_end`` mode also that of its end) and the one for long periods. Each (fact,
+    period) pair comes out of exactly one bucket, so nothing needs deduplicating. Neither
+    side is read twice and no stray date makes copies of open periods. A key has few
+    long periods unless they overlap, and AQE can split skewed buckets. Facts and periods
+    without a bound match nothing through it.
     """
     fk = f_key or key
     # pandas merge suffixes ["", "_x"]: period columns that collide with fact columns
@@ -92,36 +98,22 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
     def bucket(c: str) -> Column:
         return (_month_index(F.col(c)) / bucket_months).cast("int")
 
-    # Buckets are clamped to [first fact-start bucket, last fact-start bucket + 1]; the
-    # top one is an overflow bucket. Clamping is monotone, so a pair that satisfies the
-    # exact predicate still shares a bucket, while open-ended periods and sentinel end
-    # dates (e.g. year 2262) explode only over the span of the facts' start dates.
-    span = facts.agg(F.min(bucket(f_start)).alias("_minb"), (F.max(bucket(f_start)) + 1).alias("_maxb"))
-
-    def clamp(b: Column) -> Column:
-        return F.least(F.greatest(b, F.col("_minb")), F.col("_maxb"))
-
-    p = (periods.crossJoin(F.broadcast(span))
-         .withColumn("_pb0", clamp(F.coalesce(bucket(p_start), F.col("_minb"))))
-         .withColumn("_pb1", clamp(F.coalesce(bucket(p_end), F.col("_maxb"))))
-         .filter(F.col("_pb0") <= F.col("_pb1"))
-         .withColumn("_pb", F.explode(F.sequence(F.col("_pb0"), F.col("_pb1"))))
-         .drop("_pb0", "_pb1", "_maxb", "_minb"))
-    f = facts.crossJoin(F.broadcast(span))
-    fb_start, fb_end = clamp(bucket(f_start)), clamp(bucket(f_end))
+    first, last, long = bucket(p_start), bucket(p_end), F.lit(LONG)
+    p = (periods.filter(F.col(p_start).isNotNull() & F.col(p_end).isNotNull() & (first <= last))
+         .withColumn("_pb", F.explode(F.when(last - first < LONG_BUCKETS, F.sequence(first, last)).otherwise(F.array(long)))))
     if mode == "contained":
-        f = f.withColumn("_b", fb_start)
+        f = facts.withColumn("_b", F.explode(F.array(bucket(f_start), long)))
         cond = (F.col(f_start) >= F.col(p_start)) & (F.col(f_end) <= F.col(p_end))
     elif mode == "either_end":
-        f = f.withColumn("_fbs", fb_start).withColumn("_fbe", fb_end) \
-            .withColumn("_b", F.explode(F.array_distinct(F.array(F.col("_fbs"), F.col("_fbe")))))
+        f = (facts.withColumn("_fbs", bucket(f_start)).withColumn("_fbe", bucket(f_end))
+             .withColumn("_b", F.explode(F.array_distinct(F.array(F.col("_fbs"), F.col("_fbe"), long)))))
         s_in = F.col(f_start).between(F.col(p_start), F.col(p_end))
         e_in = F.col(f_end).between(F.col(p_start), F.col(p_end))
-        cond = ((s_in & (F.col("_b") == F.col("_fbs")))
-                | (e_in & ~F.coalesce(s_in, F.lit(False)) & (F.col("_b") == F.col("_fbe"))))
+        only_end = e_in & ~F.coalesce(s_in, F.lit(False))
+        in_long = F.col("_b") == LONG
+        cond = (s_in & (in_long | (F.col("_b") == F.col("_fbs")))) | (only_end & (in_long | (F.col("_b") == F.col("_fbe"))))
     else:
         raise ValueError(f"unknown interval join mode {mode!r}")
-    f = f.drop("_minb", "_maxb")
     if fk == key:
         p = p.withColumnRenamed(key, "_pk")
     j = f.join(p, (f[fk] == p["_pk" if fk == key else key]) & (F.col("_b") == F.col("_pb")) & cond, "inner")

@@ -42,7 +42,7 @@ def as_double(c: F.Column) -> F.Column:
 def all_queries() -> tuple[dict, dict]:
     """Import every query module (they register themselves) and return the registries."""
     from effdated.plans import q_intervals  # noqa: F401
-    for mod in ("q_columns", "q_report", "q_quality", "q_sources", "q_shifts", "q_stage"):
+    for mod in ("q_columns", "q_report", "q_quality", "q_sources", "q_shifts", "q_stage", "q_load"):
         try:
             __import__(f"effdated.plans.{mod}")
         except ModuleNotFoundError as e:  # module not written yet

@@ -21,7 +21,9 @@ from effdated.functions import types as ty
 from effdated.operators import aggregate as ag
 from effdated.operators import filters as fl
 from effdated.operators import intervals as iv
+from effdated.operators import joins as jn
 from effdated.operators import lineage as ln
+from effdated.operators import quality as dq
 from effdated.operators import reshape as rs
 from effdated.operators import shifts as sh
 
@@ -78,10 +80,44 @@ REGISTRY: dict[str, Callable] = {
     "broken_shifts": sh.broken_shifts,
     "split_shift_attribute": sh.split_attribute,
     "personal_leave_conversion": sh.rank_and_convert,
+    "one_flag_per_week": sh.one_flag_per_week,
+    "summarize_broken_shifts": sh.summarize_broken_shifts,
+    "worked_share": sh.trailing_day_share,
+    "unpaid_break": cl.unpaid_break,
+    "leave_end_from_hours": cl.leave_end_from_hours,
+    "fill_end_with_termination": cl.fill_end_with_termination,
+    "staging_projection": cl.staging_projection,
+    "non_nan": dq.non_nan,
+    "non_numeric": dq.non_numeric,
+    "non_positive": dq.non_positive,
+    "non_datetime": dq.non_datetime,
+    "non_isacii": dq.non_ascii,
+    "non_duplicate": dq.duplicated,
+    "non_overlapping": dq.overlapping,
+    "broken_records": dq.broken_records,
+    "inscope": dq.not_in_scope,
+    "shift_length": dq.shift_length,
+    "end_before_start": dq.end_before_start,
+    "implausible_dob": dq.implausible_dob,
 }
 
-# Steps whose second positional argument is another dataset (membership filters).
-_TWO_FRAME = {"keep_keys_in": fl.keep_keys_in}
+# Steps that take a second dataset (``sources: [dataset, other]``).
+_TWO_FRAME: dict[str, Callable] = {
+    "keep_keys_in": fl.keep_keys_in,
+    "combine_auxiliary_dataset": jn.interval_join,
+    "interval_join": jn.interval_join,
+    "file_lookup": lambda df, other, **a: jn.lookup(df, mapping=other, **a),
+    "inscope_lookup": lambda df, other, **a: jn.lookup(df, mapping=other, **a),
+    "attach_constants": jn.attach_constants,
+    "union": lambda df, other: union_batches([df, other]),
+    "union_distinct": lambda df, other: union_distinct([df, other]),
+    "add_public_holidays": lambda df, other, **a: sh.add_public_holidays(df, calendar=other, **a),
+    "append_intervals": sh.append_intervals,
+    "override_values": sh.override_values,
+    "add_region_to_classification": lambda df, other, qualifier, **a: sh.qualify_by_period(df, periods=other, qualifier=F.col(f"`{qualifier}`"), **a),
+    "add_synthetic_days": lambda df, other, **a: sh.add_synthetic_days(df, days=other, **a),
+    "cross_dataset_period": lambda df, other, **a: dq.outside_periods(df, periods=other, **a),
+}
 
 
 def run_stage(datasets: Mapping[str, DataFrame], steps: Sequence[Mapping],

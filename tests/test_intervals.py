@@ -117,3 +117,37 @@ def test_hot_split_without_broadcast(spark, monkeypatch):
     split = iv.add_overlapping_identifier(df, "k", "s", "e", order_by=["id"], hot_rows=9).collect()
     key = lambda r: r.id
     assert sorted(plain, key=key) == sorted(split, key=key)
+
+
+def test_interval_join_over_years_open_periods_and_outliers(spark):
+    """Facts over several years, periods short, long and open, and a stray date: brute force."""
+    import datetime as dt
+    import random
+
+    from effdated.operators.joins import interval_join
+    rng = random.Random(8)
+    day = lambda n: dt.datetime(2015, 1, 1) + dt.timedelta(days=n)
+    facts = [(rng.choice("abc"), i, day(s := rng.randint(0, 3000)), day(s + rng.randint(0, 400))) for i in range(200)]
+    facts += [("a", 900, dt.datetime(1900, 1, 1), dt.datetime(1900, 1, 2)), ("a", 901, None, day(10)), (None, 902, day(5), day(9))]
+    periods = [(rng.choice("abc"), j, day(s := rng.randint(0, 3000)), day(s + rng.choice([3, 40, 500, 2000]))) for j in range(60)]
+    periods += [("a", 70, day(100), dt.datetime(2262, 4, 11)), ("b", 71, dt.datetime(1, 1, 1), dt.datetime(9999, 12, 31)), ("c", 72, day(9), None), ("c", 73, day(9), day(1))]
+    f = spark.createDataFrame(facts, "k string, i int, s timestamp_ntz, e timestamp_ntz")
+    p = spark.createDataFrame(periods, "k string, j int, ps timestamp_ntz, pe timestamp_ntz")
+    ok = lambda *x: all(v is not None for v in x)
+    want = {"contained": lambda s, e, a, z: ok(s, e, a, z) and s >= a and e <= z,
+            "either_end": lambda s, e, a, z: ok(a, z) and ((s is not None and a <= s <= z) or (e is not None and a <= e <= z))}
+    for mode, hit in want.items():
+        got = sorted((r.i, r.j) for r in interval_join(f, p, "k", "s", "e", "ps", "pe", mode).collect())
+        assert got == sorted((i, j) for k, i, s, e in facts for q, j, a, z in periods if k == q and k is not None and hit(s, e, a, z)), mode
+
+
+def test_stage_steps_with_two_datasets(spark):
+    from effdated.plans import stage
+    a = spark.createDataFrame([("x", 1), ("y", None)], "k string, v int")
+    m = spark.createDataFrame([("X ", "one")], "k string, name string")
+    out = stage.run_stage({"a": a, "m": m}, [
+        {"function": "inscope_lookup", "sources": ["a", "m"], "args": {"col": "k", "from_col": "k", "to_col": "name"}, "targets": ["named"]},
+        {"function": "union", "sources": ["a", "a"], "targets": ["twice"]},
+        {"function": "non_nan", "sources": ["a"], "args": {"cols": ["v"], "keys": ["k"]}, "targets": ["bad"]}])
+    assert sorted((r.k, r.name) for r in out["named"].collect()) == [("x", "one"), ("y", None)]
+    assert out["twice"].count() == 4 and [r.k for r in out["bad"].collect()] == ["y"]

@@ -63,6 +63,41 @@ def employee_classification(bronze: DataFrame, order_by: list[str] | None = None
     return effective_dated_master(bronze, SMN_KEY, SMN_DATE, SMN_FLAT, SMN_SETTINGS, order_by=order_by)
 
 
+def classification_awards(mapped: DataFrame, cutover: str, before_award: str, after_award: str,
+                          keyword: str = " award mapping") -> DataFrame:
+    """EmployeeClassification, stage one: T4 cut every period at the cut-over; R2 melt the
+    ``<award> award mapping`` columns into (Award, Classification); F6 keep the award that
+    applies on each side of the cut-over. Later builds use these cut periods."""
+    from effdated.operators import reshape as rs
+    cut = F.lit(cutover).cast("timestamp_ntz")
+    ids = [c for c in mapped.columns if not c.endswith(keyword) and "mapping" not in c and c != "Classification"]
+    d = iv.cut_at_points(mapped, "StartDate", "EndDate", [cut])
+    d = rs.melt_keyword(d, ids, {"Classification": keyword}, var_name="Award")
+    before = (F.col("EndDate") <= cut) & (F.col("Award") == before_award)
+    after = (F.col("StartDate") >= cut) & (F.col("Award") == after_award)
+    return d.filter(before | after)
+
+
+def classification_final(awards: DataFrame, overrides: DataFrame | None, timesheets: DataFrame,
+                         timesheet_award: str, region_classes: list[str]) -> DataFrame:
+    """EmployeeClassification, stage two: T13 progression overrides per (EmployeeCode,
+    StartDate); F2 / P25 / T15 the first location attribute of each timesheet of one award;
+    T14 classifications in ``region_classes`` get the attribute of the employee's earliest such
+    timesheet that lies in the period, as ``<classification> - <attribute>``."""
+    from effdated.operators import joins as jn
+    from effdated.operators import shifts as sh
+    d = awards if overrides is None else sh.override_values(awards, overrides, ["EmployeeCode", "StartDate"], ["Classification"])
+    attrs = attributes_over_time_build(timesheets, timesheet_award).filter("attribute_position = 1")
+    own = d.filter(F.col("Classification").isin(region_classes)).select("EmployeeCode", "StartDate", "EndDate", "Classification").distinct()
+    inside = jn.interval_join(attrs.select("EmployeeCode", "ClockedIn", "ClockedOut", F.col("Value").alias("_region")), own,
+                              "EmployeeCode", "ClockedIn", "ClockedOut", "StartDate", "EndDate", "contained")
+    ids = ["EmployeeCode", "StartDate", "EndDate", "Classification"]
+    first = inside.groupBy(*ids).agg(F.min_by("_region", F.struct("ClockedIn", "ClockedOut", "_region")).alias("_region"))
+    d = d.join(first, ids, "left")
+    named = F.when(F.col("_region").isNotNull(), F.concat_ws(" - ", "Classification", "_region")).otherwise(F.col("Classification"))
+    return d.withColumn("Classification", named).drop("_region")
+
+
 # masterPOS headers, staging names and the in-scope employment types.
 POS_SETTINGS = [
     {"staging": "EmployeeCode", "raw": "Staff Member", "type": "string"},
@@ -76,14 +111,17 @@ EMPLOYMENT_TYPES = ["FullTime", "PartTime", "Casual"]
 
 
 def employment_type(bronze: DataFrame, status_mapping: dict[str, str],
-                    order_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                    order_by: list[str] | None = None, master_smn: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """EmployeeEmploymentType (masterPOS): the master build on (Employment Status,
-    Termination Date), then J10 map client statuses to in-scope types. Returns
-    (staging, Q10 in-scope violations)."""
+    Termination Date), J10 map client statuses to in-scope types, then F3 keep employees
+    present in masterSMN. Returns (staging, Q10 in-scope violations)."""
+    from effdated.operators import filters as fl
     from effdated.operators import quality as dq
     staged = effective_dated_master(bronze, "Staff Member", "Position Start",
                                     ["Employment Status", "Termination Date"], POS_SETTINGS, order_by=order_by)
     staged = cl.value_mapper(staged, status_mapping, "EmploymentType")
+    if master_smn is not None:
+        staged = fl.keep_keys_in(staged, master_smn, "EmployeeCode")
     return staged, dq.not_in_scope(staged, "EmploymentType", EMPLOYMENT_TYPES)
 
 
@@ -316,10 +354,13 @@ RATE_SETTINGS = [
 ]
 
 
-def rates_over_time(bronze: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    """EmployeeRatesOverTime (masterSMN hourly rate): the master build on ``Hourly``."""
-    return effective_dated_master(bronze, "Staff Member", "Effective Date", ["Hourly", "Termination Date"],
-                                  RATE_SETTINGS, order_by=order_by)
+def rates_over_time(bronze: DataFrame, order_by: list[str] | None = None, master_smn: DataFrame | None = None) -> DataFrame:
+    """EmployeeRatesOverTime (masterSMN hourly rate): the master build on ``Hourly``, then F3
+    keep employees present in masterSMN."""
+    from effdated.operators import filters as fl
+    out = effective_dated_master(bronze, "Staff Member", "Effective Date", ["Hourly", "Termination Date"],
+                                 RATE_SETTINGS, order_by=order_by)
+    return out if master_smn is None else fl.keep_keys_in(out, master_smn, "EmployeeCode")
 
 
 def bronze_hourly_rates(orders: DataFrame) -> DataFrame:

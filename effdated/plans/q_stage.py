@@ -170,7 +170,8 @@ spans AS (SELECT EmployeeCode, overlapping_index, min(PeriodStart) AS us, max(Pe
 uu AS (SELECT u.*, spans.us, spans.ue, spans.uc FROM u JOIN spans USING (EmployeeCode, overlapping_index)),
 d AS (SELECT *, row_number() OVER (PARTITION BY PayslipLineCode
                  ORDER BY StartDate, Classification, Hours, Amount, PayCode) AS rk FROM uu)
-SELECT EmployeeCode, us AS PeriodStart, ue AS PeriodEnd, PayCode, Hours, Amount, isbase AS "Is Base Hours?",
+SELECT EmployeeCode, us AS PeriodStart, ue AS PeriodEnd,
+       CASE WHEN day(ue) <= 20 AND ue IN (SELECT o_orderdate + INTERVAL 14 DAY FROM orders) THEN strftime(ue, '%Y-%m') END AS PayCycle, PayCode, Hours, Amount, isbase AS "Is Base Hours?",
        '{{''payslips:row:'': [''' || substr(src, 14) || ''']}}' AS Source,
        uc AS PayslipCode, PayslipLineCode, StartDate, EndDate, Classification,
        CAST(overlapping_index AS BIGINT) AS overlapping_index, is_overlapping
@@ -180,8 +181,10 @@ def q_build_payslips(spark, sf):
     from effdated.plans.datasets import bronze_master_smn, employee_classification, payslips, staged_payslips
     smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
     staged = staged_payslips(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
-    out = payslips(staged, smn)
-    return out.select("EmployeeCode", "PeriodStart", "PeriodEnd", "PayCode", "Hours", "Amount", "Is Base Hours?",
+    runs = table(spark, sf, "orders").select((F.col("o_orderdate") + F.make_dt_interval(F.lit(14))).alias("run_end")).distinct()
+    runs = runs.filter("day(run_end) <= 20").withColumn("cycle", F.date_format("run_end", "yyyy-MM"))
+    out = payslips(staged, smn, payrun_index=runs)
+    return out.select("EmployeeCode", "PeriodStart", "PeriodEnd", "PayCycle", "PayCode", "Hours", "Amount", "Is Base Hours?",
                       "Source", "PayslipCode", "PayslipLineCode", "StartDate", "EndDate", "Classification",
                       F.col("overlapping_index").cast("bigint").alias("overlapping_index"), "is_overlapping")
 
@@ -224,6 +227,33 @@ def _added_cohorts(orders):
                         (F.col("d") + F.make_dt_interval(F.lit(120))).alias("EndDate"), F.lit("Added").alias("EA"), F.lit("Cohort D").alias("Cohort"))
 
 
+@register("build_classification_final", f"""
+WITH {_SMN_SQL},
+mm AS (SELECT EmployeeCode, StartDate, EndDate, Classification AS c0, unnest([TIMESTAMP '1900-01-01', TIMESTAMP '1998-12-01']) AS lo,
+             unnest([TIMESTAMP '1998-12-01', TIMESTAMP '9999-01-01']) AS hi, unnest([1, 2]) AS side FROM smn),
+aw AS (SELECT EmployeeCode, greatest(StartDate, lo) AS s, least(EndDate, hi) AS e, CASE side WHEN 1 THEN 'Region 2014 EA' ELSE 'Region 2017 EA' END AS Award,
+              CASE WHEN side = 1 AND c0 <> '5-LOW' THEN 'Award 2014' WHEN side = 2 AND c0 <> '1-URGENT' THEN 'Award 2017' END AS cls, StartDate
+       FROM mm WHERE (StartDate < hi AND EndDate > lo) OR (StartDate = EndDate AND StartDate >= lo AND StartDate <= hi)),
+ov AS (SELECT CAST(o_custkey AS VARCHAR) AS EmployeeCode, CAST(CAST(min(o_orderdate) AS DATE) AS TIMESTAMP) AS s FROM orders WHERE o_custkey % 5 = 0 GROUP BY o_custkey),
+bb AS (SELECT aw.* EXCLUDE (cls), CASE WHEN ov.s IS NOT NULL THEN 'Award 2014 level 2' ELSE cls END AS cls FROM aw LEFT JOIN ov ON ov.EmployeeCode = aw.EmployeeCode AND ov.s = aw.s),
+tt AS (SELECT CAST(user_id AS VARCHAR) AS EmployeeCode, ts, ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS te, event_type AS region FROM events WHERE value > 100),
+rg AS (SELECT b.EmployeeCode, b.s, b.e, first(t.region ORDER BY ts, te, region) AS region
+      FROM (SELECT DISTINCT EmployeeCode, s, e FROM bb WHERE cls = 'Award 2017') b JOIN tt t ON t.EmployeeCode = b.EmployeeCode AND ts >= b.s AND te <= b.e GROUP BY ALL)
+SELECT b.EmployeeCode, b.s AS StartDate, b.e AS EndDate, Award, CASE WHEN region IS NOT NULL AND cls = 'Award 2017' THEN cls || ' - ' || region ELSE cls END AS Classification
+FROM bb b LEFT JOIN rg USING (EmployeeCode, s, e)
+""")
+def q_build_classification_final(spark, sf):
+    from effdated.plans.datasets import (bronze_master_smn, classification_awards, classification_final, cohort_mappings,
+                                         employee_classification, timesheets_from_events)
+    o = table(spark, sf, "orders")
+    smn = employee_classification(bronze_master_smn(o), order_by=["o_orderkey"])
+    awards = classification_awards(cohort_mappings(smn), "1998-12-01", "Region 2014 EA", "Region 2017 EA")
+    first = o.filter("o_custkey % 5 = 0").groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).cast("timestamp_ntz").alias("StartDate"))
+    overrides = first.select(F.col("o_custkey").cast("string").alias("EmployeeCode"), "StartDate", F.lit("Award 2014 level 2").alias("Classification"))
+    out = classification_final(awards, overrides, timesheets_from_events(table(spark, sf, "events")), "EA 2014", ["Award 2017"])
+    return out.select("EmployeeCode", "StartDate", "EndDate", "Award", "Classification")
+
+
 STATUS_MAPPING = {"Full Time": "FullTime", "Part Time": "PartTime"}
 
 
@@ -249,15 +279,21 @@ SELECT e.EmployeeCode, StartDate,
        CASE WHEN nxt IS NULL THEN coalesce(term, TIMESTAMP '2262-04-11 23:47:16.854775') ELSE nxt END AS EndDate,
        CASE es WHEN 'Full Time' THEN 'FullTime' WHEN 'Part Time' THEN 'PartTime' ELSE es END AS EmploymentType,
        src.Source, 'masterPOS.xlsx' AS source_file
-FROM e JOIN src USING (EmployeeCode, run)
+FROM e JOIN src USING (EmployeeCode, run) WHERE CAST(e.EmployeeCode AS BIGINT) % 4 <> 1
 """)
 def q_build_employment_type(spark, sf):
     from effdated.plans.datasets import bronze_master_pos, employment_type
     staged, _violations = employment_type(bronze_master_pos(table(spark, sf, "orders")), STATUS_MAPPING,
-                                          order_by=["o_orderkey"])
+                                          order_by=["o_orderkey"], master_smn=_in_scope(spark, sf))
     return staged
 
 
+def _in_scope(spark, sf):
+    """masterSMN of the employees in scope, for the builds' F3."""
+    from effdated.plans.datasets import bronze_master_smn, employee_classification
+    return employee_classification(bronze_master_smn(table(spark, sf, "orders").filter("o_custkey % 4 <> 1")), order_by=["o_orderkey"])
+
+
 @register("build_employment_type_inscope", """
 SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS EmployeeCode, 'Casual Staff' AS EmploymentType FROM orders
 WHERE o_orderstatus NOT IN ('F', 'O')
@@ -355,11 +391,11 @@ e AS (SELECT g.*, lead(StartDate) OVER (PARTITION BY EmployeeCode ORDER BY run)
 SELECT e.EmployeeCode, StartDate,
        CASE WHEN nxt IS NULL THEN coalesce(term, TIMESTAMP '2262-04-11 23:47:16.854775') ELSE nxt END AS EndDate, BaseRate,
        src.Source, 'rates.xlsx' AS source_file
-FROM e JOIN src USING (EmployeeCode, run)
+FROM e JOIN src USING (EmployeeCode, run) WHERE CAST(e.EmployeeCode AS BIGINT) % 4 <> 1
 """)
 def q_build_rates_over_time(spark, sf):
     from effdated.plans.datasets import bronze_hourly_rates, rates_over_time
-    return rates_over_time(bronze_hourly_rates(table(spark, sf, "orders")), order_by=["o_orderkey"])
+    return rates_over_time(bronze_hourly_rates(table(spark, sf, "orders")), order_by=["o_orderkey"], master_smn=_in_scope(spark, sf))
 
 
 @register("build_leave", f"""

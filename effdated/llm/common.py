@@ -81,6 +81,39 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size_col: str, n_r
     return at_hot.unionByName(cold.join(groups.filter(~is_hot), key))
 
 
+#: Bits of a Bloom filter that is broadcast: 16 to 32 a key, 32 MB at most (past that it fills
+#: up and lets more rows through), and the bits that one 4 KB bitmap row holds.
+MAX_FILTER_BITS, MIN_FILTER_BITS, BITMAP_BITS = 1 << 28, 1 << 15, 1 << 15
+
+
+def filter_bits(n_keys: int) -> int:
+    return min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, 1 << (16 * max(n_keys, 1) - 1).bit_length()))
+
+
+def key_filter(keys: DataFrame, columns: list[str], label: str) -> tuple[DataFrame, int, list[str]]:
+    """A Bloom filter (one probe a key) of ``columns`` as a table of bitmaps."""
+    bits = filter_bits(keys.count())
+    cell = F.pmod(F.xxhash64(*columns), F.lit(bits))
+    rows = keys.select(F.floor(cell / BITMAP_BITS).alias("_bucket"), (cell % BITMAP_BITS).alias("_bit"))
+    return shared_table(rows.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")), label), bits, columns
+
+
+def flag_members(rows: DataFrame, known: tuple[DataFrame, int, list[str]], flag: str = "_maybe") -> DataFrame:
+    """Add ``flag``, false only for rows whose key is certainly not in the filter. No shuffle."""
+    cells, bits, columns = known
+    out = rows.withColumn("_cell", F.pmod(F.xxhash64(*columns), F.lit(bits))).withColumn("_bucket", F.floor(F.col("_cell") / BITMAP_BITS))
+    out = out.join(F.broadcast(cells), "_bucket", "left")
+    bit = F.col("_cell") % BITMAP_BITS
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return out.withColumn(flag, hit).select(*[F.col(f"`{c}`") for c in rows.columns], flag)
+
+
+def members(rows: DataFrame, known: tuple[DataFrame, int, list[str]]) -> DataFrame:
+    """The rows whose key may be in the filter."""
+    return flag_members(rows, known).filter("_maybe").drop("_maybe")
+
+
 def hash_table(entries: DataFrame, buckets: int) -> DataFrame:
     """One row: ``table``, the rows ``(t long, w)`` of ``entries`` as ``buckets`` short lists by ``t``.
 

@@ -29,11 +29,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TEXT_ROWS, join_groups, packed, shared_table
+from .common import TEXT_ROWS, flag_members, join_groups, key_filter, members, packed, shared_table
 
 MIN_WORDS = 8
 _WORD_BREAK = "[\\x20\\x09-\\x0D]+"
-MAX_FILTER_BITS, MIN_FILTER_BITS, BITMAP_BITS = 1 << 28, 1 << 15, 1 << 15
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _HASH = ["h1", "h2"]
@@ -86,22 +85,17 @@ def _candidates(first: DataFrame) -> DataFrame:
     keyed = first.filter(F.size("halves") > 0).select(*_HASH, "place", F.explode("halves").alias("half"))
     shared = keyed.groupBy("half").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     shared = shared_table(shared, "lines-shared")
-    near = join_groups(keyed, shared, "half", "_n", first.count()).select(*_HASH, "place")
+    likely = members(keyed, key_filter(shared, ["half"], "lines-shared-filter"))
+    near = join_groups(likely, shared, "half", "_n", first.count()).select(*_HASH, "place")
     return shared_table(near.dropDuplicates(_HASH), "lines-near")
 
 
 def _pick(documents: DataFrame, near: DataFrame) -> DataFrame:
     """``rank, h1, h2, line`` of the candidate lines. Their texts are found by a Bloom filter of
     their places (one probe a line); ``rank`` is a number that follows the places' order."""
-    bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, 1 << (16 * max(near.count(), 1) - 1).bit_length()))
-    cell = F.pmod(F.xxhash64(*[F.col(c) for c in _PLACE]), F.lit(bits))
-    cells = near.select("place.*").select(F.floor(cell / BITMAP_BITS).alias("_bucket"), (cell % BITMAP_BITS).alias("_bit"))
-    cells = shared_table(cells.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "lines-cells")
+    known = key_filter(near.select("place.*"), _PLACE, "lines-places")
     lines = documents.select("_null", "_id", "_th", F.posexplode(F.split("_text", "\n")).alias("_no", "line"))
-    probed = lines.withColumn("_cell", cell).withColumn("_bucket", F.floor(F.col("_cell") / BITMAP_BITS)).join(F.broadcast(cells), "_bucket")
-    bit = F.col("_cell") % BITMAP_BITS
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    maybe = probed.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).select(_place().alias("place"), "line")
+    maybe = members(lines, known).select(_place().alias("place"), "line")
     found = maybe.join(near, "place").dropDuplicates(_HASH)
     words = F.array_join(F.array_remove(F.split("line", _WORD_BREAK), ""), " ")
     ranked = found.orderBy("place").withColumn("rank", F.monotonically_increasing_id())
@@ -144,7 +138,9 @@ def _partners(texts: DataFrame) -> DataFrame:
     rows = shared_table(_variants(texts), "lines-variants", 5 * TEXT_ROWS)
     least = lambda role: F.min(F.when(F.col("role") == role, F.col("rank")))
     groups = rows.groupBy("key").agg(least(0).alias("_whole"), least(1).alias("_cut"), least(2).alias("_swap"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    met = join_groups(rows, shared_table(groups, "lines-groups"), "key", "_n", rows.count())
+    groups = shared_table(groups, "lines-groups")
+    likely = members(rows, key_filter(groups, ["key"], "lines-keys"))
+    met = join_groups(likely, groups, "key", "_n", rows.count())
     other = F.when(F.col("role") == 2, F.col("_swap")).when(F.col("role") == 1, F.col("_whole")).otherwise(F.col("_cut"))
     return met.withColumn("other", other).filter("other < rank").groupBy("rank").agg(F.min("other").alias("other"))
 
@@ -171,8 +167,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     late = shared_table(both.filter(_within_one_edit(F.col("w"), F.col("pw"))).select(*_HASH, F.lit(True).alias("_late")), "lines-late")
     # distinct lines of which something goes: they stand in several places, or have an earlier partner
     fate = first.select(*_HASH, F.col("place").alias("_first"), "_n").join(late, _HASH, "left").filter("_n > 1 OR _late")
-    fate = fate.select(F.struct(*_HASH).alias("h"), "_first", "_n", F.coalesce("_late", F.lit(False)).alias("_late"))
-    at = join_groups(table.select("place", F.struct(*_HASH).alias("h")), shared_table(fate, "lines-fate"), "h", "_n", n)
+    fate = shared_table(fate.select(F.struct(*_HASH).alias("h"), "_first", "_n", F.coalesce("_late", F.lit(False)).alias("_late")), "lines-fate")
+    likely = members(table.select("place", F.struct(*_HASH).alias("h")), key_filter(fate.select("h"), ["h"], "lines-fates"))
+    at = join_groups(likely, fate, "h", "_n", n)
     gone = at.filter(F.col("_late") | (F.col("place") != F.col("_first"))).select("place.*")
     return gone.groupBy("_null", "_id", "_th").agg(F.array_sort(F.collect_set("_no")).alias("_gone"))
 
@@ -184,7 +181,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ident = F.col("_id").cast("long")
     rows = packed(docs, _id=id_col, _text=text_col).select(
         "_row", ident.isNull().alias("_null"), F.coalesce(ident, F.lit(0)).alias("_id"), F.xxhash64(F.coalesce("_text", F.lit(""))).alias("_th"))
-    out = rows.join(gone, ["_null", "_id", "_th"], "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
+    # documents that lose nothing pass straight through; only the others meet their line numbers
+    key = ["_null", "_id", "_th"]
+    rows = flag_members(rows, key_filter(gone, key, "lines-losers"))
+    whole = rows.filter(~F.col("_maybe")).withColumn("_gone", F.lit(None).cast("array<int>"))
+    out = whole.unionByName(rows.filter("_maybe").join(gone, key, "left")).withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
     text = F.col("_row")[text_col]
     out = out.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n"))
     # the numbers that stay come from one set difference, so long texts are not searched line by line

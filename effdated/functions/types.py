@@ -70,7 +70,15 @@ def spark_type(name: str) -> T.DataType:
 
 
 def align_datatype(obj: DataFrame | Mapping[str, str], output_dtypes: str = "sql") -> dict[str, str]:
-    """Column -> type name, as ``sql`` (Postgres-style) or ``spark`` names."""
+    """Column -> type name, as ``sql`` (Postgres-style), ``spark`` or ``pandas`` names. For
+    ``pandas`` the given names are SQL types (or the schema of a DataFrame)."""
+    if output_dtypes == "pandas":
+        names = align_datatype(obj, "sql") if isinstance(obj, DataFrame) else dict(obj)
+        back = {sql.lower(): pandas for pandas, sql in reversed(PANDAS_TO_SQL.items())}
+        unknown = [c for c, t in names.items() if t.strip().lower() not in back]
+        if unknown:
+            raise KeyError(f"no pandas dtype for the SQL types of {unknown}")
+        return {c: back[t.strip().lower()] for c, t in names.items()}
     if isinstance(obj, DataFrame):
         pairs = [(f.name, f.dataType) for f in obj.schema.fields]
         if output_dtypes == "spark":

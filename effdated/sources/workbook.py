@@ -26,7 +26,7 @@ _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
 # Built-in number formats that display dates / times.
 _DATE_FORMAT_IDS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
-_SCHEMA = "path string, sheet string, row_no long, ordinal long, cells array<string>"
+_SCHEMA = "path string, sheet string, row_no int, ordinal int, cells array<string>, names array<string>, error string"
 
 
 def _col_index(ref: str) -> int:
@@ -101,21 +101,53 @@ def parse_workbook(content: bytes) -> Iterator[tuple[str, int, int, list]]:
                 ordinal += 1
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            for sheet, rn, ordinal, cells in parse_workbook(bytes(content)):
-                out.append((path, sheet, rn, ordinal, cells))
-        yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "ordinal", "cells"])
-
-
-def scan_workbooks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """All rows of all sheets: ``(path, sheet, row_no, cells)``."""
+CHUNK_ROWS = 1000  # rows of a workbook that leave the parser at once
+
+
+def _parser(header: int | None):
+    """Rows of workbooks, chunk by chunk, each with its sheet's header row (``names``). A file
+    that cannot be read gives one row with ``error``."""
+    columns = ["path", "sheet", "row_no", "ordinal", "cells", "names", "error"]
+
+    def rows(path: str, content: bytes) -> Iterator[tuple]:
+        at, names = None, None
+        try:
+            for sheet, rn, ordinal, cells in parse_workbook(content):
+                if sheet != at:
+                    at, names = sheet, None
+                if ordinal == header:
+                    names = cells
+                yield path, sheet, rn, ordinal, cells, names, None
+        except (zipfile.BadZipFile, ET.ParseError, KeyError, AttributeError, ValueError, IndexError) as e:
+            yield path, None, None, None, None, None, f"{type(e).__name__}: {e}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                out: list[tuple] = []
+                for row in rows(path, bytes(content)):
+                    out.append(row)
+                    if len(out) == CHUNK_ROWS:
+                        yield pd.DataFrame(out, columns=columns, dtype=object)
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=columns, dtype=object)
+
+    return run
+
+
+def scan_workbooks(spark: SparkSession, paths: str | Sequence[str], header: int | None = None) -> DataFrame:
+    """All rows of all sheets: ``(path, sheet, row_no, ordinal, cells, names, error)``. Every file
+    is parsed once; ``names`` is the sheet's row number ``header`` on the rows from there on."""
     ps = [paths] if isinstance(paths, str) else list(paths)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.xls[xm]").load(ps).select("path", "content"))
-    return files.mapInPandas(_parse_batches, _SCHEMA)
+    return files.mapInPandas(_parser(header), _SCHEMA)
+
+
+def unreadable_workbooks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(path, error)`` of the files that were skipped."""
+    return scan_workbooks(spark, paths).filter(F.col("error").isNotNull()).select("path", "error")
 
 
 def read_workbook_with_lineage(spark: SparkSession, paths: str | Sequence[str], header: int = 0,
@@ -125,16 +157,14 @@ def read_workbook_with_lineage(spark: SparkSession, paths: str | Sequence[str],
     ``header`` is the 0-based index of the header among the sheet's non-empty rows
     (as pandas counts). Column names come from each (file, sheet) header row, so the
     result is long: ``(source_file, sheet, row_no, column, value, Source)``. Use
-    :func:`pivot_workbook` to widen one layout. Lineage: ``<stem>:<sheet>:row:<n>``.
+    :func:`pivot_workbook` to widen one layout. Lineage: ``<stem>:<sheet>:row:<n>``. Files
+    that cannot be read are skipped; :func:`unreadable_workbooks` lists them.
     """
-    rows = scan_workbooks(spark, paths)
+    rows = scan_workbooks(spark, paths, header).filter(F.col("ordinal") > header)
     if sheet_name is not None:
         rows = rows.filter(F.col("sheet") == sheet_name)
-    # the parser numbers non-empty rows, so no window is needed to find the header row
-    hdr = rows.filter(F.col("ordinal") == header).select("path", "sheet", F.col("cells").alias("_names"))
-    data = rows.filter(F.col("ordinal") > header).join(hdr, ["path", "sheet"])
-    long = data.select("path", "sheet", "row_no",
-                       F.posexplode(F.arrays_zip(F.col("_names").alias("n"), F.col("cells").alias("v"))).alias("_i", "_z"))
+    long = rows.select("path", "sheet", "row_no",
+                       F.posexplode(F.arrays_zip(F.col("names").alias("n"), F.col("cells").alias("v"))).alias("_i", "_z"))
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]+$", "")
     return long.select(
         F.element_at(F.split("path", "/"), -1).alias("source_file"), "sheet", "row_no",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from effdated.sources import catalog, files
 from effdated.sources.csv import read_csv_with_lineage
-from effdated.sources.workbook import parse_workbook, read_workbook_with_lineage
+from effdated.sources.workbook import parse_workbook, read_workbook_with_lineage, unreadable_workbooks
 
 
 def _write(path, text):
@@ -78,6 +78,11 @@ def test_workbook_scan(spark, tmpdir_path):
     got = {(r.Source, r.column): r.value for r in long.collect()}
     assert got[("master EMP:Staff:row:3", "Joined")] == "2021-01-01 00:00:00"
     assert got[("master EMP:Staff:row:4", "Staff Member")] == "E2"
+    _write(os.path.join(os.path.dirname(p), "broken.xlsx"), "not a zip archive")
+    again = read_workbook_with_lineage(spark, os.path.dirname(p), header=1)
+    assert {(r.Source, r.column): r.value for r in again.collect()} == got  # the bad file is skipped
+    bad = unreadable_workbooks(spark, os.path.dirname(p)).collect()
+    assert [(os.path.basename(r.path), r.error.split(":")[0]) for r in bad] == [("broken.xlsx", "BadZipFile")]
 
 
 def test_listing_filter_assign(spark, tmpdir_path):

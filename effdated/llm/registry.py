@@ -137,7 +137,63 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(secret_scan.find_secrets(read(spark, sf_dir, "documents")))
 
 
-@query("op7_url_filter")
+def _url_sql() -> str:
+    u = url_filter
+    kinds = {text: kind for kind, text in URL_RULES}
+    cases = []
+    for text in sorted(kinds, key=len, reverse=True):
+        at, slash, prefix = text.partition("/")
+        cases.append(f"WHEN (host = '{at}' OR ends_with(host, '.{at}')) AND starts_with(path, '{slash}{prefix}') THEN '{text}'")
+    orders = range(u.ORDER + 1)
+    runs = ", ".join(f"array_to_string(c[i - {k}:i], '')" for k in orders)
+    counts = ",\n    ".join(f"coalesce(max(n.{x}) FILTER (k = {k}), 0) AS n{k}{x}, coalesce(max(m.{x}) FILTER (k = {k}), 0) AS m{k}{x}" for k in orders for x in "ab")
+
+    def p(x: str) -> str:
+        value = f"(1 / {u.ALPHABET}::DOUBLE)"
+        for k in orders:
+            value = f"((n{k}{x} + {u.SMOOTH}::DOUBLE * {value}) / (m{k}{x} + {u.SMOOTH}::DOUBLE))"
+        return value
+
+    return f"""
+WITH split AS (
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split),
+ruled AS (SELECT *, CASE {" ".join(cases)} END AS rule FROM parsed),
+judged AS (SELECT *, CASE {" ".join(f"WHEN rule = '{t}' THEN '{k}'" for t, k in kinds.items())} END AS decided FROM ruled),
+texts AS (
+  SELECT page_id, url, decided, rule IS NOT NULL AND substr(md5(url), 1, 1) < '2' AS held,
+         list_concat(list_concat([{", ".join(["chr(2)"] * u.ORDER)}],
+           string_split(translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')), [chr(3)]) AS c
+  FROM judged),
+places AS (SELECT page_id, decided, held, c, unnest(range({u.ORDER + 1}, len(c) + 1)) AS i FROM texts),
+spots AS (SELECT page_id, decided, held, i, unnest([{runs}]) AS r, unnest([{", ".join(map(str, orders))}]) AS k FROM places),
+runs AS (SELECT r, count(*) FILTER (decided = 'allow') AS a, count(*) FILTER (decided = 'block') AS b
+         FROM spots WHERE decided IS NOT NULL AND NOT held GROUP BY r),
+contexts AS (SELECT substr(r, 1, length(r) - 1) AS r, sum(a) AS a, sum(b) AS b FROM runs GROUP BY ALL),
+top_runs AS (SELECT * FROM runs ORDER BY a + b DESC, r LIMIT {u.MAX_RUNS}),
+top_contexts AS (SELECT * FROM contexts ORDER BY a + b DESC, r LIMIT {u.MAX_RUNS}),
+seen AS (
+  SELECT page_id, any_value(decided) AS decided, any_value(held) AS held, i,
+    {counts}
+  FROM spots s LEFT JOIN top_runs n ON n.r = s.r LEFT JOIN top_contexts m ON m.r = substr(s.r, 1, length(s.r) - 1)
+  WHERE held OR decided IS NULL GROUP BY page_id, i),
+scored AS (SELECT page_id, any_value(decided) AS decided, any_value(held) AS held, CAST(round(avg(ln({p("a")}) - ln({p("b")})) * {u.SCALE}) AS BIGINT) AS score
+           FROM seen GROUP BY page_id),
+bins AS (SELECT score, count(*) FILTER (decided = 'allow') AS a, count(*) FILTER (decided = 'block') AS b FROM scored WHERE held GROUP BY score),
+sums AS (SELECT score, sum(a) OVER w - a AS lost, sum(b) OVER w - b AS caught, sum(a) OVER () AS all_a, sum(b) OVER () AS all_b
+         FROM bins WINDOW w AS (ORDER BY score)),
+cutoff AS (SELECT score AS cut FROM sums WHERE all_a > 0 AND all_b > 0 AND lost <= {u.ACCEPTED_LOSS} * all_a
+           ORDER BY caught / all_b - lost / all_a DESC, score DESC LIMIT 1)
+SELECT page_id, host, path, rule,
+       coalesce(j.decided, CASE WHEN s.score < (SELECT cut FROM cutoff) THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN rule IS NULL THEN s.score / {float(u.SCALE)} END AS score
+FROM judged j LEFT JOIN scored s USING (page_id)
+"""
+
+
+@query("op7_url_filter", _url_sql())
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
@@ -147,7 +203,27 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read(spark, sf_dir, "pages"))
 
 
-@query("op6_line_dedup")
+@query("op6_line_dedup", f"""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+places AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM docs),
+lines AS (SELECT doc_id, k - 1 AS no, list_filter(string_split_regex(ls[k], '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM places),
+firsts AS (SELECT w, min((doc_id, no)) AS f FROM lines WHERE len(w) > 0 GROUP BY w),
+long AS (SELECT * FROM firsts WHERE len(w) >= {line_dedup.MIN_WORDS}),
+cuts AS (SELECT w, f, unnest(range(1, len(w) + 1)) AS i FROM long),
+variants AS (SELECT w, f, i, list_concat(w[:i - 1], w[i + 1:]) AS x FROM cuts),
+late AS (
+  SELECT w FROM (SELECT w, f, min(f) OVER (PARTITION BY x, i) AS m FROM variants) WHERE m < f
+  UNION SELECT v.w FROM variants v JOIN long s ON s.w = v.x WHERE s.f < v.f
+  UNION SELECT s.w FROM variants v JOIN long s ON s.w = v.x WHERE v.f < s.f),
+gone AS (
+  SELECT doc_id, no FROM lines JOIN firsts USING (w)
+  WHERE (doc_id, no) <> f OR w IN (SELECT w FROM late)),
+lists AS (SELECT doc_id, list(no ORDER BY no) AS g FROM gone GROUP BY doc_id),
+kept AS (SELECT doc_id, ls, coalesce(g, []) AS g FROM docs LEFT JOIN lists USING (doc_id))
+SELECT doc_id, len(ls) AS n_lines, len(g) AS n_dropped, array_to_string(g, ',') AS dropped,
+       sha256(coalesce(array_to_string(list_filter(ls, lambda x, i: NOT list_contains(g, i - 1)), chr(10)), '')) AS text_sha256
+FROM kept
+""")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.array_join(F.col("dropped_lines").cast("array<string>"), ",")

@@ -34,15 +34,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, TEXT_ROWS, join_groups, packed, shared_table, unpacked
+from .common import TEXT_ROWS, join_groups, packed, shared_table, unpacked
 from .graph import connected_components
 
 SHINGLE = 4
 MAX_BITS = 4
 SEGMENTS = 5
 PIECES = 3
-#: Fingerprints of one key that are compared in one block.
-BLOCK = 1024
+#: Fingerprints of one key in a block; up to MOST_PER_GROUP blocks are compared as one group.
+BLOCK, MOST_PER_GROUP = 1024, 4
+#: Common keys that are broadcast at most (a few MB).
+MAX_BROADCAST_KEYS = 100_000
 _SEED = 42
 
 
@@ -211,12 +213,11 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(*[F.struct(F.lit(i).alias("slot"), F.col("_fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
     rows = classes.select(F.col("_fp").alias("fp"), F.col("_rep").alias("rep"), F.explode(keys).alias("k")).select("k.slot", "k.key", "fp", "rep")
-    n = max(1, classes.count() * len(masks))
-    # keys so common that one task should not compare them: fewer than HOT_SHARE by their size
-    limit = max(block, n // HOT_SHARE)
-    hot = rows.groupBy("slot", "key").count().filter(F.col("count") > limit)
+    # keys too common for one group in a task's memory, whatever the size of the table
+    hot = rows.groupBy("slot", "key").count().filter(F.col("count") > MOST_PER_GROUP * block)
     hot = shared_table(hot.select("slot", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "simhash-hot")
-    dealt = rows.join(F.broadcast(hot), ["slot", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    side = F.broadcast(hot) if hot.count() <= MAX_BROADCAST_KEYS else hot  # else AQE splits the skewed side
+    dealt = rows.join(side, ["slot", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     dealt = dealt.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("slot", "key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),

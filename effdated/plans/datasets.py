@@ -203,6 +203,38 @@ def payslips(staged: DataFrame, master_smn: DataFrame, payrun_index: DataFrame |
     return ln.list_source_to_dict(d.withColumn("Source", F.array("Source")), "Source")
 
 
+# The two header layouts of the payslip extracts, their unified names and staging names.
+PAYSLIP_HEADERS = [
+    ["DET_NUMBER", "PIT_RUN_START_DATE", "PIT_RUN_END_DATE", "PIT_CODEA", "create_PIT_CODEA_DESC", "PIT_HOURS", "PIT_AMOUNT", "PIT_RUN_NO"],
+    ["DET_NUMBERA", "PIT_RUN_START_DATE", "PIT_RUN_END_DATE", "PIT_CODEAA", "create_PIT_CODEA_DESC", "PIT_HOURSN", "PIT_AMOUNTN", "PIT_RUN_NOA"],
+]
+PAYSLIP_UNIFIED = ["DET_NUMBER", "PIT_RUN_START_DATE", "PIT_RUN_END_DATE", "PIT_CODEA", "PIT_CODEA_DESC", "PIT_HOURS", "PIT_AMOUNT", "PIT_RUN_NO"]
+PAYSLIP_STAGING = ["EmployeeCode", "PeriodStart", "PeriodEnd", "PayCode", "Description", "Hours", "Amount", "RunNumber"]
+
+
+def stage_payslips(batches: list[DataFrame]) -> DataFrame:
+    """Payslip staging: P7 unify the headers of every batch, U1 union them, P12 day-first period
+    dates, P2 staging names."""
+    from effdated.plans.stage import union_batches
+    d = union_batches([cl.unify_headers(b, PAYSLIP_HEADERS, PAYSLIP_UNIFIED) for b in batches])
+    for c in ("PIT_RUN_START_DATE", "PIT_RUN_END_DATE"):
+        d = dt.change_date_format(d, c, dayfirst=True)
+    return cl.rename_columns(d, dict(zip(PAYSLIP_UNIFIED, PAYSLIP_STAGING)))
+
+
+def payslip_batches(staged: DataFrame) -> list[DataFrame]:
+    """Staged lines as two raw batches, one of each header layout (driver queries)."""
+    day = lambda c: F.date_format(c, "dd/MM/yyyy")
+    raw = staged.withColumns({"PeriodStart": day("PeriodStart"), "PeriodEnd": day("PeriodEnd"), "RunNumber": F.lit("1")})
+    rest = [c for c in raw.columns if c not in PAYSLIP_STAGING]
+    out = []
+    for i, layout in enumerate(PAYSLIP_HEADERS):
+        own = raw.filter(F.pmod(F.xxhash64("Source"), F.lit(2)) == i)
+        names = [(s, h) for s, h in zip(PAYSLIP_STAGING, layout) if not h.startswith("create_")]
+        out.append(own.select(*[F.col(s).alias(h) for s, h in names], *[F.col(f"`{c}`") for c in rest]))
+    return out
+
+
 def staged_payslips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Staged payslip lines derived from order lines (used by the driver queries). A few lines
     share order and line number, so the lineage number has their ordinal behind these."""
@@ -428,12 +460,14 @@ def timesheets(ts: DataFrame, master_smn: DataFrame, holidays: DataFrame, shift_
     unpaid break placed mid-shift (``Breaks Length`` hours); T9 chain shifts with gaps
     under ``shift_gap_hours``; A1 one row per (employee, shift chain); P21 week parts;
     W10 at most one broken shift flagged per employee-week; T10 public holidays of the
-    shift's region (weekend holidays add a Monday); L2 lineage text."""
+    shift's region (weekend holidays add a Monday); W9 share of the last six months' days that
+    the employee worked, on holiday shifts; P8 empty columns; L2 lineage text."""
     from effdated.operators import aggregate as ag
     from effdated.operators import filters as fl
     from effdated.operators import joins as jn
     from effdated.operators import shifts as sh
     d = fl.row_filter(ts, [{"col": "Leave Record", "exclude": {"logic": "and", "value": LEAVE_MARKERS}}])
+    d = cl.create_columns(d, {"Training": {"value": "None", "dtype": "string"}})
     smn = master_smn.select("EmployeeCode", "StartDate", "EndDate", "Classification")
     d = fl.keep_keys_in(d, smn, "EmployeeCode")
     d = jn.interval_join(d, smn, "EmployeeCode", "ClockedIn", "ClockedOut", "StartDate", "EndDate", "either_end")
@@ -451,9 +485,24 @@ def timesheets(ts: DataFrame, master_smn: DataFrame, holidays: DataFrame, shift_
     g = dt.week_parts(g, "ClockedIn")
     g = sh.one_flag_per_week(g, "EmployeeCode", "ClockedIn", "is_Broken_Shift", "_sid").drop("_sid")
     g = sh.add_public_holidays(g, "ClockedIn", "Region", sh.holiday_calendar(holidays))
+    share = sh.trailing_day_share(g, "EmployeeCode", "ClockedIn", out="_share").withColumnRenamed("EmployeeCode", "_who")
+    g = g.join(share, (F.col("EmployeeCode") == F.col("_who")) & (F.to_date("ClockedIn") == F.col("day")), "left")
+    g = g.withColumn("worked_percentage_in_last_6_month", F.when(F.col("holiday_date").isNotNull(), F.col("_share"))).drop("_who", "day", "_share")
     return ln.list_source_to_dict(g, "Source")
 
 
+def timesheet_exceptions(ts: DataFrame, regions: list[str], max_hours: float = 24.0) -> DataFrame:
+    """The declared timesheet checks as one violations table: Q8 overlapping shifts of an
+    employee, Q11 shift length, Q12 end before start, Q10 region in scope."""
+    from effdated.plans.load import run_exception_tests
+    config = {"timesheets": {"keys": ["Source"], "validation_tests": {
+        "non_overlapping": {"key": "EmployeeCode", "start": "ClockedIn", "end": "ClockedOut"},
+        "shift_length": {"start": "ClockedIn", "end": "ClockedOut", "max_hours": max_hours},
+        "end_before_start": {"start": "ClockedIn", "end": "ClockedOut"}},
+        "inscope_mappings": {"region": {"client_columns": ["Region"]}}}}
+    return run_exception_tests({"timesheets": ts}, config, {"region": regions})
+
+
 def timesheet_rows(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Timesheet rows (with leave markers, break length and region) derived from an
     event stream (driver queries)."""

@@ -34,7 +34,8 @@ def run_exception_tests(datasets: Mapping[str, DataFrame], config: Mapping[str,
     ``config``: ``{dataset: {keys: [...], validation_tests: {...}, inscope_mappings: {...}}}``
     with the tests ``non_nan, non_numeric, non_positive, non_datetime, non_isacii`` (lists of
     columns), ``exclude_nan``, ``non_duplicate: {subset}``, ``non_overlapping: {key, start, end,
-    group_records}`` and ``broken_records`` (columns). ``inscope_mappings``: ``{mapping:
+    group_records}``, ``shift_length: {start, end, min_minutes, max_hours}``, ``end_before_start:
+    {start, end}`` and ``broken_records`` (columns). ``inscope_mappings``: ``{mapping:
     {client_columns: [...]}}``, with the allowed values of each mapping in ``mappings``. Empty
     lists and false switches test nothing; an unknown test raises.
     """
@@ -59,6 +60,10 @@ def run_exception_tests(datasets: Mapping[str, DataFrame], config: Mapping[str,
                 parts.append(_violations(dq.overlapping(df, args["key"], args["start"], args["end"], bool(args.get("group_records"))), name, test, keys))
             elif test == "broken_records":
                 parts.append(_violations(dq.broken_records(df, list(args), "_overflow" if "_overflow" in df.columns else None), name, test, keys))
+            elif test == "shift_length":
+                parts.append(_violations(dq.shift_length(df, args["start"], args["end"], args.get("min_minutes"), args.get("max_hours")), name, test, keys))
+            elif test == "end_before_start":
+                parts.append(_violations(dq.end_before_start(df, args["start"], args["end"]), name, test, keys))
             else:
                 raise ValueError(f"unknown validation test {test!r} of dataset {name!r}")
         for mapping, args in (spec.get("inscope_mappings") or {}).items():

@@ -178,9 +178,10 @@ SELECT EmployeeCode, us AS PeriodStart, ue AS PeriodEnd,
 FROM d WHERE rk = 1
 """)
 def q_build_payslips(spark, sf):
-    from effdated.plans.datasets import bronze_master_smn, employee_classification, payslips, staged_payslips
+    from effdated.plans.datasets import (bronze_master_smn, employee_classification, payslip_batches, payslips,
+                                         stage_payslips, staged_payslips)
     smn = employee_classification(bronze_master_smn(table(spark, sf, "orders")), order_by=["o_orderkey"])
-    staged = staged_payslips(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
+    staged = stage_payslips(payslip_batches(staged_payslips(table(spark, sf, "lineitem"), table(spark, sf, "orders"))))
     runs = table(spark, sf, "orders").select((F.col("o_orderdate") + F.make_dt_interval(F.lit(14))).alias("run_end")).distinct()
     runs = runs.filter("day(run_end) <= 20").withColumn("cycle", F.date_format("run_end", "yyyy-MM"))
     out = payslips(staged, smn, payrun_index=runs)
@@ -495,7 +496,9 @@ cal AS (SELECT region, holiday_name, holiday_date, false AS is_additional_holida
 SELECT w10.EmployeeCode, shift_index, ClockedIn, ClockedOut, Classification, w10.Region, unpaid_break_seconds, break_seconds,
        pieces, brk AND rk = 1 AS is_Broken_Shift, week_number, week_day, week_info,
        cal.region AS holiday_regions, holiday_name, CAST(holiday_date AS TIMESTAMP) AS holiday_date, is_additional_holiday,
-       src.Source
+       CASE WHEN holiday_date IS NOT NULL THEN (SELECT count(DISTINCT CAST(p.ClockedIn AS DATE)) FROM gw p WHERE p.EmployeeCode = w10.EmployeeCode
+         AND CAST(p.ClockedIn AS DATE) < CAST(w10.ClockedIn AS DATE) AND CAST(p.ClockedIn AS DATE) >= CAST(w10.ClockedIn AS DATE) - 182) / 182.0 END
+         AS worked_percentage_in_last_6_month, src.Source
 FROM w10 JOIN src USING (EmployeeCode, shift_index)
 LEFT JOIN cal ON CAST(w10.ClockedIn AS DATE) = cal.holiday_date AND (cal.region = w10.Region OR cal.region = 'ALL')
 """)
@@ -511,5 +514,22 @@ def q_build_timesheets(spark, sf):
                       "Classification", "Region", F.col("unpaid_break_seconds").cast("bigint").alias("unpaid_break_seconds"),
                       F.col("break_seconds").cast("bigint").alias("break_seconds"),
                       F.col("pieces").cast("bigint").alias("pieces"), "is_Broken_Shift", "week_number", "week_day",
-                      "week_info", "holiday_regions", "holiday_name",
+                      "week_info", "worked_percentage_in_last_6_month", "holiday_regions", "holiday_name",
                       F.col("holiday_date").cast("timestamp_ntz").alias("holiday_date"), "is_additional_holiday", "Source")
+
+
+@register("timesheet_exceptions", """
+WITH t AS (SELECT event_id, user_id, ts, ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS te, 'timesheets:row:' || CAST(event_id + 2 AS VARCHAR) AS src, n_name AS region
+           FROM events LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
+m AS (SELECT *, max(te) OVER (PARTITION BY user_id ORDER BY ts, te ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM t),
+i AS (SELECT *, count(*) FILTER (reach IS NULL OR ts >= reach) OVER (PARTITION BY user_id ORDER BY ts, te ROWS UNBOUNDED PRECEDING) AS isl FROM m)
+SELECT 'timesheets' AS dataset, 'non_overlapping' AS test, NULL AS "column", NULL AS value, '{"Source":"' || src || '"}' AS key FROM i QUALIFY count(*) OVER (PARTITION BY user_id, isl) > 1
+UNION ALL SELECT 'timesheets', 'shift_length', NULL, NULL, '{"Source":"' || src || '"}' FROM t WHERE date_diff('second', ts, te) > 6 * 3600
+UNION ALL SELECT 'timesheets', 'end_before_start', NULL, NULL, '{"Source":"' || src || '"}' FROM t WHERE te < ts
+UNION ALL SELECT 'timesheets', 'inscope_region', 'Region', region, '{"Source":"' || src || '"}' FROM t WHERE region IS NOT NULL AND region NOT IN (SELECT n_name FROM nation WHERE n_nationkey < 20)
+""")
+def q_timesheet_exceptions(spark, sf):
+    from effdated.plans.datasets import timesheet_exceptions, timesheet_rows
+    n = table(spark, sf, "nation")
+    ts = timesheet_rows(table(spark, sf, "events"), table(spark, sf, "customer"), n)
+    return timesheet_exceptions(ts, n.filter("n_nationkey < 20").select("n_name"), max_hours=6.0)

@@ -33,7 +33,7 @@ from .common import TEXT_ROWS, shared_table
 
 CAPACITY = 2048
 END_ID = 1
-#: Words whose ids a task remembers.
+#: Words whose ids a task remembers, twice as many at most.
 CACHE_WORDS = 120_000
 #: Pieces of one length that one task numbers, about.
 BLOCK_ROWS = 50_000
@@ -60,9 +60,17 @@ class _Words(dict):
     """Ids of single words as bytes, straight from the tokenizer's model (no offsets and the like)."""
 
     def __init__(self, tokenize):
-        self.tokenize = tokenize
+        self.tokenize, self.older = tokenize, {}
+
+    def age(self) -> None:
+        """Forget the words not used since the last time; the others stay."""
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> bytes:
+        if word in self.older:
+            self[word] = found = self.older.pop(word)
+            return found
         if not (word.isascii() and word.isprintable()):
             ids = [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(_BYTE_LEVEL))]
         else:
@@ -95,7 +103,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if self.by_word and _is_latin(text):
             if len(self.words) > CACHE_WORDS:
-                self.words.clear()
+                self.words.age()
             return b"".join(map(self.words.__getitem__, _LATIN_WORDS.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 

@@ -76,15 +76,16 @@ def learn_weights(docs: DataFrame, labels: DataFrame, domains: list[str], id_col
     for w, deviations in zip(raw, odd):
         strong = strong | F.coalesce((deviations >= MIN_DEVIATIONS) & (F.abs(w) >= MIN_WEIGHT), F.lit(False))
     weight = F.array(*[F.greatest(F.lit(-MAX_WEIGHT), F.least(F.lit(MAX_WEIGHT), x - middle)) for x in logit])
-    known = (wide.filter("t IS NOT NULL").crossJoin(F.broadcast(total))  # one row of totals
+    totals = {f"_t{i}": total.select(f"_t{i}").scalar() for i in range(k)}
+    known = (wide.filter("t IS NOT NULL").withColumns(totals)
              .filter(strong).select("t", weight.alias("w"), F.array(*[F.log(1.0 - x) for x in share]).alias("_without"), F.greatest(*odd).alias("_odd"))
              .orderBy(F.desc("_odd"), "t").limit(MAX_TERMS))
     known = shared_table(known, "mixing-terms")
     dense = hash_table(known, BUCKETS).withColumnRenamed("table", "weights")
     absent = known.agg(*[F.coalesce(F.sum(F.get("_without", F.lit(i))), F.lit(0.0)).alias(f"_a{i}") for i in range(k)])
-    prior = total.crossJoin(F.broadcast(absent)).select(  # one row each
+    prior = total.withColumns({f"_a{i}": absent.select(f"_a{i}").scalar() for i in range(k)}).select(
         F.array(*[F.log((x + 1.0) / (all_t + float(k))) + F.col(f"_a{i}") for i, x in enumerate(t)]).alias("prior"))
-    return shared_table(dense.crossJoin(F.broadcast(prior)), "mixing-model")  # one row each
+    return shared_table(dense.withColumn("prior", prior.scalar()), "mixing-model")
 
 
 def posteriors(docs: DataFrame, model: DataFrame, domains: list[str], text_col: str = "text") -> DataFrame:

@@ -146,8 +146,9 @@ def learn_cutoffs(figures: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     picked = (counts.groupBy("_stratum", "rule")
               .agg(F.max(F.struct(utility.alias("u"), F.col("cutoff"), F.col("_k"), F.col("_n"))).alias("b"))
               .select("_stratum", "rule", "b.*"))
-    tests = picked.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("_tests"))
-    return (picked.crossJoin(F.broadcast(tests))  # one row
+    picked = shared_table(picked, "quality-picked")
+    tests = picked.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return (picked.withColumn("_tests", tests)
             .filter((F.col("u") > 0) & (binomial_cdf(F.col("_k"), F.col("_n"), max_false_rejection) * F.col("_tests") <= error))
             .select("_stratum", "rule", "cutoff"))
 
@@ -159,7 +160,7 @@ def judge(figures: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") ->
     stratum = F.coalesce(F.col(f"`{stratum_col}`"), F.lit(""))
     value = lambda rule: F.coalesce(*[F.when(rule == r, F.col("_f")["ratios"][r]) for r in GRID])
     rejected = F.exists("_cuts", lambda c: (c["_stratum"] == stratum) & (value(c["rule"]) >= c["cutoff"]))
-    return figures.crossJoin(F.broadcast(table)).withColumn("_kept", ~F.col("_f")["base_failed"] & ~rejected).drop("_cuts")
+    return figures.withColumn("_cuts", table.scalar()).withColumn("_kept", ~F.col("_f")["base_failed"] & ~rejected).drop("_cuts")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",

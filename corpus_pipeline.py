@@ -35,11 +35,11 @@ TOXIC_SHARE = 0.02
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: thin out toxic texts to their target share. No text is repeated
-    (rates are at most 1) and the budget lets the clean domain saturate, so clean
-    documents stay."""
+    (rates are at most 1) and the clean tokens set the budget: the share of toxic texts is
+    an upper bound only. Documents stay if their label is clean or they are no likelier toxic."""
     labels = mixing.label_domains(read(spark, sf_dir, "labels"))
     targets = {"clean": 1 - TOXIC_SHARE, "toxic": TOXIC_SHARE}
-    return mixing.take_mixture(docs, labels, targets, max_rate=1.0, budget=None)
+    return mixing.take_mixture(docs, labels, targets, max_rate=1.0, keep="clean")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,7 +107,12 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str], text_col:
     return out.withColumn("_tokens", F.size("_words").cast("long")).withColumn("_p", p).drop("_words", "_weights", "_prior", "_s")
 
 
-def _replay(p: Column, history: list[list[float]], max_rate: float) -> Column:
+def _least(p: Column, kept: int | None, max_rate: float) -> Column:
+    """The least rate: 1 for documents that are no likelier of another domain than of the kept one."""
+    return F.when(F.get(p, F.lit(kept)) >= F.array_max(p), F.lit(min(1.0, max_rate))).otherwise(F.lit(0.0)) if kept is not None else F.lit(0.0)
+
+
+def _replay(p: Column, history: list[list[float]], max_rate: float, kept: int | None = None) -> Column:
     """The rate after the steps in ``history`` (a gradient per domain each), starting from 1."""
     rate = F.lit(min(1.0, max_rate))
     if not history:
@@ -117,17 +122,20 @@ def _replay(p: Column, history: list[list[float]], max_rate: float) -> Column:
 
     def one(r: Column, h: Column) -> Column:
         pull = F.aggregate(F.zip_with(p, h, lambda a, b: a * b / float(GRID)), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(0.0), F.least(F.lit(float(max_rate)), r - step * (pull + RIDGE * (r - 1.0))))
+        return F.greatest(_least(p, kept, max_rate), F.least(F.lit(float(max_rate)), r - step * (pull + RIDGE * (r - 1.0))))
 
     return F.aggregate(steps, rate, one)
 
 
-def fit_rates(scored: DataFrame, targets: dict[str, float], max_rate: float, budget: float | None = 1.0) -> list[list[float]]:
+def fit_rates(scored: DataFrame, targets: dict[str, float], max_rate: float, budget: float | None = 1.0, keep: str | None = None) -> list[list[float]]:
     """Steps of projected gradient descent until the domains' shares settle.
 
     ``budget``: tokens wanted as a multiple of the tokens there are; None: just above the
     most that the scarcest domain allows at ``max_rate``, so its documents are all taken.
+    ``keep``: a domain whose documents are all taken at ``max_rate``; it alone sets the
+    budget, so the targets of the others are upper bounds.
     """
+    kept = None if keep is None else list(targets).index(keep)
     total = float(sum(targets.values()))
     goal = [w / total for w in targets.values()]
     groups = shared_table(scored.groupBy("_p").agg(F.sum("_tokens").alias("_t")), "mixing-groups")
@@ -137,14 +145,16 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], max_rate: float, bud
     if not tokens:
         return []
     have = [max(x / tokens, 1e-9) for x in first[1:]]
-    if budget is None:
+    if kept is not None:
+        budget = have[kept] * max_rate / goal[kept]
+    elif budget is None:
         budget = 1.02 * min(h * max_rate / g for h, g in zip(have, goal) if g > 0)
     goal = [g * budget for g in goal]
     history: list[list[float]] = []
     now = [h * min(1.0, max_rate) for h in have]
     for _ in range(STEPS):
         history.append([(m - g) / h for m, g, h in zip(now, goal, have)])
-        row = groups.agg(*share(_replay(F.col("_p"), history, max_rate))).first()
+        row = groups.agg(*share(_replay(F.col("_p"), history, max_rate, kept))).first()
         after = [x / tokens for x in row]
         if max(abs(a - b) for a, b in zip(after, now)) < TOLERANCE:
             break
@@ -152,16 +162,37 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], max_rate: float, bud
     return history
 
 
+def _flag_labelled(scored: DataFrame, labels: DataFrame, domains: list[str], keep: str, id_col: str) -> DataFrame:
+    """``scored`` plus ``_known``: whether the label of a document is ``keep``, where the model says otherwise.
+
+    Only documents that the model gives to other domains are looked up, by id alone; rows shuffle
+    only where the ids found are too many to be broadcast.
+    """
+    at = F.col(f"`{id_col}`")
+    other = F.array_max("_p") > F.get("_p", F.lit(domains.index(keep)))
+    labelled = (labels.select(F.col(f"`{id_col}`").alias("_at"), F.col("domain")).filter(F.col("domain").isin(domains) & F.col("_at").isNotNull())
+                .groupBy("_at").agg(F.min("domain").alias("_domain")).filter(F.col("_domain") == keep).select("_at"))
+    found = scored.filter(other & at.isNotNull()).select(at.alias("_at")).distinct().join(labelled, "_at")
+    found = shared_table(found, "mixing-labelled")
+    known = scored.filter(other & at.isNotNull()).join(found, at == F.col("_at"), "left").withColumn("_known", F.col("_at").isNotNull()).drop("_at")
+    return known.unionByName(scored.filter(~other | at.isNull()).withColumn("_known", F.lit(False)))
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        max_rate: float = 4.0, budget: float | None = 1.0, with_text: bool = True) -> DataFrame:
+        max_rate: float = 4.0, budget: float | None = 1.0, with_text: bool = True, keep: str | None = None) -> DataFrame:
     """``docs`` plus ``_tokens``, ``_p`` (posteriors), ``_rate`` and ``_copies``."""
     domains = list(targets)
     model = learn_weights(docs, labels, domains, id_col, text_col)
     u = F.pmod(F.xxhash64(F.lit(7), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(1 << 32)) / float(1 << 32)
     scored = posteriors(docs, model, domains, text_col).withColumn("_u", u)
     scored = shared_table(scored if with_text else scored.drop(text_col), "mixing-scored")
-    rate = _replay(F.col("_p"), fit_rates(scored, targets, max_rate, budget), max_rate)
-    return scored.withColumn("_rate", F.round(rate, 6)).withColumn("_copies", F.floor(F.col("_rate") + F.col("_u"))).drop("_u")
+    if keep is not None:
+        scored = _flag_labelled(scored, labels, domains, keep, id_col)
+    kept = None if keep is None else domains.index(keep)
+    rate = _replay(F.col("_p"), fit_rates(scored, targets, max_rate, budget, keep), max_rate, kept)
+    if keep is not None:  # a label counts more than the model
+        rate = F.when(F.col("_known"), F.greatest(rate, F.lit(min(1.0, max_rate)))).otherwise(rate)
+    return scored.withColumn("_rate", F.round(rate, 6)).withColumn("_copies", F.floor(F.col("_rate") + F.col("_u"))).drop("_u", "_known")
 
 
 def mixing_report(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
@@ -174,10 +205,10 @@ def mixing_report(docs: DataFrame, labels: DataFrame, targets: dict[str, float],
 
 
 def take_mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-                 max_rate: float = 4.0, budget: float | None = 1.0) -> DataFrame:
+                 max_rate: float = 4.0, budget: float | None = 1.0, keep: str | None = None) -> DataFrame:
     """The rows of ``docs``, each as often as its number of copies says."""
     named = labels.select(F.col(f"`{id_col}`").alias("id"), "domain")
-    out = mix(packed(docs, id=id_col, text=text_col), named, targets, "id", "text", max_rate, budget, with_text=False).filter("_copies > 0")
+    out = mix(packed(docs, id=id_col, text=text_col), named, targets, "id", "text", max_rate, budget, with_text=False, keep=keep).filter("_copies > 0")
     if max_rate > 1:
         out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return unpacked(out)

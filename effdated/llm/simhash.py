@@ -135,13 +135,8 @@ def _forest(group: tuple, max_bits: int, segments: int, pieces: int) -> list[tup
         return x
 
     links = []
-    for i in range(n - 1):
-        if same:
-            js = np.arange(i + 1, n)
-        elif half[i]:
-            continue
-        else:
-            js = np.flatnonzero(half)
+    for i in range(n) if same else np.flatnonzero(~half).tolist():  # the halves of a pair lie in any order
+        js = np.arange(i + 1, n) if same else np.flatnonzero(half)
         hit = js[_linked(np.full(len(js), fp[i]), fp[js], np.full(len(js), slot), max_bits, segments, pieces)]
         for j in hit.tolist():
             a, b = root(i), root(j)

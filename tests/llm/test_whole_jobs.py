@@ -8,7 +8,8 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from effdated.llm import mixing
+from test_dedup import brute_components
+from effdated.llm import graph, mixing, simhash
 
 
 # mixing in the pipeline
@@ -47,3 +48,31 @@ def test_a_clean_label_counts_more_than_the_model(spark, tmpdir_path):
     odd = {i for i, _, d in rows if d == "toxic" and i % 20 == 1}
     docs = tables(spark, tmpdir_path, rows, [(i, 1, int(d == "toxic" and i not in odd)) for i, _, d in rows if i % 2])
     assert odd and odd <= {r.doc_id for r in corpus_pipeline.mix_domains(spark, docs, tmpdir_path).collect()}
+
+
+# simhash
+
+
+@pytest.mark.parametrize("turn", range(6))
+def test_the_last_row_of_a_block_pair_is_compared(turn):
+    fp = np.array([0, 0xFFFF << 20, 0xFFFF << 30, 0xFFFF << 40, 0xF0F0 << 48, 1], dtype=np.uint64)  # 0 and 1 alone link
+    half = np.array([False, False, False, True, True, True])
+    order = np.roll(np.arange(6), turn)
+    rep = np.arange(6)
+    for o in (order, order[::-1]):
+        found = simhash._forest((3, False, fp[o], rep[o], half[o]), simhash.MAX_BITS, simhash.SEGMENTS, simhash.PIECES)
+        assert found == [(0, 5)]
+
+
+def test_a_hot_key_loses_no_link_whatever_the_row_order(spark):
+    # one hot key (segment 0 and 1 equal), block 4: most rows are far from all others, pairs differ by one bit in segments 1 to 4 each
+    rng = random.Random(5)
+    fps, bits = [], [simhash._ring(simhash.SEGMENTS)[i][0] for i in range(1, 5)]
+    for _ in range(40):
+        x = sum(1 << b for b in rng.sample(range(26, 64), 16))
+        fps += [x, x ^ sum(1 << b + 2 for b in bits)]
+    rng.shuffle(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    got = simhash.links(spark.createDataFrame([(f, f) for f in signed], "_fp long, _rep long"), block=4)
+    comp = {r.node: r.component for r in graph.connected_components(got).collect()}
+    assert [comp.get(f, f) for f in signed] == brute_components(signed, fps, simhash.MAX_BITS)

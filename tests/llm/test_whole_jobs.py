@@ -9,7 +9,7 @@ import xxhash
 
 import corpus_pipeline
 from test_dedup import brute_components
-from effdated.llm import graph, mixing, simhash
+from effdated.llm import graph, mixing, registry, simhash, url_filter
 
 
 # mixing in the pipeline
@@ -76,3 +76,17 @@ def test_a_hot_key_loses_no_link_whatever_the_row_order(spark):
     got = simhash.links(spark.createDataFrame([(f, f) for f in signed], "_fp long, _rep long"), block=4)
     comp = {r.node: r.component for r in graph.connected_components(got).collect()}
     assert [comp.get(f, f) for f in signed] == brute_components(signed, fps, simhash.MAX_BITS)
+
+
+# URL filter
+
+
+def test_rare_runs_count(spark, monkeypatch):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    rows = [(i, f"https://{('shop.net', 'site.org', 'else.example')[i % 3]}/{('x', 'fr', 'y')[i % 3]}/{word()}") for i in range(600)]
+    rows += [(1000 + i, rows[2][1]) for i in range(50)] + [(2000, None), (None, rows[5][1])]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    want = sorted(map(tuple, url_filter.filter_urls(pages, registry.URL_RULES).collect()), key=str)
+    monkeypatch.setattr(url_filter, "MAX_RUNS", 30)
+    assert sorted(map(tuple, url_filter.filter_urls(pages, registry.URL_RULES).collect()), key=str) == want

@@ -8,8 +8,9 @@
    red-blue order). The same is done with at most ``MAX_BACKGROUND`` ordinary runs.
 3. Every run is scored by its best format: log likelihood per character under the format's
    automaton less that under the background's. It becomes a span ``like_<kind>`` if this
-   beats all but ``BACKGROUND_SHARE`` of the background sample, is at least ``MIN_RATIO``, and its
-   likelihood is no lower than that of the weakest ``LABEL_SHARE`` of the labelled ones.
+   is over ``MIN_RATIO`` and its likelihood is no lower than that of the weakest ``LABEL_SHARE``
+   of the labelled ones, whatever share of the runs that makes. Runs of the background sample
+   that a format explains better than the background does are not learnt from.
 
 Base spans are never dropped. A kind with fewer than ``MIN_LABELLED`` labelled values gets no
 automaton. Null text counts as empty and has no spans. Null ids and repeated rows keep
@@ -42,7 +43,9 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % MIN_CANDIDAT
 MAX_LEARNT_CHARS = 256
 MAX_LABELLED, MAX_BACKGROUND, MIN_LABELLED = 400, 800, 8
 MERGE_LEVEL = 0.05
-BACKGROUND_SHARE, LABEL_SHARE, MIN_RATIO = 0.01, 0.05, 0.7
+LABEL_SHARE, MIN_RATIO = 0.05, 0.7
+#: Rounds in which background runs that a format explains better leave the background.
+ROUNDS = 8
 _STOP = "$"
 
 
@@ -139,19 +142,33 @@ class Automaton:
         return total / (len(value) + 1)
 
 
+def _ordinary(formats: dict, background: list[str]) -> Automaton:
+    """The automaton of those background runs that no format explains better, however many it does explain."""
+    runs = [classes(v) for v in background]
+    scores = [[(automaton.score(v), least) for automaton, least, _ in formats.values()] for v in runs]
+    own = [max((s for s, _ in both), default=-math.inf) for both in scores]
+    rest = [v for v, both in zip(runs, scores) if all(s < least for s, least in both)]  # others join if they fit better here
+    if len(rest) < MIN_LABELLED:
+        rest = runs
+    for _ in range(ROUNDS):
+        noise = Automaton(rest)
+        left = [v for v, s in zip(runs, own) if s <= noise.score(v)]
+        if left == rest or not left:
+            break
+        rest = left
+    return noise
+
+
 def learn_formats(labelled: dict[str, list[str]], background: list[str]) -> dict:
     """Automata per kind, the background's, and the cutoffs of both conditions."""
-    noise = Automaton([classes(v) for v in background])
     formats = {}
     for kind, values in labelled.items():
         if len(values) < MIN_LABELLED:
             continue
         automaton = Automaton([classes(v) for v in values])
         own = sorted(automaton.score(classes(v)) for v in values)
-        usual = sorted(automaton.score(classes(v)) - noise.score(classes(v)) for v in background)
-        ratio = usual[math.floor((len(usual) - 1) * (1 - BACKGROUND_SHARE))] if usual else 0.0
-        formats[kind] = (automaton, own[math.floor(len(own) * LABEL_SHARE)], max(MIN_RATIO, ratio))
-    return {"noise": noise, "formats": formats}
+        formats[kind] = (automaton, own[math.floor(len(own) * LABEL_SHARE)], MIN_RATIO)
+    return {"noise": _ordinary(formats, background), "formats": formats}
 
 
 def like_kind(value: str, model: dict) -> str | None:

@@ -9,7 +9,7 @@ import xxhash
 
 import corpus_pipeline
 from test_dedup import brute_components
-from effdated.llm import graph, mixing, registry, simhash, url_filter
+from effdated.llm import graph, mixing, registry, secret_scan, simhash, url_filter
 
 
 # mixing in the pipeline
@@ -90,3 +90,19 @@ def test_rare_runs_count(spark, monkeypatch):
     want = sorted(map(tuple, url_filter.filter_urls(pages, registry.URL_RULES).collect()), key=str)
     monkeypatch.setattr(url_filter, "MAX_RUNS", 30)
     assert sorted(map(tuple, url_filter.filter_urls(pages, registry.URL_RULES).collect()), key=str) == want
+
+
+# secret scan
+
+
+@pytest.mark.parametrize("share", [0.02, 0.05, 0.3])
+def test_credentials_are_found_whatever_share_of_the_runs_they_are(share):
+    rng = random.Random(3)
+    of = lambda n, a: "".join(rng.choice(a) for _ in range(n))
+    upper, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz"
+    labelled = {"access": ["AKIA" + of(16, upper) for _ in range(200)], "hex": [of(40, "0123456789abcdef") for _ in range(200)]}
+    words = [f"{of(rng.randint(7, 12), small)}{rng.choice(['', '-', '/'])}{of(9, small)}" for _ in range(800)]
+    foreign = ["ASIA" + of(16, upper) for _ in range(int(800 * share))]
+    model = secret_scan.learn_formats(labelled, foreign + words[len(foreign):])
+    assert sum(secret_scan.like_kind(v, model) is not None for v in foreign) >= 0.85 * len(foreign)
+    assert not [v for v in words if secret_scan.like_kind(v, model)]

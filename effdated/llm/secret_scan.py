@@ -1,7 +1,7 @@
 """Secret scans (operator 5): base patterns plus formats inferred as probabilistic automata.
 
 1. One pass over whole texts finds the base spans (see ``PATTERNS``) and every other run of
-   ``MIN_CANDIDATE`` or more credential characters. Only spans and these runs leave the task.
+   ``MIN_CANDIDATE`` or more credential characters, or what base spans leave of it. Only spans and these runs leave the task.
 2. Grammar inference: per kind, at most ``MAX_LABELLED`` labelled credentials (the values of
    base spans, those with the least hash) build a prefix tree over character classes, whose
    statistically compatible states are merged (Hoeffding tests on stopping and moving on,
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +38,8 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 #: Words of which one stands in every assignment; a quick test before the pattern.
 _ASSIGN_WORDS = ("passw", "secret", "token", "api")
-MIN_CANDIDATE = 16
+#: Candidates start at the least length of a labelled value.
+MIN_CANDIDATE = MIN_ASSIGN
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % MIN_CANDIDATE)
 #: Longest value that is learnt from; all are scored.
 MAX_LEARNT_CHARS = 256
@@ -62,6 +64,22 @@ def base_spans(text: str) -> list[tuple[int, str, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
+def other_runs(text: str, base: list[tuple[int, str, int, str]]) -> list[tuple[int, int]]:
+    """Runs of ``MIN_CANDIDATE`` or more credential characters, less what base spans take of them."""
+    found, k, taken = [], 0, 0
+    for m in _RUN.finditer(text):
+        stop = m.end()
+        at = max(m.start(), taken)
+        while k < len(base) and base[k][0] < stop:  # base is in order of the starts
+            if base[k][0] - at >= MIN_CANDIDATE:
+                found.append((at, base[k][0]))
+            taken, k = max(taken, base[k][2]), k + 1
+            at = max(at, taken)
+        if stop - at >= MIN_CANDIDATE:
+            found.append((at, stop))
+    return found
+
+
 def classes(value: str) -> str:
     """Character classes: digits, a-f, g-z, A-Z; other characters stand for themselves."""
     return "".join("0" if c.isdigit() else "a" if "a" <= c <= "f" else "g" if "g" <= c <= "z" else "A" if "A" <= c <= "Z" else c for c in value)
@@ -173,7 +191,12 @@ def learn_formats(labelled: dict[str, list[str]], background: list[str]) -> dict
 
 def like_kind(value: str, model: dict) -> str | None:
     """The kind whose format the value has, if any."""
-    v, best = classes(value), None
+    return class_kind(classes(value), model)
+
+
+def class_kind(v: str, model: dict) -> str | None:
+    """``like_kind`` of a value's classes."""
+    best = None
     noise = model["noise"].score(v)
     for kind, (automaton, least, ratio) in model["formats"].items():
         own = automaton.score(v)
@@ -192,8 +215,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def one(text: str) -> tuple[list[dict], list[dict]]:
         base = base_spans(text)
-        runs = [(m.start(), "run", m.end(), m[0]) for m in _RUN.finditer(text)
-                if not any(s[0] < m.end() and m.start() < s[2] for s in base)]
+        runs = [(i, "run", j, text[i:j]) for i, j in other_runs(text, base)]
         return tuple([dict(zip(("start", "kind", "stop", "value"), s)) for s in spans] for spans in (base, runs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,14 +242,16 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sent = docs.sparkSession.sparkContext.broadcast(model)  # automata of at most a few thousand strings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind_of = lru_cache(100_000)(lambda v: class_kind(v, sent.value))  # words share their classes
         for batch in batches:
             out = []
             for base, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                found = [r | {"kind": f"like_{k}"} for r in runs if (k := like_kind(r["value"], sent.value))]
+                found = [r | {"kind": f"like_{k}"} for r in runs if (k := kind_of(classes(r["value"])))]
                 out.append(sorted(base + found, key=lambda s: (s["start"], order.index(s["kind"]))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, batch.schema.field(1).type)], names=["_id", "spans"])
 
-    return scanned.mapInArrow(run, f"_id long, spans {_SPANS}").withColumnRenamed("_id", id_col)
+    # written in small batches: the lists of many rows at once take a Python task's memory
+    return shared_table(scanned.mapInArrow(run, f"_id long, spans {_SPANS}"), "secrets-found", TEXT_ROWS).withColumnRenamed("_id", id_col)
 
 
 def span_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,11 +1,9 @@
 """Inputs on which an operator once did less than its whole job."""
 
-import math
 import random
 
 import numpy as np
 import pytest
-import xxhash
 
 import corpus_pipeline
 from test_dedup import brute_components
@@ -106,3 +104,14 @@ def test_credentials_are_found_whatever_share_of_the_runs_they_are(share):
     model = secret_scan.learn_formats(labelled, foreign + words[len(foreign):])
     assert sum(secret_scan.like_kind(v, model) is not None for v in foreign) >= 0.85 * len(foreign)
     assert not [v for v in words if secret_scan.like_kind(v, model)]
+
+
+def test_short_credentials_and_rests_beside_base_spans_are_scored(spark):
+    rng = random.Random(8)
+    of = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = [(i, f"password={of(10)} and ordinary sentences follow {rng.choice(['everywhere', 'sometimes', 'generally'])}") for i in range(200)]
+    rows += [(1000, f"the pwd is {of(10)} here"), (1001, f"{of(12)}/AKIA{'A1' * 8}"), (1002, f"only {of(7)}")]
+    got = {r.doc_id: r.spans for r in secret_scan.span_digest(secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[1000] == "like_assign:11:21" and got[1002] == "" and all(got[i].startswith("assign") and "like" not in got[i] for i in range(200))
+    text = f"{of(12)}/AKIA{'A1' * 8} AKIA{'B2' * 8}+{of(7)} {of(5)} password = {of(10)}"
+    assert secret_scan.other_runs(text, secret_scan.base_spans(text)) == [(0, 13), (54, 62)]

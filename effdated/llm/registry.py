@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, lang_id, line_dedup, mixing, packing, quality_rules, secret_scan, simhash, url_filter
-from .common import read
+from . import (backoff_lm, exact_dedup, html_extract, lang_id, line_dedup, mixing, packing, quality_rules, secret_scan, simhash, url_filter, whitening,
+               word_runs)
+from .common import let, read
 
 #: Wanted shares of the token budget per domain.
 TARGETS = {"clean": 0.9, "low": 0.05, "toxic": 0.05}
@@ -229,3 +230,38 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.array_join(F.col("dropped_lines").cast("array<string>"), ",")
     return out.select("doc_id", F.col("n_lines").cast("long"), F.size("dropped_lines").cast("long").alias("n_dropped"), gone.alias("dropped"),
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def planted_runs(doc_id: Column, text: Column) -> Column:
+    """The text in which operator 12 looks for runs: every tenth id (by hash) repeats a part of its words."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))).cast("long")
+        place = F.sequence(F.lit(0), n - 1)
+        return F.array_join(F.transform(place, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when((F.pmod(h, F.lit(10)) == 0) & text.rlike(r"[^\x20\x09-\x0D]"), let(words, planted)).otherwise(text)
+
+
+@query("op12_word_runs")
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return word_runs.run_digest(word_runs.find_runs(docs, "doc_id", planted_runs(F.col("doc_id"), F.col("text"))))
+
+
+@query("op13_lm_score")
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10))
+    out = backoff_lm.score_texts(read(spark, sf_dir, "documents"), rest != 0)
+    return out.withColumn("held_out", ~F.col("learnt")).drop("learnt")

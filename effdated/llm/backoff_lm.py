@@ -17,13 +17,13 @@ The counts grow with the corpus, so no task holds the whole automaton:
 2. Each block names its n-grams, counts those of its training texts, and sends (64-bit key,
    count) of each distinct one to the part of the key. Common n-grams are thus added up before they
    move, and a part gets each key once per block at most.
-3. A part adds up and answers every block that asked, but only where the total differs from the
-   block's own count. Parts are as many as keep ``PART_KEYS`` keys in each.
+3. A part adds up and answers every block with what others add to its counts, in the order of
+   the keys that it sent (so keys travel once). Parts are as many as keep ``PART_KEYS`` keys in each.
 4. Block and answers meet; the block builds that part of the automaton its texts can touch
    and reads all its texts side by side, token by token.
 
-Keys are hashes: two of n distinct n-grams share one with probability n^2 / 2^65, and then
-their counts add up. Block-local naming is exact.
+Keys are hashes, as wide as keeps the expected number of clashes among all of them below a half
+(64 bits at most, and always for single words); n-grams that clash add up. Naming in a block is exact.
 
 Null text counts as empty: one token, the end. Texts with null ids and rows
 where ``train`` is null are not learnt from. Very long texts are scored whole; a single text is the
@@ -139,177 +139,163 @@ class _Grams:
     """The n-grams of a block: ``at[k][i]`` numbers the one of k words that ends at place i.
     Every text is preceded by ``order - 1`` start marks."""
 
-    def __init__(self, row, order: int):
+    def __init__(self, row: dict, order: int):
         sizes, n = _unpack(row["sizes"], np.int64, row["texts"]), row["n"]
         pad = max(order - 1, 1)
-        firsts = np.concatenate([[0], np.cumsum(sizes + pad)[:-1]])
-        places = np.arange(n) + np.repeat(pad * (np.arange(len(sizes)) + 1), sizes)  # of the tokens, among start marks
-        w = np.full(n + pad * len(sizes), row["start"], np.int64)
-        w[places] = _unpack(row["tokens"], np.int32, n)
-        train = np.frombuffer(row["train"], np.uint8).astype(bool)
-        self.w, self.places, self.sizes, self.firsts, self.pad = w, places, sizes, firsts, pad
-        self.learn = np.repeat(train, sizes + pad)
+        self.firsts = np.concatenate([[0], np.cumsum(sizes + pad)[:-1]]) + pad  # places of the texts' first tokens
+        self.sizes, self.order, self.end = sizes, order, row["end"]
+        self.train = np.frombuffer(row["train"], np.uint8).astype(bool)
+        self.places = (np.arange(n) + np.repeat(pad * np.arange(1, len(sizes) + 1), sizes)).astype(np.int32)
+        w = np.full(n + pad * len(sizes), row["start"], np.int32)
+        w[self.places] = _unpack(row["tokens"], np.int32, n)
         codes = np.frombuffer(row["codes"], np.uint64)
-        self.token = np.zeros(len(w), bool)
-        self.token[places] = True
-        self.end = row["end"]
-        offset = np.arange(len(w)) - np.repeat(firsts, sizes + pad)
-        counts = self.token | (offset == pad - 1)  # grams of start marks count once a text, as contexts of its first word
+        token = np.zeros(len(w), bool)
+        token[self.places] = True
+        offset = np.arange(len(w), dtype=np.int32) - np.repeat((self.firsts - pad).astype(np.int32), sizes + pad)
+        # what counts: grams of training texts; those of start marks once a text, as contexts of its first word
+        counts = np.repeat(self.train, sizes + pad) & (token | (offset == pad - 1))
+        self.w, self.token = w, token
         # per length: numbers by place, and of each number a place where it ends, its key and its count in the block's training texts
         self.at, self.some, self.key, self.own = {}, {}, {}, {}
-        last, keys = None, None
         for k in range(1, order + 1):
-            pair = w
-            if k > 1:
-                pair = np.full(len(w), -1, np.int64)
-                pair[1:] = last[:-1] * (len(codes) + 1) + w[1:]
-            where = np.flatnonzero((offset >= k - 1) & (self.token if k == order else True))
-            _, some, number = np.unique(pair[where], return_index=True, return_inverse=True)
-            at = np.zeros(len(w), np.int64)
-            at[where] = number
+            where = np.flatnonzero(offset >= k - 1).astype(np.int32)
+            pair = w[where] if k == 1 else self.at[k - 1][where - 1].astype(np.int64) * (len(codes) + 1) + w[where]
+            _, some, number = np.unique(pair, return_index=True, return_inverse=True)
+            del pair
             some = where[some]
             key = codes[w[some]]
             if k > 1:
-                key = keys[last[some - 1]] * _MIX + key + np.uint64(k)
+                key = self.key[k - 1][self.at[k - 1][some - 1]] * _MIX + key + np.uint64(k)
                 key ^= key >> np.uint64(31)
                 key *= np.uint64(0xD6E8FEB86659FD93)
                 key ^= key >> np.uint64(32)
-            self.at[k], self.some[k], self.key[k] = at, some, key
-            self.own[k] = np.bincount(number, weights=(self.learn & counts)[where], minlength=len(some)).astype(np.int64)
-            last, keys = at, key
+            self.own[k] = np.bincount(number[counts[where]], minlength=len(some))
+            self.at[k] = np.zeros(len(w), np.int32)
+            self.at[k][where] = number
+            self.some[k], self.key[k] = some, key
+
+    def asked(self, orders: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the n-grams of these lengths, cut to ``bits``, and the order that sorts them."""
+        keys = np.concatenate([self.key[k] for k in orders]) >> np.uint64(64 - bits)
+        return keys, np.argsort(keys, kind="stable")
 
 
-def _ask(blocks: DataFrame, order: int, orders: list[int], parts: int) -> DataFrame:
-    """``part, block, n, keys, counts``: the distinct keys of a block, by part, with its own counts."""
+def _ask(blocks: DataFrame, orders: tuple[int, ...], bits: int, parts: int) -> DataFrame:
+    """``part, block, n, keys, counts``: the sorted keys of a block, by part, with its own counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                grams = _Grams(row, order)
-                key = np.concatenate([grams.key[k] for k in orders])
-                own = np.concatenate([grams.own[k] for k in orders])
-                del grams
-                by = np.argsort(key)
-                key, own = key[by], own[by]
-                part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)]):
-                    step = np.diff(key[a:b], prepend=np.uint64(0))
+            for i in range(batch.num_rows):
+                row = {f: batch.column(f)[i].as_py() for f, _ in _FIELDS}
+                grams = _Grams(row, max(orders))
+                key, by = grams.asked(orders, bits)
+                key, own = key[by], np.concatenate([grams.own[k] for k in orders])[by]
+                del grams, by
+                part = ((key >> np.uint64(bits - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+                cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+                for a, b in zip(cuts, [*cuts[1:], len(key)]):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(part[a])], pa.int32()), pa.array([row["block"]]), pa.array([b - a], pa.int64()), pa.array([_pack(step)], pa.binary()),
-                         pa.array([_pack(own[a:b])], pa.binary())], names=["part", "block", "n", "keys", "counts"])
+                        [pa.array([int(part[a])], pa.int32()), pa.array([row["block"]]), pa.array([b - a], pa.int64()),
+                         pa.array([_pack(np.diff(key[a:b], prepend=np.uint64(0)))], pa.binary()), pa.array([_pack(own[a:b])], pa.binary())],
+                        names=["part", "block", "n", "keys", "counts"])
 
     return blocks.select(*[n for n, _ in _FIELDS]).mapInArrow(run, "part int, block string, n long, keys binary, counts binary")
 
 
-def _answer(asked: DataFrame) -> DataFrame:
-    """``block, part, n, keys, counts, known``: totals that differ from a block's own count, and once a
-    part (null block) the number ``known`` of keys that occur in training."""
+def _answer(asked: DataFrame, orders: tuple[int, ...]) -> DataFrame:
+    """``orders, part, block, n, more``: for every row of ``asked`` what other blocks add to its counts,
+    in the order of its keys; and once a part (null block) as ``n`` the keys that occur in training."""
+    label = max(orders)
 
     def add_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.cumsum(_unpack(k, np.uint64, n)) for k, n in zip(rows["keys"], rows["n"])]
-        owns = [_unpack(c, np.int64, n) for c, n in zip(rows["counts"], rows["n"])]
-        names, number = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(number, weights=np.concatenate(owns), minlength=len(names)).astype(np.int64)
-        out, at = [(None, int(key[0]), 0, b"", b"", int((total > 0).sum()))], 0
-        for block, k, own in zip(rows["block"], keys, owns):
-            now = total[number[at:at + len(k)]]
-            at += len(k)
-            other = now != own
-            if other.any():
-                out.append((block, int(key[0]), int(other.sum()), _pack(np.diff(k[other], prepend=np.uint64(0))), _pack(now[other]), 0))
-        return pd.DataFrame(out, columns=["block", "part", "n", "keys", "counts", "known"])
-
-    return asked.groupBy("part").applyInPandas(add_up, "block string, part int, n long, keys binary, counts binary, known long")
+        keys = np.concatenate([np.cumsum(_unpack(k, np.uint64, n)) for k, n in zip(rows["keys"], rows["n"])])
+        names, number = np.unique(keys, return_inverse=True)
+        del keys
+        own = np.concatenate([_unpack(c, np.int64, n) for c, n in zip(rows["counts"], rows["n"])])
+        total = np.bincount(number, weights=own, minlength=len(names)).astype(np.int64)
+        more = total[number] - own
+        ends = np.cumsum(rows["n"].to_numpy())
+        out = [(label, int(key[0]), b, int(n), _pack(more[e - n:e])) for b, n, e in zip(rows["block"], rows["n"], ends)]
+        out.append((label, int(key[0]), None, int((total > 0).sum()), b""))
+        return pd.DataFrame(out, columns=["orders", "part", "block", "n", "more"])
 
+    return asked.groupBy("part").applyInPandas(add_up, "orders int, part int, block string, n long, more binary")
 
-class Automaton:
-    """The part of the backoff automaton that a block's texts can reach."""
 
-    def __init__(self, grams: _Grams, total: dict[int, np.ndarray], n: int, v: int, order: int, lower: dict[int, float]):
-        self.grams, self.order = grams, order
+class Automaton:
+    """The part of the backoff automaton that a block's texts can reach.
+
+    States are the root (0) and the contexts, arcs the n-grams; the arc of a state of length k - 1
+    for the word at a place is that of the n-gram of length k that ends there."""
+
+    def __init__(self, grams: _Grams, total: dict[int, np.ndarray], n: int, v: int, lower: dict[int, float]):
+        self.grams, order = grams, grams.order
+        at, some = grams.at, grams.some
+        self.first_state = np.cumsum([1, *[len(some[k]) for k in range(1, order)]]).tolist()  # of the contexts of k words at k - 1
+        self.first_arc = np.cumsum([0, *[len(some[k]) for k in range(1, order + 1)]])
+        real = {k: (total[k] > 0) & ~(grams.token[some[k]] & (grams.w[some[k]] == grams.end)) for k in range(1, order)}
+        lengths, fail, fail_weight, has, weight, goal = [[0]], [[0]], [[0.0]], [], [], []
         p = (total[1] + ADD) / (n + ADD * (v + 1))
-        self.unigram = np.log10(p)
-        self.known = total[1] > 0
-        # states: 0 is the root, then the contexts that occur, by length
-        state, n_states = {0: np.zeros(1, np.int64)}, 1
-        fail, fail_weight = [np.zeros(1, np.int64)], [np.zeros(1)]
-        arcs, weights, targets = [], [], []
-        self.width = len(grams.some[1]) + 1
-        above = p
         for k in range(1, order + 1):
-            some = grams.some[k]
-            word = grams.at[1][some]
+            end = some[k]
             if k > 1:
-                shorter = above[grams.at[k - 1][some]]  # p of the gram without its oldest word
-                context = total[k - 1][grams.at[k - 1][some - 1]]
-                m = lower[k - 1]
-                now = (total[k] + m * shorter) / (context + m)
-                source = state[k - 1][grams.at[k - 1][some - 1]]
-            else:
-                now, source = p, np.zeros(len(some), np.int64)
-            if k < order:  # contexts: seen in training and followed by a token
-                real = (total[k] > 0) & ~(grams.token[some] & (grams.w[some] == grams.end))
-                number = np.full(len(some), -1, np.int64)
-                number[real] = n_states + np.arange(int(real.sum()))
-                n_states += int(real.sum())
-                state[k] = number
-                down = state[k - 1][grams.at[k - 1][some]] if k > 1 else np.zeros(len(some), np.int64)
-                fail.append(down[real])
-                fail_weight.append(np.log10(lower[k] / (total[k][real] + lower[k])))
-            has = (total[k] > 0) & (source >= 0) & grams.token[some]
-            if k == 1:
-                has = grams.token[some]  # the root takes every word, unknown ones too
-            arcs.append(source[has] * self.width + word[has])
-            weights.append(np.log10(now[has]))
-            # the longest context that the word leads to, chosen below
-            targets.append((k, some[has]))
-            above = now
-        self.fail, self.fail_weight = np.concatenate(fail), np.concatenate(fail_weight)
-        goal = []
-        for k, some in targets:
-            best = np.zeros(len(some), np.int64)
+                context = total[k - 1][at[k - 1][end - 1]]
+                p = (total[k] + lower[k - 1] * p[at[k - 1][end]]) / (context + lower[k - 1])
+            has.append(grams.token[end] if k == 1 else total[k] > 0)  # the root takes every word
+            weight.append(np.log10(p))
+            best = np.zeros(len(end), np.int32)  # the longest context that the word leads to
             for j in range(1, min(k, order - 1) + 1):
-                got = state[j][grams.at[j][some]]
-                best = np.where(got >= 0, got, best)
+                got = at[j][end]
+                best = np.where(real[j][got], self.first_state[j - 1] + got, best).astype(np.int32)
             goal.append(best)
-        arcs, weights, goal = np.concatenate(arcs), np.concatenate(weights), np.concatenate(goal)
-        by = np.argsort(arcs)
-        self.arcs, self.weights, self.goal = arcs[by], weights[by], goal[by]
-        self.first = 0
-        for j in range(1, order):  # texts begin after start marks only
-            marks = grams.firsts + grams.pad - 1
-            got = state[j][grams.at[j][marks[:1]]] if len(marks) else np.array([-1])
-            self.first = int(got[0]) if got[0] >= 0 else self.first
+            if k < order:
+                lengths.append(np.full(len(end), k, np.int8))
+                fail.append(self.first_state[k - 2] + at[k - 1][end] if k > 1 else np.zeros(len(end), np.int32))
+                fail_weight.append(np.log10(lower[k] / (total[k] + lower[k])))
+        self.lengths, self.fail, self.fail_weight = np.concatenate(lengths).astype(np.int8), np.concatenate(fail).astype(np.int32), np.concatenate(fail_weight)
+        self.has, self.weight, self.goal = np.concatenate(has), np.concatenate(weight), np.concatenate(goal)
+        self.arc = np.stack([at[k] + np.int32(self.first_arc[k - 1]) for k in range(1, order + 1)])  # by length and place
+        self.start = 0  # the state after the start marks, of which every text has the same
+        for j in range(1, order):
+            mark = at[j][grams.firsts[0] - 1] if len(grams.firsts) else 0
+            if len(grams.firsts) and real[j][mark]:
+                self.start = self.first_state[j - 1] + int(mark)
 
     def read(self) -> np.ndarray:
-        """log10 probability of every text of the block; all texts are read side by side."""
-        g = self.grams
-        score = np.zeros(len(g.sizes))
-        by = np.argsort(-g.sizes, kind="stable")
-        start, sizes = g.firsts[by] + g.pad, g.sizes[by]
-        state = np.full(len(by), self.first, np.int64)
-        total = np.zeros(len(by))
-        alive, words = len(by), g.at[1]
-        for t in range(int(sizes[0]) if len(sizes) else 0):
-            while sizes[alive - 1] <= t:
-                alive -= 1
-            word = words[start[:alive] + t]
-            open_, now = np.arange(alive), state[:alive].copy()
-            while True:
-                want = now[open_] * self.width + word[open_]
-                at = np.searchsorted(self.arcs, want)
-                hit = self.arcs[np.minimum(at, len(self.arcs) - 1)] == want
-                done = open_[hit]
-                total[done] += self.weights[at[hit]]
-                state[done] = self.goal[at[hit]]
-                open_ = open_[~hit]
-                if not open_.size:
-                    break
-                total[open_] += self.fail_weight[now[open_]]
-                now[open_] = self.fail[now[open_]]
-        score[by] = total
-        return score
+        """log10 probability of every text of the block: all texts are read side by side, token by token."""
+        sizes = self.grams.sizes
+        by = np.argsort(-sizes, kind="stable")
+        first, sizes = self.grams.firsts[by], sizes[by]
+        state, score = np.full(len(by), self.start, np.int32), np.zeros(len(by))
+        alive = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), "left")  # texts of more than t tokens
+        for t, n in enumerate(alive.tolist()):
+            place = first[:n] + t
+            arc = self.arc[self.lengths[state[:n]], place]
+            hit = self.has[arc]
+            if not hit.all():  # failure arcs, until the state has one for the word
+                off = np.flatnonzero(~hit)
+                while off.size:
+                    score[off] += self.fail_weight[state[off]]
+                    state[off] = self.fail[state[off]]
+                    arc[off] = self.arc[self.lengths[state[off]], place[off]]
+                    off = off[~self.has[arc[off]]]
+            score[:n] += self.weight[arc]
+            state[:n] = self.goal[arc]
+        out = np.empty(len(by))
+        out[by] = score
+        return out
+
+
+def _totals(grams: _Grams, orders: tuple[int, ...], bits: int, answers: list[tuple[int, int, bytes]]) -> dict[int, np.ndarray]:
+    """Counts over all blocks of the block's n-grams of these lengths, from ``(part, n, more)``."""
+    keys, by = grams.asked(orders, bits)
+    total = np.concatenate([grams.own[k] for k in orders])
+    total[by] += np.concatenate([_unpack(more, np.int64, n) for _, n, more in sorted(answers)])
+    out, at = {}, 0
+    for k in orders:
+        out[k] = total[at:at + len(grams.own[k])]
+        at += len(out[k])
+    return out
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
@@ -321,36 +307,28 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("binary").alias("_text"), train.alias("_train"))
     kind = rows.schema["_id"].dataType.simpleString()
     blocks = token_blocks(rows, block_tokens)
-    n, words, tokens = blocks.agg(F.coalesce(F.sum("learnt"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    parts = lambda keys: max(1, -(-keys // part_keys))
-    v = (_answer(_ask(blocks, 2, [1], parts(words)).select("part", "block", "n", "keys", "counts")).agg(F.sum("known")).first()[0] or 0) - 1
-    v = max(v, 0)  # less the start mark, which is no token
-    answers = _answer(_ask(blocks, order, list(range(1, order + 1)), parts(words + (order - 1) * tokens))).filter(F.col("block").isNotNull())
+    n, words, tokens = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("learnt", "words", "n")]).first()
+    longer = tuple(range(2, order + 1))
+    most = max(1, (order - 1) * (tokens + words))  # keys that blocks can ask for
+    bits = min(64, max(40, 2 * most.bit_length() + 1))
+    single = shared_table(_answer(_ask(blocks, (1,), 64, 1 + words // part_keys), (1,)), "lm-words")
+    v = max(0, (single.filter("block is null").agg(F.sum("n")).first()[0] or 0) - 1)  # the start mark is no token
+    answers = single.unionByName(_answer(_ask(blocks, longer, bits, 1 + most // part_keys), longer)).filter("block is not null")
     form = f"{id_col} {kind}, learnt boolean, n_tokens long, n_known long, train_tokens long, train_words long, base_score double, score double"
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = {f: left.column(f)[0].as_py() for f, _ in _FIELDS}
-        grams = _Grams(row, order)
-        keys = [np.cumsum(_unpack(k, np.uint64, m)) for k, m in zip(right.column("keys").to_pylist(), right.column("n").to_pylist())]
-        counts = [_unpack(c, np.int64, m) for c, m in zip(right.column("counts").to_pylist(), right.column("n").to_pylist())]
-        key = np.concatenate([*keys, np.zeros(0, np.uint64)])
-        now = np.concatenate([*counts, np.zeros(0, np.int64)])
-        by = np.argsort(key)
-        key, now = key[by], now[by]
-        total = {}
-        for k in range(1, order + 1):
-            at = np.searchsorted(key, grams.key[k])
-            at[at == len(key)] = 0
-            hit = key[at] == grams.key[k] if len(key) else np.zeros(len(at), bool)
-            total[k] = np.where(hit, now[at] if len(key) else 0, grams.own[k])
-        automaton = Automaton(grams, total, n, v, order, lower)
-        numbers = grams.at[1][grams.places]
-        text = np.repeat(np.arange(len(grams.sizes)), grams.sizes)
-        known = np.bincount(text, weights=automaton.known[numbers], minlength=len(grams.sizes)).astype(np.int64)
-        base = np.bincount(text, weights=automaton.unigram[numbers], minlength=len(grams.sizes))
-        m = len(grams.sizes)
-        out = [left.column("ids").combine_chunks().flatten(), pa.array(np.frombuffer(row["train"], np.uint8).astype(bool)), pa.array(grams.sizes), pa.array(known),
-               pa.array(np.full(m, n)), pa.array(np.full(m, v)), pa.array(base), pa.array(automaton.read())]
+        grams = _Grams({f: left.column(f)[0].as_py() for f, _ in _FIELDS}, order)
+        got = list(zip(right.column("orders").to_pylist(), right.column("part").to_pylist(), right.column("n").to_pylist(), right.column("more").to_pylist()))
+        total = _totals(grams, (1,), 64, [a[1:] for a in got if a[0] == 1]) | _totals(grams, longer, bits, [a[1:] for a in got if a[0] > 1])
+        grams.key = got = None
+        m, numbers = len(grams.sizes), grams.at[1][grams.places]
+        text = np.repeat(np.arange(m), grams.sizes)
+        known = np.bincount(text, weights=(total[1] > 0)[numbers], minlength=m).astype(np.int64)
+        base = np.bincount(text, weights=np.log10((total[1] + ADD) / (n + ADD * (v + 1)))[numbers], minlength=m)
+        del text, numbers
+        score = Automaton(grams, total, n, v, lower).read()
+        out = [left.column("ids").combine_chunks().flatten(), pa.array(grams.train), pa.array(grams.sizes), pa.array(known), pa.array(np.full(m, n)),
+               pa.array(np.full(m, v)), pa.array(base), pa.array(score)]
         return pa.Table.from_arrays(out, names=[id_col, "learnt", "n_tokens", "n_known", "train_tokens", "train_words", "base_score", "score"])
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(read, form)

@@ -22,7 +22,7 @@ The counts grow with the corpus, so no task holds the whole automaton:
 4. Block and answers meet; the block builds that part of the automaton its texts can touch
    and reads all its texts side by side, token by token.
 
-Keys are hashes, as wide as keeps the expected number of clashes among all of them below a half
+Keys are hashes, as wide as keeps the expected number of clashes among all of them below one
 (64 bits at most, and always for single words); n-grams that clash add up. Naming in a block is exact.
 
 Null text counts as empty: one token, the end. Texts with null ids and rows
@@ -68,6 +68,17 @@ def _unpack(data: bytes, kind, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).reshape(n)
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers 0, 1, ... of the distinct values in their order, and of each a place that has it."""
+    by = np.argsort(values)
+    new = np.empty(len(by), bool)
+    new[:1] = True
+    np.not_equal(values[by[1:]], values[by[:-1]], out=new[1:])
+    number = np.empty(len(by), np.int32)
+    number[by] = np.cumsum(new, dtype=np.int32) - 1
+    return number, by[new]
+
+
 class _Block:
     """Texts gathered until they make a block."""
 
@@ -87,15 +98,15 @@ class _Block:
 
     def row(self) -> dict:
         tokens = np.concatenate(self.tokens)
-        # frequent words get small numbers, which pack well
-        order = np.argsort(-np.bincount(tokens, minlength=len(self.number)), kind="stable")
-        new = np.empty_like(order)
+        # frequent words get small numbers, equally frequent ones in the order of their codes: both pack well
+        codes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.number), np.uint64, len(self.number))
+        order = np.lexsort((codes, -np.bincount(tokens, minlength=len(self.number))))
+        codes, new = codes[order], np.empty_like(order)
         new[order] = np.arange(len(order))
-        codes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.number), np.uint64, len(self.number))[order]
         train = np.array(self.train)
         sizes = np.array(self.sizes, np.int64)
         return {"block": uuid.uuid4().hex, "texts": len(sizes), "n": self.n, "words": len(codes), "learnt": int(sizes[train].sum()), "end": int(new[0]), "start": int(new[1]),
-                "tokens": _pack(new[tokens].astype(np.int32)), "codes": codes.tobytes(), "sizes": _pack(sizes), "train": train.astype(np.uint8).tobytes()}
+                "tokens": _pack(new[tokens].astype(np.int32)), "codes": _pack(np.diff(codes, prepend=np.uint64(0))), "sizes": _pack(sizes), "train": train.astype(np.uint8).tobytes()}
 
 
 _FIELDS = [("block", pa.string()), ("texts", pa.int64()), ("n", pa.int64()), ("words", pa.int64()), ("learnt", pa.int64()), ("end", pa.int64()), ("start", pa.int64()),
@@ -148,7 +159,7 @@ class _Grams:
         self.places = (np.arange(n) + np.repeat(pad * np.arange(1, len(sizes) + 1), sizes)).astype(np.int32)
         w = np.full(n + pad * len(sizes), row["start"], np.int32)
         w[self.places] = _unpack(row["tokens"], np.int32, n)
-        codes = np.frombuffer(row["codes"], np.uint64)
+        codes = np.cumsum(_unpack(row["codes"], np.uint64, row["words"]))
         token = np.zeros(len(w), bool)
         token[self.places] = True
         offset = np.arange(len(w), dtype=np.int32) - np.repeat((self.firsts - pad).astype(np.int32), sizes + pad)
@@ -160,7 +171,7 @@ class _Grams:
         for k in range(1, order + 1):
             where = np.flatnonzero(offset >= k - 1).astype(np.int32)
             pair = w[where] if k == 1 else self.at[k - 1][where - 1].astype(np.int64) * (len(codes) + 1) + w[where]
-            _, some, number = np.unique(pair, return_index=True, return_inverse=True)
+            number, some = _numbered(pair)
             del pair
             some = where[some]
             key = codes[w[some]]
@@ -310,7 +321,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     n, words, tokens = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("learnt", "words", "n")]).first()
     longer = tuple(range(2, order + 1))
     most = max(1, (order - 1) * (tokens + words))  # keys that blocks can ask for
-    bits = min(64, max(40, 2 * most.bit_length() + 1))
+    bits = min(64, max(40, 2 * most.bit_length() - 1))
     single = shared_table(_answer(_ask(blocks, (1,), 64, 1 + words // part_keys), (1,)), "lm-words")
     v = max(0, (single.filter("block is null").agg(F.sum("n")).first()[0] or 0) - 1)  # the start mark is no token
     answers = single.unionByName(_answer(_ask(blocks, longer, bits, 1 + most // part_keys), longer)).filter("block is not null")

@@ -180,7 +180,7 @@ class _Grams:
                 key ^= key >> np.uint64(31)
                 key *= np.uint64(0xD6E8FEB86659FD93)
                 key ^= key >> np.uint64(32)
-            self.own[k] = np.bincount(number[counts[where]], minlength=len(some))
+            self.own[k] = np.bincount(number[counts[where]], minlength=len(some)).astype(np.int32)
             self.at[k] = np.zeros(len(w), np.int32)
             self.at[k][where] = number
             self.some[k], self.key[k] = some, key
@@ -222,7 +222,7 @@ def _answer(asked: DataFrame, orders: tuple[int, ...]) -> DataFrame:
         keys = np.concatenate([np.cumsum(_unpack(k, np.uint64, n)) for k, n in zip(rows["keys"], rows["n"])])
         names, number = np.unique(keys, return_inverse=True)
         del keys
-        own = np.concatenate([_unpack(c, np.int64, n) for c, n in zip(rows["counts"], rows["n"])])
+        own = np.concatenate([_unpack(c, np.int32, n) for c, n in zip(rows["counts"], rows["n"])])
         total = np.bincount(number, weights=own, minlength=len(names)).astype(np.int64)
         more = total[number] - own
         ends = np.cumsum(rows["n"].to_numpy())
@@ -299,8 +299,8 @@ class Automaton:
 
 def _totals(grams: _Grams, orders: tuple[int, ...], bits: int, answers: list[tuple[int, int, bytes]]) -> dict[int, np.ndarray]:
     """Counts over all blocks of the block's n-grams of these lengths, from ``(part, n, more)``."""
-    keys, by = grams.asked(orders, bits)
-    total = np.concatenate([grams.own[k] for k in orders])
+    by = grams.asked(orders, bits)[1]
+    total = np.concatenate([grams.own[k] for k in orders]).astype(np.int64)
     total[by] += np.concatenate([_unpack(more, np.int64, n) for _, n, more in sorted(answers)])
     out, at = {}, 0
     for k in orders:
@@ -331,7 +331,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         grams = _Grams({f: left.column(f)[0].as_py() for f, _ in _FIELDS}, order)
         got = list(zip(right.column("orders").to_pylist(), right.column("part").to_pylist(), right.column("n").to_pylist(), right.column("more").to_pylist()))
         total = _totals(grams, (1,), 64, [a[1:] for a in got if a[0] == 1]) | _totals(grams, longer, bits, [a[1:] for a in got if a[0] > 1])
-        grams.key = got = None
+        grams.key = grams.own = got = None  # large
         m, numbers = len(grams.sizes), grams.at[1][grams.places]
         text = np.repeat(np.arange(m), grams.sizes)
         known = np.bincount(text, weights=(total[1] > 0)[numbers], minlength=m).astype(np.int64)

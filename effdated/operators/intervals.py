@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from effdated.operators import scan
 from effdated.operators.aggregate import agg_expr
 from effdated.operators.scan import _order_struct, qc, qcs
+from effdated.operators.sweep import visible_pieces
 
 
 def _as_list(x) -> list[str]:
@@ -209,26 +210,6 @@ def unify_overlapping(df: DataFrame, key: str, start: str, end: str, code_col: s
 _OPEN_END = "9999-12-31 00:00:00"  # stands for a null end while periods are compared
 
 
-def _winning_pieces(isl: DataFrame, key: str, start: str, value_cols: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Boundary sweep inside overlap islands: the island is cut at every start and end of its
-    records, and each piece takes the values of the last record (in ``order``) covering it.
-    Records and pieces of one island meet in an equi join on (key, island); islands are
-    as long as periods overlap in a chain, so ordinary keys stay far below a task's size."""
-    at = [qc(key).alias("_k"), F.col("_island")]
-    points = isl.select(*at, F.explode(F.array(F.col(start), F.col("_end"))).alias("_from")).distinct()
-    w = Window.partitionBy("_k", "_island").orderBy("_from")
-    pieces = points.withColumn("_to", F.lead("_from").over(w)).filter(F.col("_to").isNotNull())
-    records = isl.select(*at, F.col(start).alias("_s"), F.col("_end").alias("_e"),
-                         F.struct(*qcs(value_cols)).alias("_v"), _order_struct(list(order)).alias("_o"))
-    r, p = records.alias("r"), pieces.alias("p")
-    cond = (F.col("r._k").eqNullSafe(F.col("p._k")) & (F.col("r._island") == F.col("p._island"))
-            & (F.col("r._s") <= F.col("p._from")) & (F.col("r._e") > F.col("p._from")))
-    won = (p.join(r, cond).groupBy(F.col("p._k").alias("_k"), F.col("p._from").alias("_from"), F.col("p._to").alias("_to"))
-           .agg(F.max_by(F.col("r._v"), F.col("r._o")).alias("_v")))
-    return won.select(F.col("_k").alias(key), *[F.col("_v")[c].alias(c) for c in value_cols],
-                      F.col("_from").alias(start), F.col("_to").alias("_end"))
-
-
 def remove_overlaps_and_flatten(df: DataFrame, key: str, start: str, end: str,
                                 value_cols: Sequence[str], order_by: Sequence[str] = (),
                                 hot_rows: int | None = None) -> DataFrame:
@@ -238,6 +219,9 @@ def remove_overlaps_and_flatten(df: DataFrame, key: str, start: str, end: str,
     wins; an earlier record goes on after a shorter later one ends. Then consecutive
     pieces with equal values and no gap between them are merged. A null end is open and
     stays null; empty periods are dropped; records without a start are kept as they are.
+
+    Records that overlap nothing pass through; the others are swept with an active set
+    (:mod:`effdated.operators.sweep`), linear after the sort, whatever the size of an island.
     """
     kind = df.schema[start].dataType
     far = F.lit(_OPEN_END).cast("timestamp_ntz").cast(kind)
@@ -247,7 +231,7 @@ def remove_overlaps_and_flatten(df: DataFrame, key: str, start: str, end: str,
     isl = add_overlapping_identifier(d, key, start, "_end", False, order_by, "_island", "_multi", hot_rows)
     cols = [qc(key), *qcs(value_cols), F.col(start), F.col("_end")]
     alone = isl.filter(~F.col("_multi")).select(*cols)
-    pieces = alone.unionByName(_winning_pieces(isl.filter("_multi"), key, start, value_cols, order))
+    pieces = alone.unionByName(visible_pieces(isl.filter("_multi"), key, start, "_end", value_cols, order, hot_rows))
     lay = scan.layout(pieces, [key], [start], hot_rows)
     lay = scan.with_prev(lay, [*value_cols, "_end"])
     starts = (~F.col("_has_prev") | _value_changed(value_cols)

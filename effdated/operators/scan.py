@@ -30,6 +30,7 @@ Ordering is ascending with nulls last (the order pandas ``sort_values`` uses).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -179,6 +180,47 @@ def layout(df: DataFrame, keys: list[str], order: list[str],
     return ScanLayout(out, list(keys), list(order), small=small)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the session's shared folder and read it back: a leaf for several readers,
+    which a lost executor re-reads instead of recomputing."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def split_points(df: DataFrame, keys: list[str], low: Column, high: Column, limit: int) -> DataFrame | None:
+    """``keys, _splits`` for keys with over ``limit`` rows: sorted points, taken from a seeded sample of
+    both ``low`` and ``high``, that cut a key into parts of about ``limit`` rows. None: no such key."""
+    counts = df.groupBy(*qcs(keys)).agg(F.count(F.lit(1)).alias("_n"))
+    hot = stored(counts.filter(F.col("_n") > limit).withColumn("_nsub", F.ceil(2 * F.col("_n") / F.lit(limit)).cast("int")), "hot-keys")
+    n_sub = hot.agg(F.sum("_nsub")).first()[0]
+    if not n_sub:
+        return None
+    side = F.broadcast(hot) if n_sub <= MAX_BROADCAST_ROWS else hot
+    points = df.select(*qcs(keys), F.explode(F.array(low, high)).alias("_p"))
+    sample = _join_on(points, side, keys).filter(
+        F.rand(SAMPLE_SEED) < F.least(F.lit(1.0), F.lit(SAMPLES_PER_SPLIT) * F.col("_nsub") / (2 * F.col("_n"))))
+    splits = (sample.groupBy(*qcs(keys)).agg(F.array_sort(F.collect_list("_p")).alias("_s"), F.first("_nsub").alias("_nsub"))
+              .select(*qcs(keys), F.expr(
+                  "array_distinct(transform(sequence(1, greatest(_nsub - 1, 1)), "
+                  "i -> _s[cast(floor(i * size(_s) / _nsub) as int)]))").alias("_splits")))
+    return stored(splits, "split-points")
+
+
+def bucket_of(splits: Column, point: Column) -> Column:
+    """1 + number of split points <= ``point`` by bisection; 0 where ``splits`` is null."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(splits) + 1)).cast("int") + 1)
+
+    def halve(acc, _):
+        mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
+        right = F.get(splits, mid) <= point
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
+            F.struct(F.when(right, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(right, acc["hi"]).otherwise(mid).alias("hi")))
+
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi")), halve, lambda acc: acc["lo"])
+    return F.when(splits.isNull(), 0).otherwise(found + 1)
+
+
 def with_prev(lay: ScanLayout, cols: list[str], prefix: str = "_prev_") -> ScanLayout:
     """Add ``_prev_<c>`` (value on the previous row of the same key) and ``_has_prev``."""
     w = lay.window()

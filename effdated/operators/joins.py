@@ -11,7 +11,7 @@ large ones. That is the size-checked broadcast, with a sort-merge fallback.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,12 +60,50 @@ def point_in_interval(facts: DataFrame, point: str, rules: DataFrame, start: str
     return facts.join(F.broadcast(rules), F.col(point).between(F.col(start), F.col(end)), how)
 
 
-#: Buckets that a period may fill one by one; longer ones share the bucket ``LONG``.
-LONG_BUCKETS, LONG = 24, -1
+#: Children of a node of the interval index, its levels (level 0: one bucket of time; the last: all of it),
+#: and the first month it tells apart. Months before and after count as its first and last.
+FANOUT, LEVELS, FIRST_MONTH = 8, 5, 1800 * 12
 
 
-def _month_index(c: Column) -> Column:
-    return (F.year(c) * 12 + F.month(c) - 1).cast("int")
+def _bucket(c: Column, months: int) -> Column:
+    at = F.floor((F.year(c) * 12 + F.month(c) - 1 - FIRST_MONTH) / months).cast("int")
+    return F.greatest(F.lit(0), F.least(F.lit(FANOUT ** (LEVELS - 1) - 1), at))
+
+
+def _node(level: int, number: Column) -> Column:
+    return (number * LEVELS + level).cast("int")
+
+
+def _level_ranges(first: Column, last: Column) -> list[tuple[int, Column, Column]]:
+    """``(level, from, to)``: the node numbers that make up the buckets ``first..last``. A level has those
+    whole nodes of the range whose parent is not whole: some at either end, at most ``FANOUT - 1``."""
+    size = [FANOUT ** level for level in range(LEVELS + 1)]
+    low = [F.ceil(first / n).cast("int") for n in size]
+    high = [F.floor((last + 1) / n).cast("int") for n in size]
+    out = []
+    for level in range(LEVELS):
+        up, down = low[level + 1] * FANOUT, high[level + 1] * FANOUT
+        whole = up < down
+        out.append((level, low[level], F.when(whole, up).otherwise(high[level])))
+        out.append((level, F.when(whole, down).otherwise(high[level]), high[level]))
+    return out
+
+
+def covering_nodes(first: Column, last: Column) -> Column:
+    """Nodes that make up the buckets ``first..last``, each bucket once."""
+    parts = [F.when(lo < hi, F.transform(F.sequence(lo, hi - 1), partial(_node, level))).otherwise(F.array().cast("array<int>"))
+             for level, lo, hi in _level_ranges(first, last)]
+    return F.concat(*parts)
+
+
+def _levels_used(first: Column, last: Column) -> Column:
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.when(lo < hi, 1 << level).otherwise(0) for level, lo, hi in _level_ranges(first, last)])
+
+
+def ancestor_nodes(bucket: Column, levels: Column) -> Column:
+    """The node of ``bucket`` at each level whose bit is set in ``levels``."""
+    each = [F.when(F.getbit(levels, F.lit(level)) == 1, _node(level, F.floor(bucket / FANOUT ** level))) for level in range(LEVELS)]
+    return F.array_except(F.array(*each), F.array(F.lit(None).cast("int")))
 
 
 def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str, f_end: str,
@@ -78,14 +116,14 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
     ``mode='contained'``: the fact lies inside the period (J6).
 
     With an equi key alone, a key holding many facts and many periods would pair all
-    of them in one task. So both sides are bucketed by month: a period of at most
-    ``LONG_BUCKETS`` buckets emits one row per bucket it covers, a longer (or open) one a single
-    row in the bucket for long periods; each fact emits the bucket of its start (in
-    ``either_end`` mode also that of its end) and the one for long periods. Each (fact,
-    period) pair comes out of exactly one bucket, so nothing needs deduplicating. Neither
-    side is read twice and no stray date makes copies of open periods. A key has few
-    long periods unless they overlap, and AQE can split skewed buckets. Facts and periods
-    without a bound match nothing through it.
+    of them in one task. So both sides meet in the nodes of a tree over time (months, 8 months,
+    64 months, ...): a period emits the nodes that make it up, O(log span) of them however long it
+    is, and a fact the nodes above the month of its start (in ``either_end`` mode also of its end).
+    A period holds whole nodes, so what meets in a node matches but for the months at its ends:
+    long and open periods share no bucket of their own. Levels that no period uses are left out of
+    the facts' rows by a one-row subquery that runs within the join (no job while the plan is built).
+    Each (fact, period) pair comes out of exactly one node, so nothing needs deduplicating, and AQE
+    can split skewed nodes. Facts and periods without a bound match nothing through it.
     """
     fk = f_key or key
     # pandas merge suffixes ["", "_x"]: period columns that collide with fact columns
@@ -96,28 +134,31 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
         p_end = f"{p_end}_x" if p_end in clash else p_end
 
     def bucket(c: str) -> Column:
-        return (_month_index(F.col(c)) / bucket_months).cast("int")
+        return _bucket(F.col(c), bucket_months)
 
-    first, last, long = bucket(p_start), bucket(p_end), F.lit(LONG)
-    p = (periods.filter(F.col(p_start).isNotNull() & F.col(p_end).isNotNull() & (first <= last))
-         .withColumn("_pb", F.explode(F.when(last - first < LONG_BUCKETS, F.sequence(first, last)).otherwise(F.array(long)))))
+    dated = periods.filter(F.col(p_start).isNotNull() & F.col(p_end).isNotNull() & (F.col(p_start) <= F.col(p_end)))
+    p = dated.withColumns({"_p0": bucket(p_start), "_p1": bucket(p_end)})
+    p = p.withColumn("_pb", F.explode(covering_nodes(F.col("_p0"), F.col("_p1")))).drop("_p0", "_p1")
+    used = (dated.select(bucket(p_start).alias("a"), bucket(p_end).alias("b"))
+            .agg(F.coalesce(F.bit_or(_levels_used(F.col("a"), F.col("b"))), F.lit(0)).alias("levels")).scalar())
     if mode == "contained":
-        f = facts.withColumn("_b", F.explode(F.array(bucket(f_start), long)))
+        f = facts.withColumn("_b", F.explode(ancestor_nodes(bucket(f_start), used)))
         cond = (F.col(f_start) >= F.col(p_start)) & (F.col(f_end) <= F.col(p_end))
     elif mode == "either_end":
-        f = (facts.withColumn("_fbs", bucket(f_start)).withColumn("_fbe", bucket(f_end))
-             .withColumn("_b", F.explode(F.array_distinct(F.array(F.col("_fbs"), F.col("_fbe"), long)))))
-        s_in = F.col(f_start).between(F.col(p_start), F.col(p_end))
-        e_in = F.col(f_end).between(F.col(p_start), F.col(p_end))
-        only_end = e_in & ~F.coalesce(s_in, F.lit(False))
-        in_long = F.col("_b") == LONG
-        cond = (s_in & (in_long | (F.col("_b") == F.col("_fbs")))) | (only_end & (in_long | (F.col("_b") == F.col("_fbe"))))
+        f = (facts.withColumn("_fbs", ancestor_nodes(bucket(f_start), used)).withColumn("_fbe", ancestor_nodes(bucket(f_end), used))
+             .withColumn("_b", F.explode(F.array_union(F.coalesce("_fbs", F.array().cast("array<int>")), F.coalesce("_fbe", F.array().cast("array<int>")))))
+             .withColumn("_by_start", F.coalesce(F.array_contains("_fbs", F.col("_b")), F.lit(False)))
+             .withColumn("_by_end", F.coalesce(F.array_contains("_fbe", F.col("_b")), F.lit(False))).drop("_fbs", "_fbe"))
+        s_in = F.coalesce(F.col(f_start).between(F.col(p_start), F.col(p_end)), F.lit(False))
+        e_in = F.coalesce(F.col(f_end).between(F.col(p_start), F.col(p_end)), F.lit(False))
+        # through its start if that lies in the period, else through its end
+        cond = (s_in & F.col("_by_start")) | (~s_in & e_in & F.col("_by_end"))
     else:
         raise ValueError(f"unknown interval join mode {mode!r}")
     if fk == key:
         p = p.withColumnRenamed(key, "_pk")
     j = f.join(p, (f[fk] == p["_pk" if fk == key else key]) & (F.col("_b") == F.col("_pb")) & cond, "inner")
-    out = j.drop("_b", "_pb", "_fbs", "_fbe")
+    out = j.drop("_b", "_pb", "_by_start", "_by_end")
     return out.drop("_pk") if fk == key else out
 
 

@@ -151,3 +151,32 @@ def test_stage_steps_with_two_datasets(spark):
         {"function": "non_nan", "sources": ["a"], "args": {"cols": ["v"], "keys": ["k"]}, "targets": ["bad"]}])
     assert sorted((r.k, r.name) for r in out["named"].collect()) == [("x", "one"), ("y", None)]
     assert out["twice"].count() == 4 and [r.k for r in out["bad"].collect()] == ["y"]
+
+
+def test_interval_nodes_make_up_the_period(spark):
+    """Every bucket range is covered exactly once, by few nodes."""
+    from effdated.operators import joins as jn
+    last = jn.FANOUT ** (jn.LEVELS - 1) - 1
+    ranges = [(a, b) for a in (0, 1, 7, 8, 9, 63, 64, 500, last) for b in (a, a + 1, a + 6, a + 8, a + 100, last) if a <= b <= last]
+    df = spark.createDataFrame(ranges, "a int, b int").select("a", "b", jn.covering_nodes(F.col("a"), F.col("b")).alias("nodes"))
+    for r in df.collect():
+        got = [m for n in r.nodes for m in range((n // jn.LEVELS) * jn.FANOUT ** (n % jn.LEVELS), (n // jn.LEVELS + 1) * jn.FANOUT ** (n % jn.LEVELS))]
+        assert sorted(got) == list(range(r.a, r.b + 1))
+        assert len(r.nodes) <= 2 * (jn.FANOUT - 1) * jn.LEVELS
+
+
+def test_interval_join_many_long_periods_of_one_key(spark):
+    """10,000 overlapping long periods of one key: nodes hold little beyond what matches."""
+    from effdated.operators import joins as jn
+    n = 10_000
+    periods = spark.range(n).selectExpr("'k' as k", "id as j", "timestamp_ntz'1990-01-01' + make_dt_interval(cast(id % 3000 as int)) as ps",
+                                        "timestamp_ntz'1990-01-01' + make_dt_interval(cast(id % 3000 + 900 + id % 4000 as int)) as pe")
+    facts = spark.range(300).selectExpr("'k' as k", "id as i", "timestamp_ntz'1985-01-01' + make_dt_interval(cast(id * 40 as int)) as s",
+                                        "timestamp_ntz'1985-01-01' + make_dt_interval(cast(id * 40 + 30 as int)) as e")
+    out = jn.interval_join(facts, periods, "k", "s", "e", "ps", "pe", "contained")
+    want = {r.i: r.n for r in facts.crossJoin(periods.drop("k")).filter("s >= ps and e <= pe").groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {r.i: r.n for r in out.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()} == want
+    # pairs that meet in a node against pairs that match
+    p = periods.withColumn("node", F.explode(jn.covering_nodes(jn._bucket(F.col("ps"), 1), jn._bucket(F.col("pe"), 1))))
+    f = facts.withColumn("node", F.explode(jn.ancestor_nodes(jn._bucket(F.col("s"), 1), F.lit(31))))
+    assert f.join(p, "node").count() < 1.1 * sum(want.values())

@@ -165,11 +165,11 @@ def attributes_over_time(df: DataFrame, key_col_list: Sequence[str],
 
 
 def fill_end_with_termination(df: DataFrame, key: str, start: str, end: str, termination: str,
-                              order_by: Sequence[str] = (), sentinel: str | None = MAX_DATE) -> DataFrame:
+                              order_by: Sequence[str] = (), sentinel: str | None = MAX_DATE, hot_rows=None) -> DataFrame:
     """On the last row of each key (by start) a null end becomes the termination
     date, else the open-end sentinel. Uses the skew-safe scan for "last row of key"."""
     from effdated.operators import scan
-    lay = scan.layout(df, [key], [start, *order_by])
+    lay = scan.layout(df, [key], [start, *order_by], hot_rows)
     lay = scan.with_next(lay, [start])
     fill = F.coalesce(F.col(f"`{termination}`").cast("timestamp_ntz"),
                       F.lit(sentinel).cast("timestamp_ntz") if sentinel else F.lit(None))
@@ -178,11 +178,11 @@ def fill_end_with_termination(df: DataFrame, key: str, start: str, end: str, ter
 
 
 def forward_fill(df: DataFrame, id_vars: Sequence[str], group: Sequence[str],
-                 order: Sequence[str]) -> DataFrame:
+                 order: Sequence[str], hot_rows=None) -> DataFrame:
     """Blank ``id_vars`` cells take the last non-null value above them within
     ``group`` (usually the source file) in ``order`` (record number). Skew-safe scan."""
     from effdated.operators import scan
-    lay = scan.layout(df, list(group), list(order))
+    lay = scan.layout(df, list(group), list(order), hot_rows)
     for c in id_vars:
         lay = scan.with_last_non_null(lay, c, c)
     return lay.df.drop("_sub")

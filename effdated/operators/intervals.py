@@ -40,7 +40,7 @@ def _drop_prev(df: DataFrame, cols: Sequence[str], prefix: str) -> DataFrame:
 
 
 def mark_runs(df: DataFrame, key_col: str, value_cols: Sequence[str], order: Sequence[str],
-              out: str = "run_id", hot_rows: int | None = None) -> scan.ScanLayout:
+              out: str = "run_id", hot_rows: int | scan.KeyStatistics | None = None) -> scan.ScanLayout:
     """W1 + W2: change flag versus the previous row of the key, running run id."""
     lay = scan.layout(df, [key_col], list(order), hot_rows)
     lay = scan.with_prev(lay, list(value_cols))
@@ -58,7 +58,7 @@ def _aggregate_runs(lay: scan.ScanLayout, key_col: str, run: str,
 
 def flatten_effective_date(df: DataFrame, key_col: str, flat_col: str | Sequence[str],
                            effective_date: str, agg_settings: Mapping[str, str] | None = None,
-                           order_by: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+                           order_by: Sequence[str] = (), hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """Collapse consecutive rows with equal ``flat_col`` into one effective-dated row.
 
     Rows with a null key are dropped. Output: ``key_col``, the ``agg_settings``
@@ -82,7 +82,7 @@ def flatten_effective_date(df: DataFrame, key_col: str, flat_col: str | Sequence
 
 def flatten(df: DataFrame, index: str, start_date: str, end_date: str,
             flatcol: Sequence[str], agg_settings: Mapping[str, str] | None = None,
-            order_by: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+            order_by: Sequence[str] = (), hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """T3 (YAML ``flatten``): runs over several value columns; keeps the column names
     ``start_date`` / ``end_date`` instead of StartDate / EndDate."""
     settings = dict(agg_settings or {})
@@ -95,7 +95,7 @@ def flatten(df: DataFrame, index: str, start_date: str, end_date: str,
 def group_multiple_date(df: DataFrame, key_col: str, group_col: str | Sequence[str],
                         period_start: str, period_end: str,
                         agg_settings: Mapping[str, str] | None = None,
-                        order_by: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+                        order_by: Sequence[str] = (), hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """Consecutive rows (by start) with equal ``group_col`` become one row with
     ``min(start)`` / ``max(end)``. Gaps do not break a run; null keys each form their own run."""
     groups = _as_list(group_col)
@@ -110,7 +110,7 @@ def group_multiple_date(df: DataFrame, key_col: str, group_col: str | Sequence[s
 
 
 def _island_layout(df: DataFrame, key: str | Sequence[str], start: str, end: str, order: Sequence[str],
-                   gap: Column | None, out: str, hot_rows: int | None,
+                   gap: Column | None, out: str, hot_rows: int | scan.KeyStatistics | None,
                    keep_pme: bool = False) -> scan.ScanLayout:
     lay = scan.layout(df, _as_list(key), list(order), hot_rows)
     lay = scan.with_prefix_max_prev(lay, end, "_pme")
@@ -129,7 +129,7 @@ def add_overlapping_identifier(df: DataFrame, key: str | Sequence[str], start: s
                                group_records: bool = False, order_by: Sequence[str] = (),
                                index_col: str = "overlapping_index",
                                flag_col: str = "is_overlapping",
-                               hot_rows: int | None = None) -> DataFrame:
+                               hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """Number overlap islands per key and flag rows whose island has > 1 member.
 
     Intervals are half-open: an interval starting exactly at the running maximum end
@@ -154,7 +154,7 @@ def add_overlapping_identifier(df: DataFrame, key: str | Sequence[str], start: s
 
 def chain_with_gap(df: DataFrame, key: str, start: str, end: str, gap: Column,
                    order_by: Sequence[str] = (), index_col: str = "chain_index",
-                   flag_col: str = "is_chained", hot_rows: int | None = None) -> DataFrame:
+                   flag_col: str = "is_chained", hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """T9 core: like W6 but rows whose start lies less than ``gap`` after the running
     max end join the same chain (``session_window`` semantics per key)."""
     lay = _island_layout(df, key, start, end, [start, end, *order_by], gap, index_col, hot_rows)
@@ -167,7 +167,7 @@ def _duration(start: str, end: str) -> Column:
 
 def pick_longest(df: DataFrame, key: str, start: str, end: str, id_col: str,
                  order_by: Sequence[str] = (), flag_col: str = "is_longest",
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """Within each overlap island flag the longest record (ties: earlier start, then
     smaller ``id_col``). Non-overlapping rows are their own island and are kept.
 
@@ -190,7 +190,7 @@ def pick_longest(df: DataFrame, key: str, start: str, end: str, id_col: str,
 
 
 def unify_overlapping(df: DataFrame, key: str, start: str, end: str, code_col: str | None = None,
-                      order_by: Sequence[str] = (), hot_rows: int | None = None,
+                      order_by: Sequence[str] = (), hot_rows: int | scan.KeyStatistics | None = None,
                       group_records: bool = False) -> DataFrame:
     """T5: every row of an overlap island gets the island's min start, max end and the
     first ``code_col`` value (in start order)."""
@@ -212,7 +212,7 @@ _OPEN_END = "9999-12-31 00:00:00"  # stands for a null end while periods are com
 
 def remove_overlaps_and_flatten(df: DataFrame, key: str, start: str, end: str,
                                 value_cols: Sequence[str], order_by: Sequence[str] = (),
-                                hot_rows: int | None = None) -> DataFrame:
+                                hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """Per key, non-overlapping periods that cover exactly what the records cover.
 
     Where records overlap, the one that comes last in (start, end, ``order_by``) order

@@ -4,13 +4,15 @@ Runs, overlap islands, shift chains and ranks are prefix scans over the rows of
 one key in time order. ``Window.partitionBy(key)`` computes them, but places every
 row of a key in one task: if one employee code holds a third of all rows, one task
 sorts a third of the data. A :class:`ScanLayout` therefore can split *hot* keys into ordered
-sub-buckets. That needs a size check, i.e. a job, so it is asked for: by the setting
-``effdated.scan.hotKeyRows`` (rows a task should hold, e.g. 4,000,000) or the argument
-``hot_rows``. Without either a scan is the plain window plan and building it runs no job.
-With it, keys of more rows are split (null keys too):
-
-1. ``groupBy(key).count()`` (map-side partial aggregation) finds hot keys. There are
-   at most ``rows / hotKeyRows`` of them, which bounds the broadcast.
+sub-buckets. Which keys are hot is a statistic of a table, taken once in a step of its own:
+:func:`key_statistics` counts rows per key and writes the keys of more than ``limit`` rows (what a
+task should hold) as a small table, and all scans on that key take it as ``hot_rows``. Without hot
+keys, and without statistics, a scan is the plain window plan and building it runs no job.
+(``hot_rows`` may also be a number, or the setting ``effdated.scan.hotKeyRows``: then each
+scan counts for itself.) With hot keys (null keys too):
+
+1. The statistics name them (``groupBy(key).count()`` with map-side partial aggregation). There are
+   at most ``rows / limit`` of them, which bounds the broadcast.
 2. A deterministic sample of each hot key's rows (``rand(seed)`` at a rate giving
    ~``SAMPLES_PER_SPLIT`` rows per sub-bucket) gives ordered split points.
 3. Each row gets ``_sub`` = 1 + number of split points <= its order value. The lookup
@@ -30,6 +32,7 @@ Ordering is ascending with nulls last (the order pandas ``sort_values`` uses).
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass, field
 from functools import reduce
@@ -45,11 +48,54 @@ SAMPLE_SEED = 7177
 MAX_BROADCAST_ROWS = 1_000_000  # carry / split tables above this many sub-buckets are not broadcast
 
 
-def _hot_rows(df: DataFrame, hot_rows: int | None) -> int | None:
-    if hot_rows is not None:
-        return int(hot_rows)
-    v = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
-    return int(v) if v else None
+#: Rows of one key that a task should hold.
+DEFAULT_LIMIT = 4_000_000
+
+
+@dataclass(frozen=True)
+class KeyStatistics:
+    """The keys of a table with more than ``limit`` rows: ``_k0, ..., _n``, and the sub-buckets they need."""
+
+    hot: DataFrame
+    limit: int
+    n_sub: int
+
+    def named(self, keys: list[str]) -> DataFrame:
+        """``keys, _n, _nsub`` under the names that a scan uses."""
+        if len(self.hot.columns) != len(keys) + 1:
+            raise ValueError(f"statistics of {len(self.hot.columns) - 1} key columns for a scan on {keys}")
+        sized = self.hot.withColumn("_nsub", F.ceil(F.col("_n") / F.lit(self.limit)).cast("int"))
+        return sized.withColumnsRenamed({f"_k{i}": k for i, k in enumerate(keys)})
+
+
+def key_statistics(df: DataFrame, keys: list[str], limit: int | None = None, name: str | None = None) -> KeyStatistics:
+    """Count the rows of ``df`` per key, write the hot keys to the session's shared folder, and return
+    them for any number of scans. A step of its own: it runs a job when called. With ``name``
+    (e.g. of the table) a later call in the same folder reads what is written."""
+    spark = df.sparkSession
+    limit = limit or int(spark.conf.get(HOT_ROWS_CONF, None) or DEFAULT_LIMIT)
+    label = "key-statistics-" + (hashlib.md5(repr((name, keys, limit)).encode()).hexdigest() if name else uuid.uuid4().hex)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}"
+    counts = df.groupBy(*[qc(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    if not (name and _is_written(spark, path)):
+        counts.coalesce(1).write.mode("overwrite").parquet(path)
+    hot = spark.read.schema(counts.schema).parquet(path)
+    return KeyStatistics(hot, limit, hot.agg(F.sum(F.ceil(F.col("_n") / F.lit(limit)))).first()[0] or 0)
+
+
+def _is_written(spark, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int | KeyStatistics | None) -> KeyStatistics | None:
+    """The statistics that a scan splits by, or None."""
+    if hot_rows is None:
+        v = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
+        hot_rows = int(v) if v else None
+    if isinstance(hot_rows, int):
+        hot_rows = key_statistics(df, keys, hot_rows)
+    return hot_rows if hot_rows is not None and hot_rows.n_sub else None
 
 
 def qc(name: str) -> Column:
@@ -139,22 +185,18 @@ class ScanLayout:
 
 
 def layout(df: DataFrame, keys: list[str], order: list[str],
-           hot_rows: int | None = None) -> ScanLayout:
-    """Assign ``_sub`` sub-buckets so that no (key, _sub) group exceeds ~hot_rows."""
-    limit = _hot_rows(df, hot_rows)
-    if limit is None:
-        # No check asked for: a plain per-key window plan, and no job while it is built.
-        return ScanLayout(df.withColumn("_sub", F.lit(0)), list(keys), list(order), split=False)
-    df = _settled(df)
-    counts = df.groupBy(*qcs(keys)).agg(F.count(F.lit(1)).alias("_n"))
-    hot = (counts.filter(F.col("_n") > limit)
-           .withColumn("_nsub", F.ceil(F.col("_n") / F.lit(limit)).cast("int")))
-    # Size check (one pass over the key columns, pre-aggregated map-side): with no hot
-    # key the scan is the plain per-key window plan without carry tables. Otherwise the
-    # number of sub-buckets bounds every table this layout broadcasts.
-    n_sub = hot.agg(F.sum("_nsub").alias("n")).first()["n"]
-    if not n_sub:
+           hot_rows: int | KeyStatistics | None = None) -> ScanLayout:
+    """Assign ``_sub`` sub-buckets so that no (key, _sub) group exceeds about the limit of the statistics."""
+    if isinstance(hot_rows, int) or (hot_rows is None and df.sparkSession.conf.get(HOT_ROWS_CONF, None)):
+        df = _settled(df)
+    stats = _hot_keys(df, list(keys), hot_rows)
+    if stats is None:
+        # No hot key, or no statistics: a plain per-key window plan, and no job while it is built.
         return ScanLayout(df.withColumn("_sub", F.lit(0)), list(keys), list(order), split=False)
+    if isinstance(hot_rows, KeyStatistics):
+        df = _settled(df)  # read by the sample and by the scan
+    # The number of sub-buckets bounds every table this layout broadcasts.
+    hot, n_sub = stats.named(list(keys)), stats.n_sub
     small = n_sub <= MAX_BROADCAST_ROWS
     bc = F.broadcast if small else (lambda x: x)
     with_o = df.withColumn("_o", _order_struct(order))
@@ -188,14 +230,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def split_points(df: DataFrame, keys: list[str], low: Column, high: Column, limit: int) -> DataFrame | None:
-    """``keys, _splits`` for keys with over ``limit`` rows: sorted points, taken from a seeded sample of
-    both ``low`` and ``high``, that cut a key into parts of about ``limit`` rows. None: no such key."""
-    counts = df.groupBy(*qcs(keys)).agg(F.count(F.lit(1)).alias("_n"))
-    hot = stored(counts.filter(F.col("_n") > limit).withColumn("_nsub", F.ceil(2 * F.col("_n") / F.lit(limit)).cast("int")), "hot-keys")
-    n_sub = hot.agg(F.sum("_nsub")).first()[0]
-    if not n_sub:
-        return None
+def split_points(df: DataFrame, keys: list[str], low: Column, high: Column, stats: KeyStatistics) -> DataFrame:
+    """``keys, _splits`` for the hot keys of ``stats``: sorted points, taken from a seeded sample of both
+    ``low`` and ``high``, that cut a key into parts of about ``stats.limit`` rows."""
+    hot = stats.named(keys).withColumn("_nsub", 2 * F.col("_nsub"))
+    n_sub = 2 * stats.n_sub
     side = F.broadcast(hot) if n_sub <= MAX_BROADCAST_ROWS else hot
     points = df.select(*qcs(keys), F.explode(F.array(low, high)).alias("_p"))
     sample = _join_on(points, side, keys).filter(

@@ -20,7 +20,7 @@ from effdated.operators import scan
 
 def broken_shifts(df: DataFrame, key: str, start: str, end: str, shift_length_hours: float = 4.0,
                   order_by: Sequence[str] = (), index_col: str = "shift_index",
-                  flag_col: str = "is_Broken_Shift", hot_rows: int | None = None) -> DataFrame:
+                  flag_col: str = "is_Broken_Shift", hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """Chain a key's shifts while the gap to the running latest end is below
     ``shift_length_hours``. Adds ``shift_index`` (chain number per key), ``is_Broken_Shift``
     (chain of more than one shift), ``unpaid_break_seconds`` (the gap before this
@@ -68,7 +68,7 @@ def one_flag_per_week(df: DataFrame, key: str, date: str, flag_col: str, id_col:
 
 def rank_and_convert(df: DataFrame, group_keys: Sequence[str], sort_keys: Sequence[str],
                      target_col: str, value, first_n: int, rank_col: str = "leave_rank",
-                     hot_rows: int | None = None) -> DataFrame:
+                     hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """Rank records per group (employee, FY) in ``sort_keys`` order; the first
     ``first_n`` get ``target_col = value``. Skew-safe running count."""
     lay = scan.layout(df, list(group_keys), list(sort_keys), hot_rows)

@@ -13,7 +13,7 @@ A hot key is cut into sub-buckets of time at points of its starts *and* ends. A
 the bucket of its start, once more in that of its end if that is another one, and between
 them only the last record in order that spans a whole bucket can show, which is one row per
 bucket. So no bucket holds more than its own points and one row, even if all records of a key
-are open (equal starts and equal ends are reduced to the one that shows, before they meet).
+are open (equal starts and equal ends are reduced to what can show, before they meet).
 """
 
 from __future__ import annotations
@@ -163,7 +163,7 @@ def _columns(df: DataFrame, key: str, start: str, end: str, value_cols: Sequence
 
 
 def visible_pieces(df: DataFrame, key: str, start: str, end: str, value_cols: Sequence[str], order: Sequence[str],
-                   hot_rows: int | None = None) -> DataFrame:
+                   hot_rows: int | scan.KeyStatistics | None = None) -> DataFrame:
     """``key, value_cols, start, end``: what each record covers that no later one (in ``order``, which
     begins with start and end) covers too. Starts and ends are set and start < end.
 
@@ -172,13 +172,13 @@ def visible_pieces(df: DataFrame, key: str, start: str, end: str, value_cols: Se
     values = [f"_v{i}" for i in range(len(value_cols))]
     rows = _columns(df.withColumn("_o", _order_struct(list(order))), key, start, end, value_cols)
     rows = rows.withColumn("_cut", reduce(lambda a, b: a | b, [F.col(v).isNull() for v in values], F.lit(False)))
-    limit = scan._hot_rows(df, hot_rows)
     nothing = F.lit(None).cast(rows.schema["_start"].dataType)
-    splits = scan.split_points(rows, ["_g"], F.col("_start"), F.col("_end"), limit) if limit else None
-    if splits is None:
+    stats = scan._hot_keys(rows, ["_g"], hot_rows)
+    if stats is None:
         spread = rows.withColumn("_sub", F.lit(0)).withColumn("_low", nothing).withColumn("_high", nothing)
     else:
-        spread = _bucketed(rows, splits, nothing)
+        rows = scan.stored(rows, "sweep-input")  # read by the sample and by the sweep
+        spread = _bucketed(rows, scan.split_points(rows, ["_g"], F.col("_start"), F.col("_end"), stats), nothing)
     laid = spread.repartition(F.col("_g"), F.col("_sub")).sortWithinPartitions("_g", "_sub", "_o")
     out = _run(laid, ["_g", "_sub"], values)
     return out.select(F.col("_g").alias(key), *[F.col(v).alias(c) for v, c in zip(values, value_cols)], F.col("_from").alias(start), F.col("_to").alias(end))
@@ -194,9 +194,11 @@ def _bucketed(rows: DataFrame, splits: DataFrame, nothing) -> DataFrame:
     base = [c for c in placed.columns if c not in ("_first", "_last")]
     every = F.struct(*[F.col(c) for c in base if c != "_g"])
     last_of = F.max_by(every, F.col("_o")).alias("_r")
-    # of records that start together only the last in order can show, and so of those that end together elsewhere
+    # of records that start together only the last in order can show, and so of those that end together in a later bucket
     own = hot.groupBy("_g", "_start", "_first").agg(last_of).select("_g", "_r.*", F.col("_first").alias("_sub"))
-    ending = hot.groupBy("_g", "_end", "_last").agg(last_of).select("_g", "_r.*", F.col("_last").alias("_sub"))
+    # (those that start in the bucket apart: they hide nothing before they start, but their ends count)
+    ending = (hot.groupBy("_g", "_end", "_last", (F.col("_first") == F.col("_last")).alias("_inside")).agg(last_of)
+              .select("_g", "_r.*", F.col("_last").alias("_sub")))
     # of those that span a bucket: the last in order per (first, last), then per bucket between them
     spans = hot.filter("_last > _first + 1").groupBy("_g", "_first", "_last").agg(last_of)
     between = spans.select("_g", "_r", F.explode(F.sequence(F.col("_first") + 1, F.col("_last") - 1)).alias("_sub"))

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from effdated.operators.scan import KeyStatistics, key_statistics
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hot_keys(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> KeyStatistics:
+    """Key statistics of a driver table, taken once per session folder and read by all scans on the key."""
+    return key_statistics(table(spark, sf_dir, name), list(keys), name=f"{sf_dir}/{name}")
+
+
 def money(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 

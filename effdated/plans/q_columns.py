@@ -13,7 +13,7 @@ from effdated.operators import filters as fl
 from effdated.operators import intervals as iv
 from effdated.operators import joins as jn
 from effdated.operators import reshape as rs
-from effdated.plans.driver_queries import register, table
+from effdated.plans.driver_queries import hot_keys, register, table
 from effdated.plans.q_intervals import _EVENTS_SQL, events_periods
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -527,7 +527,7 @@ FROM orders
 def q_forward_fill(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                           F.expr("nullif(o_orderstatus, 'P')").alias("status"))
-    return cl.forward_fill(o, ["status"], ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
+    return cl.forward_fill(o, ["status"], ["o_custkey"], ["o_orderdate", "o_orderkey"], hot_rows=hot_keys(spark, sf, "orders", "o_custkey")).select(
         "o_orderkey", "o_custkey", "status")
 
 
@@ -547,7 +547,7 @@ def q_fill_end_with_termination(spark, sf):
         .otherwise(F.col("o_orderdate") + F.make_dt_interval(F.lit(30))).alias("end_date"),
         F.when(F.col("o_custkey") % 2 == 0, F.lit("2002-06-30").cast("timestamp_ntz")).alias("termination"))
     out = cl.fill_end_with_termination(o, "o_custkey", "o_orderdate", "end_date", "termination",
-                                       order_by=["o_orderkey"])
+                                       order_by=["o_orderkey"], hot_rows=hot_keys(spark, sf, "orders", "o_custkey"))
     return out.select("o_orderkey", "end_date")
 
 

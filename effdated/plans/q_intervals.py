@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from effdated.operators import intervals as iv
 from effdated.operators import lineage
-from effdated.plans.driver_queries import register, table
+from effdated.plans.driver_queries import hot_keys, register, table
 
 # ---------------------------------------------------------------- shared SQL
 _EVENTS_SQL = ("SELECT event_id, user_id, event_type, ts, "
@@ -46,7 +46,8 @@ def q_flatten_effective_date(spark, sf):
     o = orders_status(spark, sf)
     out = iv.flatten_effective_date(
         o, "o_custkey", "status", "o_orderdate",
-        {"status": "first", "o_orderdate": "min", "o_orderkey": "count"}, order_by=["o_orderkey"])
+        {"status": "first", "o_orderdate": "min", "o_orderkey": "count"}, order_by=["o_orderkey"],
+        hot_rows=hot_keys(spark, sf, "orders", "o_custkey"))
     return out.select("o_custkey", "status", "StartDate", F.col("o_orderkey").cast("bigint").alias("n_rows"),
                       "EndDate")
 
@@ -74,7 +75,8 @@ def q_group_multiple_date(spark, sf):
     out = iv.group_multiple_date(
         li, "l_suppkey", "l_returnflag", "l_shipdate", "l_enddate",
         {"l_returnflag": "first", "l_orderkey": "size"},
-        order_by=[c.strip() for c in _LI_ORDER.split(",")[1:]])
+        order_by=[c.strip() for c in _LI_ORDER.split(",")[1:]],
+        hot_rows=hot_keys(spark, sf, "lineitem", "l_suppkey"))
     return out.select("l_suppkey", "l_returnflag", "l_shipdate", "l_enddate",
                       F.col("l_orderkey").cast("bigint").alias("n_lines"))
 
@@ -99,7 +101,8 @@ SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderdate,
 def q_flatten_multi_column(spark, sf):
     o = table(spark, sf, "orders")
     return iv.flatten(o, "o_custkey", "o_orderdate", "end_date",
-                      ["o_orderstatus", "o_orderpriority"], order_by=["o_orderkey"])
+                      ["o_orderstatus", "o_orderpriority"], order_by=["o_orderkey"],
+                      hot_rows=hot_keys(spark, sf, "orders", "o_custkey"))
 
 
 # ---------------------------------------------------------------- L1
@@ -155,7 +158,8 @@ SELECT event_id, user_id, ts, end_ts, isl AS overlapping_index,
 """)
 def q_overlap_identifier(spark, sf):
     e = events_periods(spark, sf)
-    out = iv.add_overlapping_identifier(e, "user_id", "ts", "end_ts", order_by=["event_id"])
+    out = iv.add_overlapping_identifier(e, "user_id", "ts", "end_ts", order_by=["event_id"],
+                                        hot_rows=hot_keys(spark, sf, "events", "user_id"))
     return out.select("event_id", "user_id", "ts", "end_ts", "overlapping_index", "is_overlapping")
 
 
@@ -167,7 +171,7 @@ SELECT event_id, user_id, ts, end_ts, event_type FROM k WHERE rk = 1
 """)
 def q_overlap_pick_longest(spark, sf):
     e = events_periods(spark, sf)
-    out = iv.pick_longest(e, "user_id", "ts", "end_ts", "event_id")
+    out = iv.pick_longest(e, "user_id", "ts", "end_ts", "event_id", hot_rows=hot_keys(spark, sf, "events", "user_id"))
     return out.filter("is_longest").select("event_id", "user_id", "ts", "end_ts", "event_type")
 
 
@@ -181,7 +185,8 @@ FROM i
 """)
 def q_unify_overlaps(spark, sf):
     e = events_periods(spark, sf)
-    out = iv.unify_overlapping(e, "user_id", "ts", "end_ts", "event_type", order_by=["event_id"])
+    out = iv.unify_overlapping(e, "user_id", "ts", "end_ts", "event_type", order_by=["event_id"],
+                               hot_rows=hot_keys(spark, sf, "events", "user_id"))
     return out.select("event_id", "user_id", "ts", "end_ts", "event_type")
 
 
@@ -207,5 +212,6 @@ SELECT k AS user_id, v AS event_type, s AS ts, e AS end_ts FROM swept
 """)
 def q_remove_overlaps(spark, sf):
     e = events_periods(spark, sf)
-    out = iv.remove_overlaps_and_flatten(e, "user_id", "ts", "end_ts", ["event_type"], order_by=["event_id"])
+    out = iv.remove_overlaps_and_flatten(e, "user_id", "ts", "end_ts", ["event_type"], order_by=["event_id"],
+                                         hot_rows=hot_keys(spark, sf, "events", "user_id"))
     return out.select("user_id", "event_type", "ts", "end_ts")

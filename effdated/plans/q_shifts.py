@@ -8,7 +8,8 @@ from effdated.functions import columns as cl
 from effdated.functions import dates as dt
 from effdated.operators import intervals as iv
 from effdated.operators import shifts as sh
-from effdated.plans.driver_queries import register, table
+from effdated.operators.scan import key_statistics
+from effdated.plans.driver_queries import hot_keys, register, table
 from effdated.plans.q_intervals import _EVENTS_SQL, events_periods
 
 _CHAIN_SQL = f"""
@@ -25,7 +26,7 @@ c AS (SELECT *, count(*) OVER (PARTITION BY user_id, shift_index) > 1 AS is_Brok
 
 def _chains(spark, sf):
     e = events_periods(spark, sf)
-    return sh.broken_shifts(e, "user_id", "ts", "end_ts", 4.0, order_by=["event_id"])
+    return sh.broken_shifts(e, "user_id", "ts", "end_ts", 4.0, order_by=["event_id"], hot_rows=hot_keys(spark, sf, "events", "user_id"))
 
 
 @register("broken_shift_chain", f"""
@@ -71,7 +72,8 @@ SELECT event_id, CAST(leave_rank AS BIGINT) AS leave_rank,
 def q_leave_rank_convert(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type") \
         .withColumn("fy", dt.financial_year("ts"))
-    out = sh.rank_and_convert(e, ["user_id", "fy"], ["ts", "event_id"], "event_type", "personal_leave", 3)
+    out = sh.rank_and_convert(e, ["user_id", "fy"], ["ts", "event_id"], "event_type", "personal_leave", 3,
+                              hot_rows=key_statistics(e, ["user_id", "fy"], name=f"{sf}/events by year"))
     return out.select("event_id", "leave_rank", "event_type")
 
 

@@ -35,9 +35,9 @@ def swept(df, hot):
     return epoch, sorted(((r.k is None, r.k or ""), r.s, r.e, -1 if r.v is None else r.v) for r in rows)
 
 
-@pytest.mark.parametrize("hot", [None, 4, 25])
-def test_sweep_random(spark, hot):
-    rng = random.Random(12)
+@pytest.mark.parametrize("hot,seed", [(None, 12), (4, 12), (25, 12), (60, 5), (25, 6)])
+def test_sweep_random(spark, hot, seed):
+    rng = random.Random(seed)
     records = []
     for _ in range(900):
         s = rng.randint(0, 300)
@@ -69,3 +69,29 @@ def test_one_open_record_stays_linear(spark, hot):
     run(1000)
     small, large = run(25_000), run(200_000)
     assert large < 3 + 12 * small  # eight times the rows; the join of pieces and records took 64 times as long
+
+
+def test_statistics_are_taken_once_and_spread_a_hot_key(spark):
+    """A key with a third of all rows: its statistics are written once, scans read them, its rows
+    are dealt into many sub-buckets, and without a hot key building a scan runs no job."""
+    from effdated.operators import scan
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+                                    F.timestamp_seconds(F.col("id") * 7 % 9999).cast("timestamp_ntz").alias("t"), (F.col("id") % 4).alias("v"), "id")
+    name = f"statistics test {time.time()}"
+    stats = scan.key_statistics(df, ["k"], 1000, name)
+    assert [(r["_k0"], r["_n"]) for r in stats.hot.collect()] == [("hot", 10_000)] and stats.n_sub == 10
+    again = scan.key_statistics(spark.range(0).selectExpr("'x' as k"), ["k"], 1000, name)
+    assert again.n_sub == 10  # read, not counted anew
+    lay = scan.layout(df, ["k"], ["t", "id"], stats)
+    sizes = {r["_sub"]: r["n"] for r in lay.df.filter("k = 'hot'").groupBy("_sub").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert len(sizes) >= 8 and max(sizes.values()) < 2500
+    settings = {"v": "first", "t": "min", "id": "count"}
+    plain = iv.flatten_effective_date(df, "k", "v", "t", settings, ["id"])
+    assert iv.flatten_effective_date(df, "k", "v", "t", settings, ["id"], hot_rows=stats).exceptAll(plain).count() == 0
+    none = scan.key_statistics(df, ["k"], 1_000_000)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building a scan", "")
+    iv.flatten_effective_date(df, "k", "v", "t", settings, ["id"], hot_rows=none)
+    jobs = list(tracker.getJobIdsForGroup("building a scan"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert none.n_sub == 0 and jobs == []

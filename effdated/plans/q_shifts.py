@@ -9,7 +9,7 @@ from effdated.functions import dates as dt
 from effdated.operators import intervals as iv
 from effdated.operators import shifts as sh
 from effdated.operators.scan import key_statistics
-from effdated.plans.driver_queries import hot_keys, register, table
+from effdated.plans.driver_queries import STATISTICS, hot_keys, register, table
 from effdated.plans.q_intervals import _EVENTS_SQL, events_periods
 
 _CHAIN_SQL = f"""
@@ -70,10 +70,9 @@ SELECT event_id, CAST(leave_rank AS BIGINT) AS leave_rank,
        CASE WHEN leave_rank <= 3 THEN 'personal_leave' ELSE event_type END AS event_type FROM k
 """)
 def q_leave_rank_convert(spark, sf):
-    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type") \
-        .withColumn("fy", dt.financial_year("ts"))
+    e = _event_years(spark, sf)
     out = sh.rank_and_convert(e, ["user_id", "fy"], ["ts", "event_id"], "event_type", "personal_leave", 3,
-                              hot_rows=key_statistics(e, ["user_id", "fy"], name=f"{sf}/events by year"))
+                              hot_rows=_year_statistics(spark, sf))
     return out.select("event_id", "leave_rank", "event_type")
 
 
@@ -234,3 +233,14 @@ def q_leave_end_from_hours(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", (F.col("value") / 60).alias("hours"))
     out = cl.leave_end_from_hours(e, "ts", "leave_end", "hours")
     return out.select("event_id", "leave_end")
+
+
+def _event_years(spark, sf):
+    return table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type").withColumn("fy", dt.financial_year("ts"))
+
+
+def _year_statistics(spark, sf):
+    return key_statistics(_event_years(spark, sf), ["user_id", "fy"], name=f"{sf}/events by year")
+
+
+STATISTICS.append(_year_statistics)

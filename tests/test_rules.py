@@ -197,8 +197,9 @@ def test_null_keys_repeated_ids_and_duplicates(spark):
 
 
 def test_building_a_query_runs_no_job(spark):
-    """Plans are lazy; only the source queries write the files that they then read."""
-    from effdated.plans.driver_queries import all_queries
+    """Plans are lazy once key statistics are taken; only the source queries write the files that they then read."""
+    from effdated.plans.driver_queries import all_queries, take_statistics
+    take_statistics(spark, "/root/testdata/sf0.001")
     sc = spark.sparkContext
     busy = {}
     for name, query in all_queries()[0].items():

@@ -8,7 +8,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from effdated.functions import columns as cl
 from effdated.session import ensure_checkpoint_dir
+from effdated.operators import filters as fl
 from effdated.operators import joins as jn
 from effdated.sources import catalog
 from effdated.sources import csv as csvsrc
@@ -133,3 +135,51 @@ def q_lookup_duplicate_mapping(spark, sf):
     twice = mapping.unionByName(mapping.withColumn("code", F.concat(F.lit(" "), "code")))
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("code"))
     return jn.lookup(o, "code", twice, "code", "n_name", out="nation").select("o_orderkey", "nation")
+
+
+@register("payslip_same_basename", """
+SELECT l_orderkey, l_linenumber, l_quantity, count(*) OVER () AS distinct_labels FROM lineitem
+""")
+def q_payslip_same_basename(spark, sf):
+    """Line files of one name in many folders; every line keeps a label and a code of its
+    own, so removing duplicate line codes loses none."""
+    path = _staging(spark, "lines-same-name")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    lines.write.option("header", "true").partitionBy("l_returnflag", "l_linestatus").csv(path)
+    bronze = cl.payslip_line_code(csvsrc.read_csv_with_lineage(spark, path), "PayslipLineCode")
+    kept = fl.dedupe_keep_first(bronze, ["PayslipLineCode"], ["Source"])
+    labels = bronze.agg(F.count_distinct("Source").alias("distinct_labels"))
+    return jn.attach_constants(kept, labels).select(
+        F.col("l_orderkey").cast("bigint").alias("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"), F.col("l_quantity").cast("double").alias("l_quantity"), "distinct_labels")
+
+
+@register("csv_multiline_preamble", f"""
+SELECT o_orderkey, o_orderpriority || chr(10) || o_orderstatus AS note,
+       CAST(row_number() OVER (PARTITION BY o_orderkey % {FILES} ORDER BY o_orderkey) + 2 AS BIGINT) AS record_no
+FROM orders
+""")
+def q_csv_multiline_preamble(spark, sf):
+    """S8, multiline: a preamble wider than the data, quoted line feeds, and rows that are too long."""
+    path = _staging(spark, "orders-multiline")
+    text = ["Orders,as,of,today,and,more", "o_orderkey,note", "9,F,too,wide"]
+    head = _parts(spark).select("part", F.posexplode(F.array(*[F.lit(t) for t in text])).alias("place", "line")).withColumn("o_orderkey", F.lit(0).cast("long"))
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit('"'))
+    rows = _orders(spark, sf).select("part", F.lit(len(text)).alias("place"), F.concat_ws(",", "o_orderkey", note).alias("line"), "o_orderkey")
+    _write_lines(head.unionByName(rows), path)
+    return csvsrc.read_csv_with_lineage(spark, path, skiprows=1, multiline=True).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "note", "record_no")
+
+
+@register("csv_faults", f"""
+SELECT o_orderkey % {FILES} AS part, count(*) AS n_rows, 'no header line after 0 lines' AS only_error, 3::BIGINT AS n_faults
+FROM orders GROUP BY ALL
+""")
+def q_csv_faults(spark, sf):
+    """Files without any header line are listed, the others load."""
+    path = _staging(spark, "orders-faults")
+    head = _parts(spark).select("part", F.lit(0).alias("place"), F.lit("o_orderkey").alias("line"), F.lit(0).cast("long").alias("o_orderkey"))
+    _write_lines(head.unionByName(_orders(spark, sf).select("part", F.lit(1).alias("place"), F.col("o_orderkey").cast("string").alias("line"), "o_orderkey")), path)
+    blank = spark.range(3).select(F.concat(F.lit("blank"), F.col("id").cast("string")).alias("part"), F.lit("  ").alias("line"))
+    blank.write.mode("append").partitionBy("part").text(path)
+    faults = csvsrc.csv_faults(spark, path).agg(F.max("error").alias("only_error"), F.count(F.lit(1)).alias("n_faults"))
+    rows = csvsrc.read_csv_with_lineage(spark, path).groupBy((F.col("o_orderkey").cast("bigint") % FILES).alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return jn.attach_constants(rows, faults).select("part", "n_rows", "only_error", "n_faults")

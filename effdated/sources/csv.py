@@ -1,21 +1,25 @@
-"""CSV / TXT ingest into all-text bronze rows with row lineage.
+"""CSV / TXT ingest into all-text bronze rows with row lineage.
 
-Every file is read with its own header, after its own preamble:
+Every file is read with its own header, after its own preamble, and no raw line is shuffled:
 
 1. files are scanned as text lines. ``monotonically_increasing_id()`` numbers the lines of
-   a scan split consecutively, and a table with one row per split ``(file, block)`` turns
-   that into physical line numbers without a window over a whole file;
+   a scan split consecutively, and a written table with one row per split ``(file, block)`` turns
+   that into physical line numbers without a window over a file;
 2. the first ``skiprows`` physical lines of a file go (blank ones count), then blank lines; of
-   what is left, line number ``header`` names the file's columns;
-3. files are grouped by their header line (few distinct ones, whatever the number of
-   files), and each layout parses its lines; layouts are united by column name;
-4. lines with more fields than the header are dropped, as pandas drops bad lines, and the
-   rest are numbered: a window per (file, split), plus the counts of earlier splits.
+   what is left, line number ``header`` names the file's columns. One row per file is written;
+3. one pass parses the lines of all layouts into arrays, and each column of the result is taken from
+   the place where the file's header has it (an array of the per-split table, which is broadcast):
+   the work does not depend on the number of layouts;
+4. lines with more fields than the header are dropped, as pandas drops bad lines. The rest
+   are numbered by a second consecutive id and the counts per split of the rows left.
+
+That makes four scans (splits, headers, counts, result), whatever the number of files and
+layouts. Distinct header lines are collected while the plan is built: bounded by the layouts.
 
 The label is ``<stem>:row:<record number>``, which equals pandas' ``index + 2 + skiprows +
-header``. Files with quoted line feeds (``multiline``) cannot be split or read as lines: they
-go through the CSV parser, one header for all files, and their preamble is counted in
-parsed records.
+header``. Files with quoted line feeds (``multiline``) cannot be split: they go through the CSV
+parser, numbered in parsed records before any is dropped; their preamble and header are
+lines without quoted line feeds.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from effdated.operators.scan import stored
 
 # pandas' default tokens read as missing.
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -47,30 +52,71 @@ def _names(line: str, sep: str) -> list[str]:
     return names
 
 
-def _text_lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
-    """``value, _file, _blk, _mid, _record``: physical lines, numbered from 1 per file."""
+#: Splits (and files) of one load at most: the per-split table is broadcast, which keeps raw lines in
+#: their tasks. 2 million splits of 128 MB are 256 TB; larger loads go folder by folder.
+MAX_SPLITS = 2_000_000
+
+
+def _placed(raw: DataFrame) -> DataFrame:
+    """A fresh scan with its place: ``_file``, split ``_blk`` and ``_mid``, consecutive within a split."""
+    return raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_blk"),
+                      F.monotonically_increasing_id().alias("_mid"))
+
+
+def _split_table(rows: DataFrame, mid: str, off: str, m0: str) -> DataFrame:
+    """Per split of ``rows``: its first ``mid`` (``m0``) and the rows of the file's earlier splits
+    (``off``). Counted with partial aggregation: only one row per split leaves a task."""
+    counts = rows.groupBy("_file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min(mid).alias(m0))
+    w = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_file", "_blk", m0, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias(off))
+
+
+def _recorded(placed: DataFrame, splits: DataFrame) -> DataFrame:
+    """Add ``_record``, the 1-based number of a line (or parsed record) within its file."""
+    return placed.join(F.broadcast(splits), ["_file", "_blk"]).withColumn("_record", (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long"))
+
+
+def _text_scan(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
     raw = spark.read.option("recursiveFileLookup", "true").text(list(paths))
     if encoding.lower().replace("-", "") != "utf8":
         raw = raw.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
-    return _numbered(raw, keep=True)
+    return raw
+
+
+def _checked_splits(placed: DataFrame, label: str) -> DataFrame:
+    splits = stored(_split_table(placed, "_mid", "_off", "_m0"), label)
+    if splits.count() > MAX_SPLITS:
+        raise ValueError(f"more than {MAX_SPLITS} splits in one load; load folder by folder")
+    return splits
 
 
 def _headers(lines: DataFrame, skiprows: int, header: int) -> DataFrame:
-    """``_file, _at, _line`` per file: place and text of its header line. One row per file,
-    by partial aggregation."""
-    rest = lines.filter((F.col("_record") > skiprows) & (F.trim("value") != ""))
-    found = rest.groupBy("_file").agg(F.min(F.struct(F.col("_record").alias("at"), F.col("value").alias("line"))).alias("_h"))
+    """``_file, _at, _line, _valid`` per file: place and text of its header line, and whether all lines
+    are valid text. One row per file, by partial aggregation. ``header < 0``: no header line."""
+    text = lines.withColumn("_ok", (F.col("_record") > skiprows) & (F.trim("value") != ""))
+    first = F.min(F.when(F.col("_ok"), F.struct(F.col("_record").alias("at"), F.col("value").alias("line"))))
+    found = text.groupBy("_file").agg(first.alias("_h"), F.min(F.expr("is_valid_utf8(value)")).alias("_valid"))
+    if header < 0:
+        return found.select("_file", F.lit(skiprows).cast("long").alias("_at"), F.lit("").alias("_line"), "_valid")
     for _ in range(header):
-        after = rest.join(found.select(F.col("_file").alias("_f"), F.col("_h.at").alias("_seen")), F.col("_file") == F.col("_f"))
-        found = (after.filter(F.col("_record") > F.col("_seen")).groupBy("_file")
-                 .agg(F.min(F.struct(F.col("_record").alias("at"), F.col("value").alias("line"))).alias("_h")))
-    return found.select("_file", F.col("_h.at").alias("_at"), F.col("_h.line").alias("_line"))
+        seen = F.broadcast(found.select("_file", F.col("_h.at").alias("_seen"), "_valid"))
+        after = text.join(seen, "_file").withColumn("_ok", F.col("_ok") & (F.col("_record") > F.col("_seen")))
+        found = after.groupBy("_file").agg(first.alias("_h"), F.first("_valid").alias("_valid"))
+    return found.select("_file", F.col("_h.at").alias("_at"), F.col("_h.line").alias("_line"), "_valid")
+
+
+def _file_table(spark: SparkSession, paths: Sequence[str], skiprows: int, header: int, encoding: str) -> tuple[DataFrame, DataFrame]:
+    """``(lines, files)``: the numbered text lines, and one written row per file (see ``_headers``)."""
+    placed = _placed(_text_scan(spark, paths, encoding))
+    lines = _recorded(placed, _checked_splits(placed, "csv-splits"))
+    return lines, stored(_headers(lines, skiprows, header), "csv-files")
 
 
 def read_header(spark: SparkSession, paths: Sequence[str], sep: str = ",", skiprows: int = 0,
                 header: int = 0, encoding: str = "utf-8") -> list[str]:
     """Column names when all files share one header line; raises when they differ."""
-    lines = [r["_line"] for r in _headers(_text_lines(spark, paths, encoding), skiprows, header).select("_line").distinct().collect()]
+    _, files = _file_table(spark, paths, skiprows, header, encoding)
+    lines = [r["_line"] for r in files.filter("_line is not null").select("_line").distinct().collect()]
     if not lines:
         raise ValueError(f"no header line under {list(paths)}")
     if len(lines) > 1:
@@ -78,29 +124,17 @@ def read_header(spark: SparkSession, paths: Sequence[str], sep: str = ",", skipr
     return _names(lines[0], sep)
 
 
-def _numbered(raw: DataFrame, keep: bool = False) -> DataFrame:
-    """Add ``_record`` (1-based record number within its file) to a fresh scan; ``keep``: and leave
-    the split ``_blk`` and the order ``_mid`` in it."""
-    ided = raw.select("*", F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_blk"),
-                      F.monotonically_increasing_id().alias("_mid"))
-    blocks = ided.groupBy("_file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("_file", "_blk", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (ided.join(offsets, ["_file", "_blk"])
-            .withColumn("_record", (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long"))
-            .drop(*([] if keep else ["_blk", "_mid"]), "_m0", "_off"))
-
-
-def _renumbered(rows: DataFrame, first: int) -> DataFrame:
-    """``_record`` counted anew over the rows left, from ``first``: within a split by a window (a
-    split has a bounded size), over splits by their counts."""
-    counts = rows.groupBy("_file", "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_file", "_blk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    nth = F.row_number().over(Window.partitionBy("_file", "_blk").orderBy("_mid"))
-    return (rows.withColumn("_nth", nth).join(offsets, ["_file", "_blk"])
-            .withColumn("_record", (F.col("_off") + F.col("_nth") - 1 + first).cast("long")).drop("_off", "_nth"))
+def csv_faults(spark: SparkSession, paths: str | Sequence[str], skiprows: int = 0, header: int = 0, encoding: str = "utf-8") -> DataFrame:
+    """``(path, error)`` of the files that :func:`read_csv_with_lineage` skips: those without a header
+    line (empty ones too) and those that are no valid text."""
+    ps = [paths] if isinstance(paths, str) else list(paths)
+    _, files = _file_table(spark, ps, skiprows, header, encoding)
+    listed = spark.read.option("recursiveFileLookup", "true").text(ps).inputFiles()  # the scan's own listing; empty files never reach a task
+    every = spark.createDataFrame([(f,) for f in listed], "path string")
+    bare = lambda c: F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")  # noqa: E731  file:/ and file:///
+    known = every.join(files, bare("path") == bare("_file"), "left")
+    error = (F.when(F.col("_line").isNull(), f"no header line after {skiprows} lines").when(~F.col("_valid"), f"not valid {encoding}"))
+    return known.select("path", error.alias("error")).filter("error is not null")
 
 
 def read_csv_with_lineage(spark: SparkSession, paths: str | Sequence[str], sep: str = ",",
@@ -114,65 +148,79 @@ def read_csv_with_lineage(spark: SparkSession, paths: str | Sequence[str], sep:
     Columns are those of the files' headers (``names`` overrides them, by position); a
     column that a file lacks is null. Too-long rows are dropped (``keep_broken=True`` keeps
     them with ``_overflow`` set and no record number), short rows are null-padded, NA tokens
-    become null.
+    become null. ``header=-1`` (with ``names``): files without a header line. Files
+    that are no valid text or have no header line are skipped; :func:`csv_faults` lists them.
+    Labels are unique in a load: files of one name in two folders get ``~`` and the first
+    eight digits of their ``source_id`` behind the name.
     """
     ps = [paths] if isinstance(paths, str) else list(paths)
-    if multiline:
-        return _read_multiline(spark, ps, sep, skiprows, header, encoding, na_tokens, names, keep_broken, source_col)
-    lines = _text_lines(spark, ps, encoding)
-    heads = _headers(lines, skiprows, header)
-    layouts = sorted(r["_line"] for r in heads.select("_line").distinct().collect())  # one per distinct header
+    if header < 0 and not names:
+        raise ValueError("files without a header line need names")
+    lines, files = _file_table(spark, ps, skiprows, header, encoding)
+    usable = files.filter("_line is not null and _valid")
+    layouts = sorted(r["_line"] for r in usable.select("_line").distinct().collect())  # one per distinct header
     if not layouts:
         raise ValueError(f"no header line under {ps}")
-    data = lines.join(heads, "_file").filter((F.col("_record") > F.col("_at")) & (F.trim("value") != ""))
-    parts = []
-    for line in layouts:
-        cols = list(names) if names else _names(line, sep)
-        schema = ", ".join([f"_c{i} string" for i in range(len(cols))] + [f"{OVERFLOW} string"])
-        parsed = F.from_csv("value", F.lit(schema), {"sep": sep, "mode": "PERMISSIVE"})
-        rows = data.filter(F.col("_line") == line).withColumn("_p", parsed)
-        good = _renumbered(rows.filter(F.col(f"_p.{OVERFLOW}").isNull()), skiprows + header + 2)
-        parts.append(_bronze(good, [F.col(f"_p._c{i}") for i in range(len(cols))], cols, na_tokens, source_col, keep_broken, F.lit(None).cast("string")))
-        if keep_broken:
-            bad = rows.filter(F.col(f"_p.{OVERFLOW}").isNotNull()).withColumn("_record", F.lit(None).cast("long"))
-            parts.append(_bronze(bad, [F.col(f"_p._c{i}") for i in range(len(cols))], cols, (), source_col, True, F.col(f"_p.{OVERFLOW}")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    last = [source_col, "source_file", "source_path", "source_id", "record_no", *([OVERFLOW] if keep_broken else [])]
-    return out.select(*[F.col(f"`{c}`") for c in out.columns if c not in last], *last)
-
-
-def _bronze(rows: DataFrame, values: Sequence, cols: Sequence[str], na_tokens: Sequence[str], source_col: str,
-            with_overflow: bool, overflow) -> DataFrame:
-    """Parsed values plus the lineage columns of ``_file`` and ``_record``."""
+    named = {line: list(names) if names else _names(line, sep) for line in layouts}
+    columns = list(dict.fromkeys(c for line in layouts for c in named[line]))
+    widest = max(map(len, named.values()))
+    fields = [f"_c{i}" for i in range(widest + 1)]
+    if multiline:
+        # records before the data: the lines up to the header that the parser does not skip as empty
+        before = (lines.join(F.broadcast(usable.select("_file", "_at")), "_file").filter((F.col("_record") <= F.col("_at")) & (F.col("value") != ""))
+                  .groupBy("_file").agg(F.count(F.lit(1)).alias("_records")))
+        usable = usable.join(before, "_file", "left").withColumn("_at", F.coalesce("_records", F.lit(0))).drop("_records")
+        raw = (spark.read.schema(", ".join(f"{c} string" for c in fields)).option("header", "false").option("sep", sep).option("mode", "PERMISSIVE")
+               .option("multiLine", "true").option("encoding", encoding).option("recursiveFileLookup", "true").csv(ps))
+        parsed = _placed(raw).withColumn("_vals", F.array(*fields)).drop(*fields)
+        splits, blank = _checked_splits(parsed, "csv-records"), F.lit(False)
+    else:
+        parsed = _placed(_text_scan(spark, ps, encoding).withColumn("_p", F.from_csv("value", F.lit(", ".join(f"{c} string" for c in fields)), {"sep": sep, "mode": "PERMISSIVE"})))
+        parsed = parsed.withColumn("_vals", F.array(*[F.col(f"_p.{c}") for c in fields])).drop("_p")
+        splits, blank = lines.select("_file", "_blk", "_m0", "_off").distinct(), F.trim("value") == ""
+    width = {line: len(named[line]) for line in layouts}
+    place = {line: [named[line].index(c) if c in named[line] else -1 for c in columns] for line in layouts}
+    shapes = spark.createDataFrame([(line, width[line], place[line]) for line in layouts], "_line string, _width int, _place array<int>")
+    places = stored(splits.join(_labelled(usable).join(F.broadcast(shapes), "_line"), "_file").drop("_line", "_valid"), "csv-places")
+    data = _recorded(parsed, places).filter((F.col("_record") > F.col("_at")) & ~blank)
+    over = F.get("_vals", F.col("_width"))
+    good = data.filter(over.isNull()).withColumn("_good", F.monotonically_increasing_id())
+    numbers = _split_table(good, "_good", "_off2", "_g0")
+    good = good.join(F.broadcast(numbers), ["_file", "_blk"])
+    first = skiprows + header + 2
+    good = good.withColumn("_record", (F.col("_off2") + F.col("_good") - F.col("_g0") + first).cast("long"))
+    out = _bronze(good, columns, na_tokens, source_col, keep_broken, F.lit(None).cast("string"))
+    if keep_broken:
+        bad = data.filter(over.isNotNull()).withColumn("_record", F.lit(None).cast("long"))
+        out = out.unionByName(_bronze(bad, columns, (), source_col, True, F.get("_vals", F.col("_width"))))
+    return out
+
+
+def _labelled(files: DataFrame) -> DataFrame:
+    """Per file its name in labels: the stem, and part of the path's hash where another file has that stem too."""
+    stem = F.regexp_replace(F.element_at(F.split("_file", "/"), -1), r"\.[^.]+$", "")
+    known = files.withColumn("_stem", stem)
+    same = known.groupBy("_stem").agg(F.count(F.lit(1)).alias("_same"))
+    marked = F.concat("_stem", F.lit("~"), F.substring(F.sha2(F.col("_file"), 256), 1, 8))
+    return known.join(same, "_stem").withColumn("_stem", F.when(F.col("_same") > 1, marked).otherwise(F.col("_stem"))).drop("_same")
+
+
+def _bronze(rows: DataFrame, columns: Sequence[str], na_tokens: Sequence[str], source_col: str, with_overflow: bool, overflow) -> DataFrame:
+    """Values by column name (``_place``: where a file has the column) plus the lineage columns."""
     na, name = list(na_tokens), F.element_at(F.split("_file", "/"), -1)
-    stem = F.regexp_replace(name, r"\.[^.]+$", "")
-    text = [F.when(v.isNull() | (v.isin(na) if na else F.lit(False)), F.lit(None).cast("string")).otherwise(v) for v in values]
+    text = []
+    for i, c in enumerate(columns):
+        at = F.get("_place", F.lit(i))
+        v = F.when(at >= 0, F.get("_vals", at))
+        text.append((F.when(~v.isin(na), v) if na else v).alias(c))
     return rows.select(
-        *[v.alias(c) for v, c in zip(text, cols)],
-        F.concat(stem, F.lit(":row:"), F.col("_record").cast("string")).alias(source_col),
+        *text,
+        F.concat("_stem", F.lit(":row:"), F.col("_record").cast("string")).alias(source_col),
         name.alias("source_file"), F.col("_file").alias("source_path"),
         F.substring(F.sha2(F.col("_file"), 256), 1, 16).alias("source_id"),
         F.col("_record").alias("record_no"), *([overflow.alias(OVERFLOW)] if with_overflow else []))
 
 
-def _read_multiline(spark: SparkSession, ps: list[str], sep: str, skiprows: int, header: int, encoding: str, na_tokens: Sequence[str],
-                    names: Sequence[str] | None, keep_broken: bool, source_col: str) -> DataFrame:
-    """Records that hold line feeds, through the CSV parser: one header for all files."""
-    cols = list(names) if names else read_header(spark, ps, sep, skiprows, header, encoding)
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(cols))] + [T.StructField(OVERFLOW, T.StringType())])
-    raw = (spark.read.schema(schema).option("header", "false").option("sep", sep).option("mode", "PERMISSIVE")
-           .option("multiLine", "true").option("encoding", encoding).option("recursiveFileLookup", "true").csv(ps))
-    values = [F.col(f"_c{i}") for i in range(len(cols))]
-    good = _numbered(raw.filter(F.col(OVERFLOW).isNull())).filter(F.col("_record") > skiprows + header + 1)
-    out = _bronze(good, values, cols, na_tokens, source_col, keep_broken, F.lit(None).cast("string"))
-    if keep_broken:
-        bad = raw.filter(F.col(OVERFLOW).isNotNull()).select("*", F.col("_metadata.file_path").alias("_file"), F.lit(None).cast("long").alias("_record"))
-        out = out.unionByName(_bronze(bad, values, cols, (), source_col, True, F.col(OVERFLOW)))
-    return out
-
-
 def find_varying_header(df: DataFrame, id_values: Sequence[str], file_col: str = "source_file",
                         record_col: str = "record_no") -> DataFrame:
     """Per file, the first record holding every marker value is the header row;

@@ -156,24 +156,37 @@ def read_workbook_with_lineage(spark: SparkSession, paths: str | Sequence[str],
 
     ``header`` is the 0-based index of the header among the sheet's non-empty rows
     (as pandas counts). Column names come from each (file, sheet) header row, so the
-    result is long: ``(source_file, sheet, row_no, column, value, Source)``. Use
-    :func:`pivot_workbook` to widen one layout. Lineage: ``<stem>:<sheet>:row:<n>``. Files
-    that cannot be read are skipped; :func:`unreadable_workbooks` lists them.
+    result is long: ``(source_file, sheet, row_no, column, value, Source, source_path, source_id)``. Use
+    :func:`pivot_workbook` to widen one layout. Lineage: ``<stem>:<sheet>:row:<n>``, the stem with ``~``
+    and part of the path's hash where files of one name meet. Files that cannot be read are skipped; :func:`unreadable_workbooks` lists them.
     """
     rows = scan_workbooks(spark, paths, header).filter(F.col("ordinal") > header)
     if sheet_name is not None:
         rows = rows.filter(F.col("sheet") == sheet_name)
     long = rows.select("path", "sheet", "row_no",
                        F.posexplode(F.arrays_zip(F.col("names").alias("n"), F.col("cells").alias("v"))).alias("_i", "_z"))
-    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]+$", "")
+    long = long.join(_labels(spark, paths), "path")
     return long.select(
         F.element_at(F.split("path", "/"), -1).alias("source_file"), "sheet", "row_no",
         F.coalesce(F.col("_z.n"), F.concat(F.lit("Unnamed: "), F.col("_i").cast("string"))).alias("column"),
         F.col("_z.v").alias("value"),
-        F.concat(stem, F.lit(":"), F.col("sheet"), F.lit(":row:"), F.col("row_no").cast("string")).alias(source_col))
+        F.concat("_stem", F.lit(":"), F.col("sheet"), F.lit(":row:"), F.col("row_no").cast("string")).alias(source_col),
+        F.col("path").alias("source_path"), F.substring(F.sha2(F.col("path"), 256), 1, 16).alias("source_id"))
+
+
+def _labels(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, _stem``: a file's name in labels, with part of the path's hash where two files share the
+    name. Read from the listing alone; no content is touched."""
+    ps = [paths] if isinstance(paths, str) else list(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xls[xm]").load(ps).select("path")
+    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]+$", "")
+    known = files.withColumn("_stem", stem)
+    same = known.groupBy("_stem").agg(F.count(F.lit(1)).alias("_same"))
+    marked = F.concat("_stem", F.lit("~"), F.substring(F.sha2(F.col("path"), 256), 1, 8))
+    return known.join(same, "_stem").select("path", F.when(F.col("_same") > 1, marked).otherwise(F.col("_stem")).alias("_stem"))
 
 
 def pivot_workbook(long: DataFrame, columns: Sequence[str], source_col: str = "Source") -> DataFrame:
     """Widen one sheet layout: one all-text column per name in ``columns``."""
-    return (long.groupBy("source_file", "sheet", "row_no", source_col)
+    return (long.groupBy("source_file", "source_path", "source_id", "sheet", "row_no", source_col)
             .pivot("column", list(columns)).agg(F.first("value")))

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from effdated.session import ensure_checkpoint_dir
 from effdated.sources import catalog
-from effdated.sources.csv import NA_TOKENS, OVERFLOW
+from effdated.sources.csv import NA_TOKENS, OVERFLOW, _recorded, _split_table
 
 
 def start_csv_ingest(spark: SparkSession, landing: str, table: str, names: Sequence[str],
@@ -52,15 +52,13 @@ def start_csv_ingest(spark: SparkSession, landing: str, table: str, names: Seque
 
 def _bronze_batch_from_columns(b: DataFrame, names: Sequence[str], skip: int) -> DataFrame:
     """Record numbers for a micro-batch whose file / split columns are already present."""
-    from pyspark.sql import Window
     internal = [f"_c{i}" for i in range(len(names))]
-    ided = b.filter(F.col(OVERFLOW).isNull()).withColumn("_mid", F.monotonically_increasing_id())
-    blocks = ided.groupBy("_file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("_file", "_blk", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    good = (ided.join(offsets, ["_file", "_blk"])
-            .withColumn("_record", (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long"))
-            .filter(F.col("_record") > skip + 1))
+    # number first, so that an over-long line of the preamble counts; then number the rows left anew
+    ided = b.withColumn("_mid", F.monotonically_increasing_id())
+    records = _recorded(ided, _split_table(ided, "_mid", "_off", "_m0"))
+    kept = records.filter((F.col("_record") > skip + 1) & F.col(OVERFLOW).isNull()).withColumn("_good", F.monotonically_increasing_id())
+    good = (kept.join(F.broadcast(_split_table(kept, "_good", "_off2", "_g0")), ["_file", "_blk"])
+            .withColumn("_record", (F.col("_off2") + F.col("_good") - F.col("_g0") + skip + 2).cast("long")))
     stem = F.regexp_replace(F.element_at(F.split("_file", "/"), -1), r"\.[^.]+$", "")
     return good.select(
         *[F.when(F.col(i).isin(NA_TOKENS) | F.col(i).isNull(), F.lit(None).cast("string"))

@@ -214,7 +214,8 @@ def test_building_a_query_runs_no_job(spark):
     assert set(busy) <= WRITES_FILES, busy
 
 
-WRITES_FILES = {"ingest_csv_lineage", "list_and_assign_files", "csv_preamble", "csv_mixed_headers", "bronze_same_basename"}
+WRITES_FILES = {"ingest_csv_lineage", "list_and_assign_files", "csv_preamble", "csv_mixed_headers", "bronze_same_basename",
+                "payslip_same_basename", "csv_multiline_preamble", "csv_faults"}
 
 
 def test_hot_null_key_is_split(spark):

@@ -188,3 +188,82 @@ def test_same_file_name_in_two_folders(spark, tmpdir_path):
         for _ in range(2):  # the second load replaces the first
             catalog.write_bronze(spark, read_csv_with_lineage(spark, d), t)
     assert sorted(r.k for r in spark.table(t).collect()) == ["a1", "a2", "b1", "b2"]
+
+
+def test_equal_names_in_one_load_keep_all_rows(spark, tmpdir_path):
+    """Labels and line codes are unique, so deduplication keeps every line."""
+    from effdated.functions.columns import payslip_line_code
+    from effdated.operators.filters import dedupe_keep_first
+    for folder in "ab":
+        _write(os.path.join(tmpdir_path, folder, "pay.csv"), f"k\n{folder}1\n{folder}2\n")
+    _write(os.path.join(tmpdir_path, "c", "other.csv"), "k\nc1\n")
+    rows = payslip_line_code(read_csv_with_lineage(spark, tmpdir_path), "code")
+    assert rows.select("Source").distinct().count() == 5 == rows.select("code").distinct().count()
+    assert rows.filter("Source = 'other:row:2'").count() == 1
+    assert dedupe_keep_first(rows, ["code"], ["Source"]).count() == 5
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_wide_preamble_loses_no_row(spark, tmpdir_path, multiline):
+    d = os.path.join(tmpdir_path, "wide")
+    _write(os.path.join(d, "p.csv"), 'Title,a,b,c\nA,B\n1,2\n3,4\n5,6,7\n8,"9"\n')
+    rows = sorted((r.A, r.B, r.record_no, r.Source) for r in read_csv_with_lineage(spark, d, skiprows=1, multiline=multiline).collect())
+    assert rows == [("1", "2", 3, "p:row:3"), ("3", "4", 4, "p:row:4"), ("8", "9", 5, "p:row:5")]
+    e = os.path.join(tmpdir_path, "blank")
+    _write(os.path.join(e, "p.csv"), "\nTitle\nA,B\n1,2\n")
+    assert [(r.A, r.record_no) for r in read_csv_with_lineage(spark, e, skiprows=2, multiline=multiline).collect()] == [("1", 4)]
+    broken = read_csv_with_lineage(spark, d, skiprows=1, multiline=multiline, keep_broken=True)
+    assert sorted((r.A, r.record_no, r._overflow) for r in broken.filter("_overflow is not null").collect()) == [("5", None, "7")]
+
+
+def test_wide_preamble_in_a_stream(spark, tmpdir_path):
+    from effdated.streaming.ingest import start_csv_ingest
+    land, t = os.path.join(tmpdir_path, "land"), "bronze_stream_wide"
+    _write(os.path.join(land, "s1.csv"), "Title,x,y,z\na,b\n1,x\n2,y\n3,z,zz\n4,w\n")
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    start_csv_ingest(spark, land, t, ["a", "b"], skiprows=1, checkpoint=os.path.join(tmpdir_path, "ck")).awaitTermination(120)
+    assert sorted((r.a, r.b, r.Source) for r in spark.table(t).collect()) == [("1", "x", "s1:row:3"), ("2", "y", "s1:row:4"), ("4", "w", "s1:row:5")]
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_each_multiline_file_has_its_own_header(spark, tmpdir_path, multiline):
+    _write(os.path.join(tmpdir_path, "m", "a.csv"), 'x,y\n1,"2"\n')
+    _write(os.path.join(tmpdir_path, "m", "b.csv"), "y,z,x\n3,4,5\n")
+    rows = sorted((r.x, r.y, r.z) for r in read_csv_with_lineage(spark, os.path.join(tmpdir_path, "m"), multiline=multiline).collect())
+    assert rows == [("1", "2", None), ("5", "3", "4")]
+
+
+def test_bad_csv_files_are_listed_and_skipped(spark, tmpdir_path):
+    """Of three files and an empty one, two are bad; the others load."""
+    from effdated.sources.csv import csv_faults
+    _write(os.path.join(tmpdir_path, "good.csv"), "a,b\n1,2\n")
+    _write(os.path.join(tmpdir_path, "also.csv"), "a,b\n3,4\n")
+    _write(os.path.join(tmpdir_path, "empty.csv"), "")
+    with open(os.path.join(tmpdir_path, "bad.csv"), "wb") as f:
+        f.write(b"a,b\n\xff\xfe5,6\n")
+    assert sorted((r.a, r.b) for r in read_csv_with_lineage(spark, tmpdir_path).collect()) == [("1", "2"), ("3", "4")]
+    faults = {r.path.rsplit("/", 1)[1]: r.error for r in csv_faults(spark, tmpdir_path).collect()}
+    assert faults == {"empty.csv": "no header line after 0 lines", "bad.csv": "not valid utf-8"}
+
+
+def test_plan_does_not_grow_with_layouts_and_shuffles_no_lines(spark, tmpdir_path):
+    def plan(n):
+        d = os.path.join(tmpdir_path, f"layouts{n}")
+        for i in range(n):
+            _write(os.path.join(d, f"f{i}.csv"), f"k,v{i}\n{i},x\n")
+        df = read_csv_with_lineage(spark, d)
+        assert df.count() == n
+        text = df._jdf.queryExecution().sparkPlan().toString()
+        return text.count("FileScan text"), text.count("Join")
+
+    assert plan(2) == plan(12)
+
+
+def test_workbooks_of_one_name_stay_apart(spark, tmpdir_path):
+    from effdated.sources.workbook import pivot_workbook
+    for folder in "ab":
+        os.makedirs(os.path.join(tmpdir_path, folder))
+        _xlsx(os.path.join(tmpdir_path, folder, "emp.xlsx"))
+    wide = pivot_workbook(read_workbook_with_lineage(spark, tmpdir_path, header=1), ["Staff Member", "Joined"])
+    rows = wide.collect()
+    assert len(rows) == 4 == len({r.Source for r in rows}) and all(r.Source.startswith("emp~") for r in rows)

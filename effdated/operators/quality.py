@@ -9,6 +9,7 @@ aggregation plus a join back on the aggregated keys, never a window over a
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,21 +80,62 @@ def non_ascii(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFr
                          "non_ascii")
 
 
-def duplicated(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+def _subsets(df: DataFrame, subset) -> list[list[str]]:
+    """``None`` / ``"all"`` / ``["all"]``, a list of columns, or a list of those, as a list of column lists."""
+    sets = [subset] if subset is None or isinstance(subset, str) or all(isinstance(c, str) for c in subset) else list(subset)
+    whole = lambda s: s is None or s == "all" or list(s) in ([], ["all"])
+    return [list(df.columns) if whole(s) else list(s) for s in sets]
+
+
+def duplicate_counts(df: DataFrame, subsets: Sequence) -> DataFrame:
+    """Q7 counts: ``(duplicate_of, n_rows, n_groups)`` per subset: rows in groups of two or more, and such
+    groups. One aggregation with GROUPING SETS, whatever the number of subsets."""
+    groups = _duplicate_groups(df, _subsets(df, subsets))
+    found = groups.groupBy("_set").agg(F.sum("n_copies").alias("n"), F.count(F.lit(1)).alias("g"))
+    names = df.sparkSession.createDataFrame([(i, ",".join(s)) for i, s in enumerate(_subsets(df, subsets))], "_set int, duplicate_of string")
+    return F.broadcast(names).join(found, "_set", "left").select(
+        "duplicate_of", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows"), F.coalesce("g", F.lit(0)).cast("bigint").alias("n_groups"))
+
+
+def _duplicate_groups(df: DataFrame, sets: list[list[str]]) -> DataFrame:
+    """``_set, _d0, ..., n_copies``: groups of two or more rows of each set of columns (``_d<i>``: the
+    i-th of all columns named; null outside the set)."""
+    used = list(dict.fromkeys(c for s in sets for c in s))
+    rows = df.select(*[_c(c).alias(f"_d{i}") for i, c in enumerate(used)])
+    columns = [[F.col(f"_d{used.index(c)}") for c in s] for s in sets]
+    every = [F.col(f"_d{i}") for i in range(len(used))]
+    counted = rows.groupingSets(columns, *every).agg(F.count(F.lit(1)).alias("n_copies"), F.grouping_id(*every).alias("_gid")).filter("n_copies > 1")
+    # a bit of grouping_id is set where a column is not in the set
+    number = {}
+    for k, s in enumerate(sets):
+        number.setdefault(sum(1 << (len(used) - 1 - i) for i, c in enumerate(used) if c not in s), k)
+    which = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
+    return counted.withColumn("_set", F.element_at(which, F.col("_gid").cast("int")))
+
+
+def duplicated(df: DataFrame, subset: Sequence | str | None = None) -> DataFrame:
     """Q7: rows whose ``subset`` values (default: all columns) occur more than once.
 
-    The count is a partial aggregation; only keys seen twice or more are joined back,
-    and AQE splits a hot duplicate key in that join.
+    ``subset``: a list of columns, ``"all"``, or a list of such lists; then a row comes out once per subset
+    in which it is repeated, named in ``duplicate_of``. All subsets are counted in one aggregation
+    (GROUPING SETS, partial); only keys seen twice or more are joined back, and AQE splits
+    a hot duplicate key in that join.
     """
-    sub = list(subset) if subset else list(df.columns)
-    dup = (df.groupBy(*sub).agg(F.count(F.lit(1)).alias("n_copies")).filter(F.col("n_copies") > 1)
-           .select(*[_c(c).alias(f"_d{i}") for i, c in enumerate(sub)], "n_copies"))
-    cond = None
-    for i, c in enumerate(sub):
-        e = _c(c).eqNullSafe(F.col(f"_d{i}"))
-        cond = e if cond is None else cond & e
-    return (df.join(dup, cond, "inner").drop(*[f"_d{i}" for i in range(len(sub))])
-            .withColumn("test", F.lit("duplicate")))
+    sets = _subsets(df, subset)
+    several = subset is not None and not isinstance(subset, str) and any(not isinstance(c, str) for c in subset)
+    used = list(dict.fromkeys(c for s in sets for c in s))
+    if len({frozenset(s) for s in sets}) < len(sets):
+        raise ValueError(f"the same subset twice in {sets}")
+    dup = _duplicate_groups(df, sets)
+    keys = [F.struct(F.lit(k).alias("_set"), *[(_c(c) if c in s else F.lit(None).cast(df.schema[c].dataType)).alias(f"_k{i}") for i, c in enumerate(used)])
+            for k, s in enumerate(sets)]
+    rows = df.withColumn("_key", F.explode(F.array(*keys)))
+    cond = F.col("_key._set") == F.col("_set")
+    for i in range(len(used)):
+        cond = cond & F.col(f"_key._k{i}").eqNullSafe(F.col(f"_d{i}"))
+    names = F.element_at(F.array(*[F.lit(",".join(s)) for s in sets]), F.col("_set") + 1)
+    out = rows.join(dup, cond, "inner").withColumn("duplicate_of", names).drop("_key", "_set", "_gid", *[f"_d{i}" for i in range(len(used))])
+    return (out if several else out.drop("duplicate_of")).withColumn("test", F.lit("duplicate"))
 
 
 def overlapping(df: DataFrame, key: str, start: str, end: str, group_records: bool = False,
@@ -179,22 +221,30 @@ def schema_changes(before: DataFrame, after: DataFrame) -> list[dict]:
     return out
 
 
-def membership(datasets: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """Q16: distinct keys with one presence flag per dataset; violations are keys absent
-    from at least one dataset."""
+def membership(datasets: Mapping[str, DataFrame], key: str, groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Q16: keys with one presence flag per dataset; violations are keys absent from at least one.
+
+    ``groups`` (``group_datasets``): ``{name: datasets}``; the datasets of a group stand for each other, so
+    a key counts as present if any of them has it, and ``missing`` names the groups that lack it
+    (inferred from the declaration). Ungrouped datasets are groups of their own. One union with a bit per
+    dataset and ``bit_or``: one shuffle of distinct (key, dataset) pairs, whatever their number.
+    """
     names = list(datasets)
-    frames = [d.select(F.col(key).alias("key")).distinct().withColumn(f"in_{n}", F.lit(True))
-              for n, d in datasets.items()]
-    j = frames[0]
-    for f in frames[1:]:
-        j = j.join(f, "key", "full")
-    flags = {f"in_{n}": F.coalesce(F.col(f"in_{n}"), F.lit(False)) for n in names}
-    j = j.withColumns(flags)
-    missing = None
-    for n in names:
-        m = ~F.col(f"in_{n}")
-        missing = m if missing is None else missing | m
-    return j.filter(F.col("key").isNotNull() & missing).withColumn("test", F.lit("membership"))
+    if len(names) > 63:
+        raise ValueError("at most 63 datasets")
+    bit = {n: 1 << i for i, n in enumerate(names)}
+    unknown = [n for g in (groups or {}).values() for n in g if n not in bit]
+    if unknown:
+        raise ValueError(f"groups name unknown datasets {unknown}")
+    parts = [d.select(F.col(f"`{key}`").alias("key"), F.lit(bit[n]).cast("long").alias("_bit")) for n, d in datasets.items()]
+    masks = reduce(DataFrame.unionByName, parts).filter(F.col("key").isNotNull()).groupBy("key").agg(F.bit_or("_bit").alias("_mask"))
+    grouped = {n for g in (groups or {}).values() for n in g}
+    every = {**{g: list(m) for g, m in (groups or {}).items()}, **{n: [n] for n in names if n not in grouped}}
+    has = {g: F.col("_mask").bitwiseAND(F.lit(sum(bit[n] for n in set(m))).cast("long")) != 0 for g, m in every.items()}
+    out = masks.select("key", *[(F.col("_mask").bitwiseAND(F.lit(bit[n]).cast("long")) != 0).alias(f"in_{n}") for n in names],
+                       F.array_compact(F.array(*[F.when(~h, F.lit(g)) for g, h in has.items()])).alias("missing"))
+    out = out.filter(F.size("missing") > 0)
+    return (out.withColumn("missing", F.array_join("missing", ",")) if groups else out.drop("missing")).withColumn("test", F.lit("membership"))
 
 
 def outside_periods(facts: DataFrame, key: str, date: str, periods: DataFrame,

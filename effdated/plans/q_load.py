@@ -74,7 +74,8 @@ WITH b AS ({ORACLES["build_employee_base"]}), c AS ({ORACLES["build_employee_coh
 p AS (SELECT EmployeeCode FROM c GROUP BY EmployeeCode HAVING count(*) > 1),
 n AS (SELECT count(*) AS n FROM c JOIN p USING (EmployeeCode))
 SELECT 'EmployeeBase' AS "table", 'duplicated' AS test, 0::BIGINT AS n_violations, 0::BIGINT AS tolerance, count(*) = count(DISTINCT EmployeeCode) AS passed FROM b
-UNION ALL SELECT 'EmployeeCohortsOverTime', 'overlapping', 0, 0, true
+UNION ALL SELECT 'EmployeeCohortsOverTime', 'overlapping', count(*), 0, count(*) = 0 FROM c x JOIN c y
+  ON x.EmployeeCode = y.EmployeeCode AND (x.StartDate, x.EndDate) <> (y.StartDate, y.EndDate) AND x.StartDate < y.EndDate AND y.StartDate < x.EndDate
 UNION ALL SELECT 'EmployeeCohortsOverTime', 'duplicated', n, 5, n <= 5 FROM n
 """)
 def q_load_tests(spark, sf):
@@ -85,4 +86,56 @@ def q_load_tests(spark, sf):
     return ld.check_outputs(outputs, {
         "EmployeeBase": {"duplicated": {"subset": ["EmployeeCode"]}},
         "EmployeeCohortsOverTime": {"overlapping": {"key": "EmployeeCode", "start": "StartDate", "end": "EndDate"},
-                                    "duplicated": {"subset": ["EmployeeCode"], "tolerance": 5}}})
+                                    "duplicated": {"subset": ["EmployeeCode"], "tolerance": 5}}}).drop("column")
+
+
+@register("load_tests_declared", f"""
+WITH e AS ({_EVENTS_SQL}), o AS (SELECT o_custkey, o_orderstatus, o_orderdate FROM orders),
+s AS (SELECT CAST(user_id AS VARCHAR) AS EmployeeCode, ts AS ClockedIn, CASE WHEN event_id % 97 = 0 THEN ts - INTERVAL 1 HOUR ELSE end_ts END AS ClockedOut,
+             nullif(event_type, 'click') AS Region, 'sheet' || event_id % 5 || ':row:' || event_id AS Source FROM e),
+m AS (SELECT *, max(ClockedOut) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s WHERE EmployeeCode <> '7'),
+i AS (SELECT *, count(*) FILTER (reach IS NULL OR ClockedIn >= reach) OVER (PARTITION BY EmployeeCode ORDER BY ClockedIn, ClockedOut ROWS UNBOUNDED PRECEDING) AS isl FROM m),
+keys AS (SELECT EmployeeCode AS k, 1 AS b FROM s UNION SELECT CAST(o_custkey AS VARCHAR), 2 FROM orders UNION SELECT CAST(c_custkey AS VARCHAR), 4 FROM customer),
+masks AS (SELECT k, sum(b) AS b FROM keys GROUP BY k),
+n(test, "column", n_violations, tolerance) AS (
+  SELECT 'test_null_values', 'Region', count(*) FILTER (Region IS NULL), 0 FROM s
+  UNION ALL SELECT 'test_null_values', unnest(['EmployeeCode', 'ClockedIn', 'ClockedOut']), 0, 0
+  UNION ALL SELECT 'test_enddate_before_startdate', NULL, count(*) FILTER (ClockedOut < ClockedIn AND EmployeeCode NOT IN ('1', '2')), 0 FROM s
+  UNION ALL SELECT 'test_timesheet_short_shifts', NULL, count(*) FILTER (epoch(ClockedOut) - epoch(ClockedIn) < 1800), 0 FROM s
+  UNION ALL SELECT 'test_timesheet_long_shifts', NULL, count(*) FILTER (epoch(ClockedOut) - epoch(ClockedIn) > 3 * 3600), 0 FROM s
+  UNION ALL SELECT 'test_duplicated_data', 'EmployeeCode,Region', coalesce(sum(c), 0), 100 FROM (SELECT count(*) AS c FROM s GROUP BY EmployeeCode, Region HAVING count(*) > 1)
+  UNION ALL SELECT 'test_duplicated_data', 'Source', 0, 100
+  UNION ALL SELECT 'test_duplicated_data', 'EmployeeCode,ClockedIn,ClockedOut,Region,Source', 0, 100
+  UNION ALL SELECT 'test_overlapping', NULL, count(*), 0 FROM (SELECT 1 FROM i QUALIFY count(*) OVER (PARTITION BY EmployeeCode, isl) > 1)
+  UNION ALL SELECT 'test_column_and_datatype', 'Region,Source', 2, 0
+  UNION ALL SELECT 'test_data_source', NULL, count(*), 0 FROM (VALUES ('sheet0'), ('sheet4'), ('sheet5'), ('sheet6')) f(f) WHERE f NOT IN (SELECT split_part(Source, ':', 1) FROM s)
+  UNION ALL SELECT 'test_membership', NULL, count(*), 0 FROM masks WHERE b & 1 = 0 OR b & 6 = 0
+  UNION ALL SELECT 'test_cross_dataset_period', 'orders', count(*), 0 FROM s
+    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE CAST(o_custkey AS VARCHAR) = EmployeeCode AND ClockedIn BETWEEN o_orderdate AND o_orderdate + INTERVAL 400 DAY))
+SELECT 'Timesheet' AS "table", test, "column", n_violations::BIGINT AS n_violations, tolerance::BIGINT AS tolerance, n_violations <= tolerance AS passed FROM n
+""")
+def q_load_tests_declared(spark, sf):
+    """Every declared load test on one output, with tolerances."""
+    e = events_periods(spark, sf)
+    sheet = e.select(F.col("user_id").cast("string").alias("EmployeeCode"), F.col("ts").alias("ClockedIn"),
+                     F.when(F.col("event_id") % 97 == 0, F.col("ts") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("end_ts")).alias("ClockedOut"),
+                     F.expr("nullif(event_type, 'click')").alias("Region"),
+                     F.concat(F.lit("sheet"), (F.col("event_id") % 5).cast("string"), F.lit(":row:"), F.col("event_id").cast("string")).alias("Source"))
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("EmployeeCode"), F.col("o_orderdate").alias("from"),
+                                               (F.col("o_orderdate") + F.expr("INTERVAL 400 DAY")).alias("to"))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("EmployeeCode"))
+    at = {"start": "ClockedIn", "end": "ClockedOut"}
+    tests = {"Timesheet": {
+        "test_null_values": {"tolerance_null_values": ["Source"]},
+        "test_enddate_before_startdate": {**at, "tolerance_employee_code": ["1", "2"]},
+        "test_timesheet_short_shifts": {**at, "tolerance_shift_minimum_length": 30},
+        "test_timesheet_long_shifts": {**at, "tolerance_shift_maximum_length": 3},
+        "test_duplicated_data": {"subset": [["EmployeeCode", "Region"], ["Source"], ["all"]], "tolerance_number_of_duplicate_records": 100},
+        "test_overlapping": {"key": "EmployeeCode", **at, "tolerance_employee_code": ["7"]},
+        "test_column_and_datatype": {"expected": {"EmployeeCode": "int", "ClockedIn": "timestamp_ntz", "ClockedOut": "timestamp_ntz", "Region": "int", "Other": "string"},
+                                     "tolerance_change_dtype": {"EmployeeCode": "string"}, "tolerance_irrelevant_columns": ["Other"]},
+        "test_data_source": {"files": ["sheet0", "sheet4", "sheet5", "sheet6", "notes"], "tolerance_irrelevant_file": ["notes"]},
+        "test_membership": {"with": ["orders", "customers"], "key": "EmployeeCode", "groups": {"register": ["orders", "customers"]}},
+        "test_cross_dataset_period": {"compare_with": ["orders"], "key": "EmployeeCode", "date": "ClockedIn", "p_start": "from", "p_end": "to"},
+        "test_unused": {"switch": False}}}
+    return ld.check_outputs({"Timesheet": sheet}, tests, {"orders": orders, "customers": customers})

@@ -82,6 +82,23 @@ def q_dq_duplicates(spark, sf):
     return dq.duplicated(li, ["l_orderkey", "l_linenumber"]).withColumn("n_copies", F.col("n_copies").cast("bigint"))
 
 
+@register("dq_duplicates_sets", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nullif(l_returnflag, 'N') AS flag FROM lineitem),
+a AS (SELECT l_orderkey, l_linenumber, 'l_orderkey,l_linenumber' AS s, count(*) AS n FROM l GROUP BY ALL HAVING count(*) > 1),
+b AS (SELECT l_partkey, l_suppkey, flag, 'l_partkey,l_suppkey,flag' AS s, count(*) AS n FROM l GROUP BY ALL HAVING count(*) > 1),
+c AS (SELECT *, 'l_orderkey,l_linenumber,l_partkey,l_suppkey,flag' AS s, count(*) AS n FROM l GROUP BY ALL HAVING count(*) > 1)
+SELECT l.*, a.s AS duplicate_of, a.n AS n_copies, 'duplicate' AS test FROM l JOIN a USING (l_orderkey, l_linenumber)
+UNION ALL SELECT l.*, b.s, b.n, 'duplicate' FROM l JOIN b ON l.l_partkey = b.l_partkey AND l.l_suppkey = b.l_suppkey AND l.flag IS NOT DISTINCT FROM b.flag
+UNION ALL SELECT l.*, c.s, c.n, 'duplicate' FROM l JOIN c ON l.l_orderkey = c.l_orderkey AND l.l_linenumber = c.l_linenumber AND l.l_partkey = c.l_partkey
+  AND l.l_suppkey = c.l_suppkey AND l.flag IS NOT DISTINCT FROM c.flag
+""")
+def q_dq_duplicates_sets(spark, sf):
+    """Q7: several subsets, one of them all columns, counted in one aggregation."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.expr("nullif(l_returnflag, 'N')").alias("flag"))
+    out = dq.duplicated(li, [["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "flag"], ["all"]])
+    return out.withColumn("n_copies", F.col("n_copies").cast("bigint"))
+
+
 @register("dq_overlaps", f"""
 WITH e AS ({_EVENTS_SQL}),
 m AS (SELECT *, max(end_ts) OVER (PARTITION BY user_id ORDER BY ts, end_ts, event_id
@@ -193,6 +210,22 @@ def q_dq_membership(spark, sf):
                           "labels": table(spark, sf, "labels")}, "doc_id")
 
 
+@register("dq_membership_groups", """
+WITH k AS (SELECT DISTINCT 1 AS b, doc_id AS key FROM documents UNION ALL SELECT DISTINCT 2, doc_id FROM labels
+           UNION ALL SELECT DISTINCT 4, page_id FROM pages UNION ALL SELECT DISTINCT 8, vec_id FROM embeddings),
+m AS (SELECT key, sum(b) AS b FROM k GROUP BY key)
+SELECT key, b & 1 > 0 AS in_documents, b & 2 > 0 AS in_labels, b & 4 > 0 AS in_pages, b & 8 > 0 AS in_embeddings,
+       concat_ws(',', CASE WHEN b & 6 = 0 THEN 'side' END, CASE WHEN b & 1 = 0 THEN 'documents' END, CASE WHEN b & 8 = 0 THEN 'embeddings' END) AS missing,
+       'membership' AS test
+FROM m WHERE b & 6 = 0 OR b & 1 = 0 OR b & 8 = 0
+""")
+def q_dq_membership_groups(spark, sf):
+    """Q16 with a group of datasets that stand for each other."""
+    ids = {"documents": "doc_id", "labels": "doc_id", "pages": "page_id", "embeddings": "vec_id"}
+    datasets = {n: table(spark, sf, n).select(F.col(c).alias("id")) for n, c in ids.items()}
+    return dq.membership(datasets, "id", {"side": ["labels", "pages"]})
+
+
 @register("dq_cross_period", """
 WITH f AS (SELECT o_custkey, o_orderdate, o_orderkey,
                   CASE WHEN lag(o_orderkey) OVER w IS NULL OR o_orderstatus <> lag(o_orderstatus) OVER w THEN 1 ELSE 0 END AS chg

@@ -84,27 +84,28 @@ class Encoder:
 
     Where the file splits a lower-cased text into words that are encoded one by one, the
     ids of a Latin-1 text are those of its words; each new word is encoded once. Any other
-    text, or another kind of tokenizer, is encoded whole.
+    text (one with the string of a special token too), or another kind of tokenizer, is encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         names = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.by_word = names == ["NFC", "Replace", "Lowercase"] and splits[:1] == [
             {"type": "Split", "pattern": {"Regex": _WORD_SPLIT}, "behavior": "Removed", "invert": True}]
+        self.special = [t["content"].lower() for t in spec.get("added_tokens") or []]  # a text that holds one is encoded whole
         self.words = _Words(self.tokenizer.model.tokenize)
 
     def encode(self, text: str) -> bytes:
-        if self.by_word and _is_latin(text):
+        lowered = text.lower()
+        if self.by_word and _is_latin(text) and not any(t in lowered for t in self.special):
             if len(self.words) > CACHE_WORDS:
                 self.words.age()
-            return b"".join(map(self.words.__getitem__, _LATIN_WORDS.findall(text.lower())))
+            return b"".join(map(self.words.__getitem__, _LATIN_WORDS.findall(lowered)))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 

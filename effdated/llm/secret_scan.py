@@ -3,18 +3,22 @@
 1. One pass over whole texts finds the base spans (see ``PATTERNS``) and every other run of
    ``MIN_CANDIDATE`` or more credential characters, or what base spans leave of it. Only spans and these runs leave the task.
 2. Grammar inference: per kind, at most ``MAX_LABELLED`` labelled credentials (the values of
-   base spans, those with the least hash) build a prefix tree over character classes, whose
-   statistically compatible states are merged (Hoeffding tests on stopping and moving on,
-   red-blue order). The same is done with at most ``MAX_BACKGROUND`` ordinary runs.
-3. Every run is scored by its best format: log likelihood per character under the format's
-   automaton less that under the background's. It becomes a span ``like_<kind>`` if this
-   is over ``MIN_RATIO`` and its likelihood is no lower than that of the weakest ``LABEL_SHARE``
-   of the labelled ones, whatever share of the runs that makes. Runs of the background sample
-   that a format explains better than the background does are not learnt from.
-
-Base spans are never dropped. A kind with fewer than ``MIN_LABELLED`` labelled values gets no
-automaton. Null text counts as empty and has no spans. Null ids and repeated rows keep
-their rows; extra columns are ignored; an empty table gives an empty result.
+   base spans, those with the least hash) build a prefix tree over their characters, whose
+   statistically compatible states are merged, those of one depth only: the automaton stays acyclic, so
+   it keeps literal prefixes, positions and lengths. Two states are compatible if the classes of the next
+   ``LOOK`` characters and the characters left are distributed alike (Hoeffding bounds); states with
+   less than ``MIN_EVIDENCE`` values cannot be told apart: those of one parent are one, then join the nearest. From ``MAX_DEPTH``
+   characters on a state loops, so that values of any length are learnt whole.
+3. Ordinary text is an automaton of character classes (state: the class before), counted over all runs.
+4. Every run is scored by its best format. It becomes a span ``like_<kind>`` if the format gains ``MIN_GAIN``
+   over ordinary text in log likelihood, and if its surprise beyond what the states passed lead to
+   expect is neither above nor below that of the labelled ones by more than ``SLACK``.
+
+Values that are also base spans of another kind are learnt as that kind only. Base spans are never
+dropped. A kind with fewer than ``MIN_LABELLED`` labelled values gets no automaton. Null text counts
+as empty and has no spans; very long texts are scanned whole, a run is scored until it cannot
+pass. Of kinds that tie the first one counts. Null ids and repeated rows keep their rows; extra
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,14 +45,15 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 #: Candidates start at the least length of a labelled value.
 MIN_CANDIDATE = MIN_ASSIGN
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % MIN_CANDIDATE)
-#: Longest value that is learnt from; all are scored.
-MAX_LEARNT_CHARS = 256
-MAX_LABELLED, MAX_BACKGROUND, MIN_LABELLED = 400, 800, 8
+MAX_LABELLED, MIN_LABELLED, MIN_EVIDENCE, MAX_DEPTH, LOOK = 400, 8, 12, 512, 4
 MERGE_LEVEL = 0.05
-LABEL_SHARE, MIN_RATIO = 0.05, 0.7
-#: Rounds in which background runs that a format explains better leave the background.
-ROUNDS = 8
+#: Log likelihood that a format must gain over ordinary text, and what one odd character may cost.
+MIN_GAIN, SLACK = 8.0, 10.0
+#: Weight of an unseen stop in a state.
+UNSEEN_STOP = 0.01
 _STOP = "$"
+#: Characters per class; every other one is a class of its own.
+_CLASS_SIZE = {"0": 10, "a": 6, "g": 20, "A": 6, "G": 20}
 
 
 def base_spans(text: str) -> list[tuple[int, str, int, str]]:
@@ -80,128 +85,231 @@ def other_runs(text: str, base: list[tuple[int, str, int, str]]) -> list[tuple[i
     return found
 
 
-def classes(value: str) -> str:
-    """Character classes: digits, a-f, g-z, A-Z; other characters stand for themselves."""
-    return "".join("0" if c.isdigit() else "a" if "a" <= c <= "f" else "g" if "g" <= c <= "z" else "A" if "A" <= c <= "Z" else c for c in value)
+def class_of(c: str) -> str:
+    """Digits, a-f, g-z, A-F, G-Z; other characters stand for themselves."""
+    return "0" if c.isdigit() else "a" if "a" <= c <= "f" else "g" if "g" <= c <= "z" else "A" if "A" <= c <= "F" else "G" if "G" <= c <= "Z" else c
+
+
+_CLASS = {chr(i): class_of(chr(i)) for i in range(128)}
+
+
+class _State:
+    """A state: how often each character follows, how often a value ends, and where characters lead."""
+
+    def __init__(self):
+        self.chars: dict[str, int] = {}
+        self.stops = self.n = 0
+        self.fixed = True  # all values passing have the same number of characters left
+        self.next: dict[str, int] = {}
+
+    def settle(self) -> None:
+        """Costs (negative log probabilities) per character, class and stop, and their expectation. Unseen
+        characters weigh as much as there are different ones (at least one), shared out by class."""
+        by_class: dict[str, int] = {}
+        for c, n in self.chars.items():
+            by_class[_CLASS[c]] = by_class.get(_CLASS[c], 0) + n
+        self.weight = max(1, len(self.chars))
+        self.total, seen = self.n + self.weight + UNSEEN_STOP, sum(self.chars.values())
+        spread = 0.2 * (len(_CLASS_SIZE) + 1)
+        share = {k: (by_class.get(k, 0) + 0.2) / (seen + spread) / _CLASS_SIZE.get(k, 6) for k in (*_CLASS_SIZE, "")}
+        share |= {k: (n + 0.2) / (seen + spread) for k, n in by_class.items() if k not in _CLASS_SIZE}
+        self.share = {k: self.weight * v for k, v in share.items()}
+        self.unseen = {k: -math.log(v / self.total) for k, v in self.share.items()}
+        self.cost = {c: -math.log((n + self.share[_CLASS[c]]) / self.total) for c, n in self.chars.items()}
+        # where all labelled values go on for as long, a value that ends does not have the format
+        self.stop_cost = math.inf if self.fixed and not self.stops else -math.log((self.stops + UNSEEN_STOP) / self.total)
+        kinds: dict[str, int] = {}
+        for c in self.chars:
+            kinds[_CLASS[c]] = kinds.get(_CLASS[c], 0) + 1
+        rest = sum((size - kinds.get(k, 0)) * x * math.exp(-x) for k, size in _CLASS_SIZE.items() for x in (self.unseen[k],))
+        stop = self.stop_cost * math.exp(-self.stop_cost) if self.stop_cost < math.inf else 0.0
+        self.entropy = rest + stop + sum(x * math.exp(-x) for x in self.cost.values())
+        most: dict[str, tuple[int, int]] = {}
+        for c, t in self.next.items():
+            for k in (_CLASS[c], ""):
+                most[k] = max(most.get(k, (0, 0)), (self.chars[c], t))
+        self.by_class = {k: t for k, (_, t) in most.items()}  # where an unseen character leads
+
+    def without_one(self, c: str) -> float:
+        """Cost of ``c`` had one value less passed here (``_STOP``: of the stop)."""
+        n = self.stops + UNSEEN_STOP if c == _STOP else self.chars[c] + self.share[_CLASS[c]]
+        return -math.log(max(n - 1, UNSEEN_STOP) / max(self.total - 1, 1))
+
+    def step(self, c: str) -> tuple[float, int]:
+        """Cost of ``c`` and the state after it (-1: none)."""
+        got = self.cost.get(c)
+        if got is not None:
+            return got, self.next[c]
+        k = _CLASS[c]
+        return self.unseen.get(k, self.unseen[""]), self.by_class.get(k, self.by_class.get("", -1))
 
 
 class Automaton:
-    """Deterministic probabilistic automaton, merged from a prefix tree."""
+    """Acyclic deterministic probabilistic automaton, merged from a prefix tree level by level."""
 
     def __init__(self, values: list[str], level: float = MERGE_LEVEL):
-        self.next: list[dict[str, int]] = [{}]
-        self.count: list[dict[str, int]] = [{}]  # per symbol, _STOP included
-        for value in values:
-            at = 0
-            for c in value:
-                self.count[at][c] = self.count[at].get(c, 0) + 1
-                if c not in self.next[at]:
-                    self.next[at][c] = len(self.next)
-                    self.next.append({})
-                    self.count.append({})
-                at = self.next[at][c]
-            self.count[at][_STOP] = self.count[at].get(_STOP, 0) + 1
-        self._merge(math.sqrt(0.5 * math.log(2 / level)))
-        symbols = {c for n in self.count for c in n}
-        self.size = len(symbols) + 1  # and any symbol never seen
-        self.total = [sum(n.values()) for n in self.count]
-
-    def _compatible(self, a: int, b: int, bound: float) -> bool:
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            na, nb = sum(self.count[a].values()), sum(self.count[b].values())
-            if not na or not nb:
-                continue
-            gap = bound * (1 / math.sqrt(na) + 1 / math.sqrt(nb))
-            for c in self.count[a].keys() | self.count[b].keys():
-                if abs(self.count[a].get(c, 0) / na - self.count[b].get(c, 0) / nb) > gap:
-                    return False
-            todo += [(self.next[a][c], t) for c, t in self.next[b].items() if c in self.next[a]]
-        return True
-
-    def _fold(self, a: int, b: int) -> None:
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            if a == b:
-                continue
-            for c, n in self.count[b].items():
-                self.count[a][c] = self.count[a].get(c, 0) + n
-            for c, t in self.next[b].items():
-                if c in self.next[a]:
-                    todo.append((self.next[a][c], t))
-                else:
-                    self.next[a][c] = t
-
-    def _merge(self, bound: float) -> None:
-        red = [0]
-        while True:
-            blue = [(r, c, t) for r in red for c, t in self.next[r].items() if t not in red]
-            if not blue:
-                return
-            r, c, b = max(blue, key=lambda x: (sum(self.count[x[2]].values()), x[0], x[1]))
-            mate = next((q for q in red if self._compatible(q, b, bound)), None)
-            if mate is None:
-                red.append(b)
-            else:
-                self.next[r][c] = mate
-                self._fold(mate, b)
+        self.states: list[_State] = []
+        self.bound = math.sqrt(0.5 * math.log(2 / level))
+        now, depth = [(self._new(), list(range(len(values))))], 0
+        while now:
+            groups: list[tuple[int, list[int]]] = []  # state of the next level, values
+            for at, own in now:
+                state = self.states[at]
+                state.fixed = len({len(values[i]) for i in own}) == 1
+                follow: dict[str, list[int]] = {}
+                for i in own:
+                    state.n += 1
+                    if len(values[i]) == depth:
+                        state.stops += 1
+                    else:
+                        follow.setdefault(values[i][depth], []).append(i)
+                if depth == MAX_DEPTH:
+                    self._loop(at, [values[i][depth:] for i in own])
+                    continue
+                state.chars = {c: len(x) for c, x in follow.items()}
+                for symbols, x in self._siblings(follow):
+                    near = min(((self._distance(values, depth + 1, x, y), k) for k, (_, y) in enumerate(groups)), default=((2.0, 2.0), -1))
+                    if near[1] < 0 or near[0][0] > near[0][1]:
+                        groups.append((self._new(), list(x)))
+                        near = (near[0], len(groups) - 1)
+                    else:
+                        groups[near[1]][1].extend(x)
+                    for c in symbols:
+                        state.next[c] = groups[near[1]][0]
+            now, depth = groups, depth + 1
+        for state in self.states:
+            state.settle()
+
+    def _new(self) -> int:
+        self.states.append(_State())
+        return len(self.states) - 1
+
+    @staticmethod
+    def _siblings(follow: dict[str, list[int]]) -> list[tuple[list[str], list[int]]]:
+        """Successors of a state, most values first; those without evidence are one."""
+        strong = sorted(((c, x) for c, x in follow.items() if len(x) >= MIN_EVIDENCE), key=lambda f: (-len(f[1]), f[0]))
+        weak = sorted((c, x) for c, x in follow.items() if len(x) < MIN_EVIDENCE)
+        return [*(([c], x) for c, x in strong), *([([c for c, _ in weak], [i for _, x in weak for i in x])] if weak else [])]
+
+    def _loop(self, at: int, rests: list[str]) -> None:
+        state = self.states[at]
+        for rest in rests:
+            for c in rest:
+                state.chars[c] = state.chars.get(c, 0) + 1
+                state.next[c] = at
+        state.fixed = False
+        state.stops, state.n = len(rests), len(rests) + sum(map(len, rests))
+
+    def _distance(self, values: list[str], depth: int, x: list[int], y: list[int]) -> tuple[float, float]:
+        """Greatest difference between two groups of values, and up to which they are compatible: of the
+        shares of a class at one of the next places (the end is a class), and of the distribution of
+        the characters left. Two groups without evidence are never kept apart; one without is
+        only if the other has nothing like it."""
+        low = (len(x) < MIN_EVIDENCE) + (len(y) < MIN_EVIDENCE)
+        limit = (self.bound * (1 / math.sqrt(len(x)) + 1 / math.sqrt(len(y))), 0.99, 2.0)[low]
+        worst = 0.0
+        for k in range(depth, depth + LOOK):
+            p, q = (self._shares([_CLASS[values[i][k]] if k < len(values[i]) else _STOP for i in own]) for own in (x, y))
+            worst = max([worst, *(abs(p.get(c, 0) - q.get(c, 0)) for c in p.keys() | q.keys())])
+        p, q = (self._shares([len(values[i]) for i in own]) for own in (x, y))
+        left = right = 0.0
+        for n in sorted(p.keys() | q.keys()):
+            left, right = left + p.get(n, 0), right + q.get(n, 0)
+            worst = max(worst, abs(left - right))
+        return worst, limit
+
+    @staticmethod
+    def _shares(items: list) -> dict:
+        out: dict = {}
+        for x in items:
+            out[x] = out.get(x, 0) + 1
+        return {k: n / len(items) for k, n in out.items()}
+
+    def cost(self, value: str, most: float = math.inf) -> tuple[float, float]:
+        """``(cost, surprise)``: negative log likelihood, the stop included, and how far it is above the
+        entropies of the states passed. Given up (infinite) once the surprise is over ``most`` + the
+        least that can still come back."""
+        at, total, surprise = 0, 0.0, 0.0
+        for c in value:
+            if at < 0:
+                return math.inf, math.inf
+            state = self.states[at]
+            cost, at = state.step(c)
+            total += cost
+            surprise += cost - state.entropy
+            if surprise > most + 40:
+                return math.inf, math.inf
+        if at < 0:
+            return math.inf, math.inf
+        state = self.states[at]
+        return total + state.stop_cost, surprise + state.stop_cost - state.entropy
+
+    def own_surprise(self, value: str) -> float:
+        """Surprise of a learnt value, each state without it (else learnt values would look too likely)."""
+        at, surprise = 0, 0.0
+        for c in value:
+            state = self.states[at]
+            surprise += state.without_one(c) - state.entropy
+            at = state.next[c]
+        return surprise + self.states[at].without_one(_STOP) - self.states[at].entropy
 
     def score(self, value: str) -> float:
         """Log likelihood per character, the stop included."""
-        at, total = 0, 0.0
-        for c in value + _STOP:
-            if at < 0:
-                total -= math.log(self.size)
-                continue
-            total += math.log((self.count[at].get(c, 0) + 0.5) / (self.total[at] + 0.5 * self.size))
-            at = self.next[at].get(c, -1)
-        return total / (len(value) + 1)
-
-
-def _ordinary(formats: dict, background: list[str]) -> Automaton:
-    """The automaton of those background runs that no format explains better, however many it does explain."""
-    runs = [classes(v) for v in background]
-    scores = [[(automaton.score(v), least) for automaton, least, _ in formats.values()] for v in runs]
-    own = [max((s for s, _ in both), default=-math.inf) for both in scores]
-    rest = [v for v, both in zip(runs, scores) if all(s < least for s, least in both)]  # others join if they fit better here
-    if len(rest) < MIN_LABELLED:
-        rest = runs
-    for _ in range(ROUNDS):
-        noise = Automaton(rest)
-        left = [v for v, s in zip(runs, own) if s <= noise.score(v)]
-        if left == rest or not left:
-            break
-        rest = left
-    return noise
-
-
-def learn_formats(labelled: dict[str, list[str]], background: list[str]) -> dict:
-    """Automata per kind, the background's, and the cutoffs of both conditions."""
+        return -self.cost(value)[0] / (len(value) + 1)
+
+
+class Ordinary:
+    """Classes of ordinary runs: the state is the class of the character before (``^`` at first)."""
+
+    def __init__(self, pairs: dict[tuple[str, str], int]):
+        self.pairs, self.before = pairs, {}
+        for (a, _), n in pairs.items():
+            self.before[a] = self.before.get(a, 0) + n
+        self.kinds = len({b for _, b in pairs} | {*_CLASS_SIZE, _STOP}) + 1
+        self.known: dict[tuple[str, str], float] = {}
+
+    def cost(self, value: str) -> float:
+        total, a = 0.0, "^"
+        for b in [*map(_CLASS.__getitem__, value), _STOP]:
+            got = self.known.get((a, b))
+            if got is None:
+                got = -math.log((self.pairs.get((a, b), 0) + 0.5) / (self.before.get(a, 0) + 0.5 * self.kinds)) + math.log(_CLASS_SIZE.get(b, 1))
+                self.known[a, b] = got
+            total, a = total + got, b
+        return total
+
+
+def count_pairs(values: list[str]) -> dict[tuple[str, str], int]:
+    """Pairs of neighbouring classes in runs, start and stop included."""
+    out: dict[tuple[str, str], int] = {}
+    for v in values:
+        k = ["^", *map(_CLASS.__getitem__, v), _STOP]
+        for pair in zip(k, k[1:]):
+            out[pair] = out.get(pair, 0) + 1
+    return out
+
+
+def learn_formats(labelled: dict[str, list[str]], pairs: dict[tuple[str, str], int]) -> dict:
+    """Automata per kind with the range of the labelled ones' surprise, and the automaton of ordinary runs."""
     formats = {}
     for kind, values in labelled.items():
         if len(values) < MIN_LABELLED:
             continue
-        automaton = Automaton([classes(v) for v in values])
-        own = sorted(automaton.score(classes(v)) for v in values)
-        formats[kind] = (automaton, own[math.floor(len(own) * LABEL_SHARE)], MIN_RATIO)
-    return {"noise": _ordinary(formats, background), "formats": formats}
+        automaton = Automaton(values)
+        own = [automaton.own_surprise(v) for v in values]
+        formats[kind] = (automaton, min(own) - SLACK, max(own) + SLACK)
+    return {"ordinary": Ordinary(pairs), "formats": formats}
 
 
 def like_kind(value: str, model: dict) -> str | None:
     """The kind whose format the value has, if any."""
-    return class_kind(classes(value), model)
-
-
-def class_kind(v: str, model: dict) -> str | None:
-    """``like_kind`` of a value's classes."""
-    best = None
-    noise = model["noise"].score(v)
-    for kind, (automaton, least, ratio) in model["formats"].items():
-        own = automaton.score(v)
-        if own >= least and own - noise > ratio and (best is None or own > best[0]):
-            best = (own, kind)
+    best, ordinary = None, None
+    for kind, (automaton, least, most) in model["formats"].items():
+        cost, surprise = automaton.cost(value, most)
+        if least <= surprise <= most:
+            ordinary = model["ordinary"].cost(value) if ordinary is None else ordinary
+            if ordinary - cost > MIN_GAIN and (best is None or cost < best[0]):
+                best = (cost, kind)
     return best and best[1]
 
 
@@ -226,27 +334,44 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return rows.mapInArrow(run, f"_id long, base {_SPANS}, runs {_SPANS}")
 
 
-def _samples(scanned: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
-    """Distinct values with the least hashes: at most MAX_LABELLED a kind, MAX_BACKGROUND runs."""
-    values = scanned.select(F.explode(F.concat("base", "runs")).alias("s")).select("s.kind", "s.value")
-    values = values.filter(F.length("value") <= MAX_LEARNT_CHARS).distinct()
-    pick = lambda kind, n: [r["value"] for r in values.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(n).collect()]
-    return {k: pick(k, MAX_LABELLED) for k in KINDS}, pick("run", MAX_BACKGROUND)
+def _labelled(scanned: DataFrame) -> dict[str, list[str]]:
+    """Distinct values per kind, at most MAX_LABELLED, those with the least hashes. A value that is a span
+    of another pattern too (a hex key that is assigned) is learnt as that."""
+    values = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.value")
+    own = (F.when(F.col("kind") != "assign", F.lit(False))
+           .otherwise(F.col("value").rlike(f"^[0-9a-f]{{32,}}$") | F.col("value").rlike(f"^AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}$")))
+    values = values.filter(~own).distinct()
+    pick = lambda kind: [r["value"] for r in values.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(MAX_LABELLED).collect()]
+    return {k: pick(k) for k in KINDS}
+
+
+def _ordinary_pairs(scanned: DataFrame) -> dict[tuple[str, str], int]:
+    """Class pairs of all runs; counted in tasks, so that a few hundred rows leave each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[str, str], int] = {}
+        for batch in batches:
+            for pair, n in count_pairs([r["value"] for runs in batch.column(0).to_pylist() for r in runs]).items():
+                total[pair] = total.get(pair, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in total], pa.string()), pa.array([b for _, b in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["a", "b", "n"])
+
+    counts = scanned.select("runs").mapInArrow(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return {(r["a"], r["b"]): r["n"] for r in counts.collect()}  # one row per pair of classes
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, spans`` per row: ``array<struct<start, kind, stop, value>>`` by start and kind."""
     scanned = shared_table(scan(docs, id_col, text_col), "secrets-scanned", TEXT_ROWS)
-    model = learn_formats(*_samples(scanned))
+    model = learn_formats(_labelled(scanned), _ordinary_pairs(scanned))
     order = [*KINDS, *(f"like_{k}" for k in KINDS)]
     sent = docs.sparkSession.sparkContext.broadcast(model)  # automata of at most a few thousand strings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind_of = lru_cache(100_000)(lambda v: class_kind(v, sent.value))  # words share their classes
+        kind_of = lru_cache(100_000)(lambda v: like_kind(v, sent.value))  # words come again
         for batch in batches:
             out = []
             for base, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                found = [r | {"kind": f"like_{k}"} for r in runs if (k := kind_of(classes(r["value"])))]
+                found = [r | {"kind": f"like_{k}"} for r in runs if (k := kind_of(r["value"]))]
                 out.append(sorted(base + found, key=lambda s: (s["start"], order.index(s["kind"]))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, batch.schema.field(1).type)], names=["_id", "spans"])
 

@@ -136,16 +136,14 @@ def test_mixing_odd_rows(odd_docs, no_docs, odd_labels, no_labels):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(TOKENIZER)
 
 
 def test_encoder_equals_the_tokenizer(tokenizer):
     rng = random.Random(0)
     latin = "".join(map(chr, range(256))) + "'s't're've'm'll'd" * 3 + "   "
     wide = latin + "ĀΣσİ漢字🙂\u0301\u2003"
-    texts = ["".join(rng.choice(latin if k % 2 else wide) for _ in range(80)) for k in range(1000)] + ["", "<|endoftext|> x", "word" * 500]
+    texts = ["".join(rng.choice(latin if k % 2 else wide) for _ in range(80)) for k in range(1000)] + ["", "<|endoftext|> x", "hello <|endoftext|> world", "<|EndOfText|> [UNK] <unk> <pad>", "word" * 500]
     encoder = packing.Encoder(TOKENIZER)
     assert encoder.by_word
     for t in texts:
@@ -262,6 +260,65 @@ def test_merged_automaton_keeps_its_language():
     assert a.score("0000A") > a.score("A0000") and a.score("00A") > a.score("000gg")
 
 
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+SHAPES = {"ghp": ("ghp_", 36, ALNUM, ""), "base64": ("", 43, ALNUM + "+/", "="), "password": ("", 12, ALNUM, ""), "access": ("AKIA", 16, ALNUM[:26] + ALNUM[-10:], ""),
+          "hex": ("", 40, "0123456789abcdef", "")}
+
+
+def credential(rng, shape):
+    head, n, letters, tail = SHAPES[shape]
+    return head + "".join(rng.choice(letters) for _ in range(n)) + tail
+
+
+def test_automata_keep_prefix_position_and_length():
+    rng = random.Random(2)
+    for shape, states in (("access", 21), ("hex", 41), ("ghp", 41)):
+        a = secret_scan.Automaton([credential(rng, shape) for _ in range(80)])
+        assert len(a.states) == states  # a state per place: merged across, not along the value
+        own = [a.cost(credential(rng, shape))[0] for _ in range(50)]
+        assert max(own) < math.inf and a.cost(credential(rng, shape)[:-3])[0] == math.inf == a.cost(credential(rng, shape) + "0")[0]
+    a = secret_scan.Automaton([credential(rng, "access") for _ in range(80)])
+    assert a.cost("AKIA" + "Z7" * 8)[0] + 5 < a.cost("AZIA" + "Z7" * 8)[0]
+    mixed = secret_scan.Automaton([credential(rng, s) for s in ("ghp", "password") for _ in range(40)])
+    assert mixed.cost(credential(rng, "ghp")[:20])[0] == math.inf and mixed.cost(credential(rng, "password"))[0] < math.inf
+    long = secret_scan.Automaton(["x" + "ab" * 5000] * 20)
+    assert len(long.states) < 600 and long.cost("x" + "ab" * 5000)[1] < long.cost("x" + "ab" * 200 + "zz" * 4800)[1]
+
+
+def test_planted_credentials_are_found_and_digit_runs_are_not(spark, documents):
+    """Assigned keys of several shapes among the given texts; the same shapes elsewhere are found."""
+    rng = random.Random(9)
+    texts = [r.text or "" for r in documents.select("text").collect()]
+    rows, planted = [(i, t) for i, t in enumerate(texts)], {}
+    for shape in ("ghp", "base64", "password", "access"):
+        for k in range(60):
+            rows.append((len(rows), f"set token={credential(rng, shape)} and go on" if shape != "access" else f"use {credential(rng, shape)} now"))
+        for k in range(40):
+            planted[len(rows)] = value = credential(rng, shape) if shape != "access" else "ASIA" + credential(rng, shape)[4:]
+            rows.append((len(rows), f"{rng.choice(texts)[:200]} here is {value} as you asked"))
+    digits = {}
+    for n in (8, 11, 12, 13, 16, 19, 40):
+        for k in range(20):
+            digits[len(rows)] = n
+            rows.append((len(rows), f"card {''.join(rng.choice('0123456789') for _ in range(n))} phone 555-{rng.randint(1000, 9999)}-{rng.randint(1000, 9999)} host 10.20.{k}.41"))
+    found = {r.doc_id: [(rows[r.doc_id][1][s.start:s.stop], s.kind) for s in r.spans if s.kind.startswith("like_")]
+             for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = Counter(any(v == planted[i] for v, _ in found[i]) for i in planted)
+    assert hit[True] >= 0.9 * len(planted)
+    assert not any(found[i] for i in digits)
+    assert sum(bool(found[i]) for i in range(len(texts))) <= 0.01 * len(texts)  # ordinary texts stay alone
+
+
+def test_one_state_per_place_on_the_given_table(spark):
+    """The labelled keys of a larger given table make an automaton of more than one state, and no other run there has their format."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    scanned = secret_scan.shared_table(secret_scan.scan(docs), "secrets-test")
+    model = secret_scan.learn_formats(secret_scan._labelled(scanned), secret_scan._ordinary_pairs(scanned))
+    assert {k: len(a.states) for k, (a, _, _) in model["formats"].items()} == {"hex": 41}
+    runs = [r.value for r in scanned.select(F.explode("runs.value").alias("value")).distinct().collect()]
+    assert not [v for v in runs if v.isdigit() and secret_scan.like_kind(v, model)]
+
+
 @pytest.mark.parametrize("name", ["odd_docs", "documents", "no_docs"])
 def test_secrets_of_tables(name, request):
     docs = request.getfixturevalue(name)

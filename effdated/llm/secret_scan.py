@@ -25,9 +25,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -349,10 +351,12 @@ def _ordinary_pairs(scanned: DataFrame) -> dict[tuple[str, str], int]:
     """Class pairs of all runs; counted in tasks, so that a few hundred rows leave each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[str, str], int] = {}
+        total: Counter = Counter()
+        pairs_of = lru_cache(100_000)(lambda v: tuple(count_pairs([v]).items()))  # words come again
         for batch in batches:
-            for pair, n in count_pairs([r["value"] for runs in batch.column(0).to_pylist() for r in runs]).items():
-                total[pair] = total.get(pair, 0) + n
+            for value, n in Counter(batch.column(0).flatten().field("value").to_pylist()).items():
+                for pair, k in pairs_of(value):
+                    total[pair] += n * k
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in total], pa.string()), pa.array([b for _, b in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["a", "b", "n"])
 
     counts = scanned.select("runs").mapInArrow(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -369,11 +373,17 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind_of = lru_cache(100_000)(lambda v: like_kind(v, sent.value))  # words come again
         for batch in batches:
-            out = []
-            for base, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                found = [r | {"kind": f"like_{k}"} for r in runs if (k := kind_of(r["value"]))]
-                out.append(sorted(base + found, key=lambda s: (s["start"], order.index(s["kind"]))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, batch.schema.field(1).type)], names=["_id", "spans"])
+            runs = batch.column(2)
+            hits = [(k, kind) for k, v in enumerate(runs.flatten().field("value").to_pylist()) if (kind := kind_of(v))]
+            spans = batch.column(1)
+            if hits:  # few runs are: only then do lists become Python objects
+                out = spans.to_pylist()
+                ends = np.cumsum(runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                flat = runs.flatten()
+                for k, kind in hits:
+                    out[int(np.searchsorted(ends, k, "right"))].append(flat[k].as_py() | {"kind": f"like_{kind}"})
+                spans = pa.array([sorted(row, key=lambda s: (s["start"], order.index(s["kind"]))) for row in out], spans.type)
+            yield pa.RecordBatch.from_arrays([batch.column(0), spans], names=["_id", "spans"])
 
     # written in small batches: the lists of many rows at once take a Python task's memory
     return shared_table(scanned.mapInArrow(run, f"_id long, spans {_SPANS}"), "secrets-found", TEXT_ROWS).withColumnRenamed("_id", id_col)

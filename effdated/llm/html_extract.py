@@ -1,16 +1,24 @@
 """HTML extraction (operator 3): minimum-cut labelling of text blocks.
 
-A page is cut into blocks (runs of text between block-level tags). Each block gets a cost
-from a linear classifier over its length, link density, tag and the hints of its ancestors;
-the cost is the capacity of its edge to the content or to the boilerplate terminal.
-Smoothness edges join neighbouring blocks (the stronger, the closer they are in the DOM) and
-blocks with their containers. The minimum cut separates content from boilerplate; a
-block keeps the label its own cost asks for unless its neighbourhood outweighs it.
+A page is cut into blocks (runs of text between block-level tags). Blocks and the containers around
+them are the nodes of a graph:
+
+* a linear classifier over a block's text (length, link density, tag, sentence end) and one over a
+  container's tag, role and names give costs, the capacities to the content or the boilerplate terminal;
+* smoothness edges join neighbouring blocks (the stronger, the closer they are in the DOM), a block
+  and its container, and a container and the one around it.
+
+The minimum cut, by max-flow, separates content from boilerplate on every page. A sentence in an
+advert box is no content although it reads like it, and a bare word in the article is, since their
+containers weigh more; a container without a hint goes with what it holds. Names count by
+their place: ``ad`` in ``ad-top`` says more than in ``text-ad-free``.
 
 Scripts, styles, head, forms' controls and the like never become blocks. Character
 references are decoded, white space inside a block becomes one space, blocks are joined in
 page order by two line feeds. Null or empty HTML gives an empty text; broken markup is
-parsed as far as it goes. Repeated rows, null ids and clashing extra columns change nothing.
+parsed as far as it goes. Very long or deep pages are parsed whole, linear in their length (DOM
+proximity looks at the ``NEAR`` nearest containers). Where both cuts of a block cost the same it is
+boilerplate. Repeated rows, null ids and clashing extra columns change nothing.
 """
 
 from __future__ import annotations
@@ -46,15 +54,20 @@ BAD_WORDS = frozenset(
 GOOD_WORDS = frozenset("article articlebody body content entry hentry main maincontent post posttext story text".split())
 #: Before a bad word, these say that it is about the page's layout.
 LAYOUT_WORDS = frozenset("has with no without hide show is".split())
+#: After a bad word, these say that there is none of it.
+NEGATIONS = frozenset("free less off none".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
-#: The classifier, in log odds for content (fixed weights).
-W_HINT = {1: 4.0, 0: 0.0, -1: -5.0, -2: -8.0}
+#: The block classifier, in log odds for content (fixed weights).
 W_BIAS, W_PER_CHAR, W_LENGTH_MOST, W_LINKS, W_SENTENCE, W_COPYRIGHT = 0.1, 0.01, 2.0, -3.0, 0.5, -3.0
 W_TAG = {"p": 1.0, "blockquote": 1.0, "pre": 1.0, "h1": 0.6, "h2": 0.5, "h3": 0.5, "h4": 0.3, "li": -0.5, "td": -0.2, "th": -0.2}
-#: Smoothness: neighbours at DOM distance d, block to container, container to container.
-S_NEIGHBOUR, S_CONTAINER, S_NESTED = 0.8, 0.3, 0.2
+#: The container classifier: by hint, once and for every block that the container holds itself.
+W_HINT, W_HINT_PER_BLOCK = {1: 4.0, 0: 0.0, -1: -5.0, -2: -8.0}, {1: 4.0, 0: 0.0, -1: -4.0, -2: -6.0}
+#: Smoothness: neighbours at DOM distance d, block to a container with and without a hint, container to container.
+S_NEIGHBOUR, S_HINTED, S_CONTAINER, S_NESTED = 0.8, 6.5, 0.3, 0.2
 _UNIT = 1000
+#: Containers above a block that its DOM distance to others looks at.
+NEAR = 16
 
 
 def _attribute_hint(tag: str, attrs: dict[str, str]) -> int:
@@ -71,7 +84,8 @@ def _attribute_hint(tag: str, attrs: dict[str, str]) -> int:
         for name in value.split():
             words = [w.lower() for w in _WORDS.findall(name)]
             for i, w in enumerate(words):
-                if w in BAD_WORDS and not (i and words[i - 1] in LAYOUT_WORDS):
+                off = (i and words[i - 1] in LAYOUT_WORDS) or (i + 1 < len(words) and words[i + 1] in NEGATIONS)
+                if w in BAD_WORDS and not off:
                     return -2
                 if w == "header" and not (i and words[i - 1] in GOOD_WORDS):
                     return -1
@@ -80,31 +94,51 @@ def _attribute_hint(tag: str, attrs: dict[str, str]) -> int:
 
 
 class Page(HTMLParser):
-    """Blocks of a page: ``[text parts, characters in links, tag, hint, container path]``."""
+    """Blocks of a page: ``(text, characters in links, tag, numbers of the nearest containers, outermost first)``,
+    and the hints of containers by number."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, int]] = []  # tag, hint, node number
-        self.blocks: list[tuple[str, int, str, int, tuple[int, ...]]] = []
+        self.stack: list[tuple[str, int]] = []  # tag, hint
+        self.around: list[tuple[str, int]] = []  # open block-level elements: tag, node number
+        self.open: dict[str, int] = {}  # open elements by tag
+        self.hints: dict[int, int] = {}
+        self.blocks: list[tuple[str, int, str, tuple[int, ...]]] = []
         self.parts: list[str] = []
-        self.linked = self.dropped = self.links = self.nodes = 0
+        self.linked = self.dropped = self.nodes = 0
 
     def _flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                tag = next((t for t, _, _ in reversed(self.stack) if t in BLOCK), "body")
-                path = tuple(n for t, _, n in self.stack if t in BLOCK and t not in ("html", "body"))
-                self.blocks.append((text, self.linked, tag, self.stack[-1][1] if self.stack else 0, path))
+                tag = self.around[-1][0] if self.around else "body"
+                near = tuple(n for t, n in self.around[-NEAR - 3:] if t not in ("html", "body"))
+                if tag in W_TAG:  # the block's own tag is no container
+                    near = near[:-1]
+                self.blocks.append((text, self.linked, tag, near[-NEAR:]))
             self.parts = []
         self.linked = 0
 
     def _pop(self, at: int) -> None:
-        for tag, _, _ in self.stack[at:]:
+        for tag, _ in self.stack[at:]:
             self.dropped -= tag in DROPPED
-            self.links -= tag == "a"
+            self.open[tag] -= 1
+            if tag in BLOCK:
+                self.around.pop()
         del self.stack[at:]
 
+    def _close(self, names: set[str], scope: frozenset[str]) -> None:
+        """Close the open elements of these names that stand inside the nearest of ``scope``."""
+        if any(self.open.get(n) for n in names):
+            for i in range(len(self.stack) - 1, -1, -1):
+                name = self.stack[i][0]
+                if name in names:
+                    self._pop(i)
+                    if not any(self.open.get(n) for n in names):
+                        break
+                elif name in scope:
+                    break
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK or tag in DROPPED:
             self._flush()
@@ -113,22 +147,11 @@ class Page(HTMLParser):
         if tag in VOID:
             return
         if tag in BLOCK:  # end tags that HTML leaves out
-            for i in range(len(self.stack) - 1, -1, -1):
-                name = self.stack[i][0]
-                if name == "p" or name in CLOSES.get(tag, ()):
-                    self._pop(i)
-                elif name in _SCOPE:
-                    break
-            if tag == "body":
-                for i, (name, _, _) in enumerate(self.stack):
-                    if name == "head":
-                        self._pop(i)
-                        break
-        if tag == "a":
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == "a":
-                    self._pop(i)
-                    break
+            self._close({"p", *CLOSES.get(tag, ())}, _SCOPE)
+            if tag == "body" and self.open.get("head"):
+                self._pop(next(i for i, (name, _) in enumerate(self.stack) if name == "head"))
+        if tag == "a" and self.open.get("a"):
+            self._pop(next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == "a"))
         hint = self.stack[-1][1] if self.stack else 0
         own = _attribute_hint(tag, {k: v or "" for k, v in attrs}) if attrs else 0
         own = own if own else TAG_HINT.get(tag, 0) if not (tag == "header" and hint == 1) else 0
@@ -137,9 +160,13 @@ class Page(HTMLParser):
         if hint > -2 and own:
             hint = own if own != -1 or hint != 1 or tag == "form" else hint
         self.nodes += 1
-        self.stack.append((tag, hint, self.nodes))
+        self.stack.append((tag, hint))
+        self.open[tag] = self.open.get(tag, 0) + 1
+        if tag in BLOCK:
+            self.around.append((tag, self.nodes))
+        if hint:
+            self.hints[self.nodes] = hint
         self.dropped += tag in DROPPED
-        self.links += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -149,6 +176,8 @@ class Page(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK or tag in DROPPED:
             self._flush()
+        if not self.open.get(tag):
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             name = self.stack[i][0]
             if name == tag:
@@ -161,7 +190,7 @@ class Page(HTMLParser):
         if self.dropped:
             return
         self.parts.append(data)
-        if self.links:
+        if self.open.get("a"):
             self.linked += len("".join(data.split()))
 
     def close(self):
@@ -169,9 +198,9 @@ class Page(HTMLParser):
         self._flush()
 
 
-def block_cost(text: str, linked: int, tag: str, hint: int) -> float:
-    """Log odds that a block is content."""
-    cost = W_BIAS + W_HINT[hint] + W_TAG.get(tag, 0.0) + min(W_LENGTH_MOST, W_PER_CHAR * len(text))
+def block_cost(text: str, linked: int, tag: str) -> float:
+    """Log odds that a block is content, by its own text and tag."""
+    cost = W_BIAS + W_TAG.get(tag, 0.0) + min(W_LENGTH_MOST, W_PER_CHAR * len(text))
     cost += W_LINKS * min(1.0, linked / max(1, len(text.replace(" ", ""))))
     if text[-1] in ".!?…\"”»":
         cost += W_SENTENCE
@@ -242,37 +271,35 @@ def min_cut(terminal: list[int], edges: list[tuple[int, int, int]]) -> list[bool
                 a = to[path.pop() ^ 1]
 
 
-def label(blocks: list[tuple[str, int, str, int, tuple[int, ...]]]) -> list[bool]:
-    """True for content. Nodes are the blocks and their containers."""
-    terminal = [round(_UNIT * block_cost(*b[:4])) for b in blocks]
+def _distance(x: tuple[int, ...], y: tuple[int, ...]) -> int:
+    """Steps between two places in the DOM over their nearest common container, as far as known."""
+    known = {n: i for i, n in enumerate(reversed(y))}
+    return next((i + known[n] for i, n in enumerate(reversed(x)) if n in known), len(x) + len(y))
+
+
+def label(blocks: list[tuple[str, int, str, tuple[int, ...]]], hints: dict[int, int] | None = None) -> list[bool]:
+    """True for content: the content side of the minimum cut. Nodes are the blocks and their containers."""
+    hints = hints or {}
+    terminal = [block_cost(*b[:3]) for b in blocks]
     edges: dict[tuple[int, int], float] = {}
     container: dict[int, int] = {}
 
     def node(number: int) -> int:
         if number not in container:
             container[number] = len(terminal)
-            terminal.append(0)
+            terminal.append(W_HINT[hints.get(number, 0)])
         return container[number]
 
-    for i, b in enumerate(blocks):
-        path = b[4]
+    for i, (_, _, _, near) in enumerate(blocks):
         if i:
-            before = blocks[i - 1][4]
-            shared = sum(1 for x, y in zip(path, before) if x == y)
-            distance = len(path) + len(before) - 2 * shared
-            edges[i - 1, i] = S_NEIGHBOUR / (1 + max(0, distance - 2))
-        own = path[:-1] if b[2] in W_TAG else path  # the block's own tag is no container
-        if own:
-            edges[i, node(own[-1])] = S_CONTAINER
-            for x, y in zip(own, own[1:]):
+            edges[i - 1, i] = S_NEIGHBOUR / (1 + _distance(near, blocks[i - 1][3]))
+        if near:
+            own, hint = node(near[-1]), hints.get(near[-1], 0)
+            terminal[own] += W_HINT_PER_BLOCK[hint]
+            edges[i, own] = S_HINTED if hint else S_CONTAINER
+            for x, y in zip(near, near[1:]):
                 edges[node(x), node(y)] = S_NESTED
-    pull = [0.0] * len(terminal)
-    for (i, j), w in edges.items():
-        pull[i] += w
-        pull[j] += w
-    if all(abs(terminal[i]) > _UNIT * pull[i] for i in range(len(blocks))):
-        return [t > 0 for t in terminal[: len(blocks)]]  # no neighbourhood outweighs a block: this is the minimum cut
-    return min_cut(terminal, [(i, j, round(_UNIT * w)) for (i, j), w in edges.items()])[: len(blocks)]
+    return min_cut([round(_UNIT * t) for t in terminal], [(i, j, round(_UNIT * w)) for (i, j), w in edges.items()])[: len(blocks)]
 
 
 def extract(html: str | None) -> str:
@@ -282,7 +309,7 @@ def extract(html: str | None) -> str:
     page = Page()
     page.feed(html)
     page.close()
-    return "\n\n".join(b[0] for b, keep in zip(page.blocks, label(page.blocks)) if keep)
+    return "\n\n".join(b[0] for b, keep in zip(page.blocks, label(page.blocks, page.hints)) if keep)
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -53,10 +53,10 @@ def learn_weights(docs: DataFrame, labels: DataFrame, domains: list[str], id_col
     """One row: ``prior`` (log, per domain, for a text without any of the terms) and ``weights``, an array of ``BUCKETS`` lists of
     ``(t, w)``, a term and its weight per domain; null for no term.
 
-    ``labels``: ``id_col, domain``; of an id with several labels the least counts.
+    ``labels``: ``id_col, domain``; of an id with several labels the greatest counts (toxic, low, clean).
     """
     sample = (labels.select(F.col(f"`{id_col}`").alias("_id"), F.col("domain")).filter(F.col("domain").isin(domains) & F.col("_id").isNotNull())
-              .groupBy("_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("_id"), "_id").limit(MAX_LABELLED))
+              .groupBy("_id").agg(F.max("domain").alias("domain")).orderBy(F.xxhash64("_id"), "_id").limit(MAX_LABELLED))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(F.broadcast(sample), "_id")
     # null stands for the row itself
     seen = rows.select("domain", F.explode(F.concat(F.array(F.lit(None).cast("long")), _terms(_words(F.col("_text"))))).alias("t"))
@@ -157,9 +157,9 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], max_rate: float, bud
         row = groups.agg(*share(_replay(F.col("_p"), history, max_rate, kept))).first()
         after = [x / tokens for x in row]
         if max(abs(a - b) for a, b in zip(after, now)) < TOLERANCE:
-            break
+            return history
         now = after
-    return history
+    raise RuntimeError(f"the domains' shares did not settle in {STEPS} steps: {after}")
 
 
 def _flag_labelled(scored: DataFrame, labels: DataFrame, domains: list[str], keep: str, id_col: str) -> DataFrame:
@@ -171,7 +171,7 @@ def _flag_labelled(scored: DataFrame, labels: DataFrame, domains: list[str], kee
     at = F.col(f"`{id_col}`")
     other = F.array_max("_p") > F.get("_p", F.lit(domains.index(keep)))
     labelled = (labels.select(F.col(f"`{id_col}`").alias("_at"), F.col("domain")).filter(F.col("domain").isin(domains) & F.col("_at").isNotNull())
-                .groupBy("_at").agg(F.min("domain").alias("_domain")).filter(F.col("_domain") == keep).select("_at"))
+                .groupBy("_at").agg(F.max("domain").alias("_domain")).filter(F.col("_domain") == keep).select("_at"))
     found = scored.filter(other & at.isNotNull()).select(at.alias("_at")).distinct().join(labelled, "_at")
     found = shared_table(found, "mixing-labelled")
     known = scored.filter(other & at.isNotNull()).join(found, at == F.col("_at"), "left").withColumn("_known", F.col("_at").isNotNull()).drop("_at")

@@ -4,26 +4,29 @@ Each rule compares one integer ratio of a text (per mille) with a cutoff. Cutoff
 learnt per stratum (language) from labelled texts:
 
 1. *Fit half* of the labels: per (stratum, rule) pick from a fixed grid the cutoff with
-   the best utility, rejected low-quality texts minus ``CLEAN_COST`` x rejected clean ones.
-2. *Holdout half*: the picked cutoff is used only if the exact binomial test rejects
-   "more than ``max_false_rejection`` of this stratum's clean texts are rejected" at
-   level ``error / tests`` (Bonferroni over all strata and rules).
-
-So with probability 1 - error, every rule in use rejects at most ``max_false_rejection``
+   the best utility, rejected low-quality texts minus ``CLEAN_COST`` x rejected clean ones. The picks
+   of positive utility are put in order, the most useful first.
+2. *Holdout half*: for the first, the first two, ... picks of a stratum together, the exact binomial
+   test asks whether "more than ``max_false_rejection`` of this stratum's clean texts are rejected by any of
+   them" can be ruled out at level ``error / strata``. The longest list that passes with all
+   shorter ones is used (fixed-sequence testing within a stratum, Bonferroni over strata).
+
+So with probability 1 - error, the rules in use *together* reject at most ``max_false_rejection``
 of the clean texts of every stratum. A stratum with too few labels for the guarantee
 gets no cutoff; only the base rule judges it.
 
 Null texts count as empty (no words, base rule fails); a null stratum is a stratum of its
 own; conflicting labels of one id count as low quality; null ids and null labels are
 not used for learning. Repeated rows give repeated result rows. An empty table or
-empty labels give no cutoffs. Extra columns are ignored.
+empty labels give no cutoffs. Equal utilities: the greater cutoff, then the rule's name decides. Very long
+texts are measured whole. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACES, UPPER, let, packed, shared_table, unpacked
@@ -121,45 +124,55 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(kd <= nd * p, total).otherwise(F.lit(1.0))
 
 
+def _stratum(column: str) -> Column:
+    """Strata as text: null is one of its own, apart from an empty one."""
+    return F.coalesce(F.concat(F.lit("="), F.col(f"`{column}`")), F.lit(""))
+
+
+def _value(ratios: Column, rule: Column) -> Column:
+    return F.coalesce(*[F.when(rule == r, ratios[r]) for r in GRID])
+
+
 def learn_cutoffs(figures: DataFrame, labels: DataFrame, id_col: str = "doc_id", stratum_col: str = "lang",
                   max_false_rejection: float = 0.01, error: float = 0.05) -> DataFrame:
     """``_stratum, rule, cutoff`` of the rules in use.
 
     ``labels``: ``id_col, quality`` (1 clean, 0 low). Only aggregated counts (strata x
-    grid) leave the first aggregation.
+    grid, then strata x rules) leave the aggregations.
     """
     quality = (labels.select(F.col(f"`{id_col}`").alias("_id"), F.col("quality").alias("_q"))
                .filter("_id IS NOT NULL AND _q IS NOT NULL").groupBy("_id").agg(F.min("_q").alias("_q")))
-    grid = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("cutoff"), (F.col("_f")["ratios"][rule] >= c).alias("rejected"))
-                     for rule, cutoffs in GRID.items() for c in cutoffs])
-    labelled = (figures.filter("NOT _f.base_failed")
-                .select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{stratum_col}`"), F.lit("")).alias("_stratum"), "_f")
+    labelled = (figures.filter("NOT _f.base_failed").select(F.col(f"`{id_col}`").alias("_id"), _stratum(stratum_col).alias("_stratum"), F.col("_f.ratios").alias("_r"))
                 .join(quality, "_id")
-                .select("_stratum", (F.substring(F.md5(F.col("_id").cast("string").cast("binary")), 1, 1) < "8").alias("_fit"), (F.col("_q") > 0).alias("_clean"),
-                        F.explode(grid).alias("g")).select("_stratum", "_fit", "_clean", "g.*"))
-    n = lambda c: F.count(F.when(c, 1))
-    fit, clean, rejected = F.col("_fit"), F.col("_clean"), F.col("rejected")
-    counts = labelled.groupBy("_stratum", "rule", "cutoff").agg(
-        n(fit & ~clean & rejected).alias("_fit_low"), n(fit & clean & rejected).alias("_fit_clean"),
-        n(~fit & clean & rejected).alias("_k"), n(~fit & clean).alias("_n"))
-    utility = F.col("_fit_low") - CLEAN_COST * F.col("_fit_clean")
-    picked = (counts.groupBy("_stratum", "rule")
-              .agg(F.max(F.struct(utility.alias("u"), F.col("cutoff"), F.col("_k"), F.col("_n"))).alias("b"))
-              .select("_stratum", "rule", "b.*"))
-    picked = shared_table(picked, "quality-picked")
-    tests = picked.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (picked.withColumn("_tests", tests)
-            .filter((F.col("u") > 0) & (binomial_cdf(F.col("_k"), F.col("_n"), max_false_rejection) * F.col("_tests") <= error))
-            .select("_stratum", "rule", "cutoff"))
+                .select("_stratum", (F.substring(F.md5(F.col("_id").cast("string").cast("binary")), 1, 1) < "8").alias("_fit"), (F.col("_q") > 0).alias("_clean"), "_r"))
+    labelled = shared_table(labelled, "quality-labelled")
+    grid = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("cutoff"), (F.col("_r")[rule] >= c).alias("rejected"))
+                     for rule, cutoffs in GRID.items() for c in cutoffs])
+    tried = labelled.filter("_fit").select("_stratum", "_clean", F.explode(grid).alias("g")).select("_stratum", "_clean", "g.*").filter("rejected")
+    utility = F.count_if(~F.col("_clean")) - CLEAN_COST * F.count_if(F.col("_clean"))
+    picked = (tried.groupBy("_stratum", "rule", "cutoff").agg(utility.alias("u")).groupBy("_stratum", "rule")
+              .agg(F.max(F.struct("u", "cutoff")).alias("b")).select("_stratum", "rule", "b.*").filter("u > 0"))
+    first = Window.partitionBy("_stratum").orderBy(F.desc("u"), "rule")  # a handful of rules a stratum
+    picked = shared_table(picked.withColumn("place", F.row_number().over(first)), "quality-picked")
+    # of every clean holdout text the first pick that rejects it
+    table = picked.agg(F.collect_list(F.struct("_stratum", "rule", "cutoff", "place")).alias("_cuts"))
+    hits = F.filter("_cuts", lambda c: (c["_stratum"] == F.col("_stratum")) & (_value(F.col("_r"), c["rule"]) >= c["cutoff"]))
+    holdout = labelled.filter("NOT _fit AND _clean").withColumn("_cuts", table.scalar())
+    lost = holdout.select("_stratum", F.array_min(F.transform(hits, lambda c: c["place"])).alias("at")).groupBy("_stratum", "at").agg(F.count(F.lit(1)).alias("_c"))
+    counts = (picked.join(lost, "_stratum", "left").groupBy("_stratum", "rule", "cutoff", "place")
+              .agg(F.coalesce(F.sum(F.when(F.col("at") <= F.col("place"), F.col("_c"))), F.lit(0)).alias("_k"), F.coalesce(F.sum("_c"), F.lit(0)).alias("_n")))
+    strata = picked.agg(F.count_distinct("_stratum").alias("n")).scalar()
+    passes = (F.col("_n") > 0) & (binomial_cdf(F.col("_k"), F.col("_n"), max_false_rejection) * F.col("_strata") <= error)
+    so_far = Window.partitionBy("_stratum").orderBy("place")
+    return (counts.withColumn("_strata", strata).withColumn("_all", F.min(passes).over(so_far)).filter("_all").select("_stratum", "rule", "cutoff"))
 
 
 def judge(figures: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") -> DataFrame:
     """Add ``_kept`` to the figures. The cutoffs travel as one array of at most strata x
     rules entries, so that no row is shuffled whatever the share of its stratum."""
     table = cutoffs.agg(F.collect_list(F.struct("_stratum", "rule", "cutoff")).alias("_cuts"))
-    stratum = F.coalesce(F.col(f"`{stratum_col}`"), F.lit(""))
-    value = lambda rule: F.coalesce(*[F.when(rule == r, F.col("_f")["ratios"][r]) for r in GRID])
-    rejected = F.exists("_cuts", lambda c: (c["_stratum"] == stratum) & (value(c["rule"]) >= c["cutoff"]))
+    stratum = _stratum(stratum_col)
+    rejected = F.exists("_cuts", lambda c: (c["_stratum"] == stratum) & (_value(F.col("_f")["ratios"], c["rule"]) >= c["cutoff"]))
     return figures.withColumn("_cuts", table.scalar()).withColumn("_kept", ~F.col("_f")["base_failed"] & ~rejected).drop("_cuts")
 
 

@@ -53,7 +53,7 @@ def _quality_sql() -> str:
     cuts = " AND ".join(f"coalesce({r} < min(cutoff) FILTER (rule = '{r}'), true)" for r in quality_rules.GRID)
     return f"""
 WITH words AS (
-  SELECT doc_id, coalesce(lang, '') AS stratum, lang, coalesce(text, '') AS text,
+  SELECT doc_id, coalesce('=' || lang, '') AS stratum, lang, coalesce(text, '') AS text,
          list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
   FROM documents),
@@ -86,18 +86,21 @@ tried AS (
          (CASE rule {values} END) >= cutoff AS rejected
   FROM ratios JOIN quality USING (doc_id) CROSS JOIN grid WHERE NOT base_failed),
 counts AS (
-  SELECT stratum, rule, cutoff,
-         count(*) FILTER (fit AND NOT clean AND rejected)
-           - {quality_rules.CLEAN_COST} * count(*) FILTER (fit AND clean AND rejected) AS u,
-         count(*) FILTER (NOT fit AND clean AND rejected) AS k, count(*) FILTER (NOT fit AND clean) AS n
-  FROM tried GROUP BY ALL),
-picked AS (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY u DESC, cutoff DESC) = 1),
+  SELECT stratum, rule, cutoff, count(*) FILTER (NOT clean AND rejected) - {quality_rules.CLEAN_COST} * count(*) FILTER (clean AND rejected) AS u
+  FROM tried WHERE fit GROUP BY ALL),
+best AS (SELECT * FROM counts WHERE u > 0 QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY u DESC, cutoff DESC) = 1),
+picked AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY u DESC, rule) AS place FROM best),
+clean_texts AS (SELECT ratios.* FROM ratios JOIN quality USING (doc_id) WHERE NOT base_failed AND q > 0 AND substr(md5(doc_id::VARCHAR), 1, 1) >= '8'),
+hits AS (SELECT c.doc_id, c.stratum, min(p.place) AS place FROM clean_texts c JOIN picked p ON p.stratum = c.stratum AND (CASE p.rule {values} END) >= p.cutoff GROUP BY ALL),
+sizes AS (SELECT stratum, count(*) AS n FROM clean_texts GROUP BY stratum),
+tests AS (SELECT p.stratum, p.rule, p.cutoff, p.place, coalesce(s.n, 0) AS n, (SELECT count(*) FROM hits h WHERE h.stratum = p.stratum AND h.place <= p.place) AS k
+          FROM picked p LEFT JOIN sizes s USING (stratum)),
 tested AS (
-  SELECT *, CASE WHEN k > n * 0.01 THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+  SELECT *, CASE WHEN n = 0 OR k > n * 0.01 THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
            exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln(0.01) + (n - i) * ln(0.99)))) END AS p,
-         (SELECT count(*) FROM picked) AS tests
-  FROM picked),
-cutoffs AS (SELECT stratum, rule, cutoff FROM tested WHERE u > 0 AND p * tests <= 0.05),
+         (SELECT count(DISTINCT stratum) FROM picked) AS strata
+  FROM tests),
+cutoffs AS (SELECT stratum, rule, cutoff FROM tested QUALIFY bool_and(n > 0 AND p * strata <= 0.05) OVER (PARTITION BY stratum ORDER BY place)),
 judged AS (
   SELECT ratios.doc_id, ratios.stratum, {", ".join(f"any_value({r}) AS {r}" for r in quality_rules.GRID)},
          {cuts} AS passes
@@ -173,12 +176,10 @@ spots AS (SELECT page_id, decided, held, i, unnest([{runs}]) AS r, unnest([{", "
 runs AS (SELECT r, count(*) FILTER (decided = 'allow') AS a, count(*) FILTER (decided = 'block') AS b
          FROM spots WHERE decided IS NOT NULL AND NOT held GROUP BY r),
 contexts AS (SELECT substr(r, 1, length(r) - 1) AS r, sum(a) AS a, sum(b) AS b FROM runs GROUP BY ALL),
-top_runs AS (SELECT * FROM runs ORDER BY a + b DESC, r LIMIT {u.MAX_RUNS}),
-top_contexts AS (SELECT * FROM contexts ORDER BY a + b DESC, r LIMIT {u.MAX_RUNS}),
 seen AS (
   SELECT page_id, any_value(decided) AS decided, any_value(held) AS held, i,
     {counts}
-  FROM spots s LEFT JOIN top_runs n ON n.r = s.r LEFT JOIN top_contexts m ON m.r = substr(s.r, 1, length(s.r) - 1)
+  FROM spots s LEFT JOIN runs n ON n.r = s.r LEFT JOIN contexts m ON m.r = substr(s.r, 1, length(s.r) - 1)
   WHERE held OR decided IS NULL GROUP BY page_id, i),
 scored AS (SELECT page_id, any_value(decided) AS decided, any_value(held) AS held, CAST(round(avg(ln({p("a")}) - ln({p("b")})) * {u.SCALE}) AS BIGINT) AS score
            FROM seen GROUP BY page_id),

@@ -9,7 +9,8 @@
    ``LOOK`` characters and the characters left are distributed alike (Hoeffding bounds); states with
    less than ``MIN_EVIDENCE`` values cannot be told apart: those of one parent are one, then join the nearest. From ``MAX_DEPTH``
    characters on a state loops, so that values of any length are learnt whole.
-3. Ordinary text is an automaton of character classes (state: the class before), counted over all runs.
+3. Ordinary text is an automaton of character classes (state: the class before), counted over all runs
+   but those that have a format of a single length.
 4. Every run is scored by its best format. It becomes a span ``like_<kind>`` if the format gains ``MIN_GAIN``
    over ordinary text in log likelihood, and if its surprise beyond what the states passed lead to
    expect is neither above nor below that of the labelled ones by more than ``SLACK``.
@@ -291,8 +292,8 @@ def count_pairs(values: list[str]) -> dict[tuple[str, str], int]:
     return out
 
 
-def learn_formats(labelled: dict[str, list[str]], pairs: dict[tuple[str, str], int]) -> dict:
-    """Automata per kind with the range of the labelled ones' surprise, and the automaton of ordinary runs."""
+def learn_automata(labelled: dict[str, list[str]]) -> dict[str, tuple[Automaton, float, float]]:
+    """Automata per kind with the range of the labelled ones' surprise."""
     formats = {}
     for kind, values in labelled.items():
         if len(values) < MIN_LABELLED:
@@ -300,7 +301,18 @@ def learn_formats(labelled: dict[str, list[str]], pairs: dict[tuple[str, str], i
         automaton = Automaton(values)
         own = [automaton.own_surprise(v) for v in values]
         formats[kind] = (automaton, min(own) - SLACK, max(own) + SLACK)
-    return {"ordinary": Ordinary(pairs), "formats": formats}
+    return formats
+
+
+def is_strict(value: str, formats: dict[str, tuple[Automaton, float, float]]) -> bool:
+    """Whether the value has a format of one length only: such runs say nothing about ordinary ones."""
+    return any(a.states[0].fixed and least <= a.cost(value, most)[1] <= most for a, least, most in formats.values())
+
+
+def learn_formats(labelled: dict[str, list[str]], runs: list[str]) -> dict:
+    """Automata per kind, and the automaton of ordinary runs, from a list of runs."""
+    formats = learn_automata(labelled)
+    return {"ordinary": Ordinary(count_pairs([v for v in runs if not is_strict(v, formats)])), "formats": formats}
 
 
 def like_kind(value: str, model: dict) -> str | None:
@@ -347,12 +359,14 @@ def _labelled(scanned: DataFrame) -> dict[str, list[str]]:
     return {k: pick(k) for k in KINDS}
 
 
-def _ordinary_pairs(scanned: DataFrame) -> dict[tuple[str, str], int]:
-    """Class pairs of all runs; counted in tasks, so that a few hundred rows leave each."""
+def learn(scanned: DataFrame) -> dict:
+    """The model of a scanned table: formats from a bounded sample of labelled values, ordinary runs from
+    all of them, counted in tasks so that a few hundred pairs of classes leave each."""
+    formats = learn_automata(_labelled(scanned))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        pairs_of = lru_cache(100_000)(lambda v: tuple(count_pairs([v]).items()))  # words come again
+        pairs_of = lru_cache(100_000)(lambda v: () if is_strict(v, formats) else tuple(count_pairs([v]).items()))  # words come again
         for batch in batches:
             for value, n in Counter(batch.column(0).flatten().field("value").to_pylist()).items():
                 for pair, k in pairs_of(value):
@@ -360,13 +374,14 @@ def _ordinary_pairs(scanned: DataFrame) -> dict[tuple[str, str], int]:
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in total], pa.string()), pa.array([b for _, b in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["a", "b", "n"])
 
     counts = scanned.select("runs").mapInArrow(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return {(r["a"], r["b"]): r["n"] for r in counts.collect()}  # one row per pair of classes
+    pairs = {(r["a"], r["b"]): r["n"] for r in counts.collect()}  # one row per pair of classes
+    return {"ordinary": Ordinary(pairs), "formats": formats}
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, spans`` per row: ``array<struct<start, kind, stop, value>>`` by start and kind."""
     scanned = shared_table(scan(docs, id_col, text_col), "secrets-scanned", TEXT_ROWS)
-    model = learn_formats(_labelled(scanned), _ordinary_pairs(scanned))
+    model = learn(scanned)
     order = [*KINDS, *(f"like_{k}" for k in KINDS)]
     sent = docs.sparkSession.sparkContext.broadcast(model)  # automata of at most a few thousand strings
 

@@ -242,11 +242,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest id.
 
-    Of rows that share that id one stays; rows without an id stay (they cannot be named).
-    The ids to drop are joined against; texts shuffle once at most.
+    What goes is a row and not an id: rows are told apart by their id and a 64-bit hash of id and text, so of
+    rows that share an id one may go while another, of another component, stays. Of rows with equal
+    id and text one stays, of texts with the component's smallest id the one with the least hash. Rows
+    without an id stay (they cannot be named). Only the keys of lost rows meet the texts.
     """
-    found = shared_table(simhash_components(docs, id_col, text_col, **parameters), "simhash-found")
-    lost = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id"), F.lit(0).cast("long").alias("_part")).distinct()
-    part = F.when(F.col("_id").isNull(), F.xxhash64("_text")).otherwise(F.lit(0).cast("long"))  # null ids don't meet in one task
-    rows = packed(docs, _id=id_col, _text=text_col).withColumn("_part", part).drop("_text")
-    return unpacked(rows.join(lost, ["_id", "_part"], "left_anti"))
+    rows = packed(docs, _id=id_col, _text=text_col)
+    rows = rows.withColumn("_key", F.when(F.col("_id").isNotNull(), F.xxhash64("_id", "_text")))
+    found = simhash_components(rows.select("_key", "_text"), "_key", "_text", **parameters)
+    ids = shared_table(rows.filter("_id IS NOT NULL").groupBy("_id", "_key").agg(F.count(F.lit(1)).alias("_n")), "simhash-ids")
+    named = shared_table(found.select("_key", "component_id").distinct().join(ids, "_key"), "simhash-rows")
+    keepers = named.groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("_k")).select("_k.*")
+    lost = shared_table(named.join(keepers, ["_id", "_key"], "left_anti").select("_id", "_key"), "simhash-lost")
+    twice = shared_table(ids.filter("_n > 1").select("_id", "_key"), "simhash-twice")
+    left = rows.filter("_id IS NOT NULL").drop("_text").join(lost, ["_id", "_key"], "left_anti")
+    once = left.join(twice, ["_id", "_key"], "left_anti").select("_row")
+    first = left.join(twice, ["_id", "_key"], "left_semi").groupBy("_id", "_key").agg(F.first("_row").alias("_row")).select("_row")
+    return unpacked(rows.filter("_id IS NULL").select("_row").unionByName(once).unionByName(first))

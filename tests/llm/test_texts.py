@@ -313,7 +313,7 @@ def test_one_state_per_place_on_the_given_table(spark):
     """The labelled keys of a larger given table make an automaton of more than one state, and no other run there has their format."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     scanned = secret_scan.shared_table(secret_scan.scan(docs), "secrets-test")
-    model = secret_scan.learn_formats(secret_scan._labelled(scanned), secret_scan._ordinary_pairs(scanned))
+    model = secret_scan.learn(scanned)
     assert {k: len(a.states) for k, (a, _, _) in model["formats"].items()} == {"hex": 41}
     runs = [r.value for r in scanned.select(F.explode("runs.value").alias("value")).distinct().collect()]
     assert not [v for v in runs if v.isdigit() and secret_scan.like_kind(v, model)]

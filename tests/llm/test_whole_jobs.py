@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_dedup import brute_components
-from effdated.llm import graph, mixing, registry, secret_scan, simhash, url_filter
+from effdated.llm import graph, mixing, quality_rules, registry, secret_scan, simhash, url_filter
 
 
 # mixing in the pipeline
@@ -115,3 +116,56 @@ def test_short_credentials_and_rests_beside_base_spans_are_scored(spark):
     assert got[1000] == "like_assign:11:21" and got[1002] == "" and all(got[i].startswith("assign") and "like" not in got[i] for i in range(200))
     text = f"{of(12)}/AKIA{'A1' * 8} AKIA{'B2' * 8}+{of(7)} {of(5)} password = {of(10)}"
     assert secret_scan.other_runs(text, secret_scan.base_spans(text)) == [(0, 13), (54, 62)]
+
+
+def test_near_copies_go_by_row(spark):
+    """Repeated ids: of (2, near copy) and (2, a text of its own) only the copy goes; equal rows are one."""
+    base = " ".join(f"word{i}" for i in range(300))
+    near = base.replace("word7 ", "other7 ")
+    own = " ".join(f"own{i}" for i in range(300))
+    rows = [(1, base, "a"), (2, near, "b"), (2, own, "c"), (2, own, "c"), (1, base, "a"), (None, base, "d"), (None, None, "e"), (9, "", "f"), (10, None, "g")]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, _key string"), max_bits=8, segments=10)
+    got = sorted((r.doc_id or 0, r._key) for r in kept.collect())
+    assert got == [(0, "d"), (0, "e"), (1, "a"), (2, "c"), (9, "f")]
+
+
+def test_conflicting_labels_are_bad_ones(spark):
+    """A document labelled clean and toxic is toxic to the classifier and is not kept for its clean label."""
+    docs = spark.createDataFrame([(i, f"fine text number {i % 7}" if i % 2 else f"awful words here {i % 7}") for i in range(200)], "doc_id long, text string")
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 1, "clean").otherwise("toxic").alias("domain"))
+    both = labels.unionByName(docs.filter("doc_id % 2 = 0").select("doc_id", F.lit("clean").alias("domain")))
+    targets = {"clean": 0.98, "toxic": 0.02}
+    want, got = (sorted(r.doc_id for r in mixing.take_mixture(docs, x, targets, max_rate=1.0, keep="clean").collect()) for x in (labels, both))
+    assert got == want and len(want) < 130
+
+
+def test_quality_guarantee_holds_for_all_rules_together(spark):
+    """Two strata with learnt cutoffs: each rule alone would lose few clean texts, together they may not
+    lose more; and the SQL agrees where cutoffs are learnt."""
+    import duckdb
+    import oracle
+
+    plain = " ".join(f"word{i}" for i in range(60))
+    texts = {"ok": plain, "marks": " ".join(f"w*rd{i}***" for i in range(60)), "loud": " ".join(f"WORD{i}" for i in range(60))}
+
+    def docs(losses):
+        rows, labels = [], []
+        for s, (lang, lost) in enumerate(losses.items()):
+            for i in range(4000):
+                at = s * 10_000 + i
+                kind = "marks" if i % 10 < 2 else "loud" if i % 10 < 4 else "ok"
+                clean = int(kind == "ok" or (i % 1000) // 10 < lost * 100)  # some clean texts look bad
+                rows.append((at, texts[kind] + f" n{at}", lang))
+                labels.append((at, clean, 0))
+        return spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+    d, lab = docs({"en": 0.0, None: 0.0, "": 0.01})
+    got = quality_rules.quality_rules(d, lab)
+    kept = {(r.lang, r.bad): r.kept for r in got.withColumn("bad", F.col("doc_id") % 10 < 4).groupBy("lang", "bad").agg(F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept["en", True] == kept[None, True] == 0 and kept["en", False] == kept[None, False] == kept["", False] == 2400
+    assert kept["", True] > 0  # a null stratum and an empty one are two
+    con = duckdb.connect()
+    con.register("documents", d.toArrow())
+    con.register("labels", lab.toArrow())
+    ok, why = oracle.compare(got, con, registry.ORACLES["op9_quality_rules"])
+    assert ok, why

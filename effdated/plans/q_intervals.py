@@ -122,6 +122,21 @@ def q_list_source_to_dict(spark, sf):
     return lineage.collapse_sources(labelled, ["o_custkey"], "Source", ["o_orderdate", "o_orderkey"])
 
 
+@register("lineage_ranges", """
+WITH b AS (SELECT DISTINCT l_linestatus, l_returnflag || ':row:' AS p, l_orderkey AS n FROM lineitem),
+r AS (SELECT l_linestatus, p, n, CASE WHEN lag(n) OVER w = n - 1 THEN 0 ELSE 1 END AS st FROM b WINDOW w AS (PARTITION BY l_linestatus, p ORDER BY n)),
+pp AS (SELECT l_linestatus, p, sum(st) AS k, string_agg('''' || n || '''', ', ' ORDER BY n) AS ns FROM r GROUP BY l_linestatus, p)
+SELECT l_linestatus, CAST(sum(k) AS BIGINT) AS n_ranges, '{' || string_agg('''' || p || ''': [' || ns || ']', ', ' ORDER BY p) || '}' AS Source
+FROM pp GROUP BY l_linestatus
+""")
+def q_lineage_ranges(spark, sf):
+    """L1, L2 over two groups that hold the whole table: row numbers as ranges, written out at last."""
+    li = table(spark, sf, "lineitem").withColumn("Source", lineage.source_label("l_returnflag", F.col("l_orderkey")))
+    out = lineage.collapse_ranges(li, ["l_linestatus"])
+    n = F.aggregate("Source", F.lit(0).cast("long"), lambda a, e: a + F.size(e["ranges"]))
+    return out.select("l_linestatus", n.alias("n_ranges"), lineage.render_ranges(F.col("Source")).alias("Source"))
+
+
 # ---------------------------------------------------------------- T4
 @register("cut_at_cutover", """
 WITH o AS (SELECT o_orderkey, o_custkey, o_orderdate AS s, o_orderdate + INTERVAL 900 DAY AS e FROM orders),

@@ -57,3 +57,19 @@ def test_membership_takes_one_shuffle(spark):
     assert {r.key: (r.in_p, r.in_q, r.in_r) for r in dq.membership(frames, "k").collect()} == {"a": (True, False, True), "c": (False, True, False)}
     with pytest.raises(ValueError, match="unknown"):
         dq.membership(frames, "k", {"g": ["z"]})
+
+
+def test_lineage_of_consecutive_rows_is_one_range(spark):
+    """L1: a huge group of consecutive rows stays one range; the text is that of the plain operator."""
+    from effdated.operators import lineage
+    many = spark.range(2, 2_000_002).select(F.lit("k").alias("k"), F.concat(F.lit("f:row:"), F.col("id").cast("string")).alias("Source"))
+    assert [tuple(r) for r in lineage.collapse_ranges(many, ["k"]).selectExpr("k", "Source[0].p", "size(Source[0].ranges)", "Source[0].ranges[0].lo", "Source[0].ranges[0].hi").collect()] \
+        == [("k", "f:row:", 1, 2, 2_000_001)]
+    rows = [(i % 3, f, n) for i, (f, n) in enumerate([("a", 4095), ("b", 7), ("a", 4096), ("a", 1), ("a", 1), ("b", 9), ("a", 2), ("b", 8), ("a:S1", 3)] * 3)]
+    df = spark.createDataFrame([*rows, (5, None, None)], "k int, f string, n int").withColumn("Source", lineage.source_label("f", F.col("n")))
+    want = {r.k: r.Source for r in lineage.collapse_sources(df, ["k"], "Source", ["f", "n"]).collect()}
+    got = lineage.collapse_ranges(df, ["k"]).select("k", lineage.render_ranges(F.col("Source")).alias("Source"))
+    assert {r.k: r.Source for r in got.collect()} == want
+    assert lineage.collapse_ranges(df.limit(0), ["k"]).count() == 0
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        lineage.collapse_ranges(df.withColumn("Source", F.lit("f:row:x")), ["k"]).collect()

@@ -188,11 +188,3 @@ def forward_fill(df: DataFrame, id_vars: Sequence[str], group: Sequence[str],
     for c in id_vars:
         lay = scan.with_last_non_null(lay, c, c)
     return lay.df.drop("_sub")
-
-
-def any_of(conds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)
-
-
-def all_of(conds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)

@@ -96,17 +96,6 @@ def cutover_predicate(start: str, end: str, cutover, award_col: str,
             | ((F.col(start) >= c) & (F.col(award_col) == after_award)))
 
 
-def either_end_within(start: str, end: str, p_start: str, p_end: str) -> Column:
-    """the fact's start or end lies inside [p_start, p_end]."""
-    return (F.col(start).between(F.col(p_start), F.col(p_end))
-            | F.col(end).between(F.col(p_start), F.col(p_end)))
-
-
-def contained_within(start: str, end: str, p_start: str, p_end: str) -> Column:
-    """[start, end] lies inside [p_start, p_end]."""
-    return (F.col(start) >= F.col(p_start)) & (F.col(end) <= F.col(p_end))
-
-
 def text_contains(col: str, needle: str) -> Column:
     """``str.contains`` (literal, null -> false)."""
     return F.coalesce(F.col(col).contains(needle), F.lit(False))

@@ -180,7 +180,3 @@ def explode_json_array(df: DataFrame, json_col: str, element_schema: str,
     arr = F.from_json(F.col(json_col), f"array<{elem}>")
     return (df.select("*", F.posexplode_outer(arr).alias("_pos", item_col))
             .withColumn(pos_col, F.col("_pos") + 1).drop("_pos"))
-
-
-def any_true(conds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)

@@ -62,8 +62,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="effdated-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
-
-
-def conf_int(spark: SparkSession, key: str, default: int) -> int:
-    v = spark.conf.get(key, None)
-    return int(v) if v not in (None, "") else default

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from effdated.operators import scan
-from effdated.operators.scan import _join_on, _order_struct, qc, qcs
+from effdated.operators.scan import _join_on, _order_struct, qc
 
 
 def _ints(column: pa.Array) -> list[int | None]:

@@ -199,7 +199,7 @@ def payslips(staged: DataFrame, master_smn: DataFrame, payrun_index: DataFrame |
         d = jn.lookup(d, "PeriodEnd", payrun_index, payrun_index.columns[0], payrun_index.columns[1],
                       out="PayCycle", normalise=False)
     d = fl.dedupe_keep_first(d, ["PayslipLineCode"],
-                             dedupe_order or ["StartDate", "Classification", "Hours", "Amount", "PayCode"])
+                             dedupe_order or ["StartDate", "Classification", "Hours", "Amount", "PayCode"], digests=["PayslipLineCode"])
     return ln.list_source_to_dict(d.withColumn("Source", F.array("Source")), "Source")
 
 

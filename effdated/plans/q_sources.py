@@ -147,7 +147,8 @@ def q_payslip_same_basename(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
     lines.write.option("header", "true").partitionBy("l_returnflag", "l_linestatus").csv(path)
     bronze = cl.payslip_line_code(csvsrc.read_csv_with_lineage(spark, path), "PayslipLineCode")
-    kept = fl.dedupe_keep_first(bronze, ["PayslipLineCode"], ["Source"])
+    lines = bronze.select("PayslipLineCode", "Source", "l_orderkey", "l_linenumber", "l_quantity")  # paths and file names end here
+    kept = fl.dedupe_keep_first(lines, ["PayslipLineCode"], ["Source"], digests=["PayslipLineCode"])
     labels = bronze.agg(F.count_distinct("Source").alias("distinct_labels"))
     return jn.attach_constants(kept, labels).select(
         F.col("l_orderkey").cast("bigint").alias("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"), F.col("l_quantity").cast("double").alias("l_quantity"), "distinct_labels")

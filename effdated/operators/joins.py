@@ -60,6 +60,9 @@ def point_in_interval(facts: DataFrame, point: str, rules: DataFrame, start: str
     return facts.join(F.broadcast(rules), F.col(point).between(F.col(start), F.col(end)), how)
 
 
+#: Periods of a key that its facts are compared with one by one; only keys with more use the tree.
+DIRECT_PERIODS = 128
+
 #: Children of a node of the interval index, its levels (level 0: one bucket of time; the last: all of it),
 #: and the first month it tells apart. Months before and after count as its first and last.
 FANOUT, LEVELS, FIRST_MONTH = 8, 5, 1800 * 12
@@ -115,15 +118,18 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
     as one inner join; a fact spanning two periods matches both).
     ``mode='contained'``: the fact lies inside the period (J6).
 
-    With an equi key alone, a key holding many facts and many periods would pair all
-    of them in one task. So both sides meet in the nodes of a tree over time (months, 8 months,
-    64 months, ...): a period emits the nodes that make it up, O(log span) of them however long it
-    is, and a fact the nodes above the month of its start (in ``either_end`` mode also of its end).
-    A period holds whole nodes, so what meets in a node matches but for the months at its ends:
-    long and open periods share no bucket of their own. Levels that no period uses are left out of
-    the facts' rows by a one-row subquery that runs within the join (no job while the plan is built).
-    Each (fact, period) pair comes out of exactly one node, so nothing needs deduplicating, and AQE
-    can split skewed nodes. Facts and periods without a bound match nothing through it.
+    A key with up to ``DIRECT_PERIODS`` periods is one node: its facts and periods go out once each
+    and meet on the key alone, where a fact costs at most that many comparisons (AQE splits a key
+    of many facts). A key holding many facts and many periods would pair all of them that way. Its
+    two sides meet in the nodes of a tree over time (months, 8 months, 64 months, ...): a period
+    emits the nodes that make it up, O(log span) of them however long it is, and a fact the nodes
+    above the month of its start (in ``either_end`` mode also of its end). A period holds whole
+    nodes, so what meets in a node matches but for the months at its ends: long and open periods
+    share no bucket of their own. Levels that no period of the key uses are left out of the facts' rows.
+    The keys with more periods and their levels, at most ``periods / DIRECT_PERIODS`` rows, are
+    broadcast within the join (no job while the plan is built). Each (fact, period) pair comes out of
+    exactly one node, so nothing needs deduplicating. Facts and periods without a bound match
+    nothing through it.
     """
     fk = f_key or key
     # pandas merge suffixes ["", "_x"]: period columns that collide with fact columns
@@ -137,15 +143,23 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
         return _bucket(F.col(c), bucket_months)
 
     dated = periods.filter(F.col(p_start).isNotNull() & F.col(p_end).isNotNull() & (F.col(p_start) <= F.col(p_end)))
-    p = dated.withColumns({"_p0": bucket(p_start), "_p1": bucket(p_end)})
-    p = p.withColumn("_pb", F.explode(covering_nodes(F.col("_p0"), F.col("_p1")))).drop("_p0", "_p1")
-    used = (dated.select(bucket(p_start).alias("a"), bucket(p_end).alias("b"))
-            .agg(F.coalesce(F.bit_or(_levels_used(F.col("a"), F.col("b"))), F.lit(0)).alias("levels")).scalar())
+    levels = F.bit_or(_levels_used(bucket(p_start), bucket(p_end))).alias("_levels")
+    crowded = F.broadcast(dated.groupBy(F.col(f"`{key}`").alias("_ck")).agg(F.count(F.lit(1)).alias("_n"), levels)
+                          .filter(F.col("_n") > DIRECT_PERIODS).select("_ck", "_levels"))
+    whole = F.array(F.lit(-1))  # the only node of the other keys
+
+    def nodes(of_crowded: Column) -> Column:
+        return F.when(F.col("_levels").isNull(), whole).otherwise(of_crowded)
+
+    p = dated.join(crowded, dated[key] == crowded["_ck"], "left").withColumns({"_p0": bucket(p_start), "_p1": bucket(p_end)})
+    p = p.withColumn("_pb", F.explode(nodes(covering_nodes(F.col("_p0"), F.col("_p1"))))).drop("_p0", "_p1", "_ck", "_levels")
+    used = F.col("_levels")
+    facts = facts.join(crowded, facts[fk] == crowded["_ck"], "left").drop("_ck")
     if mode == "contained":
-        f = facts.withColumn("_b", F.explode(ancestor_nodes(bucket(f_start), used)))
+        f = facts.withColumn("_b", F.explode(nodes(ancestor_nodes(bucket(f_start), used))))
         cond = (F.col(f_start) >= F.col(p_start)) & (F.col(f_end) <= F.col(p_end))
     elif mode == "either_end":
-        f = (facts.withColumn("_fbs", ancestor_nodes(bucket(f_start), used)).withColumn("_fbe", ancestor_nodes(bucket(f_end), used))
+        f = (facts.withColumn("_fbs", nodes(ancestor_nodes(bucket(f_start), used))).withColumn("_fbe", nodes(ancestor_nodes(bucket(f_end), used)))
              .withColumn("_b", F.explode(F.array_union(F.coalesce("_fbs", F.array().cast("array<int>")), F.coalesce("_fbe", F.array().cast("array<int>")))))
              .withColumn("_by_start", F.coalesce(F.array_contains("_fbs", F.col("_b")), F.lit(False)))
              .withColumn("_by_end", F.coalesce(F.array_contains("_fbe", F.col("_b")), F.lit(False))).drop("_fbs", "_fbe"))
@@ -158,7 +172,7 @@ def interval_join(facts: DataFrame, periods: DataFrame, key: str, f_start: str,
     if fk == key:
         p = p.withColumnRenamed(key, "_pk")
     j = f.join(p, (f[fk] == p["_pk" if fk == key else key]) & (F.col("_b") == F.col("_pb")) & cond, "inner")
-    out = j.drop("_b", "_pb", "_by_start", "_by_end")
+    out = j.drop("_b", "_pb", "_by_start", "_by_end", "_levels")
     return out.drop("_pk") if fk == key else out
 
 

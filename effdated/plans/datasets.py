@@ -237,9 +237,13 @@ def payslip_batches(staged: DataFrame) -> list[DataFrame]:
 
 def staged_payslips(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Staged payslip lines derived from order lines (used by the driver queries). A few lines
-    share order and line number, so the lineage number has their ordinal behind these."""
-    every = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[c for c in lineitem.columns if c not in ("l_orderkey", "l_linenumber")])
-    lineitem = lineitem.withColumn("_nth", F.row_number().over(every))
+    share order and line number, so the lineage number has their ordinal behind these. Lines that are
+    equal up to the last column used here give equal rows, so the ordinal's order needs no column
+    behind it, and the lines are dealt out once, by order, for the ordinal and the join."""
+    used = ("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
+    columns = lineitem.columns[:1 + max(lineitem.columns.index(c) for c in used)]
+    every = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[c for c in columns if c not in ("l_orderkey", "l_linenumber")])
+    lineitem = lineitem.repartition("l_orderkey").withColumn("_nth", F.row_number().over(every))
     j = lineitem.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
                       lineitem["l_orderkey"] == orders["o_orderkey"])
     return j.select(

@@ -282,7 +282,7 @@ def resolve_by_period(attrs: DataFrame, key: str | Sequence[str], eff_from: str,
     later ``eff_from``, then later ``eff_to``, then the smaller value.
     The period table (financial years) has a fixed, tiny size, so it is broadcast and
     the range join runs as a nested loop over it without shuffling ``attrs``. The pick
-    is a ``min_by`` aggregate (partial, skew-safe), not a window.
+    is a ``min`` aggregate (partial, skew-safe), not a window.
     """
     p = F.broadcast(periods.select(period_col, period_start, period_end))
     in_p = lambda c: F.col(c).between(F.col(period_start), F.col(period_end))
@@ -291,12 +291,12 @@ def resolve_by_period(attrs: DataFrame, key: str | Sequence[str], eff_from: str,
     rule = (F.when(in_p(eff_to), 1).when(in_p(eff_from), 2).otherwise(3))
     neg_from = F.datediff(F.lit("1900-01-01").cast("date"), F.col(eff_from).cast("date"))
     neg_to = F.datediff(F.lit("1900-01-01").cast("date"), F.col(eff_to).cast("date"))
+    # the values are the end of the rank, so the least rank has them: no row carries them twice
     rank = F.struct(rule.alias("r"), neg_from.alias("f"), neg_to.alias("t"),
                     *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)])
-    vals = F.struct(*[F.col(c) for c in value_cols])
     keys = _as_list(key)
-    best = j.groupBy(*keys, period_col).agg(F.min_by(vals, rank).alias("_best"))
-    return best.select(*keys, period_col, *[F.col("_best")[c].alias(c) for c in value_cols])
+    best = j.groupBy(*keys, period_col).agg(F.min(rank).alias("_best"))
+    return best.select(*keys, period_col, *[F.col("_best")[f"v{i}"].alias(c) for i, c in enumerate(value_cols)])
 
 
 def latest_per_key(df: DataFrame, key: str, order_col: str, value_cols: Sequence[str]) -> DataFrame:

@@ -30,14 +30,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from effdated.functions.columns import report_projection
 from effdated.functions.dates import financial_year
 from effdated.operators import aggregate as ag
-from effdated.operators.intervals import latest_per_key, resolve_by_period
+from effdated.operators.intervals import resolve_by_period
 
 MEASURES = ["actual_hours", "calculated_hours", "calculated", "gross_Variance", "payslip"]
 
@@ -220,20 +220,24 @@ def group_by_fyear(lines: DataFrame, pil: DataFrame, km: DataFrame, p: ReportPar
 
 
 _ITEM = "StartDate:string,EndDate:string,Value:string"
+_VALUES = {"attribute": "Key:string,Value:string", "classification": "Classification:string,Award:string", "employment": None}
 
 
 def _items(employees: DataFrame) -> DataFrame:
     """All attribute items of an employee, tagged by the column they come from: the three JSON
-    arrays become one array, exploded once, so the employee rows are read once."""
+    arrays become one array, exploded once, so the employee rows are read once. The JSON in an
+    item's value is parsed here, in the array: behind the explode Spark would copy the parser
+    into every expression that uses a part of it."""
     def tagged(column: str, kind: str) -> Column:
-        parsed = F.from_json(F.col(column), f"array<struct<{_ITEM}>>")
-        return F.coalesce(F.transform(parsed, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("x"))),
-                          F.array().cast(f"array<struct<kind:string,x:struct<{_ITEM}>>>"))
+        def item(x: Column) -> Column:
+            parts = [(F.from_json(x["Value"], f"struct<{fields}>") if k == kind else F.lit(None).cast(f"struct<{fields}>")).alias(f"_{k}")
+                     for k, fields in _VALUES.items() if fields]
+            return F.struct(F.lit(kind).alias("_kind"), x["StartDate"].alias("_from"), x["EndDate"].alias("_to"), x["Value"].alias("_value"), *parts)
+        return F.transform(F.coalesce(F.from_json(F.col(column), f"array<struct<{_ITEM}>>"), F.array().cast(f"array<struct<{_ITEM}>>")), item)
 
     every = F.concat(tagged("attributes_over_time", "attribute"), tagged("classifications", "classification"), tagged("employment_types", "employment"))
-    ex = employees.select("employee_code", F.explode(every).alias("i"))
-    return ex.select("employee_code", F.col("i.kind").alias("_kind"), F.col("i.x.StartDate").cast("date").alias("_from"),
-                     F.col("i.x.EndDate").cast("date").alias("_to"), F.col("i.x.Value").alias("_value"))
+    ex = employees.select("employee_code", F.explode(every).alias("i")).select("employee_code", "i.*")
+    return ex.withColumns({"_from": F.col("_from").cast("date"), "_to": F.col("_to").cast("date")})
 
 
 def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> DataFrame:
@@ -246,9 +250,8 @@ def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> Dat
     (employee, ref, FY), then one pivot back to a row per (employee, FY). The rows
     are those with a classification, as in the source model.
     """
-    kv, ca = F.from_json("_value", "Key string, Value string"), F.from_json("_value", "Classification string, Award string")
     is_a, is_c, is_e = (F.col("_kind") == k for k in ("attribute", "classification", "employment"))
-    key, value = F.col("_kv.Key"), F.col("_kv.Value")
+    key, value = F.col("_attribute.Key"), F.col("_attribute.Value")
     nat_from, nat_to = p.national_region
     refs_of = {"state": "region", "WeeklyContractedHours": "weeklycontractedhours", "POSITION": "positions", "COMPANY": "company"}
     ref = F.when(is_c, "classification").when(is_e, "employee_type")
@@ -258,11 +261,11 @@ def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> Dat
     for k, v in p.employee_type_codes.items():
         employee_type = F.when(code == k, v).otherwise(employee_type)
     is_state = is_a & (key == "state")
-    v1 = (F.when(is_c, F.col("_ca.Classification")).when(is_e, employee_type)
+    v1 = (F.when(is_c, F.col("_classification.Classification")).when(is_e, employee_type)
           .when(is_state & (value == nat_from), F.lit(nat_to)).otherwise(value))
-    items = (_items(employees).withColumn("_kv", F.when(is_a, kv)).withColumn("_ca", F.when(is_c, ca))
+    items = (_items(employees)
              .select("employee_code", ref.alias("ref"), "_from", "_to", F.when(is_state, p.region_widen_days).otherwise(0).alias("_before"),
-                     v1.alias("v1"), F.col("_ca.Award").alias("v2"))
+                     v1.alias("v1"), F.col("_classification.Award").alias("v2"))
              .filter(F.col("ref").isNotNull())
              .withColumn("effective_from", F.date_sub("_from", F.col("_before")))
              .withColumn("effective_to", F.date_add("_to", p.widen_days)))
@@ -271,15 +274,16 @@ def base_info(employees: DataFrame, fy_rules: DataFrame, p: ReportParams) -> Dat
     refs = ["region", "weeklycontractedhours", "positions", "company", "classification", "employee_type"]
     wide = (resolved.groupBy("employee_code", "fy").pivot("ref", refs)
             .agg(F.first(F.struct("v1", "v2"))))
-    company = latest_per_key(resolved.filter(F.col("ref") == "company"), "employee_code", "fy", ["v1"]) \
-        .select("employee_code", F.col("v1").alias("company"))
+    # the latest year's company, from the rows at hand: the attributes are resolved once
+    own = Window.partitionBy("employee_code")
+    wide = wide.withColumn("_latest", F.max_by(F.col("company.v1"), F.when(F.col("company").isNotNull(), F.col("fy"))).over(own))
     info = wide.filter(F.col("classification").isNotNull()).select(
-        "employee_code", "fy",
+        "employee_code", "fy", F.col("_latest").alias("company"),
         F.col("region.v1").alias("region"), F.col("weeklycontractedhours.v1").alias("weeklycontractedhours"),
         F.col("positions.v1").alias("positions"), F.col("classification.v1").alias("classification"),
         F.col("classification.v2").alias("award"), F.col("employee_type.v1").alias("employee_type"))
     clients = employees.select("employee_code", "client_id")
-    info = info.join(company, ["employee_code"], "left").join(clients, ["employee_code"], "left")
+    info = info.join(clients, ["employee_code"], "left")
     if p.company_fallback is not None:
         info = info.withColumn("company", F.coalesce(F.col("company"), F.lit(p.company_fallback)))
     return info

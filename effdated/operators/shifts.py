@@ -89,6 +89,17 @@ def trailing_day_share(df: DataFrame, key: str, date: str, days: int = 182, out:
                         (F.count(F.lit(1)).over(w) / F.lit(float(days))).alias(out))
 
 
+def with_trailing_day_share(df: DataFrame, key: str, date: str, days: int = 182, out: str = "worked_share") -> DataFrame:
+    """W9 on the rows themselves: each row gets the share of :func:`trailing_day_share` of its (key, day),
+    null without key or date. A window over the key counts the first row of every day, so the rows
+    are neither computed a second time nor joined back."""
+    w = Window.partitionBy(key).orderBy("_dn")
+    d = df.withColumn("_dn", F.datediff(F.to_date(F.col(date)), F.lit("1970-01-01").cast("date")))
+    d = d.withColumn("_first", F.when(F.lag("_dn").over(w).eqNullSafe(F.col("_dn")), 0).otherwise(1))
+    share = F.coalesce(F.sum("_first").over(w.rangeBetween(-days, -1)), F.lit(0)) / F.lit(float(days))
+    return d.withColumn(out, F.when(F.col(key).isNotNull() & F.col("_dn").isNotNull(), share)).drop("_dn", "_first")
+
+
 def holiday_calendar(holidays: DataFrame, date_col: str = "holiday_date",
                      add_substitute: bool = True) -> DataFrame:
     """T10 helper: a holiday on a Saturday or Sunday adds the following Monday as an

@@ -112,11 +112,24 @@ def test_payslip_same_basename_carries_no_paths(plain):
     assert "source_path" not in grouped and "source_file" not in grouped and "l_returnflag" not in grouped
 
 
-def test_timesheets_read_their_shifts_once(spark):
-    """The six-month share and the result read written shifts, not the whole chain twice."""
+def test_timesheets_compute_their_shifts_once(plain):
+    """The six-month share comes from the rows of the result, not from the whole chain run again."""
     import __spark_entry__ as E
-    read = E.queries()["build_timesheets"](spark, SF).inputFiles()
-    assert not any("events.parquet" in f or "orders.parquet" in f for f in read)
+    plan = _plan(E.queries()["build_timesheets"](plain, SF))
+    assert sum("FileScan" in x and "event_id" in x for x in plan.splitlines()) <= 2  # W7 joins its survivors back to the islands
+
+
+def test_trailing_share_on_rows_is_that_of_the_days(spark):
+    from effdated.operators import shifts as sh
+    t0 = datetime(2024, 1, 1, 8)
+    rows = [(k, t0 + timedelta(days=d, hours=h)) for k in ("a", "b") for d, h in ((0, 0), (0, 5), (1, 0), (40, 0), (183, 0), (183, 2), (184, 0), (400, 0))]
+    rows += [("a", None), ("a", None), (None, t0), (None, t0 + timedelta(days=1))]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz")
+    days = {(r["k"], r["day"]): r["s"] for r in sh.trailing_day_share(df, "k", "t", out="s").collect()}
+    got = sh.with_trailing_day_share(df, "k", "t", out="s").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["s"] == (days[r["k"], r["t"].date()] if r["k"] and r["t"] else None)
 
 
 def test_report_explodes_attributes_once(spark):

@@ -109,11 +109,16 @@ def payslip_code(df: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(target, surrogate_code(keys))
 
 
+def line_label(df: DataFrame, source_col: str = "Source", id_col: str = "source_id") -> Column:
+    """What P18 hashes: the lineage label, behind the file's ``id_col`` where the rows carry one."""
+    label = F.col(source_col).cast("string")
+    return F.concat_ws("|", F.col(id_col), label) if id_col in df.columns else label
+
+
 def payslip_line_code(df: DataFrame, target: str, source_col: str = "Source", id_col: str = "source_id") -> DataFrame:
     """Per-line code from the lineage label; survives fan-out joins unchanged. Where the rows carry the
     file's ``id_col`` (a hash of its path) it counts too, so that equal labels of two loads give two codes."""
-    label = F.col(source_col).cast("string")
-    return df.withColumn(target, F.sha2(F.concat_ws("|", F.col(id_col), label) if id_col in df.columns else label, 256))
+    return df.withColumn(target, F.sha2(line_label(df, source_col, id_col), 256))
 
 
 def report_projection(df: DataFrame, columns: Sequence[tuple[str | Column, str]]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,13 @@ def parse_datetime(c: Column | str, dayfirst: bool = True) -> Column:
     """Text -> timestamp_ntz trying the day-first (or month-first) layouts; null if none fit."""
     col = F.trim(F.col(c) if isinstance(c, str) else c)
     pats = DAYFIRST_PATTERNS if dayfirst else MONTHFIRST_PATTERNS
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(p)).cast("timestamp_ntz") for p in pats])
+
+    def tried(p: str) -> Column:
+        # a text without the layout's separators cannot fit it: looking for them is cheaper than a failing parse
+        marks = [F.contains(col, F.lit(m)) for m in "/-.: " if m in p]
+        return F.when(reduce(and_, marks), F.try_to_timestamp(col, F.lit(p)).cast("timestamp_ntz"))
+
+    return F.coalesce(*[tried(p) for p in pats])
 
 
 def change_date_format(df: DataFrame, target_col: str, dayfirst: bool = True,

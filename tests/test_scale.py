@@ -136,3 +136,122 @@ def test_report_explodes_attributes_once(spark):
     import __spark_entry__ as E
     plan = E.queries()["remediation_report"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == 1
+
+
+def _dealt_rows(df) -> int:
+    """Rows that went through the plan's shuffles when ``df`` was collected."""
+    def walk(node):
+        here = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+        children = node.children()
+        return here + sum(walk(children.apply(i)) for i in range(children.size()))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def _below_exchanges(node) -> list[str]:
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    here = [children[0].toString()] if node.nodeName() == "Exchange" else []
+    return here + [x for c in children for x in _below_exchanges(c)]
+
+
+def test_payslips_deal_lines_out_once(plain):
+    """Beside the lines' own input, a line's payload is dealt once (to its period) and its label's hash once;
+    no shuffle holds a code."""
+    import __spark_entry__ as E
+    df = E.queries()["build_payslips"](plain, SF)
+    n = plain.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert len(df.collect()) == n
+    assert _dealt_rows(df) <= 8 * n  # 18 before, 6 now
+    assert not any("sha2(" in x for x in _below_exchanges(df._jdf.queryExecution().executedPlan()))
+
+
+@pytest.mark.parametrize("limit", [0, 2, 1_000_000])
+def test_mark_repeated(spark, monkeypatch, limit):
+    monkeypatch.setattr(fl, "REPEATED_KEYS", limit)
+    keys = ["a", "b", "b", "c", None, "", "d", "d", "e", "e", "e", None]
+    df = spark.createDataFrame(list(enumerate(keys)), "n int, k string").repartition(4)
+    got = fl.mark_repeated(df, df["k"], "again")
+    assert got.columns == ["n", "k", "again"]
+    want = sorted((i, k is None or limit < 3 or keys.count(k) > 1) for i, k in enumerate(keys))
+    assert sorted((r["n"], r["again"]) for r in got.collect()) == want
+
+
+def _plain_payslips(lines, smn, cycles):
+    """The build as its docstring says, line by line: (label, employee, start, end, period of the class, island, many, code's end, cycle)."""
+    from functools import cmp_to_key
+    day, last = timedelta(days=1), lambda x: (x is None, x or 0)
+    met = []
+    for emp, s, e0, pay, hours, amount, base, label in lines:
+        e = e0 and e0 + day
+        base = {"1": "True", "0": "False"}.get(base, base)
+        hours = "0" if base == "False" else hours
+        met += [(emp, s, e, pay, hours, amount, base, label, x) for x in smn if emp is not None and x[0] == emp and any(t is not None and x[1] <= t <= x[2] for t in (s, e))]
+    islands = {}
+    for emp in {m[0] for m in met}:
+        top, n = None, 0
+        for s, e in sorted({m[1:3] for m in met if m[0] == emp}, key=lambda p: (last(p[0]), last(p[1]))):
+            n += not (top is not None and s is not None and s < top)
+            top = e if top is None else top if e is None else max(top, e)
+            islands.setdefault((emp, n), []).append((s, e))
+    first_nulls = lambda x: (x is not None, x or 0)
+    rows = []
+    for emp, s, e, pay, hours, amount, base, label, x in met:
+        n, own = next((k[1], v) for k, v in islands.items() if k[0] == emp and (s, e) in v)
+        ends = [p[1] for p in own if p[1]]
+        end = max(ends) if ends else None
+        head = min(own, key=lambda p: (first_nulls(p[0]), first_nulls(p[1])))[1]
+        order = (last(x[1]), last(x[3]), last(hours), last(amount), last(pay), emp, n, base, x[2])
+        rows.append((order, label, (label, emp, min((p[0] for p in own if p[0]), default=None), end, cycles.get(end), pay, hours, amount, base, x[1], x[2], x[3], n, len(own) > 1, head and head - day)))
+    best = {}
+    for order, label, row in rows:
+        if label not in best or order < best[label][0]:
+            best[label] = (order, row)
+    return sorted((r for _, r in best.values()), key=str)
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+@pytest.mark.parametrize("ids", [False, True])
+def test_payslips_are_those_of_a_plain_reading(spark, monkeypatch, limit, ids):
+    """Repeated, shared and missing labels, periods without an end or a start, islands, employees without a class."""
+    import hashlib
+    from effdated.plans.datasets import payslips
+    monkeypatch.setattr(fl, "REPEATED_KEYS", limit)
+    d = lambda n: datetime(2024, 1, 1) + timedelta(days=n)
+    smn = [("a", d(0), d(30), "x"), ("a", d(30), d(30), "x"), ("a", d(30), d(400), "x"), ("b", d(10), d(90), None), ("b", d(10), d(60), "y"), ("c", d(5), d(6), "z")]
+    periods = [("a", d(1), d(14)), ("a", d(10), d(29)), ("a", d(40), None), ("a", None, d(50)), ("a", d(300), d(313)), ("a", d(900), d(913)),
+               ("b", d(0), d(13)), ("b", d(14), d(27)), ("b", d(20), d(89)), ("b", d(89), d(102)), ("c", d(0), d(13)), ("c", d(6), d(19)), ("q", d(1), d(14)), (None, d(1), d(14)), ("a", None, None)]
+    lines = [(*p, pay, hours, amount, base, f"f:row:{i * 3 + j}") for i, p in enumerate(periods) for j, (pay, hours, amount, base) in enumerate([("N", "8.0", 1.5, "1"), ("O", "2.0", 7.5, "0"), (None, None, None, None)])]
+    lines += [(*periods[i], "N", "8.0", 1.5, "1", f"f:row:{n}") for i, n in ((1, 0), (4, 3), (6, 0), (7, 24), (7, 24), (9, 33), (2, 6))]
+    lines += [(*periods[i], "N", "8.0", 1.5, "1", None) for i in (8, 1, 0)]
+    names = "EmployeeCode string, PeriodStart timestamp_ntz, PeriodEnd timestamp_ntz, PayCode string, Hours string, Amount double, `Is Base Hours?` string, Source string"
+    staged = spark.createDataFrame(lines, names).repartition(3)
+    code = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    if ids:
+        from pyspark.sql import functions as F
+        staged = staged.withColumn("source_id", F.lit("7f"))
+    cycles = {d(30): "2024-01", d(15): "2024-00"}
+    out = payslips(staged, spark.createDataFrame(smn, "EmployeeCode string, StartDate timestamp_ntz, EndDate timestamp_ntz, Classification string"),
+                   spark.createDataFrame(list(cycles.items()), "run_end timestamp_ntz, cycle string"))
+    got = out.collect()
+    want = _plain_payslips(lines, smn, cycles)
+    shown = sorted(((r["Source"] and r["Source"].replace("{'f:row:': ['", "f:row:").replace("']}", ""), r["EmployeeCode"], r["PeriodStart"], r["PeriodEnd"], r["PayCycle"], r["PayCode"], r["Hours"], r["Amount"],
+                     r["Is Base Hours?"], r["StartDate"], r["EndDate"], r["Classification"], r["overlapping_index"], r["is_overlapping"]) for r in got), key=str)
+    assert [x[1:] for x in shown if x[0] and "f:row" in x[0]] == [x[1:-1] for x in want if x[0]]
+    assert len(got) == len(want)
+    ends = {x[0]: (x[1], x[-1]) for x in want}
+    for r in got:
+        label = r["Source"].split("'")[3] if "f:row" in (r["Source"] or "") else None
+        label = label and f"f:row:{label}"
+        assert r["PayslipCode"] == code(f"{ends[label][0]}#{ends[label][1] or '∅'}")
+        assert r["PayslipLineCode"] == (code(f"7f|{label}" if label else "7f") if ids else label and code(label))
+
+
+def test_parse_datetime_skips_only_layouts_that_cannot_fit(spark):
+    from pyspark.sql import functions as F
+    from effdated.functions import dates as dt
+    texts = ["05/01/1998", " 5/1/98 ", "5/1/1998 7:08", "5/1/1998 7:08:09", "5-1-1998", "5-1-1998 7:08:09", "5.1.1998", "1998-01-05", "1998-01-05 07:08", "1998-01-05 07:08:09",
+             "1998-01-05T07:08:09", "5 Jan 1998", "5-Jan-1998", "5-Jan-98", "Jan 5 1998", "31/12/1998", "12/31/1998", "1998/01/05", "5/1-1998", "05011998", "", " ", ":", "5/1/1998 ", None, "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for dayfirst, patterns in ((True, dt.DAYFIRST_PATTERNS), (False, dt.MONTHFIRST_PATTERNS)):
+        every = F.coalesce(*[F.try_to_timestamp(F.trim("t"), F.lit(p)).cast("timestamp_ntz") for p in patterns])
+        rows = df.select("t", dt.parse_datetime("t", dayfirst).alias("got"), every.alias("want")).collect()
+        assert [r["got"] for r in rows] == [r["want"] for r in rows] and sum(r["got"] is not None for r in rows) > 9

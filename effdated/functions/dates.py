@@ -33,12 +33,13 @@ def parse_datetime(c: Column | str, dayfirst: bool = True) -> Column:
     col = F.trim(F.col(c) if isinstance(c, str) else c)
     pats = DAYFIRST_PATTERNS if dayfirst else MONTHFIRST_PATTERNS
 
-    def tried(p: str) -> Column:
+    def tried(text: Column, p: str) -> Column:
         # a text without the layout's separators cannot fit it: looking for them is cheaper than a failing parse
-        marks = [F.contains(col, F.lit(m)) for m in "/-.: " if m in p]
-        return F.when(reduce(and_, marks), F.try_to_timestamp(col, F.lit(p)).cast("timestamp_ntz"))
+        marks = [F.contains(text, F.lit(m)) for m in "/-.: " if m in p]
+        return F.when(reduce(and_, marks), F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz"))
 
-    return F.coalesce(*[tried(p) for p in pats])
+    # in a lambda, since the code generated for so many layouts is too long for the JVM to compile
+    return F.get(F.transform(F.array(col), lambda text: F.coalesce(*[tried(text, p) for p in pats])), F.lit(0))
 
 
 def change_date_format(df: DataFrame, target_col: str, dayfirst: bool = True,
